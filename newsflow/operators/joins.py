@@ -1,0 +1,17 @@
+"""Join helpers with an explicit size check before any broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(small: DataFrame, rows: int, max_rows: int) -> DataFrame:
+    """Broadcast-hint ``small`` only when its measured row count fits.
+
+    ``rows`` must come from a count of the *materialized* table (a model
+    table, a checkpoint), never from an estimate.  Beyond the bound the
+    plain DataFrame is returned and Catalyst/AQE pick a shuffle join, with
+    AQE's skew-join split for hot keys.
+    """
+    return F.broadcast(small) if rows <= max_rows else small
