@@ -43,7 +43,7 @@ def split_bucket_sql(key: str) -> str:
 
 PREPARED = f"""
 prepared AS (
-  SELECT article_id, subject, label,
+  SELECT article_id, subject, date, label,
          {preprocess_sql("title || ' ' || text")} AS content
   FROM articles),
 docs AS (
@@ -80,7 +80,7 @@ token_scores AS (
   FROM terms t JOIN theta th ON t.term = th.term AND th.idf > 0
   GROUP BY t.article_id),
 scores AS (
-  SELECT d.article_id, d.subject, d.label, d.is_train,
+  SELECT d.article_id, d.subject, d.date, d.label, d.is_train,
          p.pi0 + coalesce(ts.w0, 0.0) AS score0,
          p.pi1 + coalesce(ts.w1, 0.0) AS score1
   FROM docs d CROSS JOIN prior p LEFT JOIN token_scores ts ON d.article_id = ts.article_id),
@@ -102,3 +102,220 @@ SELECT article_id, subject, label, is_train, prediction, prediction_label FROM p
 ORACLE["g3_by_subject_label"] = with_ctes(ARTICLES, PREPARED, MR_MODEL) + """
 SELECT subject, prediction_label, cast(count(*) AS bigint) AS count
 FROM predictions GROUP BY subject, prediction_label ORDER BY subject, prediction_label"""
+
+# --- relational model summaries -------------------------------------------
+MR = with_ctes(ARTICLES, PREPARED, MR_MODEL)
+
+ORACLE["g1_row_count"] = MR + "\nSELECT count(*) AS n FROM predictions"
+ORACLE["g2_by_label"] = MR + """
+SELECT prediction_label, count(*) AS count FROM predictions GROUP BY prediction_label"""
+ORACLE["g4_by_date_label"] = MR + """
+SELECT date, prediction_label, count(*) AS count FROM predictions GROUP BY date, prediction_label
+ORDER BY date, prediction_label"""
+ORACLE["p5_label_decode"] = """
+SELECT doc_id, CASE WHEN cast(quality AS double) = 0.0 THEN 'FAKE' ELSE 'TRUE' END AS decoded FROM labels"""
+ORACLE["m2_document_frequency"] = MR + "\nSELECT term, cast(df AS bigint) AS df, round(idf, 9) AS idf FROM idf"
+ORACLE["mr_theta"] = MR + """
+SELECT term, cast(tf0 AS bigint) AS tf0, cast(tf1 AS bigint) AS tf1,
+       round(theta0, 6) AS theta0, round(theta1, 6) AS theta1 FROM theta"""
+ORACLE["m6_hash_split"] = with_ctes(ALL_ARTICLES) + f"""
+SELECT article_id, {split_bucket_sql("article_id")} < 80 AS is_train FROM all_articles"""
+ORACLE["m7_metrics"] = MR + """,
+cm AS (SELECT label, prediction, count(*) AS n FROM predictions WHERE NOT is_train GROUP BY label, prediction),
+per_label AS (SELECT label, sum(n) AS n_label, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp
+              FROM cm GROUP BY label),
+per_pred AS (SELECT prediction AS label, sum(n) AS n_pred FROM cm GROUP BY prediction),
+per AS (SELECT l.n_label, l.tp,
+               CASE WHEN coalesce(p.n_pred, 0) > 0 THEN l.tp / p.n_pred ELSE 0.0 END AS p,
+               l.tp / l.n_label AS r
+        FROM per_label l LEFT JOIN per_pred p ON l.label = p.label)
+SELECT round(sum(tp) / sum(n_label), 9) AS accuracy,
+       round(sum(p * n_label) / sum(n_label), 9) AS weighted_precision,
+       round(sum(r * n_label) / sum(n_label), 9) AS weighted_recall,
+       round(sum(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END * n_label) / sum(n_label), 9) AS f1,
+       cast(sum(n_label) AS bigint) AS n
+FROM per"""
+ORACLE["m8_auc_rank"] = MR + """,
+ps AS (SELECT round(score1 - score0, 6) AS s,
+              cast(sum(CASE WHEN label = 1.0 THEN 1 ELSE 0 END) AS double) AS pos,
+              cast(sum(CASE WHEN label = 1.0 THEN 0 ELSE 1 END) AS double) AS neg
+       FROM predictions WHERE NOT is_train GROUP BY 1),
+r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS neg_below FROM ps)
+SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) AS auc FROM r"""
+ORACLE["m9_sample_predictions"] = MR + """
+SELECT article_id, label, prediction FROM predictions ORDER BY article_id LIMIT 10"""
+ORACLE["a1_token_counts"] = with_ctes(ARTICLES, PREPARED) + """,
+toks AS (SELECT unnest(string_split(content, ' ')) AS term FROM docs)
+SELECT term, count(*) AS n FROM toks WHERE term <> '' GROUP BY term"""
+ORACLE["a2_stopword_removed"] = with_ctes(ARTICLES, PREPARED) + f"""
+SELECT article_id,
+       cast(len(list_filter(string_split(content, ' '), lambda x: x <> '')) AS integer) AS n_tokens,
+       cast(len(list_filter(string_split(content, ' '),
+                            lambda x: x <> '' AND NOT list_contains([{sql_list()}], x))) AS integer) AS n_terms
+FROM docs"""
+
+# --- text functions ----------------------------------------------------------
+
+
+def clean_sql(src: str) -> str:
+    """T1 over a relation with article_id, title, text, subject[, date] (no length filter)."""
+    return f"""
+cleaned AS (
+  SELECT article_id,
+         trim(regexp_replace(title, '{WS}+', ' ', 'g'), ' ') AS title,
+         regexp_replace(trim(regexp_replace(text, '{WS}+', ' ', 'g'), ' '), '<[^>]+>', '', 'g') AS text,
+         lower(trim(subject, ' ')) AS subject,
+         date
+  FROM {src})"""
+
+
+PAGE_ARTICLES = """
+page_articles AS (
+  SELECT cast(page_id AS varchar) AS article_id,
+         regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title,
+         html AS text,
+         regexp_extract(url, '://[^/]+/([^/?#]+)', 1) AS subject,
+         NULL AS date
+  FROM pages)"""
+
+CLEAN_ALL = with_ctes(ALL_ARTICLES, clean_sql("all_articles"))
+
+ORACLE["t1_clean_text"] = CLEAN_ALL + """
+SELECT article_id, title, text, subject, date FROM cleaned WHERE length(text) > 100"""
+ORACLE["t1_clean_pages"] = with_ctes(PAGE_ARTICLES, clean_sql("page_articles")) + """
+SELECT article_id, title, text, subject FROM cleaned WHERE length(text) > 100"""
+ORACLE["x2_min_text"] = with_ctes(PAGE_ARTICLES, clean_sql("page_articles")) + """
+SELECT article_id, cast(length(text) AS integer) AS text_len FROM cleaned WHERE length(text) > 100"""
+ORACLE["t3_content_null"] = with_ctes(ALL_ARTICLES) + """
+SELECT article_id, (title || ' ' || text) IS NULL AS content_null,
+       cast(length(title || ' ' || text) AS integer) AS content_len FROM all_articles"""
+ORACLE["t4_preprocess"] = with_ctes(ALL_ARTICLES) + f"""
+SELECT article_id, {preprocess_sql("title || ' ' || text")} AS content FROM all_articles"""
+ORACLE["x1_min_content"] = with_ctes(ARTICLES, PREPARED) + """
+SELECT article_id, cast(length(content) AS integer) AS content_len FROM docs"""
+ORACLE["t6_key_prefix"] = with_ctes(ALL_ARTICLES) + """
+SELECT article_id, substr(title, 1, 50) AS key FROM all_articles"""
+
+UNICODE_WS = (r"[\s\x0B\x1C-\x1F\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}"
+              r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+UNICODE_STRIP = f"^{UNICODE_WS}+|{UNICODE_WS}+$"
+
+
+def clean_html_sql(expr: str) -> str:
+    s = f"coalesce({expr}, '')"
+    for pat in [r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>",
+                r"(?is)<template\b[^>]*>.*?</template\s*>", r"(?s)<!--.*?-->"]:
+        s = f"regexp_replace({s}, '{pat}', '', 'g')"
+    s = f"regexp_replace({s}, '</?[A-Za-z][^>]*>|<[!?][^>]*>', chr(1), 'g')"
+    for ent, ch in [("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&apos;", "''''"),
+                    ("&nbsp;", "chr(160)"), ("&amp;", "'&'")]:
+        s = f"replace({s}, '{ent}', {ch})"
+    return (f"array_to_string(list_filter(list_transform(string_split({s}, chr(1)), "
+            f"lambda x: regexp_replace(x, '{UNICODE_STRIP}', '', 'g')), lambda x: x <> ''), ' ')")
+
+
+ORACLE["t2_clean_html"] = f"SELECT page_id, {clean_html_sql('html')} AS text FROM pages"
+
+# --- JSON ----------------------------------------------------------------------
+ORACLE["j1_json_parse"] = """
+SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
+ORACLE["j2_json_build"] = "SELECT event_id, user_id, event_type, value, props FROM events"
+ORACLE["p2_flatten"] = with_ctes(ALL_ARTICLES) + """
+SELECT title, text, subject, date, cast(NULL AS varchar) AS "timestamp", cast(NULL AS varchar) AS source,
+       article_id, cast(NULL AS varchar) AS scraped_at FROM all_articles"""
+ORACLE["k10_message_key_value"] = with_ctes(ALL_ARTICLES) + """
+SELECT substr(title, 1, 50) AS key, article_id, title, subject, date FROM all_articles"""
+ORACLE["x5_dead_letter"] = """
+SELECT cast(doc_id AS varchar) AS key,
+       CASE WHEN doc_id % 10 IN (3, 5, 7, 9) THEN true ELSE text IS NULL END AS bad FROM documents"""
+
+# --- CSV / Parquet ---------------------------------------------------------------
+ORACLE["s1_csv_roundtrip"] = with_ctes(ARTICLES) + "\nSELECT title, text, subject, date, label FROM articles"
+ORACLE["k11_land_training"] = ORACLE["s1_csv_roundtrip"]
+ORACLE["u1_labelled_union"] = with_ctes(ARTICLES) + """
+SELECT label, count(*) AS count FROM articles GROUP BY label"""
+CLEAN_KEPT = CLEAN_ALL + ",\nkept AS (SELECT * FROM cleaned WHERE length(text) > 100)"
+ORACLE["k4_backfill_parquet"] = CLEAN_KEPT + "\nSELECT title, text, subject, date FROM kept"
+ORACLE["k5_backfill_csv"] = ORACLE["k4_backfill_parquet"]
+ORACLE["st8_backfill"] = CLEAN_KEPT + "\nSELECT count(*) AS n FROM kept"
+
+PRED_ROWS = MR + """,
+pred_rows AS (
+  SELECT a.title, a.text, p.subject, p.date,
+         round(1.0 / (1.0 + exp(p.score1 - p.score0)), 6) AS prob_fake,
+         round(1.0 / (1.0 + exp(p.score0 - p.score1)), 6) AS prob_true,
+         p.prediction_label
+  FROM predictions p JOIN articles a ON p.article_id = a.article_id)"""
+ORACLE["s3_partition_scan"] = PRED_ROWS + """
+SELECT title, subject, date, prob_fake, prob_true, prediction_label FROM pred_rows
+WHERE prediction_label = 'FAKE'"""
+ORACLE["k7_export_predictions"] = PRED_ROWS + """
+SELECT title, subject, date, prediction_label, prob_fake, prob_true FROM pred_rows"""
+ORACLE["k8_export_summaries"] = PRED_ROWS + """
+SELECT subject, prediction_label, count(*) AS count FROM pred_rows GROUP BY subject, prediction_label"""
+ORACLE["r2_preview"] = PRED_ROWS + """
+SELECT substr(title, 1, 40) AS title, substr(subject, 1, 40) AS subject, substr(date, 1, 40) AS date,
+       substr(prediction_label, 1, 40) AS prediction_label
+FROM pred_rows ORDER BY subject, title, date LIMIT 10"""
+ORACLE["s6_file_inventory"] = CLEAN_KEPT + """
+SELECT DISTINCT 'subject=' || subject AS partition, true AS has_files, true AS has_bytes FROM kept"""
+ORACLE["r3_latest_partitions"] = CLEAN_KEPT + """
+SELECT partition FROM (SELECT DISTINCT 'subject=' || subject AS partition FROM kept)
+ORDER BY partition DESC LIMIT 10"""
+
+# --- feeds -------------------------------------------------------------------------
+FEED_ITEMS = """
+items AS (
+  SELECT cast(page_id // 12 AS integer) AS feed_pos, cast(page_id % 12 AS integer) AS pos,
+         regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS raw_title,
+         html AS description,
+         CASE WHEN page_id % 9 <> 4
+              THEN TIMESTAMP '2024-03-01 00:00:00' + to_hours(cast(page_id * 7 AS bigint)) END AS pub_ts
+  FROM pages),
+parsed AS (
+  SELECT feed_pos, pos, nullif(trim(raw_title), '') AS title, description, pub_ts,
+         strftime(pub_ts, '%a, %d %b %Y %H:%M:%S GMT') AS published,
+         (['politics', 'business', 'technology', 'world'])[feed_pos % 4 + 1] AS subject
+  FROM items WHERE feed_pos % 50 <> 7),
+firsts AS (SELECT * FROM parsed WHERE pos < 10),
+titled AS (
+  SELECT * REPLACE (regexp_replace(coalesce(title, ''), '""" + UNICODE_STRIP + """', '', 'g') AS title)
+  FROM firsts),
+nonempty AS (SELECT * FROM titled WHERE title <> ''),
+deduped AS (SELECT * FROM nonempty QUALIFY row_number() OVER (PARTITION BY title ORDER BY feed_pos, pos) = 1),
+extracted AS (
+  SELECT *, """ + clean_html_sql("description") + """ AS text,
+         strftime(coalesce(pub_ts, current_timestamp::timestamp), '%B %d, %Y') AS date
+  FROM deduped),
+long_enough AS (SELECT * FROM extracted WHERE length(text) >= 30)"""
+FEEDS = with_ctes(FEED_ITEMS)
+
+ORACLE["f1_rss_entries"] = FEEDS + "\nSELECT feed_pos, pos, title, published FROM parsed"
+ORACLE["f2_feed_errors"] = """
+SELECT DISTINCT cast(page_id // 12 AS integer) AS feed_pos,
+       'https://feeds.example.org/' || (['politics', 'business', 'technology', 'world'])[(page_id // 12) % 4 + 1]
+       || '/' || cast(page_id // 12 AS varchar) || '.xml' AS url
+FROM pages WHERE (page_id // 12) % 50 = 7"""
+ORACLE["w1_first_n_per_feed"] = FEEDS + "\nSELECT feed_pos, pos FROM firsts"
+ORACLE["x3_nonempty_title"] = FEEDS + "\nSELECT feed_pos, pos, title FROM nonempty"
+ORACLE["d1_first_by_title"] = FEEDS + "\nSELECT feed_pos, pos, title FROM deduped"
+ORACLE["x4_min_feed_text"] = FEEDS + """
+SELECT feed_pos, pos, cast(length(text) AS integer) AS text_len FROM long_enough"""
+ORACLE["t7_date_format"] = FEEDS + """
+SELECT feed_pos, pos, strftime(coalesce(pub_ts, current_timestamp::timestamp), '%B %d, %Y') AS date FROM parsed"""
+ORACLE["f_extract_feeds"] = FEEDS + "\nSELECT title, text, subject, date FROM long_enough"
+ORACLE["k10_feed_messages"] = FEEDS + """
+SELECT substr(title, 1, 50) AS key, title, subject, date FROM long_enough"""
+
+# --- streaming ---------------------------------------------------------------------
+ORACLE["st1_ingest"] = CLEAN_KEPT + """
+SELECT title, text, cast(NULL AS varchar) AS source, article_id, subject, date FROM kept"""
+ORACLE["k2_stream_csv"] = CLEAN_KEPT + "\nSELECT title, text, subject, date FROM kept"
+ORACLE["st6_restart"] = CLEAN_KEPT + "\nSELECT count(*) AS n FROM kept"
+ORACLE["d2_stream_dedupe"] = CLEAN_KEPT + "\nSELECT DISTINCT title FROM kept"
+ORACLE["k6_score_stream_append"] = with_ctes(ALL_ARTICLES) + """
+SELECT title, subject, date FROM all_articles WHERE title IS NOT NULL AND text IS NOT NULL"""
+ORACLE["k6_replay_idempotent"] = with_ctes(ALL_ARTICLES) + """
+SELECT title, subject, date, 0 AS batch_id FROM all_articles WHERE title IS NOT NULL AND text IS NOT NULL"""
+ORACLE["st3_console"] = with_ctes(ALL_ARTICLES) + "\nSELECT title, subject, date, article_id FROM all_articles"

@@ -31,20 +31,21 @@ def parse_json(c, schema: T.StructType = ARTICLE_SCHEMA, keep_corrupt: bool = Fa
 
 
 def parse_messages(df: DataFrame, schema: T.StructType = ARTICLE_SCHEMA, value: str = "value",
-                   flag_bad: bool = False, required=("title", "text")) -> DataFrame:
+                   flag_bad: bool = False, required=("title", "text"), keep=()) -> DataFrame:
     """P1 + J1 + P2, optionally adding the X5 ``_bad`` flag.
 
     A row is bad when the value is NULL, is not a JSON object, or lacks one of
     the ``required`` fields; bad rows would make the tokenizer fail later.
     """
-    parsed = df.select(value_as_string(value).alias("json_str")).select(
-        F.col("json_str"), parse_json("json_str", schema, keep_corrupt=flag_bad).alias("data"))
+    keep = list(keep)
+    parsed = df.select(*keep, value_as_string(value).alias("json_str")).select(
+        *keep, F.col("json_str"), parse_json("json_str", schema, keep_corrupt=flag_bad).alias("data"))
     if not flag_bad:
-        return parsed.select("data.*")
+        return parsed.select(*keep, "data.*")
     bad = F.col("json_str").isNull() | F.col(f"data.{CORRUPT_COLUMN}").isNotNull()
     for r in required:
         bad = bad | F.col(f"data.{r}").isNull()
-    return parsed.select(*[F.col(f"data.{f.name}").alias(f.name) for f in schema.fields],
+    return parsed.select(*keep, *[F.col(f"data.{f.name}").alias(f.name) for f in schema.fields],
                          F.col("json_str").alias("raw_value"), bad.alias(BAD_COLUMN))
 
 

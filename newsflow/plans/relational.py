@@ -14,7 +14,8 @@ from ..sources.tables import articles
 
 def prepared_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled articles, preprocessed and filtered, with the hash split flag."""
-    prep = tfidf_nb.prepare(articles(spark, sf_dir), C.MIN_CONTENT_CHARS)
+    prep = tfidf_nb.prepare(articles(spark, sf_dir), C.MIN_CONTENT_CHARS,
+                            keep=("article_id", "subject", "date", "label"))
     return prep.withColumn("is_train", is_train("article_id"))
 
 
