@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.messages import to_json_value, to_message
-from ..operators.labels import decode_label
 from ..plans import relational
 from ..session import scratch_path
 from ..sinks import files as sinks
@@ -25,11 +24,7 @@ def mr(spark: SparkSession, sf_dir: str):
     """Fitted relational model + predictions, memoized per session and input."""
     key = (id(spark), sf_dir)
     if key not in _MR_CACHE:
-        docs = relational.prepared_articles(spark, sf_dir)
-        from ..operators import tfidf_nb
-        model = tfidf_nb.fit(docs.filter("is_train"))
-        pred = model.predict(docs, key=("article_id", "subject", "date", "label", "is_train"))
-        _MR_CACHE[key] = (model, pred.withColumn("prediction_label", decode_label("prediction")))
+        _MR_CACHE[key] = relational.fit_and_predict(spark, sf_dir)
     return _MR_CACHE[key]
 
 

@@ -21,7 +21,7 @@ from ..operators.labels import decode_label, union_labelled, with_label
 from ..operators.tfidf_nb import prepare
 from ..plans import jobs
 from ..schema import ARTICLE_SCHEMA, INGESTED_SCHEMA, TRAINING_CSV_SCHEMA
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sinks import files as sinks
 from ..sources.files import list_files, read_article_csv, read_ingested, read_predictions
 from ..sources.tables import articles, feed_documents, read_table
@@ -139,7 +139,8 @@ def a2_stopword_removed(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def _ml_predictions(spark, sf_dir):
-    prep = prepare(articles(spark, sf_dir)).withColumn("is_train", evaluation.is_train("article_id"))
+    prep = materialize(prepare(articles(spark, sf_dir), None).withColumn("is_train", evaluation.is_train("article_id")),
+                       "ml_prepared").filter(F.length("content") > C.MIN_CONTENT_CHARS)
     model = classifier.fit(prep.filter("is_train"))
     return model, classifier.score(model, prep)
 

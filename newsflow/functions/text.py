@@ -102,10 +102,14 @@ def tokens(c) -> Column:
     return F.filter(F.split(col_(c), " "), lambda t: t != F.lit(""))
 
 
+def is_stop_word(t) -> Column:
+    """Membership test; the optimizer turns the IN list into a hash set (InSet)."""
+    return col_(t).isin(*MATCHABLE_STOP_WORDS)
+
+
 def remove_stop_words(arr) -> Column:
     """A2 as an array expression: keeps duplicates and order (not array_except)."""
-    stop = F.array(*[F.lit(w) for w in MATCHABLE_STOP_WORDS])
-    return F.filter(col_(arr), lambda t: ~F.array_contains(stop, t))
+    return F.filter(col_(arr), lambda t: ~is_stop_word(t))
 
 
 def terms(c) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import preprocessed_content, terms
-from ..session import reliable_checkpoint
+from ..session import materialize
 from .joins import broadcast_if_small
 
 
@@ -47,7 +47,7 @@ def prepare(articles: DataFrame, min_content_chars: int | None = C.MIN_CONTENT_C
 
 @dataclass
 class RelationalNB:
-    term_stats: DataFrame      # term, df, tf0, tf1, idf, theta0, theta1 (checkpointed)
+    term_stats: DataFrame      # term, df, tf0, tf1, idf, theta0, theta1 (written table)
     weights: DataFrame         # term, w0, w1 for idf > 0 (the scoring table)
     weight_rows: int
     pi0: float
@@ -79,7 +79,7 @@ def fit(train: DataFrame, content: str = "content", label: str = "label",
         F.sum(F.when(F.col("label") == 1.0, F.col("e.occ")).otherwise(0)).alias("tf1"))
     idf = F.when(F.col("df") >= min_doc_freq,
                  F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))).otherwise(F.lit(0.0))
-    stats = reliable_checkpoint(stats.withColumn("idf", idf))
+    stats = materialize(stats.withColumn("idf", idf), "nb_term_stats")
 
     tot = stats.agg(F.sum(F.col("tf0") * F.col("idf")).alias("s0"), F.sum(F.col("tf1") * F.col("idf")).alias("s1"),
                     F.count(F.lit(1)).alias("v")).first()

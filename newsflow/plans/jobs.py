@@ -2,7 +2,7 @@
 dataset_status.
 
 Each job builds one declarative plan per output and materializes shared
-inputs once (a reliable checkpoint in the shared checkpoint folder), instead
+inputs once (a written table in the shared checkpoint folder), instead
 of re-reading raw inputs for every action.
 """
 
@@ -21,7 +21,7 @@ from ..operators import aggregates, classifier, feeds, ordering
 from ..operators.evaluation import auc_rank, classification_metrics, is_train, sample_predictions
 from ..operators.labels import union_labelled, with_label
 from ..operators.tfidf_nb import prepare
-from ..session import reliable_checkpoint
+from ..session import materialize
 from ..sinks import files as sinks
 from ..sources.files import list_files, read_article_csv, read_predictions
 
@@ -42,16 +42,18 @@ def labelled_articles(spark: SparkSession, fake_path: str, true_path: str) -> Da
 def train_on(articles: DataFrame, model_paths=(), split_key: str | None = None) -> TrainResult:
     """T3/T4/X1 -> M6 -> M4 fit -> M5 -> M7/M8 -> K9.
 
-    The prepared table is checkpointed once; fit and evaluation read it, not
-    the raw input.  Without an id column the split key is the content itself.
+    The prepared table is written once; fit and evaluation read it, not the
+    raw input.  Without an id column the split key is the content itself.
     """
     keep = ("article_id", "subject", "label") if "article_id" in articles.columns else ("subject", "label")
-    prep = prepare(articles, C.MIN_CONTENT_CHARS, keep=keep)
+    prep = prepare(articles, None, keep=keep)
     key = split_key or ("article_id" if "article_id" in prep.columns else "content")
-    prep = reliable_checkpoint(prep.withColumn("is_train", is_train(key)))
+    prep = materialize(prep.withColumn("is_train", is_train(key)), "train_prepared").filter(
+        F.length("content") > C.MIN_CONTENT_CHARS)
     model = classifier.fit(prep.filter("is_train"))
     pred = classifier.score(model, prep.filter(~F.col("is_train")))
-    pred = reliable_checkpoint(pred.withColumn("margin", classifier.margin()))
+    pred = materialize(pred.withColumn("margin", classifier.margin()).drop("rawPrediction", "probability"),
+                       "train_predictions")
     m = classification_metrics(pred).first().asDict()
     m["auc_margin"] = auc_rank(pred, score="margin").first()["auc"]
     if model_paths:
@@ -85,10 +87,10 @@ def export(spark: SparkSession, pred_path: str, out_dir: str, single_file: bool
 def backfill(spark: SparkSession, input_path: str, out: str) -> int:
     """ST8: CSV -> T1 -> Parquet by subject (K4) + CSV (K5); returns the row count.
 
-    The cleaned table is checkpointed once, so the two writes and the count
-    do not re-read and re-clean the input.
+    The cleaned table is written once, so the two writes and the count do not
+    re-read and re-clean the input.
     """
-    cleaned = reliable_checkpoint(clean_text(read_article_csv(spark, input_path)))
+    cleaned = materialize(clean_text(read_article_csv(spark, input_path)), "backfill_cleaned")
     sinks.write_parquet(cleaned, f"{out}/parquet", partition_by=("subject",))
     sinks.write_csv(cleaned, f"{out}/csv")
     return cleaned.count()

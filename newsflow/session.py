@@ -59,7 +59,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/newsflow/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Cut lineage with a written table in the shared checkpoint folder.
+
+    One job writes Parquet and the result reads it back (column pruning and
+    pushdown work on it).  Unlike ``checkpoint(eager=True)``, the plan is
+    computed once, and unlike a cache it survives the loss of an executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def spread(df, key: str):
+    """Hash-partition a scan that has fewer splits than the session's parallelism.
+
+    CPU-heavy text expressions run per task; a file with a single row group
+    would otherwise put a whole table into one task.  Hashing on the unique
+    ``key`` is deterministic on retry and lines up with joins on that key.
+    A scan that already has enough splits (the cluster case) is returned
+    unchanged.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() >= min(n, spark.sparkContext.defaultParallelism):
+        return df
+    return df.repartition(n, key)

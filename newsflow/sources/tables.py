@@ -12,10 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import spread
+
+
+# Tables whose rows carry long text, with their unique key.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table; text tables are spread over the session's parallelism
+    when the file has too few splits (see ``session.spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLE_KEYS:
+        df = spread(df, TEXT_TABLE_KEYS[name])
+    return df
 
 
 def article_date_of(doc_id) -> F.Column:
