@@ -498,6 +498,18 @@ def k6_replay_idempotent(spark, sf_dir):
     return spark.read.parquet(out).select("title", "subject", "date", "batch_id")
 
 
+@register("st5b_feed_stream")
+def st5b_feed_stream(spark, sf_dir):
+    from ..streaming.feeds import start_feed_stream
+    src = scratch_path(spark, "feed_docs")
+    feed_documents(spark, sf_dir).write.parquet(src)
+    out, ckpt = scratch_path(spark, "feed_messages"), scratch_path(spark, "feed_ckpt")
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    start_feed_stream(stream, out, ckpt, available_now=True).awaitTermination()
+    msgs = spark.read.schema("key string, value string, batch_id int").json(out)
+    return parse_messages(msgs, keep=("key",)).select("key", "title", "subject", "date")
+
+
 @register("st3_console")
 def st3_console(spark, sf_dir):
     src = fixtures.landed_messages(spark, sf_dir)

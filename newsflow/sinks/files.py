@@ -80,6 +80,17 @@ def export_summary(summary: DataFrame, out_dir: str, name: str) -> str:
     return export_csv(summary, out_dir, name, single_file=True)
 
 
+def compact(spark: SparkSession, src: str, dst: str, partition_by=(), schema=None) -> None:
+    """Rewrite a small-file dataset (streaming sink output) into a new folder.
+
+    Reads ``src`` (for a streaming sink, its committed files only, through
+    ``_spark_metadata``) and writes it rebalanced by the partition columns to
+    ``dst``; the source is never rewritten in place.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    write_parquet(reader.parquet(src), dst, partition_by=partition_by)
+
+
 def save_model(model, paths) -> list[str]:
     """K9: save (overwrite) the fitted model to each path (primary, backup...)."""
     done = []
@@ -121,5 +132,5 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-__all__ = ["write_parquet", "write_csv", "export_csv", "export_summary", "save_model", "publish",
+__all__ = ["write_parquet", "write_csv", "export_csv", "export_summary", "compact", "save_model", "publish",
            "land_training", "CSV_OPTIONS", "F"]

@@ -20,7 +20,7 @@ from .. import config as C
 from ..functions.messages import BAD_COLUMN, parse_messages
 from ..functions.text import preprocessed_content
 from ..operators.classifier import score
-from .control import start
+from .control import observed_batch, start
 
 PREDICTION_COLUMNS = ["title", "text", "subject", "date", "prob_fake", "prob_true", "processed_at",
                       "prediction_label"]
@@ -43,7 +43,7 @@ def start_scoring(model: PipelineModel, stream: DataFrame, out: str, checkpoint:
                   available_now: bool = False):
     """Starts the scoring query (and the dead-letter query); returns them."""
     parsed = parse_messages(stream, flag_bad=True)
-    pred = predictions(model, scorable(parsed))
+    pred = observed_batch(predictions(model, scorable(parsed)))       # G6: counts per micro-batch
     q = start(pred.writeStream.format("parquet").partitionBy("prediction_label").outputMode("append")
               .option("path", out), f"{checkpoint}/predictions", trigger, available_now)
     queries = [q]
