@@ -320,3 +320,4 @@ ORACLE["k6_replay_idempotent"] = with_ctes(ALL_ARTICLES) + """
 SELECT title, subject, date, 0 AS batch_id FROM all_articles WHERE title IS NOT NULL AND text IS NOT NULL"""
 ORACLE["st3_console"] = with_ctes(ALL_ARTICLES) + "\nSELECT title, subject, date, article_id FROM all_articles"
 ORACLE["st5b_feed_stream"] = ORACLE["k10_feed_messages"]
+ORACLE["k1_stream_parquet"] = CLEAN_KEPT + "\nSELECT DISTINCT subject, date FROM kept"

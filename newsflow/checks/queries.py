@@ -447,6 +447,19 @@ def st1_ingest(spark, sf_dir):
     return read_ingested(spark, f"{out}/parquet").drop("processed_at")
 
 
+@register("k1_stream_parquet")
+def k1_stream_parquet(spark, sf_dir):
+    """K1 layout: partition folders (subject, date) and the ids filed under them."""
+    out = _ingested(spark, sf_dir)
+    folders = list_files(spark, f"{out}/parquet").select(
+        F.regexp_extract("path", r"/subject=([^/]*)/", 1).alias("subject_dir"),
+        F.regexp_extract("path", r"/date=([^/]*)/", 1).alias("date_dir")).distinct()
+    # Folder names carry %XX escapes only; keep a literal '+' from turning into a blank.
+    def unescape(c):
+        return F.expr(f"reflect('java.net.URLDecoder', 'decode', replace({c}, '+', '%2B'), 'UTF-8')")
+    return folders.select(unescape("subject_dir").alias("subject"), unescape("date_dir").alias("date"))
+
+
 @register("k2_stream_csv")
 def k2_stream_csv(spark, sf_dir):
     out = _ingested(spark, sf_dir)

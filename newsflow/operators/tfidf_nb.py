@@ -81,8 +81,10 @@ def fit(train: DataFrame, content: str = "content", label: str = "label",
                  F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))).otherwise(F.lit(0.0))
     stats = materialize(stats.withColumn("idf", idf), "nb_term_stats")
 
+    # One pass over the (written) term table gives every model constant and
+    # the size of the scoring table, which decides broadcast vs shuffle join.
     tot = stats.agg(F.sum(F.col("tf0") * F.col("idf")).alias("s0"), F.sum(F.col("tf1") * F.col("idf")).alias("s1"),
-                    F.count(F.lit(1)).alias("v")).first()
+                    F.count(F.lit(1)).alias("v"), F.count_if(F.col("idf") > 0).alias("w")).first()
     s0, s1, v = float(tot["s0"] or 0.0), float(tot["s1"] or 0.0), int(tot["v"])
     term_stats = stats.select(
         "term", "df", "tf0", "tf1", "idf",
@@ -90,7 +92,7 @@ def fit(train: DataFrame, content: str = "content", label: str = "label",
         (F.log(F.col("tf1") * F.col("idf") + lam) - math.log(s1 + lam * v)).alias("theta1"))
     weights = term_stats.filter(F.col("idf") > 0).select(
         "term", (F.col("idf") * F.col("theta0")).alias("w0"), (F.col("idf") * F.col("theta1")).alias("w1"))
-    weight_rows = weights.count()
+    weight_rows = int(tot["w"])
     pi0 = math.log(n0 + lam) - math.log(n_docs + 2 * lam)
     pi1 = math.log(n1 + lam) - math.log(n_docs + 2 * lam)
     return RelationalNB(term_stats, weights, weight_rows, pi0, pi1, n_docs, v)
