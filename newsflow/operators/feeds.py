@@ -81,14 +81,28 @@ def long_enough(entries: DataFrame, n: int = C.MIN_FEED_TEXT_CHARS) -> DataFrame
 
 
 def extract_feeds(feeds: DataFrame, n_entries: int = C.ENTRIES_PER_FEED,
-                  min_text: int = C.MIN_FEED_TEXT_CHARS) -> DataFrame:
+                  min_text: int = C.MIN_FEED_TEXT_CHARS, stage=None) -> DataFrame:
     """Feed documents -> article messages ``title, text, subject, date, timestamp``
-    (plus ``feed_pos, url, pos`` for lineage)."""
+    (plus ``feed_pos, url, pos`` for lineage).
+
+    D1 reads the entries twice (earliest position per title, then the semi
+    join), so the entries are staged once by ``stage`` -- by default a written
+    table in the shared checkpoint folder; a streaming poll passes a
+    persist-based stage scoped to its micro-batch.  T2 is row-local, so it
+    runs before staging (the staged text is smaller than the raw summary);
+    X4 still runs after D1, which keeps the original order semantics.
+    """
+    if stage is None:
+        from ..session import materialize
+
+        def stage(df):
+            return materialize(df, "feed_entries")
     e = feed_entries(feeds)
     e = first_entries(e, n_entries)
     e = nonempty_titles(e)
+    e = stage(with_clean_text(e).drop("summary"))
     e = first_by_title(e)
-    e = long_enough(with_clean_text(e), min_text)
+    e = long_enough(e, min_text)
     now = F.current_timestamp()
     return e.select("title", "text", "subject", article_date("published", now).alias("date"),
                     iso_timestamp(now).alias("timestamp"), "feed_pos", "url", "pos")

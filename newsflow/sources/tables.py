@@ -75,7 +75,7 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     pub = F.date_format(F.lit(PUBDATE_ORIGIN).cast("timestamp") + F.make_dt_interval(
         hours=(F.col("page_id") * 7).cast("int")), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
     return pages.select(
-        (F.col("page_id") / ITEMS_PER_GENERATED_FEED).cast("int").alias("feed_pos"),
+        F.expr(f"page_id DIV {ITEMS_PER_GENERATED_FEED}").cast("int").alias("feed_pos"),
         (F.col("page_id") % ITEMS_PER_GENERATED_FEED).cast("int").alias("pos"),
         F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"),
         F.col("html").alias("description"),

@@ -11,6 +11,7 @@ D2 (watermark-bounded), as in the ingest stream.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +27,19 @@ def poll_writer(out: str):
     def write_poll(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
-        msgs = to_message(extract_feeds(batch_df), MESSAGE_FIELDS).withColumn("batch_id", F.lit(int(batch_id)))
-        (msgs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").json(out))
+        staged = []
+
+        def stage(df):
+            staged.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return staged[-1]
+        try:
+            msgs = to_message(extract_feeds(batch_df, stage=stage), MESSAGE_FIELDS).withColumn(
+                "batch_id", F.lit(int(batch_id)))
+            (msgs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").json(out))
+        finally:
+            for df in staged:
+                df.unpersist()
     return write_poll
 
 
