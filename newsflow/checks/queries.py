@@ -139,9 +139,11 @@ def a2_stopword_removed(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def _ml_predictions(spark, sf_dir):
+    """Fits the ML model on the training share; returns it with predictions of all prepared articles."""
     prep = materialize(prepare(articles(spark, sf_dir), None).withColumn("is_train", evaluation.is_train("article_id")),
                        "ml_prepared").filter(F.length("content") > C.MIN_CONTENT_CHARS)
     model = classifier.fit(prep.filter("is_train"))
+    _ML_MODELS[(id(spark), sf_dir)] = model
     return model, classifier.score(model, prep)
 
 
@@ -478,9 +480,16 @@ def d2_stream_dedupe(spark, sf_dir):
     return read_ingested(spark, f"{out}/parquet").select("title")
 
 
+_ML_MODELS: dict = {}
+
+
 def _ml_model(spark, sf_dir):
-    model, _ = _ml_predictions(spark, sf_dir)
-    return model
+    """The fitted ML model of an input, trained once per session (the scorer
+    loads a trained model; it does not train)."""
+    key = (id(spark), sf_dir)
+    if key not in _ML_MODELS:
+        _ML_MODELS[key], _ = _ml_predictions(spark, sf_dir)
+    return _ML_MODELS[key]
 
 
 @register("st2_score")
