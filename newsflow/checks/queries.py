@@ -326,7 +326,7 @@ def s3_partition_scan(spark, sf_dir):
 def k7_export_predictions(spark, sf_dir):
     path = fixtures.prediction_dataset(spark, sf_dir)
     out = scratch_path(spark, "export")
-    res = jobs.export(spark, path, out, single_file=True)
+    res = jobs.export(spark, path, out)
     return spark.read.schema("title string, subject string, date string, prediction_label string, "
                              "prob_fake double, prob_true double").options(**sinks.CSV_OPTIONS).csv(res["predictions"])
 
@@ -335,7 +335,7 @@ def k7_export_predictions(spark, sf_dir):
 def k8_export_summaries(spark, sf_dir):
     path = fixtures.prediction_dataset(spark, sf_dir)
     out = scratch_path(spark, "export")
-    res = jobs.export(spark, path, out, single_file=True)
+    res = jobs.export(spark, path, out)
     return spark.read.schema("subject string, prediction_label string, count bigint").options(
         **sinks.CSV_OPTIONS).csv(res["by_subject"])
 

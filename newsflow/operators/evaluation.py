@@ -63,16 +63,24 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
         total.cast("bigint").alias("n"))
 
 
-def auc_rank(pred: DataFrame, score: str = "score", label: str = "label", buckets: int = 64) -> DataFrame:
+MAX_AUC_BUCKETS = 10_000
+
+
+def auc_rank(pred: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None) -> DataFrame:
     """M8: area under ROC as P(score_pos > score_neg) + P(tie) / 2.
 
-    Scores are first aggregated per distinct value (partial aggregation);
-    the running count of negatives below each score is then computed in
-    ``buckets`` score ranges: range boundaries come from ``percentile_approx``,
-    per-range totals give the offsets (a table of ``buckets`` rows), and the
-    running sum runs inside each range only.  No window ever spans all rows
-    in one task.
+    Scores are first aggregated per distinct value (partial aggregation, so
+    a hot score is one row); the running count of negatives below each score
+    is then computed in ``buckets`` score ranges: range boundaries come from
+    ``percentile_approx`` (at most ``MAX_AUC_BUCKETS`` doubles reach the
+    driver), per-range totals give the offsets (a table of ``buckets`` rows),
+    and the running sum runs inside each range only.  No window ever spans
+    all rows in one task.  By default there are 4 ranges per shuffle
+    partition, so range size shrinks as the cluster grows.
     """
+    if buckets is None:
+        buckets = 4 * int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(2, min(int(buckets), MAX_AUC_BUCKETS))
     per_score = pred.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(F.when(F.col(label) == 1.0, 1).otherwise(0)).cast("double").alias("pos"),
         F.sum(F.when(F.col(label) == 1.0, 0).otherwise(1)).cast("double").alias("neg"))

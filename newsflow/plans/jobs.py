@@ -73,8 +73,13 @@ def score_batch(model: PipelineModel, articles: DataFrame) -> DataFrame:
     return predictions(model, good.withColumn("content", preprocessed_content("title", "text")))
 
 
-def export(spark: SparkSession, pred_path: str, out_dir: str, single_file: bool = True) -> dict:
-    """S3 -> K7 + K8 (G2, G3, G4): the flat CSV and three summary CSVs."""
+def export(spark: SparkSession, pred_path: str, out_dir: str, single_file: bool = False) -> dict:
+    """S3 -> K7 + K8 (G2, G3, G4): the flat CSV and three summary CSVs.
+
+    The flat export is a folder of part files written in parallel unless
+    ``single_file`` asks for one file (one task then writes every row).  The
+    summaries are single files: their size is bounded by the key cardinality.
+    """
     df = read_predictions(spark, pred_path)
     flat = df.select("title", "subject", "date", "prediction_label", "prob_fake", "prob_true")
     out = {"predictions": sinks.export_csv(flat, out_dir, "predictions.csv", single_file)}
