@@ -22,7 +22,7 @@ MESSAGE_FIELDS = ["title", "text", "subject", "date", "article_id"]
 
 def mr(spark: SparkSession, sf_dir: str):
     """Fitted relational model + predictions, memoized per session and input."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _MR_CACHE:
         _MR_CACHE[key] = relational.fit_and_predict(spark, sf_dir)
     return _MR_CACHE[key]

@@ -143,7 +143,7 @@ def _ml_predictions(spark, sf_dir):
     prep = materialize(prepare(articles(spark, sf_dir), None).withColumn("is_train", evaluation.is_train("article_id")),
                        "ml_prepared").filter(F.length("content") > C.MIN_CONTENT_CHARS)
     model = classifier.fit(prep.filter("is_train"))
-    _ML_MODELS[(id(spark), sf_dir)] = model
+    _ML_MODELS[(spark.sparkContext.applicationId, id(spark), sf_dir)] = model
     return model, classifier.score(model, prep)
 
 
@@ -486,7 +486,7 @@ _ML_MODELS: dict = {}
 def _ml_model(spark, sf_dir):
     """The fitted ML model of an input, trained once per session (the scorer
     loads a trained model; it does not train)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _ML_MODELS:
         _ML_MODELS[key], _ = _ml_predictions(spark, sf_dir)
     return _ML_MODELS[key]

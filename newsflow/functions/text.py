@@ -87,9 +87,13 @@ def parse_published(c) -> Column:
 
 
 def article_date(published, now: Column | None = None) -> Column:
-    """Published date (else the processing time) as 'Month dd, yyyy'."""
+    """Published date (else the processing time) as 'Month dd, yyyy'.
+
+    Rendered as the UTC calendar date whatever the session time zone (feed
+    dates are parsed into UTC before formatting).
+    """
     ts = F.coalesce(parse_published(published), now if now is not None else F.current_timestamp())
-    return F.date_format(ts, C.ARTICLE_DATE_FORMAT)
+    return F.date_format(F.convert_timezone(None, F.lit("UTC"), ts), C.ARTICLE_DATE_FORMAT)
 
 
 def iso_timestamp(ts) -> Column:

@@ -72,7 +72,8 @@ def xml_escape(c) -> F.Column:
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated RSS item per page: ``feed_pos, pos, title, description, pub_date``."""
     pages = read_table(spark, sf_dir, "pages")
-    pub = F.date_format(F.lit(PUBDATE_ORIGIN).cast("timestamp") + F.make_dt_interval(
+    # Wall-clock (NTZ) arithmetic: no session time zone or DST shift.
+    pub = F.date_format(F.lit(PUBDATE_ORIGIN).cast("timestamp_ntz") + F.make_dt_interval(
         hours=(F.col("page_id") * 7).cast("int")), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
     return pages.select(
         F.expr(f"page_id DIV {ITEMS_PER_GENERATED_FEED}").cast("int").alias("feed_pos"),
