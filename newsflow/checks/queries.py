@@ -17,10 +17,10 @@ from ..functions import text as TX
 from ..functions.html import clean_html
 from ..functions.messages import BAD_COLUMN, parse_json, parse_messages, to_json_value, to_message
 from ..operators import aggregates, classifier, evaluation, feeds, ordering
-from ..operators.labels import decode_label, union_labelled, with_label
+from ..operators.labels import decode_label
 from ..operators.tfidf_nb import prepare
 from ..plans import jobs
-from ..schema import ARTICLE_SCHEMA, INGESTED_SCHEMA, TRAINING_CSV_SCHEMA
+from ..schema import TRAINING_CSV_SCHEMA
 from ..session import materialize, scratch_path
 from ..sinks import files as sinks
 from ..sources.files import list_files, read_article_csv, read_ingested, read_predictions
@@ -541,5 +541,3 @@ def st3_console(spark, sf_dir):
     q.awaitTermination()
     return spark.table(name).select("title", "subject", "date", "article_id")
 
-
-__all__ = ["QUERIES", "ARTICLE_SCHEMA", "INGESTED_SCHEMA", "union_labelled", "with_label"]

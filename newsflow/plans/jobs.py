@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.messages import to_message
-from ..functions.text import clean_text
+from ..functions.text import clean_text, preprocessed_content
 from ..operators import aggregates, classifier, feeds, ordering
-from ..operators.evaluation import auc_rank, classification_metrics, is_train, sample_predictions
+from ..operators.evaluation import auc_rank, classification_metrics, is_train
 from ..operators.labels import union_labelled, with_label
 from ..operators.tfidf_nb import prepare
 from ..session import materialize
@@ -69,7 +69,6 @@ def score_batch(model: PipelineModel, articles: DataFrame) -> DataFrame:
     """Batch twin of the scoring stream: prediction rows of well-formed articles."""
     from ..streaming.scoring import predictions
     good = articles.filter(F.col("title").isNotNull() & F.col("text").isNotNull())
-    from ..functions.text import preprocessed_content
     return predictions(model, good.withColumn("content", preprocessed_content("title", "text")))
 
 
@@ -124,4 +123,4 @@ def latest_files(spark: SparkSession, path: str, n: int = 10, by: str = "path")
 
 
 __all__ = ["train", "train_on", "score_batch", "export", "backfill", "extract_and_publish", "dataset_status",
-           "latest_files", "sample_predictions", "read_predictions"]
+           "latest_files", "labelled_articles"]

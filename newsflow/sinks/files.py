@@ -8,7 +8,6 @@ options (quotes, commas and line breaks survive).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.labels import union_labelled, with_label
 from ..sources.files import CSV_OPTIONS, read_article_csv
@@ -133,4 +132,4 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["write_parquet", "write_csv", "export_csv", "export_summary", "compact", "save_model", "publish",
-           "land_training", "CSV_OPTIONS", "F"]
+           "land_training", "CSV_OPTIONS", "CSV_WRITE_OPTIONS"]

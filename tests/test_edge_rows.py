@@ -168,3 +168,30 @@ def test_restart_and_replay(spark):
     assert once == twice                                   # a restart on the same checkpoint adds nothing
     replayed = queries.k6_replay_idempotent(spark, sf).count()
     assert replayed == articles(spark, sf, labelled=False).count()   # batch 0 written twice, kept once
+
+
+def test_first_by_title_with_hot_title_matches_window(spark):
+    """D1 against a brute-force window, with one title holding a third of the rows."""
+    from pyspark.sql import Window
+    rows = []
+    for feed in range(30):
+        for pos in range(12):
+            title = "hot" if (feed * 12 + pos) % 3 == 0 else f"t{(feed * 7 + pos) % 50}"
+            rows.append((feed, f"u{feed}", pos, title))
+    e = spark.createDataFrame(rows, "feed_pos int, url string, pos int, title string")
+    ours = feeds.first_by_title(e).select("feed_pos", "pos", "title")
+    w = Window.partitionBy("title").orderBy("feed_pos", "url", "pos")
+    brute = e.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select("feed_pos", "pos", "title")
+    assert sorted(ours.collect()) == sorted(brute.collect())
+    assert ours.filter("title = 'hot'").count() == 1
+
+
+def test_atom_feed_entries(spark):
+    atom = ('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>Atom one</title>'
+            '<summary>&lt;p&gt;An Atom summary long enough to pass the filter&lt;/p&gt;</summary>'
+            '<updated>2024-03-04T05:00:00Z</updated></entry></feed>')
+    docs = spark.createDataFrame([("world", 9, "a9", atom, datetime.datetime(2024, 1, 1))], FEED_SCHEMA)
+    out = feeds.extract_feeds(docs).collect()
+    assert [(r["title"], r["text"], r["date"]) for r in out] == [
+        ("Atom one", "An Atom summary long enough to pass the filter", "March 04, 2024")]
+    assert out[0]["timestamp"][10] == "T" and len(out[0]["timestamp"]) == 26     # T8 ISO with microseconds

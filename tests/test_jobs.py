@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from newsflow.checks import fixtures
 from newsflow.plans import jobs
-from newsflow.schema import PREDICTION_SCHEMA
 from newsflow.session import scratch_path
 from newsflow.sinks import files as sinks
 from newsflow.sources.files import load_model, read_predictions
