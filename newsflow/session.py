@@ -42,18 +42,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     then registered as its checkpoint dir.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder on this cluster")
         root = tempfile.mkdtemp(prefix="newsflow-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/newsflow/{name}-{uuid.uuid4().hex}"
@@ -82,7 +90,10 @@ def spread(df, key: str):
     unchanged.
     """
     spark = df.sparkSession
+    sc = _context(spark)
+    if sc is None:                      # Spark Connect: no partition count to inspect
+        return df
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if df.rdd.getNumPartitions() >= min(n, spark.sparkContext.defaultParallelism):
+    if df.rdd.getNumPartitions() >= min(n, sc.defaultParallelism):
         return df
     return df.repartition(n, key)
