@@ -492,6 +492,19 @@ def _ml_model(spark, sf_dir):
     return _ML_MODELS[key]
 
 
+@register("k9_model_roundtrip")
+def k9_model_roundtrip(spark, sf_dir):
+    """K9 + S4: save to primary and backup, load through the fallback order
+    (the first location is missing), score every document."""
+    from ..sources.files import load_model
+    model = _ml_model(spark, sf_dir)
+    primary, backup = scratch_path(spark, "model"), scratch_path(spark, "model_backup")
+    sinks.save_model(model, [primary, backup])
+    loaded = load_model([scratch_path(spark, "missing_model"), backup])
+    return jobs.score_batch(loaded, articles(spark, sf_dir, labelled=False)).select(
+        "title", "subject", "prediction_label", "prob_fake", "prob_true")
+
+
 @register("st2_score")
 def st2_score(spark, sf_dir):
     model = _ml_model(spark, sf_dir)

@@ -77,3 +77,25 @@ def test_await_all_notices_a_failed_query(spark):
     for q in qs:
         q.awaitTermination()
     assert all(q.exception() is None for q in qs)
+
+
+def test_stream_dedupe_across_batches(spark):
+    """A title seen in an earlier micro-batch is dropped in a later one."""
+    from newsflow.functions.messages import to_message
+    from newsflow.sources.files import read_ingested
+    arts = articles(spark, SF, labelled=False)
+    src = scratch_path(spark, "dedupe_src")
+    out, ckpt = scratch_path(spark, "dedupe_out"), scratch_path(spark, "dedupe_ckpt")
+    fields = ["title", "text", "subject", "date", "article_id"]
+    to_message(arts, fields).write.json(f"{src}/batch1")
+    for q in ingest.start_ingest(article_stream(spark, "json", src + "/*"), out, ckpt, available_now=True,
+                                 dedupe=True):
+        q.awaitTermination()
+    first = read_ingested(spark, f"{out}/parquet").count()
+    # Same titles again, new ids: all are duplicates of batch 1.
+    again = arts.withColumn("article_id", F.concat(F.col("article_id"), F.lit("-again")))
+    to_message(again, fields).write.json(f"{src}/batch2")
+    for q in ingest.start_ingest(article_stream(spark, "json", src + "/*"), out, ckpt, available_now=True,
+                                 dedupe=True):
+        q.awaitTermination()
+    assert read_ingested(spark, f"{out}/parquet").count() == first
