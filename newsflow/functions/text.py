@@ -32,6 +32,22 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def compute_once(df: DataFrame, cols: dict) -> DataFrame:
+    """``df`` with the named columns added or replaced, each evaluated once per row.
+
+    A filter on a derived column is normally pushed below the projection with
+    the expression inlined, so an expensive expression (a regex chain over a
+    whole text) runs twice -- once in the filter, before any repartition, and
+    once in the projection.  Emitting the derived columns from a one-row
+    generator (``inline`` of a one-element array) keeps predicates on them
+    above it: each expression runs once, after the rows are spread.
+    """
+    rest = [c for c in df.columns if c not in cols]
+    row = F.struct(*[col_(e).alias(n) for n, e in cols.items()])
+    out = df.select(*rest, F.inline(F.array(row)))
+    return out.select(*df.columns, *[n for n in cols if n not in df.columns])
+
+
 def collapse_whitespace(c) -> Column:
     return F.regexp_replace(col_(c), WS_RUN, " ")
 
@@ -43,12 +59,11 @@ def clean_text(df: DataFrame, min_text_chars: int | None = C.MIN_TEXT_CHARS) ->
     after that (so blanks around tags survive); subject: trim + lower; then
     keep rows whose cleaned text is longer than ``min_text_chars``.
     """
-    out = df.select(
-        *[c for c in df.columns if c not in ("title", "text", "subject")],
-        F.trim(collapse_whitespace("title")).alias("title"),
-        F.regexp_replace(F.trim(collapse_whitespace("text")), ANY_TAG, "").alias("text"),
-        F.lower(F.trim(F.col("subject"))).alias("subject"),
-    ).select(*df.columns)
+    out = compute_once(df, {
+        "title": F.trim(collapse_whitespace("title")),
+        "text": F.regexp_replace(F.trim(collapse_whitespace("text")), ANY_TAG, ""),
+        "subject": F.lower(F.trim(F.col("subject"))),
+    })
     if min_text_chars is not None:
         out = out.filter(F.length("text") > min_text_chars)
     return out

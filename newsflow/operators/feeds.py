@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.html import clean_html
-from ..functions.text import article_date, iso_timestamp, unicode_strip
+from ..functions.text import article_date, compute_once, iso_timestamp, unicode_strip
 from ..schema import ATOM_XML_SCHEMA, RSS_XML_SCHEMA
 
 FEED_ORDER = ("feed_pos", "url", "pos")
@@ -52,8 +52,8 @@ def first_entries(entries: DataFrame, n: int = C.ENTRIES_PER_FEED) -> DataFrame:
 
 def nonempty_titles(entries: DataFrame) -> DataFrame:
     """Titles stripped of Unicode whitespace; blank or missing titles dropped."""
-    return entries.withColumn("title", unicode_strip(F.coalesce(F.col("title"), F.lit("")))).filter(
-        F.col("title") != "")
+    stripped = compute_once(entries, {"title": unicode_strip(F.coalesce(F.col("title"), F.lit("")))})
+    return stripped.filter(F.col("title") != "")
 
 
 def first_by_title(entries: DataFrame, order=FEED_ORDER) -> DataFrame:

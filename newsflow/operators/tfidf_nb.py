@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.text import preprocessed_content, terms
+from ..functions.text import compute_once, preprocessed_content, terms
 from ..session import materialize
 from .joins import broadcast_if_small
 
@@ -38,8 +38,8 @@ from .joins import broadcast_if_small
 def prepare(articles: DataFrame, min_content_chars: int | None = C.MIN_CONTENT_CHARS,
             keep=("article_id", "subject", "label")) -> DataFrame:
     """T3 + T4 + X1: preprocessed ``content`` plus the ``keep`` columns."""
-    out = articles.select(*[c for c in keep if c in articles.columns],
-                          preprocessed_content("title", "text").alias("content"))
+    out = compute_once(articles.select(*[c for c in keep if c in articles.columns], "title", "text"),
+                       {"content": preprocessed_content("title", "text")}).drop("title", "text")
     if min_content_chars is not None:
         out = out.filter(F.length("content") > min_content_chars)
     return out
