@@ -260,6 +260,9 @@ SELECT substr(title, 1, 40) AS title, substr(subject, 1, 40) AS subject, substr(
 FROM pred_rows ORDER BY subject, title, date LIMIT 10"""
 ORACLE["s6_file_inventory"] = CLEAN_KEPT + """
 SELECT DISTINCT 'subject=' || subject AS partition, true AS has_files, true AS has_bytes FROM kept"""
+ORACLE["g5_dataset_status"] = CLEAN_KEPT + """
+SELECT 'backfill_parquet' AS dataset, count(DISTINCT subject) AS children, true AS has_files, true AS has_bytes
+FROM kept"""
 ORACLE["r3_latest_partitions"] = CLEAN_KEPT + """
 SELECT partition FROM (SELECT DISTINCT 'subject=' || subject AS partition FROM kept)
 ORDER BY partition DESC LIMIT 10"""

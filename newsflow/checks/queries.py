@@ -362,8 +362,9 @@ def s6_file_inventory(spark, sf_dir):
 @register("g5_dataset_status")
 def g5_dataset_status(spark, sf_dir):
     out, _ = _backfilled(spark, sf_dir)
-    st = jobs.dataset_status(spark, {"backfill_parquet": f"{out}/parquet", "backfill_csv": f"{out}/csv"})
-    return st.select("dataset", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    st = jobs.dataset_status(spark, {"backfill_parquet": f"{out}/parquet"})
+    return st.select("dataset", "children", (F.col("files") >= F.col("children")).alias("has_files"),
+                     (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @register("r3_latest_partitions")

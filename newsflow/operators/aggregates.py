@@ -37,9 +37,21 @@ def by_date_label(pred: DataFrame) -> DataFrame:
     return count_by(pred, "date", "prediction_label", order=True)
 
 
+def direct_children(listing: DataFrame, root: str) -> DataFrame:
+    """Adds ``child``: the first path component below ``root`` (a file or a folder).
+
+    ``root`` is the qualified folder path as the file source lists it.
+    Derived from a recursive listing, so counting direct children stays a
+    distributed aggregation (folders without files are not seen).
+    """
+    rel = F.substring(F.col("path"), len(root.rstrip("/")) + 2, 1 << 30)
+    return listing.withColumn("child", F.substring_index(rel, "/", 1))
+
+
 def dataset_summary(listing: DataFrame, dataset: str = "dataset") -> DataFrame:
     """Per dataset ``files, bytes, latest`` from a file listing."""
-    return listing.groupBy(dataset).agg(
-        F.count(F.lit(1)).alias("files"),
-        F.sum("length").alias("bytes"),
-        F.max("modificationTime").alias("latest"))
+    aggs = [F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+            F.max("modificationTime").alias("latest")]
+    if "child" in listing.columns:
+        aggs.append(F.count_distinct("child").alias("children"))
+    return listing.groupBy(dataset).agg(*aggs)

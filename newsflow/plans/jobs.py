@@ -18,7 +18,7 @@ from .. import config as C
 from ..functions.messages import to_message
 from ..functions.text import clean_text, preprocessed_content
 from ..operators import aggregates, classifier, feeds, ordering
-from ..operators.evaluation import auc_rank, classification_metrics, is_train
+from ..operators.evaluation import area_under_roc, classification_metrics, is_train
 from ..operators.labels import union_labelled, with_label
 from ..operators.tfidf_nb import prepare
 from ..session import materialize
@@ -51,11 +51,10 @@ def train_on(articles: DataFrame, model_paths=(), split_key: str | None = None)
     prep = materialize(prep.withColumn("is_train", is_train(key)), "train_prepared").filter(
         F.length("content") > C.MIN_CONTENT_CHARS)
     model = classifier.fit(prep.filter("is_train"))
-    pred = classifier.score(model, prep.filter(~F.col("is_train")))
-    pred = materialize(pred.withColumn("margin", classifier.margin()).drop("rawPrediction", "probability"),
-                       "train_predictions")
+    pred = materialize(classifier.score(model, prep.filter(~F.col("is_train"))), "train_predictions")
     m = classification_metrics(pred).first().asDict()
-    m["auc_margin"] = auc_rank(pred, score="margin").first()["auc"]
+    for s in ("margin", "raw", "probability"):
+        m[f"auc_{s}"] = area_under_roc(pred, score=s)
     if model_paths:
         sinks.save_model(model, model_paths)
     return TrainResult(model, m, pred)
@@ -110,13 +109,27 @@ def extract_and_publish(feed_docs: DataFrame, fmt: str = "json", path: str | Non
     return msgs
 
 
-def dataset_status(spark: SparkSession, datasets: dict, recursive: bool = True) -> DataFrame:
-    """``dataset, files, bytes, latest`` for named dataset folders (S6 each)."""
-    parts = [list_files(spark, p, recursive=recursive).withColumn("dataset", F.lit(name))
-             for name, p in datasets.items()]
+def dataset_status(spark: SparkSession, datasets: dict) -> DataFrame:
+    """``dataset, files, bytes, latest, children`` for named dataset folders.
+
+    ``files`` counts every data file below the folder (recursive count);
+    ``children`` counts its direct entries, as a plain listing would show.
+    """
+    parts = []
+    for name, p in datasets.items():
+        listing = list_files(spark, p, recursive=True)
+        parts.append(aggregates.direct_children(listing, _qualified(spark, p)).withColumn("dataset", F.lit(name)))
     return aggregates.dataset_summary(union_labelled(*parts))
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The fully qualified form of ``path`` (as listed by the file source)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
 def latest_files(spark: SparkSession, path: str, n: int = 10, by: str = "path") -> DataFrame:
     """The last ``n`` files of a dataset by name (or by modification time)."""
     return ordering.latest(list_files(spark, path), n, by)

@@ -99,3 +99,23 @@ def test_stream_dedupe_across_batches(spark):
                                  dedupe=True):
         q.awaitTermination()
     assert read_ingested(spark, f"{out}/parquet").count() == first
+
+
+def test_dataset_status_counts_files_and_children(spark):
+    from pyspark.sql import Row
+    base = scratch_path(spark, "status")
+    df = spark.createDataFrame([Row(subject=s, v=i) for i, s in enumerate(["a", "a", "b", "c"])])
+    df.repartition(2).write.partitionBy("subject").parquet(f"{base}/parted")
+    df.coalesce(1).write.parquet(f"{base}/flat")
+    st = {r["dataset"]: r for r in jobs.dataset_status(spark, {"parted": f"{base}/parted",
+                                                                "flat": f"{base}/flat"}).collect()}
+    assert st["parted"]["children"] == 3 and st["parted"]["files"] >= 3
+    assert st["flat"]["children"] == st["flat"]["files"] == 1
+    assert st["flat"]["bytes"] > 0
+
+
+def test_area_under_roc_choices(spark):
+    fake, true = fixtures.training_csvs(spark, SF)
+    res = jobs.train(spark, fake, true)
+    for k in ("auc_margin", "auc_raw", "auc_probability"):
+        assert 0.0 <= res.metrics[k] <= 1.0
