@@ -93,7 +93,8 @@ def spread(df, key: str):
     sc = _context(spark)
     if sc is None:                      # Spark Connect: no partition count to inspect
         return df
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Enough tasks to balance uneven text lengths over the cores, not more.
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * sc.defaultParallelism)
     if df.rdd.getNumPartitions() >= min(n, sc.defaultParallelism):
         return df
     return df.repartition(n, key)

@@ -119,3 +119,20 @@ def test_area_under_roc_choices(spark):
     res = jobs.train(spark, fake, true)
     for k in ("auc_margin", "auc_raw", "auc_probability"):
         assert 0.0 <= res.metrics[k] <= 1.0
+
+
+def test_command_line_jobs(spark, capsys):
+    import json as _json
+    from newsflow.__main__ import main
+    fake, true = fixtures.training_csvs(spark, SF)
+    model = scratch_path(spark, "cli_model")
+    assert main(["train", "--fake", fake, "--true", true, "--model", model], spark=spark) == 0
+    metrics = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert 0.0 <= metrics["accuracy"] <= 1.0
+    src = fixtures.landed_messages(spark, SF)
+    out, ckpt = scratch_path(spark, "cli_scored"), scratch_path(spark, "cli_ckpt")
+    assert main(["score-stream", "--input", src, "--checkpoint", ckpt, "--out", out, "--model", model,
+                 "--available-now"], spark=spark) == 0
+    exp = scratch_path(spark, "cli_export")
+    assert main(["export", "--input", out, "--out", exp], spark=spark) == 0
+    assert read_predictions(spark, out).count() == articles(spark, SF, labelled=False).count()
