@@ -204,9 +204,9 @@ UNICODE_STRIP = f"^{UNICODE_WS}+|{UNICODE_WS}+$"
 
 def clean_html_sql(expr: str) -> str:
     s = f"coalesce({expr}, '')"
-    for pat in [r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>",
-                r"(?is)<template\b[^>]*>.*?</template\s*>", r"(?s)<!--.*?-->"]:
-        s = f"regexp_replace({s}, '{pat}', '', 'g')"
+    hidden = (r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+              r"|<template\b[^>]*>.*?</template\s*>|<!--.*?-->")
+    s = f"regexp_replace({s}, '{hidden}', '', 'g')"
     s = f"regexp_replace({s}, '</?[A-Za-z][^>]*>|<[!?][^>]*>', chr(1), 'g')"
     for ent, ch in [("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&apos;", "''''"),
                     ("&nbsp;", "chr(160)"), ("&amp;", "'&'")]:

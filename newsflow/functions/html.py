@@ -3,7 +3,9 @@
 Semantics (defined here, mirrored by the SQL oracle):
 
 1. ``script``, ``style`` and ``template`` elements are dropped with their
-   bodies, and so are comments (their text is not visible text);
+   bodies, and so are comments (their text is not visible text) -- in one
+   left-to-right pass, so whichever construct starts first wins (a comment
+   around a script removes both, as in an HTML tokenizer);
 2. every remaining markup token (tag, doctype, declaration, processing
    instruction) becomes a node boundary; a ``<`` not followed by a letter,
    ``/``, ``!`` or ``?`` is text, as in an HTML tokenizer;
@@ -23,11 +25,12 @@ from .text import UNICODE_STRIP, col_
 
 # --- fixed values: element and markup patterns, entity table ---------------
 HIDDEN_ELEMENTS = [
-    r"(?is)<script\b[^>]*>.*?</script\s*>",
-    r"(?is)<style\b[^>]*>.*?</style\s*>",
-    r"(?is)<template\b[^>]*>.*?</template\s*>",
-    r"(?s)<!--.*?-->",
+    r"<script\b[^>]*>.*?</script\s*>",
+    r"<style\b[^>]*>.*?</style\s*>",
+    r"<template\b[^>]*>.*?</template\s*>",
+    r"<!--.*?-->",
 ]
+HIDDEN = "(?is)" + "|".join(HIDDEN_ELEMENTS)      # one pass, leftmost construct first
 MARKUP = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 NODE_BREAK = "\u0001"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
@@ -36,8 +39,7 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&ap
 
 def clean_html(c) -> Column:
     s = F.coalesce(col_(c), F.lit(""))
-    for pat in HIDDEN_ELEMENTS:
-        s = F.regexp_replace(s, pat, "")
+    s = F.regexp_replace(s, HIDDEN, "")
     s = F.regexp_replace(s, MARKUP, NODE_BREAK)
     for ent, ch in ENTITIES:
         s = F.replace(s, F.lit(ent), F.lit(ch))

@@ -195,3 +195,10 @@ def test_atom_feed_entries(spark):
     assert [(r["title"], r["text"], r["date"]) for r in out] == [
         ("Atom one", "An Atom summary long enough to pass the filter", "March 04, 2024")]
     assert out[0]["timestamp"][10] == "T" and len(out[0]["timestamp"]) == 26     # T8 ISO with microseconds
+
+
+def test_hidden_elements_single_pass(spark):
+    df = spark.createDataFrame([("<!-- <script>x</script> --><p>y</p>",),
+                                ("<SCRIPT type='a'>s</SCRIPT><style>p{}</style><template><b>t</b></template>z",),
+                                ("<script>never closed <p>kept as text</p>",)], "s string")
+    assert [r[0] for r in df.select(clean_html("s")).collect()] == ["y", "z", "never closed kept as text"]
