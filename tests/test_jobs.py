@@ -136,3 +136,12 @@ def test_command_line_jobs(spark, capsys):
     exp = scratch_path(spark, "cli_export")
     assert main(["export", "--input", out, "--out", exp], spark=spark) == 0
     assert read_predictions(spark, out).count() == articles(spark, SF, labelled=False).count()
+
+
+def test_console_stream_runs(spark, capfd):
+    src = fixtures.landed_messages(spark, SF)
+    q = ingest.start_console(article_stream(spark, "json", src), scratch_path(spark, "console_ckpt"),
+                             available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert q.lastProgress["numInputRows"] == articles(spark, SF, labelled=False).count()
