@@ -81,3 +81,30 @@ def test_rank_auc_equals_evaluator(fitted):
     # Same score for both (probability saturates at 1.0 and would add ties).
     ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="margin", metricName="areaUnderROC")
     assert abs(ours - ev.evaluate(pred)) < 1e-9
+
+
+def test_relational_model_equals_spark_naive_bayes_on_exact_vocabulary(spark):
+    """M-R = CountVectorizer (whole vocabulary) + IDF + NaiveBayes on the same terms."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import IDF, CountVectorizer
+    from newsflow.functions.text import terms
+    from newsflow.operators import tfidf_nb
+    from newsflow.plans import relational
+    docs = relational.prepared_articles(spark, SF)
+    train = docs.filter("is_train")
+    ours = tfidf_nb.fit(train).predict(docs).select("article_id", "prediction", "score0", "score1")
+    with_terms = docs.withColumn("t", terms("content"))
+    ml = Pipeline(stages=[CountVectorizer(inputCol="t", outputCol="tf", vocabSize=1 << 24, minDF=1.0),
+                          IDF(inputCol="tf", outputCol="features", minDocFreq=C.MIN_DOC_FREQ),
+                          NaiveBayes(smoothing=C.SMOOTHING, modelType="multinomial")]).fit(
+        with_terms.filter("is_train"))
+    theirs = ml.transform(with_terms).select("article_id", "prediction", "rawPrediction").collect()
+    mine = {r["article_id"]: r for r in ours.collect()}
+    assert len(mine) == len(theirs)
+    for r in theirs:
+        m = mine[r["article_id"]]
+        raw = r["rawPrediction"].toArray()
+        assert m["prediction"] == r["prediction"]
+        assert abs(m["score0"] - raw[0]) < 1e-6 * max(1.0, abs(raw[0]))
+        assert abs(m["score1"] - raw[1]) < 1e-6 * max(1.0, abs(raw[1]))
