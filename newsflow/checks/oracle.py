@@ -197,9 +197,10 @@ SELECT article_id, cast(length(content) AS integer) AS content_len FROM docs"""
 ORACLE["t6_key_prefix"] = with_ctes(ALL_ARTICLES) + """
 SELECT article_id, substr(title, 1, 50) AS key FROM all_articles"""
 
-UNICODE_WS = (r"[\s\x0B\x1C-\x1F\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}"
-              r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-UNICODE_STRIP = f"^{UNICODE_WS}+|{UNICODE_WS}+$"
+# The characters Python's str.strip() removes, as a SQL expression.
+UNICODE_WS_SQL = " || ".join(f"chr({c})" for c in (
+    [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680]
+    + list(range(0x2000, 0x200B)) + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def clean_html_sql(expr: str) -> str:
@@ -212,7 +213,7 @@ def clean_html_sql(expr: str) -> str:
                     ("&nbsp;", "chr(160)"), ("&amp;", "'&'")]:
         s = f"replace({s}, '{ent}', {ch})"
     return (f"array_to_string(list_filter(list_transform(string_split({s}, chr(1)), "
-            f"lambda x: regexp_replace(x, '{UNICODE_STRIP}', '', 'g')), lambda x: x <> ''), ' ')")
+            f"lambda x: trim(x, {UNICODE_WS_SQL})), lambda x: x <> ''), ' ')")
 
 
 ORACLE["t2_clean_html"] = f"SELECT page_id, {clean_html_sql('html')} AS text FROM pages"
@@ -283,7 +284,7 @@ parsed AS (
   FROM items WHERE feed_pos % 50 <> 7),
 firsts AS (SELECT * FROM parsed WHERE pos < 10),
 titled AS (
-  SELECT * REPLACE (regexp_replace(coalesce(title, ''), '""" + UNICODE_STRIP + """', '', 'g') AS title)
+  SELECT * REPLACE (trim(coalesce(title, ''), """ + UNICODE_WS_SQL + """) AS title)
   FROM firsts),
 nonempty AS (SELECT * FROM titled WHERE title <> ''),
 deduped AS (SELECT * FROM nonempty QUALIFY row_number() OVER (PARTITION BY title ORDER BY feed_pos, pos) = 1),

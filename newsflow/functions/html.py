@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import UNICODE_STRIP, col_
+from .text import col_, unicode_strip
 
 # --- fixed values: element and markup patterns, entity table ---------------
 HIDDEN_ELEMENTS = [
@@ -43,5 +43,5 @@ def clean_html(c) -> Column:
     s = F.regexp_replace(s, MARKUP, NODE_BREAK)
     for ent, ch in ENTITIES:
         s = F.replace(s, F.lit(ent), F.lit(ch))
-    nodes = F.transform(F.split(s, NODE_BREAK), lambda x: F.regexp_replace(x, UNICODE_STRIP, ""))
+    nodes = F.transform(F.split(s, NODE_BREAK), unicode_strip)
     return F.array_join(F.filter(nodes, lambda x: x != F.lit("")), " ")

@@ -18,11 +18,13 @@ WS_RUN = r"\s+"                     # any whitespace run (Java \s)
 NON_LETTER = r"[^a-zA-Z\s]"         # preprocessing keeps ASCII letters and whitespace
 ANY_TAG = r"<[^>]+>"                # the ingest cleaner's tag pattern
 # Python's str.strip() removes every Unicode whitespace character; Spark's
-# trim removes only blanks.  This class is the Unicode set, written so that
-# Java regex and RE2 read it the same way.
-UNICODE_WS = (r"[\s\x0B\x1C-\x1F\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}"
-              r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-UNICODE_STRIP = f"^{UNICODE_WS}+|{UNICODE_WS}+$"
+# one-argument trim removes only blanks.  These are the characters str.strip()
+# removes, in code point order: TAB LF VT FF CR, FS GS RS US, SPACE, NEL,
+# NBSP, OGHAM SPACE MARK, EN QUAD .. HAIR SPACE, LINE SEP, PARAGRAPH SEP,
+# NARROW NBSP, MEDIUM MATH SPACE, IDEOGRAPHIC SPACE.
+UNICODE_WS_CHARS = "".join(chr(c) for c in (
+    [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680]
+    + list(range(0x2000, 0x200B)) + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 # Feed dates: RFC 822 after the weekday, with a zone name or an offset.
 PUBDATE_FORMATS = ["dd MMM yyyy HH:mm:ss zzz", "dd MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss zzz",
                    "d MMM yyyy HH:mm:ss Z"]
@@ -84,8 +86,12 @@ def preprocessed_content(title="title", text="text") -> Column:
 
 
 def unicode_strip(c) -> Column:
-    """X3 helper: strip Unicode whitespace at both ends, like Python's strip()."""
-    return F.regexp_replace(col_(c), UNICODE_STRIP, "")
+    """X3 helper: strip Unicode whitespace at both ends, like Python's strip().
+
+    ``trim`` with a character set is linear; an anchored regex such as
+    ``[ws]+$`` backtracks quadratically over a long inner whitespace run.
+    """
+    return F.trim(col_(c), F.lit(UNICODE_WS_CHARS))
 
 
 def title_key(c="title", n: int = C.KEY_PREFIX_CHARS) -> Column:

@@ -202,3 +202,14 @@ def test_hidden_elements_single_pass(spark):
                                 ("<SCRIPT type='a'>s</SCRIPT><style>p{}</style><template><b>t</b></template>z",),
                                 ("<script>never closed <p>kept as text</p>",)], "s string")
     assert [r[0] for r in df.select(clean_html("s")).collect()] == ["y", "z", "never closed kept as text"]
+
+
+def test_strip_is_linear_on_long_inner_whitespace(spark):
+    """An anchored regex strip backtracks quadratically here; trim with a set does not."""
+    import time
+    s = "  x" + " " * 200_000 + "y　"
+    df = spark.createDataFrame([(s,)], "s string")
+    t = time.time()
+    out = df.select(unicode_strip("s").alias("u"), clean_html("s").alias("h")).first()
+    assert time.time() - t < 60
+    assert out["u"] == s.strip() and out["h"] == s.strip()
