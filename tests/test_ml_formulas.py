@@ -108,3 +108,13 @@ def test_relational_model_equals_spark_naive_bayes_on_exact_vocabulary(spark):
         assert m["prediction"] == r["prediction"]
         assert abs(m["score0"] - raw[0]) < 1e-6 * max(1.0, abs(raw[0]))
         assert abs(m["score1"] - raw[1]) < 1e-6 * max(1.0, abs(raw[1]))
+
+
+def test_split_options(fitted):
+    from newsflow.operators.evaluation import random_split, split_bucket
+    prep, train, _ = fitted
+    a, b = random_split(prep)
+    assert a.count() + b.count() == prep.count()
+    buckets = prep.select(split_bucket("article_id").alias("b")).agg(F.min("b"), F.max("b")).first()
+    assert 0 <= buckets[0] <= buckets[1] < 100
+    assert train.count() == prep.filter(split_bucket("article_id") < 80).count()
