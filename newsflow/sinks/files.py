@@ -65,7 +65,10 @@ def export_csv(df: DataFrame, out_dir: str, name: str, single_file: bool = False
     dst = jvm.org.apache.hadoop.fs.Path(target)
     if fs.exists(dst):
         fs.delete(dst, True)
-    fs.rename(part[0], dst)
+    if part:
+        fs.rename(part[0], dst)
+    else:                               # empty result: an empty file, like the folder form
+        fs.create(dst).close()
     fs.delete(tmp_p, True)
     return target
 

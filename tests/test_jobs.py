@@ -145,3 +145,12 @@ def test_console_stream_runs(spark, capfd):
     q.awaitTermination()
     assert q.exception() is None
     assert q.lastProgress["numInputRows"] == articles(spark, SF, labelled=False).count()
+
+
+def test_single_file_export_of_empty_result(spark):
+    out = scratch_path(spark, "empty_export")
+    df = spark.createDataFrame([], "subject string, prediction_label string, count bigint")
+    target = sinks.export_summary(df, out, "summary.csv")
+    assert os.path.isfile(target.replace("file:", ""))
+    assert spark.read.options(**sinks.CSV_OPTIONS).schema("subject string, prediction_label string, count bigint") \
+        .csv(target).count() == 0
