@@ -55,6 +55,28 @@ def articles(spark: SparkSession, sf_dir: str, subject: str = "source", labelled
     return docs.select(*cols)
 
 
+def colocated_articles(spark: SparkSession, sf_dir: str, buckets: int, subject: str = "source") -> DataFrame:
+    """``articles(labelled=True)`` over copies of ``documents`` and ``labels``
+    bucketed by ``doc_id`` (one shuffle each, once); the join itself then
+    runs without an exchange.  Meant for repeated training on the same data.
+    """
+    import uuid
+    from ..session import scratch_path
+    from ..sinks.files import bucketed_table
+    tag = uuid.uuid4().hex[:12]
+    docs = bucketed_table(read_table(spark, sf_dir, "documents").select("doc_id", "text", subject),
+                          f"nf_documents_{tag}", "doc_id", buckets, scratch_path(spark, "bucketed_documents"))
+    labels = bucketed_table(read_table(spark, sf_dir, "labels").select("doc_id", "quality"),
+                            f"nf_labels_{tag}", "doc_id", buckets, scratch_path(spark, "bucketed_labels"))
+    return docs.join(labels, "doc_id").select(
+        F.col("doc_id").cast("string").alias("article_id"),
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.col("text"),
+        F.col(subject).alias("subject"),
+        article_date_of("doc_id").alias("date"),
+        F.col("quality").cast("double").alias("label"))
+
+
 # --- fixed values: feed layout of the generated RSS documents ---------------
 FEED_SUBJECTS = ["politics", "business", "technology", "world"]
 ITEMS_PER_GENERATED_FEED = 12          # > ENTRIES_PER_FEED, so the cut has work

@@ -57,3 +57,17 @@ def test_term_stats_single_aggregation(spark):
     # One row per training term; document frequency never exceeds the number of documents.
     row = model.term_stats.agg(F.count("*").alias("v"), F.max("df").alias("mx")).first()
     assert row["v"] == model.vocab_size and row["mx"] <= model.n_docs
+
+
+def test_colocated_join_has_no_exchange(spark):
+    from newsflow.sources.tables import articles, colocated_articles
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        co = colocated_articles(spark, SF, buckets=4)
+        p = plan(co)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        cols = ["article_id", "title", "text", "subject", "date", "label"]
+        base = articles(spark, SF).select(*cols)
+        assert co.select(*cols).exceptAll(base).count() == 0 and base.exceptAll(co.select(*cols)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
