@@ -26,11 +26,18 @@ def parsed_stream(stream: DataFrame) -> DataFrame:
     return parse_messages(stream, flag_bad=True, required=())
 
 
-def ingest_frame(parsed: DataFrame, min_text_chars: int = C.MIN_TEXT_CHARS) -> DataFrame:
-    """T1 + P3: cleaned article rows with the processing time."""
+def ingest_frame(parsed: DataFrame, min_text_chars: int = C.MIN_TEXT_CHARS,
+                 with_event_time: bool = False) -> DataFrame:
+    """T1 + P3: cleaned article rows with the processing time.
+
+    ``with_event_time`` adds ``event_time``: the producer's ISO ``timestamp``
+    of the message, or the processing time when it is missing or unparsable.
+    """
     good = parsed.filter(~F.col(BAD_COLUMN)).drop(BAD_COLUMN, "raw_value", "_corrupt")
     cleaned = clean_text(good, min_text_chars)
-    return cleaned.select(*INGEST_COLUMNS, F.current_timestamp().alias("processed_at"))
+    now = F.current_timestamp()
+    extra = [F.coalesce(F.try_to_timestamp(F.col("timestamp")), now).alias("event_time")] if with_event_time else []
+    return cleaned.select(*INGEST_COLUMNS, now.alias("processed_at"), *extra)
 
 
 def dedupe_by_title(stream: DataFrame, event_time: str = "event_time", delay: str = "1 hour") -> DataFrame:
@@ -60,9 +67,9 @@ def start_ingest(stream: DataFrame, out: str, checkpoint: str, parquet_trigger=C
                  available_now: bool = False, dedupe: bool = False):
     """Starts the Parquet, CSV (and dead-letter) queries; returns them in that order."""
     parsed = parsed_stream(stream)
-    rows = ingest_frame(parsed)
+    rows = ingest_frame(parsed, with_event_time=dedupe)
     if dedupe:
-        rows = dedupe_by_title(rows.withColumn("event_time", F.col("processed_at"))).drop("event_time")
+        rows = dedupe_by_title(rows).drop("event_time")
     pq = start(clustered_for_write(rows, ("subject", "date"), "article_id").writeStream.format("parquet")
                .partitionBy("subject", "date").outputMode("append").option("path", f"{out}/parquet"),
                f"{checkpoint}/parquet", parquet_trigger, available_now)
