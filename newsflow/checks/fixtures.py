@@ -16,6 +16,20 @@ from ..sinks import files as sinks
 from ..sources.tables import articles
 
 _MR_CACHE: dict = {}
+_INPUTS: dict = {}
+
+
+def _once(kind: str):
+    """Derive an input folder once per session and input (streams and jobs only read it)."""
+    def deco(fn):
+        def wrapper(spark, sf_dir, *args, **kw):
+            key = (kind, spark.sparkContext.applicationId, id(spark), sf_dir, args, tuple(sorted(kw.items())))
+            if key not in _INPUTS:
+                _INPUTS[key] = fn(spark, sf_dir, *args, **kw)
+            return _INPUTS[key]
+        wrapper.__doc__ = fn.__doc__
+        return wrapper
+    return deco
 
 MESSAGE_FIELDS = ["title", "text", "subject", "date", "article_id"]
 
@@ -38,6 +52,7 @@ def prediction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.current_timestamp().alias("processed_at"), "prediction_label")
 
 
+@_once("predictions")
 def prediction_dataset(spark: SparkSession, sf_dir: str) -> str:
     """Writes the prediction dataset partitioned by ``prediction_label``; returns its path."""
     path = scratch_path(spark, "predictions")
@@ -45,6 +60,7 @@ def prediction_dataset(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@_once("training_csv")
 def training_csvs(spark: SparkSession, sf_dir: str):
     """Two labelled CSV folders (fake = quality 0, true = quality 1) with
     quoted multi-line text; returns ``(fake_path, true_path)``."""
@@ -56,6 +72,7 @@ def training_csvs(spark: SparkSession, sf_dir: str):
     return f"{base}/fake", f"{base}/true"
 
 
+@_once("articles_csv")
 def article_csv(spark: SparkSession, sf_dir: str) -> str:
     """All documents as one article CSV folder (backfill input)."""
     path = scratch_path(spark, "articles_csv")
@@ -63,6 +80,7 @@ def article_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@_once("messages")
 def landed_messages(spark: SparkSession, sf_dir: str, malformed: bool = False) -> str:
     """All documents as landed ``key, value`` JSON messages (the topic's file double).
 
