@@ -1,9 +1,10 @@
 """Feed extraction as Spark jobs.
 
-The order is the original one: cut each feed to its first entries (W1), drop
-blank titles (X3), keep the first copy of each title (D1) -- a title counts
-as seen *before* the text-length test -- then clean the summary (T2) and
-drop short texts (X4).
+The order of the filters is the original one: cut each feed to its first
+entries (W1), drop blank titles (X3), keep the first copy of each title (D1)
+-- a title counts as seen *before* the text-length test -- then drop short
+texts (X4).  The summary's visible text (T2) is row-local, so it is computed
+before D1 without changing which rows survive.
 """
 
 from __future__ import annotations
