@@ -176,3 +176,29 @@ def test_stream_dedupe_uses_producer_time_and_watermark(spark):
     assert land("b1", [("A", "1", "2024-03-01T10:00:00")]) == ["1"]
     assert land("b2", [("A", "2", "2024-03-01T10:30:00"), ("B", "3", "2024-03-01T12:00:00")]) == ["1", "3"]
     assert land("b3", [("A", "4", "2024-03-01T12:30:00")]) == ["1", "3", "4"]
+
+
+def test_command_line_other_jobs(spark, capsys):
+    import json as _json
+    from newsflow.__main__ import main
+    from newsflow.sources.tables import feed_documents
+    fake, true = fixtures.training_csvs(spark, SF)
+    src = fixtures.article_csv(spark, SF)
+    out = scratch_path(spark, "cli")
+    assert main(["backfill", "--input", src, "--out", f"{out}/backfill"], spark=spark) == 0
+    assert _json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows"] > 0
+    assert main(["land-training", "--fake", fake, "--true", true, "--out", f"{out}/landed"], spark=spark) == 0
+    assert main(["status", f"bf={out}/backfill/parquet", f"landed={out}/landed"], spark=spark) == 0
+    lines = [_json.loads(x) for x in capsys.readouterr().out.strip().splitlines() if x.startswith("{")]
+    assert {d["dataset"] for d in lines if "dataset" in d} == {"bf", "landed"}
+    feeds_in = scratch_path(spark, "cli_feeds")
+    feed_documents(spark, SF).write.parquet(feeds_in)
+    assert main(["extract-feeds", "--input", feeds_in, "--out", f"{out}/msgs"], spark=spark) == 0
+    assert spark.read.json(f"{out}/msgs").count() > 0
+    msgs = fixtures.landed_messages(spark, SF)
+    assert main(["ingest-stream", "--input", msgs, "--checkpoint", f"{out}/ck1", "--out", f"{out}/ing",
+                 "--dedupe", "--available-now"], spark=spark) == 0
+    assert main(["feed-stream", "--input", feeds_in, "--checkpoint", f"{out}/ck2", "--out", f"{out}/fs",
+                 "--available-now"], spark=spark) == 0
+    assert main(["console", "--input", msgs, "--checkpoint", f"{out}/ck3", "--available-now"], spark=spark) == 0
+    assert spark.read.json(f"{out}/fs").count() == spark.read.json(f"{out}/msgs").count()
