@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ARTICLE_SCHEMA, CORRUPT_COLUMN
-from .text import col_, title_key
+from .text import col_, compute_once, title_key
 
 BAD_COLUMN = "_bad"
 
@@ -38,10 +38,12 @@ def parse_messages(df: DataFrame, schema: T.StructType = ARTICLE_SCHEMA, value:
     the ``required`` fields; bad rows would make the tokenizer fail later.
     """
     keep = list(keep)
-    parsed = df.select(*keep, value_as_string(value).alias("json_str")).select(
-        *keep, F.col("json_str"), parse_json("json_str", schema, keep_corrupt=flag_bad).alias("data"))
+    raw = df.select(*keep, value_as_string(value).alias("json_str"))
     if not flag_bad:
-        return parsed.select(*keep, "data.*")
+        return raw.select(*keep, parse_json("json_str", schema).alias("data")).select(*keep, "data.*")
+    # Parsed once: the dead-letter filter downstream reads the parsed fields,
+    # and would otherwise be pushed below with the JSON parse inlined.
+    parsed = compute_once(raw, {"data": parse_json("json_str", schema, keep_corrupt=True)})
     bad = F.col("json_str").isNull() | F.col(f"data.{CORRUPT_COLUMN}").isNotNull()
     for r in required:
         bad = bad | F.col(f"data.{r}").isNull()

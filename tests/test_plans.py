@@ -71,3 +71,13 @@ def test_colocated_join_has_no_exchange(spark):
         assert co.select(*cols).exceptAll(base).count() == 0 and base.exceptAll(co.select(*cols)).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_messages_are_parsed_once(spark):
+    from newsflow.functions.messages import parse_messages
+    from newsflow.streaming.ingest import ingest_frame
+    msgs = spark.read.schema("key string, value string").json(fixtures.landed_messages(spark, SF))
+    p = plan(ingest_frame(parse_messages(msgs, flag_bad=True, required=())))
+    assert p.count("from_json(") == 1
+    t1 = plan(__import__("newsflow.checks.queries", fromlist=["x"]).t1_clean_text(spark, SF))
+    assert t1.count("<[^>]+>") == 1                      # the tag strip runs once (not inlined into the filter)
