@@ -143,8 +143,11 @@ ps AS (SELECT round(score1 - score0, 6) AS s,
 r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
              AS neg_below FROM ps)
 SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) AS auc FROM r"""
-ORACLE["m9_sample_predictions"] = MR + """
-SELECT article_id, label, prediction FROM predictions ORDER BY article_id LIMIT 10"""
+ORACLE["m9_sample_predictions"] = MR + """,
+top AS (SELECT article_id, label, prediction, round(1.0 / (1.0 + exp(score0 - score1)), 6) AS prob_true
+        FROM predictions ORDER BY article_id LIMIT 10)
+SELECT t.article_id, substr(d.content, 1, 50) AS content, t.label, t.prediction, t.prob_true
+FROM top t JOIN docs d ON t.article_id = d.article_id"""
 ORACLE["a1_token_counts"] = with_ctes(ARTICLES, PREPARED) + """,
 toks AS (SELECT unnest(string_split(content, ' ')) AS term FROM docs)
 SELECT term, count(*) AS n FROM toks WHERE term <> '' GROUP BY term"""

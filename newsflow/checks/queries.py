@@ -19,7 +19,7 @@ from ..functions.messages import BAD_COLUMN, parse_json, parse_messages, to_json
 from ..operators import aggregates, classifier, evaluation, feeds, ordering
 from ..operators.labels import decode_label
 from ..operators.tfidf_nb import prepare
-from ..plans import jobs
+from ..plans import jobs, relational
 from ..schema import TRAINING_CSV_SCHEMA
 from ..session import materialize, scratch_path
 from ..sinks import files as sinks
@@ -117,7 +117,9 @@ def m8_auc_rank(spark, sf_dir):
 @register("m9_sample_predictions")
 def m9_sample_predictions(spark, sf_dir):
     _, pred = fixtures.mr(spark, sf_dir)
-    return evaluation.sample_predictions(pred.select("article_id", "label", "prediction"), 10, ("article_id",))
+    sample = pred.select("article_id", "label", "prediction", F.round("prob_true", 6).alias("prob_true"))
+    return evaluation.sample_predictions(sample, 10, ("article_id",), width=50,
+                                         content=relational.prepared_articles(spark, sf_dir))
 
 
 @register("a1_token_counts")

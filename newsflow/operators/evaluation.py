@@ -118,7 +118,16 @@ def area_under_roc(pred: DataFrame, score: str = "margin", label: str = "label")
                                          metricName="areaUnderROC").evaluate(pred)
 
 
-def sample_predictions(pred: DataFrame, n: int = 10, order=("article_id",), width: int = 50) -> DataFrame:
-    """M9 / R2: first ``n`` rows by ``order`` with content truncated to ``width``."""
-    cols = [F.substring(F.col(c), 1, width).alias(c) if c == "content" else F.col(c) for c in pred.columns]
-    return pred.orderBy(*order).limit(n).select(*cols)
+def sample_predictions(pred: DataFrame, n: int = 10, order=("article_id",), width: int = 50,
+                       content: DataFrame | None = None, key: str = "article_id") -> DataFrame:
+    """M9 / R2: first ``n`` rows by ``order`` with content truncated to ``width``.
+
+    With ``content`` (``key, content``), the text is attached *after* the
+    limit: the ``n`` sampled rows are broadcast (a bound of ``n`` rows) into
+    a join with the content table, instead of joining every prediction.
+    """
+    top = pred.orderBy(*order).limit(n)
+    if content is not None:
+        top = content.select(key, "content").join(F.broadcast(top), key)
+    cols = [F.substring(F.col(c), 1, width).alias(c) if c == "content" else F.col(c) for c in top.columns]
+    return top.select(*cols)
