@@ -259,9 +259,9 @@ SELECT title, subject, date, prediction_label, prob_fake, prob_true FROM pred_ro
 ORACLE["k8_export_summaries"] = PRED_ROWS + """
 SELECT subject, prediction_label, count(*) AS count FROM pred_rows GROUP BY subject, prediction_label"""
 ORACLE["r2_preview"] = PRED_ROWS + """
-SELECT substr(title, 1, 40) AS title, substr(subject, 1, 40) AS subject, substr(date, 1, 40) AS date,
-       substr(prediction_label, 1, 40) AS prediction_label
-FROM pred_rows ORDER BY subject, title, date LIMIT 10"""
+SELECT substr(title, 1, 40) AS title, substr(subject, 1, 40) AS subject,
+       substr(prediction_label, 1, 40) AS prediction_label, prob_fake
+FROM pred_rows ORDER BY subject, title, prob_fake LIMIT 10"""
 ORACLE["s6_file_inventory"] = CLEAN_KEPT + """
 SELECT DISTINCT 'subject=' || subject AS partition, true AS has_files, true AS has_bytes FROM kept"""
 ORACLE["g5_dataset_status"] = CLEAN_KEPT + """

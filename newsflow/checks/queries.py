@@ -345,8 +345,8 @@ def k8_export_summaries(spark, sf_dir):
 @register("r2_preview")
 def r2_preview(spark, sf_dir):
     path = fixtures.prediction_dataset(spark, sf_dir)
-    df = read_predictions(spark, path).select("title", "subject", "date", "prediction_label")
-    return ordering.preview(df, 10, ("subject", "title", "date"), truncate=40)
+    df = read_predictions(spark, path).select("title", "subject", "prediction_label", "prob_fake")
+    return ordering.preview(df, 10, ("subject", "title", "prob_fake"), truncate=40)
 
 
 def _partition_listing(spark, sf_dir):
