@@ -37,6 +37,27 @@ def by_date_label(pred: DataFrame) -> DataFrame:
     return count_by(pred, "date", "prediction_label", order=True)
 
 
+# grouping_id() over (subject, date, prediction_label): a bit is 1 when the
+# column is rolled up, so each summary of the export has its own id.
+SUMMARY_SETS = {"by_label": (["prediction_label"], 0b110),
+                "by_subject": (["subject", "prediction_label"], 0b010),
+                "by_date": (["date", "prediction_label"], 0b100)}
+
+
+def export_summaries(pred: DataFrame) -> DataFrame:
+    """G2 + G3 + G4 in one scan and one shuffle: grouping sets tagged by ``gid``."""
+    return pred.groupingSets([cols for cols, _ in SUMMARY_SETS.values()], "subject", "date",
+                             "prediction_label").agg(F.count(F.lit(1)).alias("count"),
+                                                     F.grouping_id().alias("gid"))
+
+
+def summary_from(sets: DataFrame, name: str) -> DataFrame:
+    """One summary out of ``export_summaries``, in report order."""
+    cols, gid = SUMMARY_SETS[name]
+    out = sets.filter(F.col("gid") == gid).select(*cols, "count")
+    return out.orderBy(*cols) if len(cols) > 1 else out
+
+
 def direct_children(listing: DataFrame, root: str) -> DataFrame:
     """Adds ``child``: the first path component below ``root`` (a file or a folder).
 

@@ -81,9 +81,11 @@ def export(spark: SparkSession, pred_path: str, out_dir: str, single_file: bool
     df = read_predictions(spark, pred_path)
     flat = df.select("title", "subject", "date", "prediction_label", "prob_fake", "prob_true")
     out = {"predictions": sinks.export_csv(flat, out_dir, "predictions.csv", single_file)}
-    out["by_label"] = sinks.export_summary(aggregates.by_label(df), out_dir, "summary_by_label.csv")
-    out["by_subject"] = sinks.export_summary(aggregates.by_subject_label(df), out_dir, "summary_by_subject.csv")
-    out["by_date"] = sinks.export_summary(aggregates.by_date_label(df), out_dir, "summary_by_date.csv")
+    # The three summaries come from one grouping-sets pass; its (small) result is written once.
+    sets = materialize(aggregates.export_summaries(df), "export_summaries")
+    for name, file in (("by_label", "summary_by_label.csv"), ("by_subject", "summary_by_subject.csv"),
+                       ("by_date", "summary_by_date.csv")):
+        out[name] = sinks.export_summary(aggregates.summary_from(sets, name), out_dir, file)
     return out
 
 

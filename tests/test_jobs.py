@@ -38,9 +38,14 @@ def test_export_writes_four_files(spark):
     for k in ("predictions", "by_label", "by_subject", "by_date"):
         assert os.path.isfile(res[k].replace("file:", "")), k
     n = read_predictions(spark, path).count()
-    back = spark.read.options(**sinks.CSV_OPTIONS).schema(
-        "prediction_label string, count bigint").csv(res["by_label"])
-    assert back.agg(F.sum("count")).first()[0] == n
+    for key, schema in (("by_label", "prediction_label string, count bigint"),
+                        ("by_subject", "subject string, prediction_label string, count bigint"),
+                        ("by_date", "date string, prediction_label string, count bigint")):
+        back = spark.read.options(**sinks.CSV_OPTIONS).schema(schema).csv(res[key])
+        assert back.agg(F.sum("count")).first()[0] == n, key
+    from newsflow.operators.aggregates import export_summaries
+    p = export_summaries(read_predictions(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert p.count("FileScan") == 1                      # three summaries, one scan
 
 
 def test_backfill_and_compaction(spark):
