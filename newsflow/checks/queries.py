@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import text as TX
@@ -223,17 +224,14 @@ def t2_clean_html(spark, sf_dir):
 @register("j1_json_parse")
 def j1_json_parse(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
-    return ev.select("event_id", parse_json("props", _props_schema())["k"].alias("k"))
+    return ev.select("event_id", parse_json("props", PROPS_SCHEMA)["k"].alias("k"))
 
 
-def _props_schema():
-    from pyspark.sql import types as T
-    return T.StructType([T.StructField("k", T.LongType(), True)])
+PROPS_SCHEMA = T.StructType([T.StructField("k", T.LongType(), True)])
 
 
 @register("j2_json_build")
 def j2_json_build(spark, sf_dir):
-    from pyspark.sql import types as T
     ev = read_table(spark, sf_dir, "events")
     fields = ["event_id", "user_id", "event_type", "value", "props"]
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
@@ -287,7 +285,6 @@ def k11_land_training(spark, sf_dir):
     fake, true = fixtures.training_csvs(spark, sf_dir)
     out = scratch_path(spark, "landed_training")
     sinks.land_training(spark, fake, true, out)
-    from pyspark.sql import types as T
     schema = T.StructType(TRAINING_CSV_SCHEMA.fields + [T.StructField("label", T.DoubleType(), True)])
     return spark.read.schema(schema).parquet(out)
 
