@@ -81,3 +81,38 @@ def test_messages_are_parsed_once(spark):
     assert p.count("from_json(") == 1
     t1 = plan(__import__("newsflow.checks.queries", fromlist=["x"]).t1_clean_text(spark, SF))
     assert t1.count("<[^>]+>") == 1                      # the tag strip runs once (not inlined into the filter)
+
+
+def test_broadcast_only_within_counted_bound(spark):
+    from newsflow.operators.joins import broadcast_if_small
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(broadcast_if_small(small, 10, max_rows=100), "k")
+        plain = big.join(broadcast_if_small(small, 10, max_rows=5), "k")
+        assert "BroadcastHashJoin" in plan(hinted)
+        assert "BroadcastHashJoin" not in plan(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_checkpoint_root_requires_shared_folder_on_a_cluster():
+    from newsflow import session as S
+
+    class Ctx:
+        master = "spark://cluster:7077"
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class FakeSession:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    import pytest
+    with pytest.raises(RuntimeError):
+        S.checkpoint_root(FakeSession())
