@@ -20,9 +20,9 @@ from ..functions.messages import BAD_COLUMN, parse_json, parse_messages, to_json
 from ..operators import aggregates, classifier, evaluation, feeds, ordering
 from ..operators.labels import decode_label
 from ..operators.tfidf_nb import prepare
-from ..plans import jobs, relational
+from ..plans import jobs
 from ..schema import TRAINING_CSV_SCHEMA
-from ..session import materialize, scratch_path
+from ..session import scratch_path
 from ..sinks import files as sinks
 from ..sources.files import list_files, read_article_csv, read_ingested, read_predictions
 from ..sources.tables import articles, feed_documents, read_table
@@ -120,7 +120,7 @@ def m9_sample_predictions(spark, sf_dir):
     _, pred = fixtures.mr(spark, sf_dir)
     sample = pred.select("article_id", "label", "prediction", F.round("prob_true", 6).alias("prob_true"))
     return evaluation.sample_predictions(sample, 10, ("article_id",), width=50,
-                                         content=relational.prepared_articles(spark, sf_dir))
+                                         content=fixtures.prepared(spark, sf_dir))
 
 
 @register("a1_token_counts")
@@ -143,8 +143,7 @@ def a2_stopword_removed(spark, sf_dir):
 
 def _ml_predictions(spark, sf_dir):
     """Fits the ML model on the training share; returns it with predictions of all prepared articles."""
-    prep = materialize(prepare(articles(spark, sf_dir), None).withColumn("is_train", evaluation.is_train("article_id")),
-                       "ml_prepared").filter(F.length("content") > C.MIN_CONTENT_CHARS)
+    prep = fixtures.prepared(spark, sf_dir).drop("date")
     model = classifier.fit(prep.filter("is_train"))
     _ML_MODELS[(spark.sparkContext.applicationId, id(spark), sf_dir)] = model
     return model, classifier.score(model, prep)
