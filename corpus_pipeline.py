@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontaminate, line_dedup, mixing, toxicity
+from newsflow.llm import decontaminate, line_dedup, mixing, setsketch, toxicity
 from newsflow.llm.tables import read
 from newsflow.session import materialize
 
@@ -30,6 +30,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ).select(COLUMNS)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similarity 0.8 or more on five-word shingles stays."""
+    return setsketch.drop_near_duplicates(docs, percent=80, size=5).select(COLUMNS)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark item go."""
     return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark")).select(COLUMNS)
@@ -40,7 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select(COLUMNS))
 
 
-STAGES = [("toxicity", drop_toxic), ("line dedup", drop_lines), ("decontamination", drop_leaks), ("mixing", mix_sources)]
+STAGES = [("toxicity", drop_toxic), ("line dedup", drop_lines), ("near-duplicates", drop_near_duplicates),
+          ("decontamination", drop_leaks), ("mixing", mix_sources)]
 # The toxicity model, the near-duplicate groups and the seed overlaps have no SQL form.
 ORACLE_SQL = None
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, line_dedup, mixing, ordinal, quality_rules, toxicity, url_filter
+from . import (decontaminate, fm_substring, html_extract, line_dedup, mixing, ordinal, quality_rules, setsketch,
+               toxicity, url_filter)
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,11 @@ def op1_quality_rules(spark, sf_dir):
         "doc_id", "host", *quality_rules.METRICS, "base_failed", "host_docs", "host_failed", "host_blocked", "kept")
 
 
+@register
+def op2_setsketch_dedup(spark, sf_dir):
+    return setsketch.near_duplicates(read(spark, sf_dir, "documents"), percent=85, size=5)
+
+
 @register
 def op3_url_filter(spark, sf_dir):
     return url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), url_filter.rule_table(spark)).select(
@@ -40,6 +47,12 @@ def op5_ordinal_quality(spark, sf_dir):
     return ordinal.score(docs, ordinal.fit(docs, read(spark, sf_dir, "labels")))
 
 
+@register
+def op6_fm_substring(spark, sf_dir):
+    out = fm_substring.remove_repeats(read(spark, sf_dir, "documents"), size=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @register
 def op7_html_extract(spark, sf_dir):
     return html_extract.extract(read(spark, sf_dir, "pages"))
@@ -63,7 +76,9 @@ def op10_poisson_mix(spark, sf_dir):
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op2_setsketch_dedup": setsketch.ORACLE,
     "op3_url_filter": url_filter.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
+    "op6_fm_substring": fm_substring.ORACLE,
     "op10_poisson_mix": mixing.ORACLE,
 }

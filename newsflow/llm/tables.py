@@ -27,7 +27,7 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
 
 
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
-         "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<float>": pa.list_(pa.float32())}
+         "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32())}
 
 
 def map_column(df: DataFrame, keep: list[str], column: str, fn: Callable, fields: dict[str, str]) -> DataFrame:
