@@ -97,8 +97,8 @@ def verdicts(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MI
     """One row per row of ``docs``: doc_id, n_items, item_ids (sorted), best_matched, kept."""
     leaks = overlaps(docs, items, masks, min_score).groupBy(F.col("doc_id").alias("leak_id")).agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("item_id")).alias("ids"), F.max("matched").alias("m"))
-    out = docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak_id"]), "left")
-    return out.select(docs["doc_id"], F.coalesce("n", F.lit(0)).alias("n_items"),
+    out = docs.select("doc_id").join(leaks, F.col("doc_id").eqNullSafe(F.col("leak_id")), "left")
+    return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_items"),
                       F.coalesce("ids", F.array().cast(leaks.schema["ids"].dataType)).alias("item_ids"),
                       F.coalesce("m", F.lit(0)).alias("best_matched"), F.col("n").isNull().alias("kept"))
 

@@ -7,7 +7,8 @@ the text itself moves once, to meet the positions it loses.
 A row is identified by ``doc_id`` and its text's hash.  Rows with equal
 ``doc_id`` count as one document; a null ``doc_id`` is one document too.  A null
 or empty text is one empty line.  Empty tables give empty results.  Columns
-besides ``doc_id`` and ``text`` are kept as they are.
+besides ``doc_id`` and ``text`` are kept as they are (``n_lines`` and ``n_dropped``
+are replaced).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import text_key
+from .tables import packed, text_key, unpacked
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,19 +52,17 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1)
     lost = (positions.join(frequent_keys(positions, min_docs), ["k1", "k2"], "left_semi")
             .groupBy(F.col("doc_id").alias("lost_id"), F.col("rk").alias("lost_rk"))
             .agg(F.collect_set("at").alias("lost_at")))
-    keyed = docs.withColumn("lost_key", text_key())
-    joined = keyed.join(lost, keyed["doc_id"].eqNullSafe(lost["lost_id"]) & (keyed["lost_key"] == lost["lost_rk"]),
-                        "left")
+    keyed = packed(docs).withColumn("rk", text_key(F.col("row.text")))
+    joined = keyed.join(lost, F.col("row.doc_id").eqNullSafe(F.col("lost_id")) & (F.col("rk") == F.col("lost_rk")), "left")
     # the lines are a column of their own, so that they are split once and not for each position
-    joined = joined.select(*[docs[c] for c in docs.columns], "lost_at", split_lines(docs["text"]).alias("lost_lines"))
-    n = F.size("lost_lines")
+    joined = joined.select("row", "lost_at", split_lines(F.col("row.text")).alias("lines"))
+    n = F.size("lines")
     # array_except hashes, so a long document costs linear time
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col("lost_at")),
-                       lambda at: F.get(F.col("lost_lines"), at))
-    text = F.when(F.col("lost_at").isNull(), F.coalesce(docs["text"], F.lit(""))).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns],
-                         n.cast("long").alias("n_lines"),
-                         F.coalesce(F.size("lost_at"), F.lit(0)).cast("long").alias("n_dropped"))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col("lost_at")), lambda at: F.get(F.col("lines"), at))
+    text = F.when(F.col("lost_at").isNull(), F.coalesce("row.text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
+    out = joined.select(*unpacked(docs, "text", "n_lines", "n_dropped"), text.alias("text"), n.cast("long").alias("n_lines"),
+                        F.coalesce(F.size("lost_at"), F.lit(0)).cast("long").alias("n_dropped"))
+    return out.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
 
 
 def line_digest(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:

@@ -11,7 +11,8 @@ Rates above ``SPAN`` are drawn as a sum of independent draws of smaller rate,
 which is exact, so no rate makes a long table or a row of unbounded size.
 A null source is a source of its own.  Rows that share ``doc_id`` draw alike.
 Sources with no or a non-positive weight get no copies.  An empty table gives an
-empty result.  All columns of the input are kept.
+empty result.  All columns of the input are kept
+(``copy`` and ``shuffle_key`` are replaced).
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .tables import packed, unpacked
 
 SPAN = 16.0               # largest rate of one draw
 BROADCAST_SOURCES = 100_000   # a rate table of at most so many rows (a few MB) is broadcast
@@ -64,27 +66,24 @@ def rates(docs: DataFrame, weights: dict | None = None, size: float = 1.0) -> Da
 def replicate(docs: DataFrame, weights: dict | None = None, size: float = 1.0, seed: int = 42) -> DataFrame:
     """``docs`` with each row repeated by its draw, plus ``copy`` (long, from 0) and ``shuffle_key`` (long)."""
     table = materialize(rates(docs, weights, size), "source-rates")
+    rows = packed(docs)
     if table.count() <= BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(table.withColumnRenamed("source", "mix_source")),
-                           F.col("source").eqNullSafe(F.col("mix_source")))
+        joined = rows.join(F.broadcast(table), F.col("row.source").eqNullSafe(F.col("source")))
     else:
-        salted = table.select(F.col("source").alias("mix_source"), "rate", F.explode(
-            F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).alias("mix_salt"))
-        joined = docs.join(salted, F.col("source").eqNullSafe(F.col("mix_source")) &
-                           (F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)) == F.col("mix_salt")))
-    draws = F.greatest(F.lit(1), F.ceil(F.col("rate") / SPAN)).cast("int")
-    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    parts = joined.withColumn("mix_draws", draws).withColumn(
-        "mix_part", F.explode(F.sequence(F.lit(0), F.col("mix_draws") - 1)))
-    u = uniform(F.lit(str(seed)), ident, F.col("mix_part").cast("string"))
-    parts = parts.withColumn("mix_u", u).withColumn("mix_rate", F.col("rate") / F.col("mix_draws"))
-    parts = parts.withColumn("mix_k", poisson_inverse(F.col("mix_u"), F.col("mix_rate"))).filter("mix_k > 0")
-    out = parts.withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("mix_k") - 1)))
+        salted = table.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])))
+        joined = rows.join(salted, F.col("row.source").eqNullSafe(F.col("source")) &
+                           (F.pmod(F.xxhash64("row.doc_id"), F.lit(SALTS)) == F.col("salt")))
+    joined = joined.select("row", "rate", F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null")).alias("ident"),
+                           F.greatest(F.lit(1), F.ceil(F.col("rate") / SPAN)).cast("int").alias("draws"))
+    parts = joined.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("draws") - 1)))
+    parts = parts.withColumn("u", uniform(F.lit(str(seed)), F.col("ident"), F.col("part").cast("string")))
+    parts = parts.withColumn("k", poisson_inverse(F.col("u"), F.col("rate") / F.col("draws"))).filter("k > 0")
     # copies of part p are numbered from p * 2^20 on; one draw of a rate up to SPAN stays far below that
-    return out.withColumn("mix_copy", F.col("mix_part").cast("long") * (1 << 20) + F.col("mix_copy")).select(
-        *[docs[c] for c in docs.columns], F.col("mix_copy").alias("copy"),
-        F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"{seed}s"), ident, F.col("mix_copy").cast("string"))), 1, 15),
-               16, 10).cast("long").alias("shuffle_key"))
+    out = parts.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).withColumn(
+        "copy", F.col("part").cast("long") * (1 << 20) + F.col("j"))
+    order = F.md5(F.concat_ws("|", F.lit(f"{seed}s"), F.col("ident"), F.col("copy").cast("string")))
+    return out.select(*unpacked(docs, "copy", "shuffle_key"), "copy",
+                      F.conv(F.substring(order, 1, 15), 16, 10).cast("long").alias("shuffle_key"))
 
 
 def mix(docs: DataFrame, weights: dict | None = None, size: float = 1.0, seed: int = 42) -> DataFrame:

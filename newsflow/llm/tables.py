@@ -18,12 +18,15 @@ def text_key(text: str | Column = "text") -> Column:
     return F.xxhash64(F.col(text) if isinstance(text, str) else text)
 
 
-def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Null-safe equality on several columns."""
-    out = F.lit(True)
-    for n in names:
-        out = out & left[n].eqNullSafe(right[n])
-    return out
+def packed(df: DataFrame) -> DataFrame:
+    """All columns as one struct ``row``, so that none clashes with an operator's own names."""
+    return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
+
+
+def unpacked(df: DataFrame, *but: str) -> list[Column]:
+    """The columns of ``df`` out of ``row``, without those named in ``but``."""
+    names = {b.lower() for b in but}
+    return [F.col("row")[c].alias(c) for c in df.columns if c.lower() not in names]
 
 
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .line_dedup import LOWER, UPPER
+from .tables import packed, unpacked
 
 # (host, path, verdict): fixed values of the query.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -71,10 +72,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
             .groupBy("u_url").agg(F.max(F.struct(
                 (F.col("h") + F.col("p")).alias("len"), "h", (F.col("r_verdict") == "block").alias("block"),
                 "r_rule", "r_verdict")).alias("best")))
-    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    out = pages.join(best, pages[url] == best["u_url"], "left")
-    return out.select(*[pages[c] for c in keep], url_host(pages[url]).alias("host"), url_path(pages[url]).alias("path"),
-                      F.col("best.r_rule").alias("rule"),
+    out = packed(pages).join(best, F.col("row")[url] == F.col("u_url"), "left")
+    return out.select(*unpacked(pages, "host", "path", "rule", "verdict"), url_host(F.col("row")[url]).alias("host"),
+                      url_path(F.col("row")[url]).alias("path"), F.col("best.r_rule").alias("rule"),
                       F.coalesce(F.col("best.r_verdict"), F.lit(default)).alias("verdict"))
 
 
