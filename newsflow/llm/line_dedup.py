@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import packed, text_key, unpacked
+from .tables import packed, text_key
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,9 +60,11 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1)
     # array_except hashes, so a long document costs linear time
     kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col("lost_at")), lambda at: F.get(F.col("lines"), at))
     text = F.when(F.col("lost_at").isNull(), F.coalesce("row.text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
-    out = joined.select(*unpacked(docs, "text", "n_lines", "n_dropped"), text.alias("text"), n.cast("long").alias("n_lines"),
+    out = joined.select("row", text.alias("new_text"), n.cast("long").alias("n_lines"),
                         F.coalesce(F.size("lost_at"), F.lit(0)).cast("long").alias("n_dropped"))
-    return out.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    columns = [F.col("new_text").alias(c) if c.lower() == "text" else F.col("row")[c].alias(c)
+               for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    return out.select(*columns, "n_lines", "n_dropped")
 
 
 def line_digest(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:

@@ -143,7 +143,8 @@ def _featurize_all(texts: list) -> dict:
 def fit(docs: DataFrame, labels: DataFrame, grade: str = "quality", max_train: int = MAX_TRAIN) -> Model:
     rows = map_column(training_rows(docs, labels, grade, max_train), ["grade"], "text", _featurize_all,
                       {"at": "array<int>", "val": "array<float>"}).toPandas()   # bounded by max_train
-    return fit_rows(list(zip(rows["at"].map(np.asarray), rows["val"].map(np.asarray))), rows["grade"].to_numpy())
+    return fit_rows([(np.asarray(i, np.int32), np.asarray(v, np.float32)) for i, v in zip(rows["at"], rows["val"])],
+                    rows["grade"].to_numpy())
 
 
 def score(docs: DataFrame, model: Model, select: int = 1) -> DataFrame:

@@ -21,6 +21,7 @@ null ``doc_id`` is not held out.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -34,9 +35,10 @@ from .tables import map_column
 
 MAX_TRAIN = 20_000
 MAX_TERMS = 20_000
-MIN_TOXIC_DOCS = 3        # a lexicon entry is seen in at least so many toxic documents
-MIN_TOXIC_SHARE = 0.005   # and in this share of them
-MIN_PRECISION = 0.95      # share of toxic documents among those with the entry
+CHANCE = 1e-6             # a lexicon entry is seen in so many toxic documents that chance gives less than this
+MIN_TOXIC_SHARE = 0.005   # and in this share of all toxic ones
+MIN_PRECISION = 0.6       # share of toxic documents among those with the entry
+REACHED = 4.0             # a document that emits so much is explained
 ROUNDS = 6                # later rounds look only at toxic documents that the lexicon doesn't reach yet
 PREFIXES = (4, 5, 6)
 SCOPE = 4                 # words that a target, negation or report mark stays in force
@@ -55,6 +57,7 @@ THREATS = frozenset("kill hurt destroy burn shoot stab töten verbrennen erschie
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;\n]")
 ENDS = frozenset(".!?;\n")
 ARCS = ("plain", "target", "negated", "reported", "threat")
+MEASURES = (*ARCS, "words")     # what each arc emits, and how many words the clauses have
 
 
 def pieces(text: str | None) -> Iterator[str]:
@@ -83,10 +86,11 @@ def weight_of(word: str, lexicon: dict) -> float:
 
 
 def arcs(text: str | None, lexicon: dict) -> list[float]:
-    """Weight emitted on each of ``ARCS`` by the clauses of a whole text."""
-    out = [0.0] * len(ARCS)
+    """``MEASURES`` of a whole text: the weight its clauses emit on each arc, and its number of words."""
+    out = [0.0] * len(MEASURES)
     for piece in pieces(text):
         words = WORD.findall(piece)
+        out[-1] += len(words)
         known = {w: x for w in set(words) if (x := weight_of(w, lexicon))}
         marked = THREATS.intersection(words)
         if not known and not marked:
@@ -114,9 +118,9 @@ def arcs(text: str | None, lexicon: dict) -> list[float]:
     return out
 
 
-def features(emitted: np.ndarray) -> np.ndarray:
-    """Emitted weights, saturating, so that length alone doesn't raise a score."""
-    return 1.0 - np.exp(-np.asarray(emitted, float) / 4.0)
+def features(measured: np.ndarray) -> np.ndarray:
+    """Logarithms: a second match adds less than the first, and chance matches grow with the number of words."""
+    return np.log1p(np.asarray(measured, float))
 
 
 def terms(text: str | None) -> set[str]:
@@ -165,7 +169,7 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _reached(lexicon: dict):
-    return F.pandas_udf(lambda texts: pd.Series([sum(arcs(t, lexicon)) > 0 for t in texts], dtype=bool), "boolean")
+    return F.pandas_udf(lambda texts: pd.Series([sum(arcs(t, lexicon)[:-1]) >= REACHED for t in texts], dtype=bool), "boolean")
 
 
 def learn_lexicon(train: DataFrame, max_terms: int = MAX_TERMS) -> dict:
@@ -178,15 +182,23 @@ def learn_lexicon(train: DataFrame, max_terms: int = MAX_TERMS) -> dict:
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not toxic or not clean:
         return {}
-    least = max(MIN_TOXIC_DOCS, MIN_TOXIC_SHARE * toxic)
     lexicon: dict = {}
+    left = toxic
     for _ in range(ROUNDS):
-        rows = train.filter((F.col("toxic") == 0) | ~_reached(lexicon)(F.col("text"))) if lexicon else train
+        rows = train
+        if lexicon:
+            rows = train.filter((F.col("toxic") == 0) | ~_reached(lexicon)(F.col("text")))
+            left = rows.filter("toxic <> 0").count()
         counted = rows.mapInPandas(_count_terms, "term string, clean long, toxic long").groupBy("term").agg(
             F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-        best = (counted.filter((F.col("toxic") >= least) &
-                               (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean"))))
+        share, both = max(left, 1) / (left + clean), F.col("toxic") + F.col("clean")
+        precise = F.col("toxic") / both
+        # Chernoff bound on the chance of so many toxic documents among those with the entry
+        surprise = F.col("toxic") * F.log(precise / share) + F.when(
+            F.col("clean") > 0, F.col("clean") * F.log((1 - precise) / (1 - share))).otherwise(0.0)
+        best = (counted.filter((F.col("toxic") >= MIN_TOXIC_SHARE * toxic) & (precise >= MIN_PRECISION) &
+                               (surprise >= -math.log(CHANCE)))
                 .select("term", odds.alias("w")).filter("w > 0").orderBy(F.desc("w"), "term")
                 .limit(max_terms - len(lexicon)).collect())
         if not best:
@@ -200,7 +212,7 @@ def learn_lexicon(train: DataFrame, max_terms: int = MAX_TERMS) -> dict:
 def _emit(lexicon: dict) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = pd.DataFrame([arcs(t, lexicon) for t in b["text"]], columns=list(ARCS), dtype=float)
+            out = pd.DataFrame([arcs(t, lexicon) for t in b["text"]], columns=list(MEASURES), dtype=float)
             out["toxic"] = b["toxic"].to_numpy()
             yield out
     return run
@@ -238,11 +250,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_term
     train = training_rows(docs, labels, max_train)
     lexicon = learn_lexicon(train, max_terms)
     # the sample is bounded, so its few numbers per row fit the driver
-    rows = train.mapInPandas(_emit(lexicon), ", ".join(f"{a} double" for a in ARCS) + ", toxic int").toPandas()
+    rows = train.mapInPandas(_emit(lexicon), ", ".join(f"{a} double" for a in MEASURES) + ", toxic int").toPandas()
     if not len(rows):
-        return Model({}, np.array([0.0] * len(ARCS) + [-20.0]))
+        return Model({}, np.array([0.0] * len(MEASURES) + [-20.0]))
     y = (rows["toxic"] != 0).to_numpy(float)
-    return Model(lexicon, fit_arcs(rows[list(ARCS)].to_numpy(float), y))
+    return Model(lexicon, fit_arcs(rows[list(MEASURES)].to_numpy(float), y))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
