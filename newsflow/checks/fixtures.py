@@ -15,7 +15,7 @@ from ..operators.labels import decode_label
 from ..plans import relational
 from ..session import materialize, scratch_path
 from ..sinks import files as sinks
-from ..sources.tables import articles
+from ..sources import tables
 
 _MR_CACHE: dict = {}
 _INPUTS: dict = {}
@@ -33,14 +33,32 @@ def _once(kind: str):
         return wrapper
     return deco
 
+
+def text_tasks(spark: SparkSession) -> int:
+    """Tasks for the text tables of the test data, whose files have one row group each."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return tables.read_table(spark, sf_dir, name, text_tasks(spark))
+
+
+def articles(spark: SparkSession, sf_dir: str, labelled: bool = True, how: str = "inner") -> DataFrame:
+    return tables.articles(spark, sf_dir, labelled=labelled, tasks=text_tasks(spark), how=how)
+
+
+def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.feed_documents(spark, sf_dir, text_tasks(spark))
+
+
 MESSAGE_FIELDS = ["title", "text", "subject", "date", "article_id"]
 
 
 @_once("prepared")
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled, preprocessed articles with the split flag (written once), shared
-    by the relational model, the ML model and the prediction sample."""
-    return relational.prepared_articles(spark, sf_dir)
+    """All articles, preprocessed, with the split flag (written once), shared by the
+    relational model, the ML model and the prediction sample."""
+    return relational.prepared_articles(spark, sf_dir, text_tasks(spark))
 
 
 def mr(spark: SparkSession, sf_dir: str):
@@ -61,9 +79,9 @@ def mr(spark: SparkSession, sf_dir: str):
 
 
 def prediction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction dataset rows (K6 shape) for every prepared labelled article."""
+    """Prediction dataset rows (K6 shape) for every prepared article."""
     _, pred = mr(spark, sf_dir)
-    arts = articles(spark, sf_dir).select("article_id", "title", "text")
+    arts = articles(spark, sf_dir, labelled=False).select("article_id", "title", "text")
     return pred.join(arts, "article_id").select(
         "title", "text", "subject", "date",
         F.round("prob_fake", 6).alias("prob_fake"), F.round("prob_true", 6).alias("prob_true"),

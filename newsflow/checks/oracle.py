@@ -43,11 +43,11 @@ def split_bucket_sql(key: str) -> str:
 
 PREPARED = f"""
 prepared AS (
-  SELECT article_id, subject, date, label,
+  SELECT a.*, cast(l.quality AS double) AS label,
          {preprocess_sql("title || ' ' || text")} AS content
-  FROM articles),
+  FROM all_articles a LEFT JOIN labels l ON a.article_id = cast(l.doc_id AS varchar)),
 docs AS (
-  SELECT *, {split_bucket_sql("article_id")} < 80 AS is_train
+  SELECT *, {split_bucket_sql("article_id")} < 80 AND label IS NOT NULL AS is_train
   FROM prepared WHERE length(content) > 50)"""
 
 MR_MODEL = f"""
@@ -90,21 +90,111 @@ predictions AS (
   FROM scores)"""
 
 
+# The hashed-feature model: Spark's HashingTF index is Murmur3 (x86, 32 bit, seed 42) of the term's
+# UTF-8 bytes, signed, modulo 5000.  Terms are ASCII letters, so a byte is a character code; the
+# tokenizer keeps a leading empty token and drops trailing ones.
+TWO32 = "4294967296::UBIGINT"
+
+
+def _times(x: str, c: int) -> str:
+    return f"(({x}) * {c}::UBIGINT % {TWO32})"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) * {1 << r}::UBIGINT) % {TWO32} + ({x}) // {1 << (32 - r)}::UBIGINT)"
+
+
+def _mix_block(k: str) -> str:
+    return _times(_rotl(_times(k, 0xCC9E2D51), 15), 0x1B873593)
+
+
+def _bytes(first: str, n: int) -> str:
+    return "(" + " + ".join(f"unicode(substr(term, cast({first} + {j + 1} AS bigint), 1)) * {256 ** j}"
+                            for j in range(n)) + ")::UBIGINT"
+
+
+def ml_tokens(docs: str) -> str:
+    """article_id, term of the model's tokens of a relation with content."""
+    return f"""
+  SELECT article_id, unnest(CASE WHEN content = '' THEN [''] WHEN rtrim(content, ' ') = '' THEN []
+                            ELSE string_split(rtrim(content, ' '), ' ') END) AS term
+  FROM {docs}"""
+
+
+SCORABLE = f"""
+scorable AS (
+  SELECT *, {preprocess_sql("title || ' ' || text")} AS content
+  FROM all_articles WHERE title IS NOT NULL AND text IS NOT NULL)"""
+
+ML_MODEL = f"""
+ml_tokens AS (
+  SELECT * FROM ({ml_tokens("scorable")}) WHERE term NOT IN ({sql_list()})),
+vocab AS (SELECT DISTINCT term, length(term) AS n FROM ml_tokens),
+blocks AS (
+  SELECT term, n, list_transform(range(0, n // 4), lambda i: {_bytes("4 * i", 4)}) AS ks,
+         CASE n % 4 WHEN 0 THEN 0::UBIGINT WHEN 1 THEN {_bytes("n - 1", 1)} WHEN 2 THEN {_bytes("n - 2", 2)}
+                    ELSE {_bytes("n - 3", 3)} END AS tail
+  FROM vocab),
+mixed AS (
+  SELECT term, n, list_transform(ks, lambda k: {_mix_block("k")}) AS ks, {_mix_block("tail")} AS tail FROM blocks),
+body AS (
+  SELECT term, xor(xor(list_reduce(list_prepend(42::UBIGINT, ks), lambda h, k:
+           ({_rotl("xor(h, k)", 13)} * 5::UBIGINT + {0xE6546B64}::UBIGINT) % {TWO32}), tail), n::UBIGINT) AS h
+  FROM mixed),
+fmix1 AS (SELECT term, {_times("xor(h, h // 65536::UBIGINT)", 0x85EBCA6B)} AS h FROM body),
+fmix2 AS (SELECT term, {_times("xor(h, h // 8192::UBIGINT)", 0xC2B2AE35)} AS h FROM fmix1),
+hashed AS (
+  SELECT term, cast(xor(h, h // 65536::UBIGINT) AS bigint) AS h FROM fmix2),
+term_bucket AS (
+  SELECT term, (((h - CASE WHEN h >= 2147483648 THEN 4294967296 ELSE 0 END) % 5000) + 5000) % 5000 AS bucket
+  FROM hashed),
+tf AS (
+  SELECT article_id, bucket, count(*) AS tf FROM ml_tokens JOIN term_bucket USING (term) GROUP BY ALL),
+train AS (SELECT article_id, label FROM docs WHERE is_train),
+ml_n AS (
+  SELECT count(*) AS n_docs, sum(CASE WHEN label = 1.0 THEN 1 ELSE 0 END) AS n1 FROM train),
+ml_stats AS (
+  SELECT bucket, count(*) AS df, sum(CASE WHEN label = 0.0 THEN tf ELSE 0 END) AS tf0,
+         sum(CASE WHEN label = 1.0 THEN tf ELSE 0 END) AS tf1
+  FROM tf JOIN train USING (article_id) GROUP BY bucket),
+ml_idf AS (
+  SELECT bucket, df, tf0, tf1, CASE WHEN df >= 5 THEN ln((n_docs + 1.0) / (df + 1.0)) ELSE 0.0 END AS idf
+  FROM ml_stats, ml_n),
+ml_tot AS (SELECT sum(tf0 * idf) AS s0, sum(tf1 * idf) AS s1 FROM ml_idf),
+ml_theta AS (
+  SELECT bucket, idf, ln(tf0 * idf + 1.0) - ln(s0 + 5000.0) AS theta0, ln(tf1 * idf + 1.0) - ln(s1 + 5000.0) AS theta1
+  FROM ml_idf, ml_tot),
+ml_sums AS (
+  SELECT article_id, sum(tf * idf * theta0) AS w0, sum(tf * idf * theta1) AS w1
+  FROM tf JOIN ml_theta USING (bucket) GROUP BY article_id),
+ml_scores AS (
+  SELECT a.article_id, a.title, a.text, a.subject, a.date,
+         ln(n_docs - n1 + 1.0) - ln(n_docs + 2.0) + coalesce(w0, 0.0) AS score0,
+         ln(n1 + 1.0) - ln(n_docs + 2.0) + coalesce(w1, 0.0) AS score1
+  FROM scorable a CROSS JOIN ml_n LEFT JOIN ml_sums USING (article_id)),
+ml_predictions AS (
+  SELECT *, CASE WHEN score1 > score0 THEN 'TRUE' ELSE 'FAKE' END AS prediction_label,
+         CAST(CASE WHEN score1 > score0 THEN 1.0 ELSE 0.0 END AS double) AS prediction,
+         round(1.0 / (1.0 + exp(greatest(least(score1 - score0, 700.0), -700.0))), 6) AS prob_fake,
+         round(1.0 / (1.0 + exp(greatest(least(score0 - score1, 700.0), -700.0))), 6) AS prob_true
+  FROM ml_scores)"""
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["mr_predict"] = with_ctes(ARTICLES, PREPARED, MR_MODEL) + """
+ORACLE["mr_predict"] = with_ctes(ALL_ARTICLES, PREPARED, MR_MODEL) + """
 SELECT article_id, subject, label, is_train, prediction, prediction_label FROM predictions"""
 
-ORACLE["g3_by_subject_label"] = with_ctes(ARTICLES, PREPARED, MR_MODEL) + """
+ORACLE["g3_by_subject_label"] = with_ctes(ALL_ARTICLES, PREPARED, MR_MODEL) + """
 SELECT subject, prediction_label, cast(count(*) AS bigint) AS count
 FROM predictions GROUP BY subject, prediction_label ORDER BY subject, prediction_label"""
 
 # --- relational model summaries -------------------------------------------
-MR = with_ctes(ARTICLES, PREPARED, MR_MODEL)
+MR = with_ctes(ALL_ARTICLES, PREPARED, MR_MODEL)
 
 ORACLE["g1_row_count"] = MR + "\nSELECT count(*) AS n FROM predictions"
 ORACLE["g2_by_label"] = MR + """
@@ -121,7 +211,7 @@ SELECT term, cast(tf0 AS bigint) AS tf0, cast(tf1 AS bigint) AS tf1,
 ORACLE["m6_hash_split"] = with_ctes(ALL_ARTICLES) + f"""
 SELECT article_id, {split_bucket_sql("article_id")} < 80 AS is_train FROM all_articles"""
 ORACLE["m7_metrics"] = MR + """,
-cm AS (SELECT label, prediction, count(*) AS n FROM predictions WHERE NOT is_train GROUP BY label, prediction),
+cm AS (SELECT label, prediction, count(*) AS n FROM predictions WHERE NOT is_train AND label IS NOT NULL GROUP BY label, prediction),
 per_label AS (SELECT label, sum(n) AS n_label, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp
               FROM cm GROUP BY label),
 per_pred AS (SELECT prediction AS label, sum(n) AS n_pred FROM cm GROUP BY prediction),
@@ -139,7 +229,7 @@ ORACLE["m8_auc_rank"] = MR + """,
 ps AS (SELECT round(score1 - score0, 6) AS s,
               cast(sum(CASE WHEN label = 1.0 THEN 1 ELSE 0 END) AS double) AS pos,
               cast(sum(CASE WHEN label = 1.0 THEN 0 ELSE 1 END) AS double) AS neg
-       FROM predictions WHERE NOT is_train GROUP BY 1),
+       FROM predictions WHERE NOT is_train AND label IS NOT NULL GROUP BY 1),
 r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
              AS neg_below FROM ps)
 SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) AS auc FROM r"""
@@ -148,16 +238,30 @@ top AS (SELECT article_id, label, prediction, round(1.0 / (1.0 + exp(score0 - sc
         FROM predictions ORDER BY article_id LIMIT 10)
 SELECT t.article_id, substr(d.content, 1, 50) AS content, t.label, t.prediction, t.prob_true
 FROM top t JOIN docs d ON t.article_id = d.article_id"""
-ORACLE["a1_token_counts"] = with_ctes(ARTICLES, PREPARED) + """,
+ORACLE["a1_token_counts"] = with_ctes(ALL_ARTICLES, PREPARED) + """,
 toks AS (SELECT unnest(string_split(content, ' ')) AS term FROM docs)
 SELECT term, count(*) AS n FROM toks WHERE term <> '' GROUP BY term"""
-ORACLE["a2_stopword_removed"] = with_ctes(ARTICLES, PREPARED) + f"""
+ORACLE["a2_stopword_removed"] = with_ctes(ALL_ARTICLES, PREPARED) + f"""
 SELECT article_id,
        cast(len(list_filter(string_split(content, ' '), lambda x: x <> '')) AS integer) AS n_tokens,
        cast(len(list_filter(string_split(content, ' '),
                             lambda x: x <> '' AND NOT list_contains([{sql_list()}], x))) AS integer) AS n_terms
 FROM docs"""
 
+ML = with_ctes(ALL_ARTICLES, PREPARED, SCORABLE, ML_MODEL)
+ORACLE["m1_term_hash"] = ML + "\nSELECT term, cast(bucket AS integer) AS bucket FROM term_bucket"
+ORACLE["m4_tfidf_nb_predict"] = ML + """
+SELECT p.article_id, d.label, d.is_train, p.prediction, p.prediction_label
+FROM ml_predictions p JOIN docs d ON p.article_id = d.article_id"""
+ORACLE["p6_probabilities"] = ML + """
+SELECT p.article_id, p.prob_fake, p.prob_true
+FROM ml_predictions p JOIN docs d ON p.article_id = d.article_id"""
+ORACLE["st2_score"] = ML + "\nSELECT title, subject, date, prediction_label, prob_fake, prob_true FROM ml_predictions"
+ORACLE["k6_score_stream_append"] = ORACLE["st2_score"]
+ORACLE["k6_replay_idempotent"] = ML + """
+SELECT title, subject, date, prediction_label, prob_fake, prob_true, 0 AS batch_id FROM ml_predictions"""
+ORACLE["k9_model_roundtrip"] = ML + "\nSELECT title, subject, prediction_label, prob_fake, prob_true FROM ml_predictions"
+
 # --- text functions ----------------------------------------------------------
 
 
@@ -195,7 +299,7 @@ SELECT article_id, (title || ' ' || text) IS NULL AS content_null,
        cast(length(title || ' ' || text) AS integer) AS content_len FROM all_articles"""
 ORACLE["t4_preprocess"] = with_ctes(ALL_ARTICLES) + f"""
 SELECT article_id, {preprocess_sql("title || ' ' || text")} AS content FROM all_articles"""
-ORACLE["x1_min_content"] = with_ctes(ARTICLES, PREPARED) + """
+ORACLE["x1_min_content"] = with_ctes(ALL_ARTICLES, PREPARED) + """
 SELECT article_id, cast(length(content) AS integer) AS content_len FROM docs"""
 ORACLE["t6_key_prefix"] = with_ctes(ALL_ARTICLES) + """
 SELECT article_id, substr(title, 1, 50) AS key FROM all_articles"""
@@ -250,7 +354,7 @@ pred_rows AS (
          round(1.0 / (1.0 + exp(p.score1 - p.score0)), 6) AS prob_fake,
          round(1.0 / (1.0 + exp(p.score0 - p.score1)), 6) AS prob_true,
          p.prediction_label
-  FROM predictions p JOIN articles a ON p.article_id = a.article_id)"""
+  FROM predictions p JOIN all_articles a ON p.article_id = a.article_id)"""
 ORACLE["s3_partition_scan"] = PRED_ROWS + """
 SELECT title, subject, date, prob_fake, prob_true, prediction_label FROM pred_rows
 WHERE prediction_label = 'FAKE'"""
@@ -321,10 +425,6 @@ SELECT title, text, cast(NULL AS varchar) AS source, article_id, subject, date F
 ORACLE["k2_stream_csv"] = CLEAN_KEPT + "\nSELECT title, text, subject, date FROM kept"
 ORACLE["st6_restart"] = CLEAN_KEPT + "\nSELECT count(*) AS n FROM kept"
 ORACLE["d2_stream_dedupe"] = CLEAN_KEPT + "\nSELECT DISTINCT title FROM kept"
-ORACLE["k6_score_stream_append"] = with_ctes(ALL_ARTICLES) + """
-SELECT title, subject, date FROM all_articles WHERE title IS NOT NULL AND text IS NOT NULL"""
-ORACLE["k6_replay_idempotent"] = with_ctes(ALL_ARTICLES) + """
-SELECT title, subject, date, 0 AS batch_id FROM all_articles WHERE title IS NOT NULL AND text IS NOT NULL"""
 ORACLE["st3_console"] = with_ctes(ALL_ARTICLES) + "\nSELECT title, subject, date, article_id FROM all_articles"
 ORACLE["st5b_feed_stream"] = ORACLE["k10_feed_messages"]
 ORACLE["k1_stream_parquet"] = CLEAN_KEPT + "\nSELECT DISTINCT subject, date FROM kept"

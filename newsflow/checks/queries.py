@@ -25,10 +25,10 @@ from ..schema import TRAINING_CSV_SCHEMA
 from ..session import scratch_path
 from ..sinks import files as sinks
 from ..sources.files import list_files, read_article_csv, read_ingested, read_predictions
-from ..sources.tables import articles, feed_documents, read_table
 from ..streaming import ingest, scoring
 from ..streaming.sources import article_stream
 from . import fixtures
+from .fixtures import articles, feed_documents, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -102,7 +102,7 @@ def m6_hash_split(spark, sf_dir):
 @register("m7_metrics")
 def m7_metrics(spark, sf_dir):
     _, pred = fixtures.mr(spark, sf_dir)
-    m = evaluation.classification_metrics(pred.filter(~F.col("is_train")))
+    m = evaluation.classification_metrics(pred.filter("not is_train and label is not null"))
     return m.select(*[F.round(c, 9).alias(c) for c in ("accuracy", "weighted_precision", "weighted_recall", "f1")],
                     "n")
 
@@ -110,7 +110,7 @@ def m7_metrics(spark, sf_dir):
 @register("m8_auc_rank")
 def m8_auc_rank(spark, sf_dir):
     _, pred = fixtures.mr(spark, sf_dir)
-    scored = pred.filter(~F.col("is_train")).select(
+    scored = pred.filter("not is_train and label is not null").select(
         "label", F.round(F.col("score1") - F.col("score0"), 6).alias("margin"))
     return evaluation.auc_rank(scored, score="margin").select(F.round("auc", 9).alias("auc"))
 
@@ -125,22 +125,26 @@ def m9_sample_predictions(spark, sf_dir):
 
 @register("a1_token_counts")
 def a1_token_counts(spark, sf_dir):
-    prep = prepare(articles(spark, sf_dir))
+    prep = prepare(articles(spark, sf_dir, labelled=False))
     return prep.select(F.explode(TX.tokens("content")).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("n"))
 
 
 @register("a2_stopword_removed")
 def a2_stopword_removed(spark, sf_dir):
-    prep = prepare(articles(spark, sf_dir))
+    prep = prepare(articles(spark, sf_dir, labelled=False))
     return prep.select("article_id", F.size(TX.tokens("content")).alias("n_tokens"),
                        F.size(TX.terms("content")).alias("n_terms"))
 
 
 # --------------------------------------------------------------------------
-# ML model (M1-M5), rows-only
+# ML model (M1-M5)
 # --------------------------------------------------------------------------
 
+def _rounded():
+    return [F.round(c, 6).alias(c) for c in ("prob_fake", "prob_true")]
+
+
 def _ml_predictions(spark, sf_dir):
     """Fits the ML model on the training share; returns it with predictions of all prepared articles."""
     prep = fixtures.prepared(spark, sf_dir).drop("date")
@@ -149,6 +153,19 @@ def _ml_predictions(spark, sf_dir):
     return model, classifier.score(model, prep)
 
 
+@register("m1_term_hash")
+def m1_term_hash(spark, sf_dir):
+    """M1: the hashed feature of every term of the corpus, read off the transformer's own vectors."""
+    from pyspark.ml.functions import vector_to_array
+    content = articles(spark, sf_dir, labelled=False).filter("title is not null and text is not null").select(
+        TX.preprocessed_content("title", "text").alias("content"))
+    tokenizer, remover, hasher = classifier.build_model().getStages()[:3]
+    words = remover.transform(tokenizer.transform(content)).select(
+        F.explode("filtered_words").alias("term")).distinct().select("term", F.array("term").alias("filtered_words"))
+    return hasher.transform(words).select(
+        "term", (F.array_position(vector_to_array("raw_features"), F.lit(1.0)) - 1).cast("int").alias("bucket"))
+
+
 @register("m4_tfidf_nb_predict")
 def m4_tfidf_nb_predict(spark, sf_dir):
     _, pred = _ml_predictions(spark, sf_dir)
@@ -158,7 +175,7 @@ def m4_tfidf_nb_predict(spark, sf_dir):
 @register("p6_probabilities")
 def p6_probabilities(spark, sf_dir):
     _, pred = _ml_predictions(spark, sf_dir)
-    return pred.select("article_id", "prob_fake", "prob_true")
+    return pred.select("article_id", *_rounded())
 
 
 # --------------------------------------------------------------------------
@@ -203,7 +220,7 @@ def t4_preprocess(spark, sf_dir):
 
 @register("x1_min_content")
 def x1_min_content(spark, sf_dir):
-    return prepare(articles(spark, sf_dir)).select("article_id", F.length("content").alias("content_len"))
+    return prepare(articles(spark, sf_dir, labelled=False)).select("article_id", F.length("content").alias("content_len"))
 
 
 @register("t6_key_prefix")
@@ -501,7 +518,7 @@ def k9_model_roundtrip(spark, sf_dir):
     sinks.save_model(model, [primary, backup])
     loaded = load_model([scratch_path(spark, "missing_model"), backup])
     return jobs.score_batch(loaded, articles(spark, sf_dir, labelled=False)).select(
-        "title", "subject", "prediction_label", "prob_fake", "prob_true")
+        "title", "subject", "prediction_label", *_rounded())
 
 
 @register("st2_score")
@@ -511,13 +528,12 @@ def st2_score(spark, sf_dir):
     out, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "scored_ckpt")
     for q in scoring.start_scoring(model, article_stream(spark, "json", src), out, ckpt, available_now=True):
         q.awaitTermination()
-    return read_predictions(spark, out).select("title", "subject", "date", "prediction_label", "prob_fake",
-                                               "prob_true")
+    return read_predictions(spark, out).select("title", "subject", "date", "prediction_label", *_rounded())
 
 
 @register("k6_score_stream_append")
 def k6_score_stream_append(spark, sf_dir):
-    return st2_score(spark, sf_dir).select("title", "subject", "date")
+    return st2_score(spark, sf_dir)
 
 
 @register("k6_replay_idempotent")
@@ -529,7 +545,7 @@ def k6_replay_idempotent(spark, sf_dir):
     write = scoring.batch_writer(model, out)
     write(batch, 0)
     write(batch, 0)          # replay of the same micro-batch
-    return spark.read.parquet(out).select("title", "subject", "date", "batch_id")
+    return spark.read.parquet(out).select("title", "subject", "date", "prediction_label", *_rounded(), "batch_id")
 
 
 @register("st5b_feed_stream")

@@ -28,10 +28,3 @@ SCORE_TRIGGER = "30 seconds"
 INGEST_PARQUET_TRIGGER = "1 minute"
 INGEST_CSV_TRIGGER = "5 minutes"
 FEED_POLL_TRIGGER = "2 minutes"
-
-# --- scale guards (tuning, not semantics) ----------------------------------
-# Largest model table (rows) that is broadcast to every task when scoring;
-# beyond it the scorer falls back to a shuffle join with AQE skew handling.
-MAX_BROADCAST_MODEL_ROWS = 2_000_000
-# Largest number of rows a driver-side preview may pull.
-MAX_PREVIEW_ROWS = 1000

@@ -3,11 +3,11 @@ rank-form area under ROC (M8) and sample predictions (M9)."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import materialize
 
 
 def split_bucket(key="article_id", buckets: int = C.TRAIN_BUCKETS) -> Column:
@@ -63,37 +63,28 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
         total.cast("bigint").alias("n"))
 
 
-MAX_AUC_BUCKETS = 10_000
-
-
 def auc_rank(pred: DataFrame, score: str = "score", label: str = "label", buckets: int | None = None) -> DataFrame:
     """M8: area under ROC as P(score_pos > score_neg) + P(tie) / 2.
 
-    Scores are first aggregated per distinct value (partial aggregation, so
-    a hot score is one row); the running count of negatives below each score
-    is then computed in ``buckets`` score ranges: range boundaries come from
-    ``percentile_approx`` (at most ``MAX_AUC_BUCKETS`` doubles reach the
-    driver), per-range totals give the offsets (a table of ``buckets`` rows),
-    and the running sum runs inside each range only.  No window ever spans
-    all rows in one task.  By default there are 4 ranges per shuffle
-    partition, so range size shrinks as the cluster grows.
+    Scores are first aggregated per distinct value (partial aggregation, so a
+    hot score is one row) and range-partitioned into ``buckets`` score ranges,
+    written once.  Per-range totals give the count of negatives below each range
+    (a table of one row per range) and the running sum runs inside each range
+    only, so no window spans all scores.  By default there are 4 ranges per
+    shuffle partition, so range size shrinks as the cluster grows.
     """
     if buckets is None:
         buckets = 4 * int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(int(buckets), MAX_AUC_BUCKETS))
     per_score = pred.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(F.when(F.col(label) == 1.0, 1).otherwise(0)).cast("double").alias("pos"),
         F.sum(F.when(F.col(label) == 1.0, 0).otherwise(1)).cast("double").alias("neg"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = per_score.agg(F.percentile_approx("s", probs, 10000).alias("b")).first()["b"] or []
-    splits = [-float("inf")] + sorted(set(float(b) for b in bounds)) + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="bucket", handleInvalid="keep").transform(per_score)
-    totals = bucketed.groupBy("bucket").agg(F.sum("neg").alias("bneg"))
-    offsets = totals.select("bucket", (F.sum("bneg").over(Window.orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, -1))).alias("offset"))
-    # ``offsets`` has at most len(splits) rows: a bounded broadcast.
+    ranges = materialize(per_score.repartitionByRange(int(buckets), "s").withColumn(
+        "bucket", F.spark_partition_id()), "auc_ranges")
+    totals = ranges.groupBy("bucket").agg(F.sum("neg").alias("bneg"))
+    offsets = totals.select("bucket", F.sum("bneg").over(Window.orderBy("bucket").rowsBetween(
+        Window.unboundedPreceding, -1)).alias("offset"))
     within = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = bucketed.join(F.broadcast(offsets), "bucket").select(
+    ranked = ranges.join(offsets, "bucket").select(
         "pos", "neg", (F.coalesce("offset", F.lit(0.0)) + F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
         .alias("neg_below"))
     return ranked.agg(

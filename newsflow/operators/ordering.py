@@ -1,25 +1,17 @@
-"""Sorts, previews and latest-N listings."""
+"""Previews and latest-N listings (R2, R3); R1 is the order of the reports in ``aggregates``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import config as C
-
-
-def sort_report(df: DataFrame, *keys: str) -> DataFrame:
-    """Total order on ``keys`` (range-partitioned sort)."""
-    return df.orderBy(*keys)
-
 
 def preview(df: DataFrame, n: int, order, truncate: int | None = None) -> DataFrame:
     """R2: first ``n`` rows in ``order``; string columns cut to ``truncate``.
 
     ``orderBy(...).limit(n)`` plans as ``TakeOrderedAndProject``: each task
-    keeps its top ``n``, so the driver receives at most tasks x n rows.
+    keeps its top ``n``; ``n`` itself is the bound of what is shown.
     """
-    n = min(int(n), C.MAX_PREVIEW_ROWS)
     out = df.orderBy(*order).limit(n)
     if truncate:
         out = out.select(*[F.substring(F.col(f.name), 1, truncate).alias(f.name)

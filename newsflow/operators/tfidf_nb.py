@@ -15,10 +15,9 @@ Training is ONE scan of the training documents and ONE aggregation keyed by
 term: each document emits its tokens (occurrence counts) and its distinct
 tokens (document frequency) in a single ``explode``, and the partial
 (map-side) aggregation collapses hot terms before the shuffle.  The per-term
-table is checkpointed to the shared checkpoint folder.  Scoring joins token
-occurrences with the weight table (broadcast only when its counted size fits,
-else a shuffle join with AQE skew handling) and sums per document; the
-partial aggregation leaves one small row per document for the shuffle.
+table is written to the shared checkpoint folder.  Scoring counts each term
+per document first, joins these counts with the weight table without a hint
+(AQE picks the join from real sizes and splits hot terms) and sums per document.
 """
 
 from __future__ import annotations
@@ -32,7 +31,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.text import compute_once, preprocessed_content, terms
 from ..session import materialize
-from .joins import broadcast_if_small
 
 
 def prepare(articles: DataFrame, min_content_chars: int | None = C.MIN_CONTENT_CHARS,
@@ -49,15 +47,13 @@ def prepare(articles: DataFrame, min_content_chars: int | None = C.MIN_CONTENT_C
 class RelationalNB:
     term_stats: DataFrame      # term, df, tf0, tf1, idf, theta0, theta1 (written table)
     weights: DataFrame         # term, w0, w1 for idf > 0 (the scoring table)
-    weight_rows: int
     pi0: float
     pi1: float
     n_docs: int
     vocab_size: int
 
-    def predict(self, docs: DataFrame, key=("article_id",), content: str = "content",
-                max_broadcast_rows: int = C.MAX_BROADCAST_MODEL_ROWS) -> DataFrame:
-        return predict(self, docs, key=key, content=content, max_broadcast_rows=max_broadcast_rows)
+    def predict(self, docs: DataFrame, key=("article_id",), content: str = "content") -> DataFrame:
+        return predict(self, docs, key=key, content=content)
 
 
 def fit(train: DataFrame, content: str = "content", label: str = "label",
@@ -81,10 +77,9 @@ def fit(train: DataFrame, content: str = "content", label: str = "label",
                  F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))).otherwise(F.lit(0.0))
     stats = materialize(stats.withColumn("idf", idf), "nb_term_stats")
 
-    # One pass over the (written) term table gives every model constant and
-    # the size of the scoring table, which decides broadcast vs shuffle join.
+    # One pass over the (written) term table gives every model constant.
     tot = stats.agg(F.sum(F.col("tf0") * F.col("idf")).alias("s0"), F.sum(F.col("tf1") * F.col("idf")).alias("s1"),
-                    F.count(F.lit(1)).alias("v"), F.count_if(F.col("idf") > 0).alias("w")).first()
+                    F.count(F.lit(1)).alias("v")).first()
     s0, s1, v = float(tot["s0"] or 0.0), float(tot["s1"] or 0.0), int(tot["v"])
     term_stats = stats.select(
         "term", "df", "tf0", "tf1", "idf",
@@ -92,29 +87,21 @@ def fit(train: DataFrame, content: str = "content", label: str = "label",
         (F.log(F.col("tf1") * F.col("idf") + lam) - math.log(s1 + lam * v)).alias("theta1"))
     weights = term_stats.filter(F.col("idf") > 0).select(
         "term", (F.col("idf") * F.col("theta0")).alias("w0"), (F.col("idf") * F.col("theta1")).alias("w1"))
-    weight_rows = int(tot["w"])
     pi0 = math.log(n0 + lam) - math.log(n_docs + 2 * lam)
     pi1 = math.log(n1 + lam) - math.log(n_docs + 2 * lam)
-    return RelationalNB(term_stats, weights, weight_rows, pi0, pi1, n_docs, v)
+    return RelationalNB(term_stats, weights, pi0, pi1, n_docs, v)
 
 
-def predict(model: RelationalNB, docs: DataFrame, key=("article_id",), content: str = "content",
-            max_broadcast_rows: int = C.MAX_BROADCAST_MODEL_ROWS) -> DataFrame:
+def predict(model: RelationalNB, docs: DataFrame, key=("article_id",), content: str = "content") -> DataFrame:
     """Scores ``docs``; returns ``key`` columns + score0/1, prediction, prob_fake/true.
 
     ``key`` must identify a document and should be narrow: it is what the
-    per-document aggregation shuffles.  Documents with no known term get the
-    priors.
+    aggregations shuffle.  Documents with no known term get the priors.
     """
     key = list(key)
-    w = broadcast_if_small(model.weights, model.weight_rows, max_broadcast_rows)
-    toks = docs.select(*key, F.explode_outer(terms(content)).alias("term"))
-    if model.weight_rows > max_broadcast_rows:
-        # Shuffle path: collapse repeated tokens per document before the join.
-        toks = toks.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    else:
-        toks = toks.withColumn("tf", F.lit(1))
-    joined = toks.join(w, "term", "left")
+    counts = docs.select(*key, F.explode_outer(terms(content)).alias("term")).groupBy(*key, "term").agg(
+        F.count(F.lit(1)).alias("tf"))
+    joined = counts.join(model.weights, "term", "left")
     s0 = F.lit(model.pi0) + F.coalesce(F.sum(F.col("tf") * F.col("w0")), F.lit(0.0))
     s1 = F.lit(model.pi1) + F.coalesce(F.sum(F.col("tf") * F.col("w1")), F.lit(0.0))
     scored = joined.groupBy(*key).agg(s0.alias("score0"), s1.alias("score1"))

@@ -1,4 +1,4 @@
-"""Relational TF-IDF + Naive Bayes over the labelled articles (M-R job)."""
+"""Relational TF-IDF + Naive Bayes: fitted on labelled articles, scoring all of them (M-R job)."""
 
 from __future__ import annotations
 
@@ -8,31 +8,18 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import tfidf_nb
 from ..operators.evaluation import is_train
-from ..operators.labels import decode_label
 from ..session import materialize
 from ..sources.tables import articles
 
 
-def prepared_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled articles, preprocessed and filtered, with the hash split flag.
+def prepared_articles(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """All articles, preprocessed and filtered, with the hash split flag (training share: labelled only).
 
     The preprocessed table is written once and the length filter runs on the
     written column: filtering before that would let Catalyst inline the
     regex chain into the pushed-down filter and evaluate it twice.
     """
-    prep = tfidf_nb.prepare(articles(spark, sf_dir), None, keep=("article_id", "subject", "date", "label"))
-    prep = materialize(prep.withColumn("is_train", is_train("article_id")), "nb_prepared")
+    prep = tfidf_nb.prepare(articles(spark, sf_dir, tasks=tasks, how="left"), None,
+                            keep=("article_id", "subject", "date", "label"))
+    prep = materialize(prep.withColumn("is_train", is_train("article_id") & F.col("label").isNotNull()), "nb_prepared")
     return prep.filter(F.length("content") > C.MIN_CONTENT_CHARS)
-
-
-def fit_and_predict(spark: SparkSession, sf_dir: str):
-    """Fits on the training share, scores every prepared article.
-
-    Returns ``(model, predictions)``; predictions carry ``article_id, subject,
-    date, label, is_train, score0, score1, prediction, prob_fake, prob_true,
-    prediction_label``.
-    """
-    docs = prepared_articles(spark, sf_dir)
-    model = tfidf_nb.fit(docs.filter("is_train"))
-    pred = model.predict(docs, key=("article_id", "subject", "date", "label", "is_train"))
-    return model, pred.withColumn("prediction_label", decode_label("prediction"))

@@ -80,21 +80,11 @@ def materialize(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
-def spread(df, key: str):
-    """Hash-partition a scan that has fewer splits than the session's parallelism.
+def spread(df, key: str, tasks: int):
+    """Hash-partition a table into ``tasks`` by its unique ``key``.
 
     CPU-heavy text expressions run per task; a file with a single row group
-    would otherwise put a whole table into one task.  Hashing on the unique
-    ``key`` is deterministic on retry and lines up with joins on that key.
-    A scan that already has enough splits (the cluster case) is returned
-    unchanged.
+    would otherwise put a whole table into one task.  Hashing is deterministic
+    on retry and lines up with joins on that key.
     """
-    spark = df.sparkSession
-    sc = _context(spark)
-    if sc is None:                      # Spark Connect: no partition count to inspect
-        return df
-    # Enough tasks to balance uneven text lengths over the cores, not more.
-    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * sc.defaultParallelism)
-    if df.rdd.getNumPartitions() >= min(n, sc.defaultParallelism):
-        return df
-    return df.repartition(n, key)
+    return df.repartition(tasks, key)

@@ -16,15 +16,15 @@ from ..session import spread
 
 
 # Tables whose rows carry long text, with their unique key.
-TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id"}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; text tables are spread over the session's parallelism
-    when the file has too few splits (see ``session.spread``)."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, tasks: int | None = None) -> DataFrame:
+    """A given table; with ``tasks``, a text table is hash-partitioned into so many
+    (for files of one row group; a table of many splits needs none)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLE_KEYS:
-        df = spread(df, TEXT_TABLE_KEYS[name])
+    if tasks and name in TEXT_TABLE_KEYS:
+        df = spread(df, TEXT_TABLE_KEYS[name], tasks)
     return df
 
 
@@ -34,13 +34,15 @@ def article_date_of(doc_id) -> F.Column:
                          C.ARTICLE_DATE_FORMAT)
 
 
-def articles(spark: SparkSession, sf_dir: str, subject: str = "source", labelled: bool = True) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, subject: str = "source", labelled: bool = True,
+             tasks: int | None = None, how: str = "inner") -> DataFrame:
     """Articles ``article_id, title, text, subject, date[, label]``.
 
-    ``labelled`` joins ``labels`` on ``doc_id`` (inner); the join is left to
+    ``labelled`` joins ``labels`` on ``doc_id``: only labelled articles, or all of
+    them (``how="left"``, unlabelled ones with a NULL label).  The join is left to
     Catalyst/AQE: both sides grow with the data, so no broadcast is forced.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col(subject).alias("subject"))
+    docs = read_table(spark, sf_dir, "documents", tasks).select("doc_id", "text", F.col(subject).alias("subject"))
     cols = [
         F.col("doc_id").cast("string").alias("article_id"),
         F.substring_index("text", "\n", 1).alias("title"),
@@ -50,7 +52,7 @@ def articles(spark: SparkSession, sf_dir: str, subject: str = "source", labelled
     ]
     if labelled:
         labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-        docs = docs.join(labels, "doc_id")
+        docs = docs.join(labels, "doc_id", how)
         cols.append(F.col("quality").cast("double").alias("label"))
     return docs.select(*cols)
 
@@ -91,9 +93,9 @@ def xml_escape(c) -> F.Column:
                      F.lit(">"), F.lit("&gt;"))
 
 
-def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_items(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """One generated RSS item per page: ``feed_pos, pos, title, description, pub_date``."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = read_table(spark, sf_dir, "pages", tasks)
     # Wall-clock (NTZ) arithmetic: no session time zone or DST shift.
     pub = F.date_format(F.lit(PUBDATE_ORIGIN).cast("timestamp_ntz") + F.make_dt_interval(
         hours=(F.col("page_id") * 7).cast("int")), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
@@ -106,13 +108,13 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_documents(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """S5 fixture: ``subject, feed_pos, url, xml, fetched_at`` RSS documents.
 
     Items are grouped into feeds of ``ITEMS_PER_GENERATED_FEED`` pages; the
     group size is fixed, so no task ever holds an unbounded group.
     """
-    items = feed_items(spark, sf_dir).select(
+    items = feed_items(spark, sf_dir, tasks).select(
         "feed_pos", "pos",
         F.concat(F.lit("<item><title>"), xml_escape("title"), F.lit("</title><description>"),
                  xml_escape("description"), F.lit("</description>"),
