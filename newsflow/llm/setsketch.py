@@ -16,9 +16,11 @@ sets agree in a register with a probability that grows with their similarity.
 
 A bucket (classes that agree in one band) may be large: it is cut into blocks of
 ``BLOCK`` classes and every pair of blocks is one bounded unit of work.  Within a
-unit only each class's closest partners are verified first; a second round
-verifies every other candidate pair whose classes are not yet connected, so no
-link that matters is lost and a group of copies doesn't become all its pairs.
+unit only each class's closest partners are verified first.  Members that have
+other candidate partners in components not yet connected to theirs then meet once
+more, with their full sets, and every such pair is verified inside the task, which
+gives one link for each two components it connects.  So no link that matters is
+lost, and a group of copies doesn't become rows for all its pairs.
 
 Empty and null texts have an empty set and no links.  Rows without ``doc_id`` have
 no links and a null component.  Rows that share ``doc_id`` are one document: its
@@ -28,10 +30,9 @@ classes are linked.  Empty tables give empty results.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,20 +115,20 @@ def sketch(docs: DataFrame, size: int, m: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame, bands: int) -> DataFrame:
-    """band, bkey, bi, bj, node, block, n_shingles, regs: the members of every unit of work."""
+    """node, cid, band, bkey, block, bi, bj, n_shingles, regs: the members of every unit of work."""
     keys = F.array(*[F.xxhash64(F.lit(b), F.expr(f"substring(regs, {b * ROWS + 1}, {ROWS})")) for b in range(bands)])
-    member = classes.select("node", F.posexplode(keys).alias("band", "bkey"))
+    member = classes.select("node", "cid", F.posexplode(keys).alias("band", "bkey"))
     crowded = member.groupBy("bkey").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     member = member.join(crowded, "bkey").withColumn("n_blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    unit = member.select("node", "band", "bkey", "block", other.alias("other")).select(
-        "node", "band", "bkey", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
-    return unit.join(classes.select("node", "n_shingles", "regs"), "node")
+    unit = member.select("node", "cid", "band", "bkey", "block", other.alias("other")).select(
+        "node", "cid", "band", "bkey", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
+    return unit.join(classes.select("node", "cid", "n_shingles", "regs"), ["node", "cid"])
 
 
-def _unit_pairs(g: pd.DataFrame, regs: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+def _unit_pairs(g: dict, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of the pairs of one unit: within its block, or between its two blocks."""
     if g["bi"][start] == g["bj"][start]:
         i, j = np.triu_indices(end - start, 1)
@@ -137,34 +138,62 @@ def _unit_pairs(g: pd.DataFrame, regs: np.ndarray, start: int, end: int) -> tupl
     return np.repeat(a, len(b)) + start, np.tile(b, len(a)) + start
 
 
-def _candidates(bands: int, threshold: float, closest: bool) -> Callable:
-    """Batches sorted by unit -> pairs (u, v) that the likelihood doesn't rule out, each in its first common
-    band.  ``closest``: only each class's closest partner before it and after it in its unit."""
-    m = bands * ROWS
+def _sizes_of_overlap(sets: list, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sorted sets i and j, for pairs ordered by i."""
+    out = np.zeros(len(i), np.int64)
+    edges = np.flatnonzero(np.r_[True, i[1:] != i[:-1], True])
+    for s, e in zip(edges[:-1], edges[1:]):
+        own, others = sets[i[s]], [sets[k] for k in j[s:e]]
+        flat = np.concatenate(others)
+        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+        begin = np.cumsum([0] + [len(o) for o in others[:-1]])
+        out[s:e] = np.add.reduceat((own[at] == flat).astype(np.int64), begin)
+    return out
 
-    def judge(g: dict, regs: np.ndarray, i: np.ndarray, j: np.ndarray):
+
+class _Units:
+    """Walks batches sorted by unit and judges the pairs of each unit by their registers.
+
+    ``find``: ``closest`` gives (u, v): each class's closest partner before it and after it in its unit;
+    ``open`` gives the members with a partner in another component; ``links`` gives (u, v) verified on the
+    members' full sets, one for each two components.
+    """
+
+    KEYS = ["bkey", "band", "bi", "bj", "block", "node", "cid"]
+    OUT = {"closest": "u long, v long", "links": "u long, v long",
+           "open": "bkey long, band int, bi int, bj int, block int, node long, cid long"}
+
+    def __init__(self, find: str, bands: int, percent: int):
+        self.find, self.bands, self.percent, self.m = find, bands, percent, bands * ROWS
+
+    def judged(self, g: dict, i: np.ndarray, j: np.ndarray):
+        """Pairs of different components that the likelihood doesn't rule out, each in its first common band."""
+        regs = g["regs"]
         for at in range(0, len(i), PAIRS_AT_ONCE):
             p, q = i[at:at + PAIRS_AT_ONCE], j[at:at + PAIRS_AT_ONCE]
             fine = (g["comp"][p] != g["comp"][q]) & (g["node"][p] != g["node"][q])
             p, q = p[fine], q[fine]
             same = regs[p] == regs[q]
-            first = same.reshape(len(p), bands, ROWS).all(axis=2).argmax(axis=1) == g["band"][p]
+            first = same.reshape(len(p), self.bands, ROWS).all(axis=2).argmax(axis=1) == g["band"][p]
             p, q, equal = p[first], q[first], same[first].sum(axis=1)
             plus = (regs[p] > regs[q]).sum(axis=1)
-            fine = ~ruled_out(plus, m - equal - plus, m, g["n_shingles"][p].astype(float),
-                              g["n_shingles"][q].astype(float), threshold)
+            fine = ~ruled_out(plus, self.m - equal - plus, self.m, g["n_shingles"][p].astype(float),
+                              g["n_shingles"][q].astype(float), self.percent / 100)
             yield p[fine], q[fine], equal[fine]
 
-    def units(g: dict, regs: np.ndarray) -> Iterator[tuple]:
+    def same_unit(self, g: dict, a, b) -> np.ndarray:
+        return ((g["bkey"][a] == g["bkey"][b]) & (g["band"][a] == g["band"][b])
+                & (g["bi"][a] == g["bi"][b]) & (g["bj"][a] == g["bj"][b]))
+
+    def pairs(self, g: dict) -> Iterator[tuple]:
+        """Row numbers of the pairs of whole units, some units at once."""
         n = len(g["node"])
         new = np.ones(n + 1, bool)
-        if n:
-            new[1:n] = ((g["bkey"][1:] != g["bkey"][:-1]) | (g["band"][1:] != g["band"][:-1])
-                        | (g["bi"][1:] != g["bi"][:-1]) | (g["bj"][1:] != g["bj"][:-1]))
+        new[1:n] = ~self.same_unit(g, slice(1, n), slice(0, n - 1))
         edges = np.flatnonzero(new)
         i, j, size = [], [], 0
         for s, e in zip(edges[:-1], edges[1:]):
-            a, b = _unit_pairs(g, regs, s, e)
+            a, b = _unit_pairs(g, s, e)
             i.append(a)
             j.append(b)
             size += len(a)
@@ -174,47 +203,60 @@ def _candidates(bands: int, threshold: float, closest: bool) -> Callable:
         if i:
             yield np.concatenate(i), np.concatenate(j)
 
-    def pairs(g: dict) -> pa.RecordBatch:
-        regs = np.frombuffer(b"".join(g.pop("regs")), np.uint8).reshape(-1, m)
-        us, vs = [], []
-        for i, j in units(g, regs):
-            found = list(judge(g, regs, i, j))
+    def chosen(self, g: dict, p: np.ndarray, q: np.ndarray, equal: np.ndarray) -> np.ndarray:
+        """Which of the pairs to give."""
+        keep = np.zeros(len(p), bool)
+        if self.find == "closest":
+            for end in (p, q):                          # the best pair of each row, as first and as second end
+                order = np.lexsort((-equal, end))
+                keep[order[np.r_[True, end[order][1:] != end[order][:-1]]]] = True
+        else:
+            both = _sizes_of_overlap(g["set"], p, q)
+            union = g["n_shingles"][p] + g["n_shingles"][q] - both
+            linked = np.flatnonzero(100 * both >= self.percent * union)
+            ends = np.sort(np.stack([g["comp"][p[linked]], g["comp"][q[linked]]]), axis=0)
+            keep[linked[np.unique(ends, axis=1, return_index=True)[1]]] = True
+        return keep
+
+    def work(self, g: dict) -> pa.RecordBatch:
+        g["regs"] = np.frombuffer(b"".join(g["regs"]), np.uint8).reshape(-1, self.m)
+        us, vs, members = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j in self.pairs(g):
+            found = list(self.judged(g, i, j))
             if not found:
                 continue
             p, q, equal = (np.concatenate([f[k] for f in found]) for k in range(3))
-            if closest and len(p):
-                keep = np.zeros(len(p), bool)
-                for end in (p, q):                      # the best pair of each row, as first and as second end
-                    order = np.lexsort((-equal, end))
-                    keep[order[np.r_[True, end[order][1:] != end[order][:-1]]]] = True
-                p, q = p[keep], q[keep]
-            us.append(np.maximum(g["node"][p], g["node"][q]))
-            vs.append(np.minimum(g["node"][p], g["node"][q]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-                                           for x in (us, vs)], names=["u", "v"])
-
-    names = ["bkey", "band", "bi", "bj", "block", "node", "comp", "n_shingles"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if self.find == "open":
+                members.append(np.unique(np.concatenate([p, q])))
+            elif len(p):
+                keep = self.chosen(g, p, q, equal)
+                us.append(np.maximum(g["node"][p[keep]], g["node"][q[keep]]))
+                vs.append(np.minimum(g["node"][p[keep]], g["node"][q[keep]]))
+        if self.find == "open":
+            rows = np.concatenate(members)
+            return pa.RecordBatch.from_arrays([pa.array(g[k][rows]) for k in self.KEYS], names=self.KEYS)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = ["regs", "set"] if self.find == "links" else ["regs"]
         rest: dict | None = None
         for batch in batches:
-            g = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
+            if not batch.num_rows:
+                continue
+            g = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in self.KEYS + ["comp", "n_shingles"]}
             g["regs"] = batch.column("regs").to_pylist()
+            if self.find == "links":
+                g["set"] = list(batch.column("set").to_numpy(zero_copy_only=False))
             if rest is not None:
-                g = {n: rest[n] + g[n] if n == "regs" else np.concatenate([rest[n], g[n]]) for n in g}
+                g = {n: rest[n] + g[n] if n in lists else np.concatenate([rest[n], g[n]]) for n in g}
             last = len(g["bkey"]) - 1                    # the last unit may go on in the next batch
-            if last < 0:
-                continue
-            unlike = np.flatnonzero((g["bkey"] != g["bkey"][last]) | (g["band"] != g["band"][last])
-                                    | (g["bi"] != g["bi"][last]) | (g["bj"] != g["bj"][last]))
-            cut = unlike[-1] + 1 if len(unlike) else 0
+            before = np.flatnonzero(~self.same_unit(g, slice(0, last + 1), slice(last, last + 1)))
+            cut = before[-1] + 1 if len(before) else 0
             rest = {n: x[cut:] for n, x in g.items()}
             if cut:
-                yield pairs({n: x[:cut] for n, x in g.items()})
+                yield self.work({n: x[:cut] for n, x in g.items()})
         if rest is not None:
-            yield pairs(rest)
-
-    return run
+            yield self.work(rest)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -232,33 +274,31 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
 
     Documents are linked when 100 * |intersection| >= percent * |union| of their ``size``-word shingles.
     """
-    threshold = percent / 100
-    bands = bands_for(threshold)
+    bands = bands_for(percent / 100)
     sketches = materialize(sketch(docs, size, bands * ROWS), "sketches")
     same = ["n_shingles", "h1", "h2"]
-    # classes of equal sets; the node of a class is its smallest doc_id
+    # classes of equal sets; the node of a class is its smallest doc_id (a document of several rows may
+    # be the node of several classes: cid tells them apart)
     classes = materialize(sketches.filter("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(
-        F.min("doc_id").alias("node"), F.min_by("regs", "doc_id").alias("regs"), F.min_by("rk", "doc_id").alias("rk")),
-        "classes")
+        F.min("doc_id").alias("node"), F.min_by("regs", "doc_id").alias("regs"), F.min_by("rk", "doc_id").alias("rk"))
+        .withColumn("cid", F.col("h1")), "classes")
     units = materialize(_buckets(classes, bands), "units")
+    unit = ["bkey", "bi", "bj"]
 
-    def candidates(comp: DataFrame | None, closest: bool) -> DataFrame:
-        if comp is None:
-            rows = units.withColumn("comp", F.col("node"))
-        else:
-            rows = units.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-        return (rows.repartition("bkey", "bi", "bj").sortWithinPartitions("bkey", "band", "bi", "bj", "block", "node")
-                .mapInArrow(_candidates(bands, threshold, closest), "u long, v long").distinct())
+    def walk(rows: DataFrame, find: str) -> DataFrame:
+        return rows.repartition(*unit).sortWithinPartitions("bkey", "band", "bi", "bj", "block", "node").mapInArrow(
+            _Units(find, bands, percent), _Units.OUT[find])
 
-    first = materialize(candidates(None, True), "candidates")
+    first = materialize(walk(units.withColumn("comp", F.col("node")), "closest").distinct(), "candidates")
     # full sets of the classes that have a candidate partner
     needed = first.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(
-        classes.select("node", F.col("rk").alias("s_rk")), "node")
+        classes.select("node", "cid", F.col("rk").alias("s_rk")), "node")
     texts = docs.select("doc_id", "text", text_key().alias("rk"))
-    texts = texts.join(needed, (texts["doc_id"] == needed["node"]) & (texts["rk"] == needed["s_rk"]), "left_semi")
-    sets = materialize(map_column(texts.dropDuplicates(["doc_id", "rk"]), ["doc_id"], "text", lambda all_texts: {
-        "set": [shingle_set(to_bytes(t, lower=True), size).astype(np.int64) for t in all_texts]},
-        {"set": "array<long>"}).withColumnRenamed("doc_id", "node"), "shingle-sets")
+    texts = texts.join(needed, (texts["doc_id"] == needed["node"]) & (texts["rk"] == needed["s_rk"])).select(
+        "node", "cid", "text").dropDuplicates(["node", "cid"])
+    sets = materialize(map_column(texts, ["node", "cid"], "text", lambda all_texts: {
+        "set": [np.sort(shingle_set(to_bytes(t, lower=True), size).astype(np.int64)) for t in all_texts]},
+        {"set": "array<long>"}), "shingle-sets")
     links = materialize(_verified(first, sets, percent), "links")
     rows = materialize(sketches.drop("regs", "rk").join(classes.select(*same, "node"), same, "left"), "rows")
     # a document with several rows links its classes
@@ -266,8 +306,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
     split = own.groupBy("doc_id").agg(F.min("node").alias("v"), F.count("node").alias("n")).filter("n > 1")
     links = links.unionByName(own.join(split, "doc_id").select(F.col("node").alias("u"), "v"))
     comp = materialize(components(links), "components")
-    second = candidates(comp, False).join(first, ["u", "v"], "left_anti")
-    comp = components(links.unionByName(_verified(second, sets, percent)))
+    now = units.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    # members that may still have a link to another component meet once more, with their sets
+    member = classes.join(comp, "node", "left").select("node", "cid", F.coalesce("component", "node").alias("comp"),
+                                                       "n_shingles", "regs")
+    left = walk(now, "open").join(member, ["node", "cid"]).join(sets, ["node", "cid"])
+    comp = components(links.unionByName(walk(left, "links")))
     rows = rows.join(comp, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"),

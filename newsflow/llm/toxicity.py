@@ -251,9 +251,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_term
     lexicon = learn_lexicon(train, max_terms)
     # the sample is bounded, so its few numbers per row fit the driver
     rows = train.mapInPandas(_emit(lexicon), ", ".join(f"{a} double" for a in MEASURES) + ", toxic int").toPandas()
-    if not len(rows):
-        return Model({}, np.array([0.0] * len(MEASURES) + [-20.0]))
     y = (rows["toxic"] != 0).to_numpy(float)
+    if not lexicon:
+        base = (y.sum() + 0.5) / (len(y) + 1.0) if len(y) else 1e-6
+        return Model({}, np.array([0.0] * len(MEASURES) + [math.log(base / (1 - base))]))
     return Model(lexicon, fit_arcs(rows[list(MEASURES)].to_numpy(float), y))
 
 
