@@ -1,8 +1,8 @@
 """Command line: ``python -m newsflow <job> [options]``.
 
-Jobs: ``train``, ``score-stream``, ``ingest-stream``, ``console``, ``backfill``,
-``export``, ``extract-feeds``, ``feed-stream``, ``land-training``, ``status``.
-Streams take ``--format kafka`` (with ``--option kafka.bootstrap.servers=...``
+Jobs: ``train``, ``score-batch``, ``score-stream``, ``ingest-stream``, ``console``,
+``backfill``, ``export``, ``extract-feeds``, ``feed-stream``, ``land-training``,
+``status``, ``latest``.  Streams take ``--format kafka`` (with ``--option kafka.bootstrap.servers=...``
 and ``--option subscribe=...``) or ``--format json`` with ``--input`` (landed
 message files), an explicit ``--checkpoint`` and ``--available-now`` for a
 single pass.
@@ -39,6 +39,11 @@ def _finish(spark, queries, available_now: bool):
         await_all(spark, queries)
 
 
+def _sink_arguments(parser):
+    parser.add_argument("--sink", default="json", choices=["json", "parquet", "kafka"], help="where messages go")
+    parser.add_argument("--sink-option", action="append", help="sink option key=value (kafka: servers, topic)")
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="newsflow", description=__doc__.splitlines()[0])
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
@@ -54,23 +59,25 @@ def build_parser() -> argparse.ArgumentParser:
                       ("console", "messages -> console"),
                       ("feed-stream", "landed feed documents -> messages, one poll per micro-batch")):
         s = sub.add_parser(name, help=hlp)
-        s.add_argument("--format", default="json", choices=["json", "kafka", "parquet"])
+        s.add_argument("--format", default="parquet" if name == "feed-stream" else "json",
+                       choices=["json", "kafka", "parquet"])
         s.add_argument("--input")
         s.add_argument("--option", action="append", help="source option key=value")
         s.add_argument("--max-files-per-trigger", type=int, default=None)
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--available-now", action="store_true")
         if name != "console":
-            s.add_argument("--out", required=True)
+            s.add_argument("--out", required=name != "feed-stream")
         if name == "score-stream":
             s.add_argument("--model", action="append", required=True, help="model location(s), in fallback order")
-            s.add_argument("--dead-letter")
             s.add_argument("--trigger", default=C.SCORE_TRIGGER)
         if name == "ingest-stream":
-            s.add_argument("--dead-letter")
             s.add_argument("--dedupe", action="store_true")
         if name == "feed-stream":
             s.add_argument("--trigger", default=C.FEED_POLL_TRIGGER)
+            _sink_arguments(s)
+        elif name != "console":
+            s.add_argument("--dead-letter", help="folder of malformed messages (default: beside the output)")
 
     b = sub.add_parser("backfill", help="article CSV -> cleaned Parquet by subject + CSV")
     b.add_argument("--input", required=True)
@@ -83,7 +90,19 @@ def build_parser() -> argparse.ArgumentParser:
 
     f = sub.add_parser("extract-feeds", help="feed documents (Parquet) -> messages (JSON files)")
     f.add_argument("--input", required=True)
-    f.add_argument("--out", required=True)
+    f.add_argument("--out")
+    _sink_arguments(f)
+
+    sb = sub.add_parser("score-batch", help="article CSV -> predictions partitioned by label")
+    sb.add_argument("--input", required=True)
+    sb.add_argument("--model", action="append", required=True, help="model location(s), in fallback order")
+    sb.add_argument("--out", required=True)
+    sb.add_argument("--dead-letter", help="folder of articles without title or text (default: beside the output)")
+
+    la = sub.add_parser("latest", help="last files of a dataset by name or time")
+    la.add_argument("path")
+    la.add_argument("-n", type=int, default=10)
+    la.add_argument("--by", default="path", choices=["path", "modificationTime"])
 
     lt = sub.add_parser("land-training", help="labelled CSVs -> Parquet partitioned by label")
     lt.add_argument("--fake")
@@ -98,16 +117,30 @@ def build_parser() -> argparse.ArgumentParser:
 def main(argv=None, spark=None) -> int:
     args = build_parser().parse_args(argv)
     if spark is None:
-        from pyspark.sql import SparkSession
-        b = SparkSession.builder.appName(f"newsflow-{args.job}")
-        if args.master:
-            b = b.master(args.master)
-        spark = b.getOrCreate()
+        from .session import build_session
+        spark = build_session(args.master, f"newsflow-{args.job}", None)
+    from .session import scratch_scope
+    with scratch_scope(spark):
+        return _run(spark, args)
+
+
+def _run(spark, args) -> int:
     from .plans import jobs
 
     if args.job == "train":
         res = jobs.train(spark, args.fake, args.true, model_paths=args.model)
+        res.preview.show(truncate=False)
+        res.sample.show(truncate=False)
         print(json.dumps({k: float(v) for k, v in res.metrics.items()}))
+    elif args.job == "score-batch":
+        from .sinks.files import write_parquet
+        from .sources.files import load_model, read_article_csv
+        pred = jobs.score_batch(load_model(args.model), read_article_csv(spark, args.input),
+                                args.dead_letter or f"{args.out}_dead_letter")
+        write_parquet(pred, args.out, partition_by=("prediction_label",))
+    elif args.job == "latest":
+        for r in jobs.latest_files(spark, args.path, args.n, args.by).collect():      # n rows
+            print(json.dumps({k: str(v) for k, v in r.asDict().items()}))
     elif args.job == "score-stream":
         from .sources.files import load_model
         from .streaming.scoring import start_scoring
@@ -124,17 +157,19 @@ def main(argv=None, spark=None) -> int:
         _finish(spark, [start_console(_stream(spark, args), args.checkpoint, available_now=args.available_now)],
                 args.available_now)
     elif args.job == "feed-stream":
-        from .schema import FEED_DOCUMENT_SCHEMA
-        from .streaming.feeds import start_feed_stream
-        docs = spark.readStream.schema(FEED_DOCUMENT_SCHEMA).parquet(args.input)
-        _finish(spark, [start_feed_stream(docs, args.out, args.checkpoint, args.trigger, args.available_now)],
-                args.available_now)
+        from .streaming.feeds import poll_writer, running_totals, start_feed_stream
+        from .streaming.sources import feed_stream
+        docs = feed_stream(spark, args.format, args.input, _options(args.option), args.max_files_per_trigger)
+        writer = poll_writer(args.out, args.sink, _options(args.sink_option))
+        _finish(spark, [start_feed_stream(docs, args.out, args.checkpoint, args.trigger, args.available_now,
+                                          writer=writer)], args.available_now)
+        print(json.dumps(running_totals(writer.poll_totals)))
     elif args.job == "backfill":
         print(json.dumps({"rows": jobs.backfill(spark, args.input, args.out)}))
     elif args.job == "export":
         print(json.dumps(jobs.export(spark, args.input, args.out, single_file=args.single_file)))
     elif args.job == "extract-feeds":
-        jobs.extract_and_publish(spark.read.parquet(args.input), "json", args.out)
+        jobs.extract_and_publish(spark.read.parquet(args.input), args.sink, args.out, _options(args.sink_option))
     elif args.job == "land-training":
         from .sinks.files import land_training
         print(json.dumps({str(k): v for k, v in land_training(spark, args.fake, args.true, args.out).items()}))

@@ -21,7 +21,7 @@ _MR_CACHE: dict = {}
 _INPUTS: dict = {}
 
 
-def _once(kind: str):
+def once(kind: str):
     """Derive an input folder once per session and input (streams and jobs only read it)."""
     def deco(fn):
         def wrapper(spark, sf_dir, *args, **kw):
@@ -51,10 +51,22 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.feed_documents(spark, sf_dir, text_tasks(spark))
 
 
+
+# Folders of input files; everything else that is kept is a result of some query.
+INPUT_FILES = ("training_csv", "articles_csv", "messages", "predictions", "bucket_files", "ml_model")
+
+
+def forget_results() -> None:
+    """Drop what queries keep for each other, so that the next one does all its work; input files stay."""
+    _MR_CACHE.clear()
+    for key in [k for k in _INPUTS if k[0] not in INPUT_FILES]:
+        del _INPUTS[key]
+
+
 MESSAGE_FIELDS = ["title", "text", "subject", "date", "article_id"]
 
 
-@_once("prepared")
+@once("prepared")
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All articles, preprocessed, with the split flag (written once), shared by the
     relational model, the ML model and the prediction sample."""
@@ -88,7 +100,7 @@ def prediction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.current_timestamp().alias("processed_at"), "prediction_label")
 
 
-@_once("predictions")
+@once("predictions")
 def prediction_dataset(spark: SparkSession, sf_dir: str) -> str:
     """Writes the prediction dataset partitioned by ``prediction_label``; returns its path."""
     path = scratch_path(spark, "predictions")
@@ -96,7 +108,7 @@ def prediction_dataset(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@_once("training_csv")
+@once("training_csv")
 def training_csvs(spark: SparkSession, sf_dir: str):
     """Two labelled CSV folders (fake = quality 0, true = quality 1) with
     quoted multi-line text; returns ``(fake_path, true_path)``."""
@@ -108,7 +120,7 @@ def training_csvs(spark: SparkSession, sf_dir: str):
     return f"{base}/fake", f"{base}/true"
 
 
-@_once("articles_csv")
+@once("articles_csv")
 def article_csv(spark: SparkSession, sf_dir: str) -> str:
     """All documents as one article CSV folder (backfill input)."""
     path = scratch_path(spark, "articles_csv")
@@ -116,7 +128,7 @@ def article_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@_once("messages")
+@once("messages")
 def landed_messages(spark: SparkSession, sf_dir: str, malformed: bool = False) -> str:
     """All documents as landed ``key, value`` JSON messages (the topic's file double).
 
@@ -140,3 +152,26 @@ def landed_messages(spark: SparkSession, sf_dir: str, malformed: bool = False) -
         msgs = arts.select(F.col("article_id").alias("key"), value.alias("value"))
     msgs.write.mode("overwrite").json(path)
     return path
+
+
+def references(c: F.Column) -> F.Column:
+    """``c`` as HTML in a paragraph between markup, special characters as numeric and named references."""
+    for char, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ("é", "&eacute;"), ("ó", "&#243;"), ("ñ", "&#xF1;"),
+                      ("ü", "&uuml;"), ("è", "&egrave;"), ("ß", "&szlig;"), ("ä", "&#xe4;")):
+        c = F.replace(c, F.lit(char), F.lit(ref))
+    return F.concat(F.lit("<div><!-- &amp; --><p>"), F.coalesce(c, F.lit("")), F.lit("</p><style>&lt;</style></div>"))
+
+
+@once("bucket_files")
+def bucket_files(spark: SparkSession, sf_dir: str) -> str:
+    """A dataset with known numbers of files: documents of ``doc_id % 4 = b`` in ``b + 1`` files, the buckets
+    one after the other."""
+    path = scratch_path(spark, "buckets")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source")
+    for b in range(4):
+        # one file per task: no task is empty, as its rows are dealt round by number
+        n = F.pmod(F.expr("doc_id DIV 4"), F.lit(b + 1))
+        part = docs.filter(F.col("doc_id") % 4 == b).withColumn("part", n)
+        for i in range(b + 1):
+            part.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(f"{path}/bucket={b}")
+    return path

@@ -316,13 +316,15 @@ def clean_html_sql(expr: str) -> str:
               r"|<template\b[^>]*>.*?</template\s*>|<!--.*?-->")
     s = f"regexp_replace({s}, '{hidden}', '', 'g')"
     s = f"regexp_replace({s}, '</?[A-Za-z][^>]*>|<[!?][^>]*>', chr(1), 'g')"
-    for ent, ch in [("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&apos;", "''''"),
-                    ("&nbsp;", "chr(160)"), ("&amp;", "'&'")]:
+    for ent, ch in [("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)"),
+                    ("&nbsp;", "chr(160)"), ("&amp;", "'&'")]:          # the references that pages have
         s = f"replace({s}, '{ent}', {ch})"
     return (f"array_to_string(list_filter(list_transform(string_split({s}, chr(1)), "
             f"lambda x: trim(x, {UNICODE_WS_SQL})), lambda x: x <> ''), ' ')")
 
 
+# The text that the page was generated from: references decoded, surrounding white space gone.
+ORACLE["t2_references"] = f"SELECT doc_id, trim(coalesce(text, ''), {UNICODE_WS_SQL}) AS text FROM documents"
 ORACLE["t2_clean_html"] = f"SELECT page_id, {clean_html_sql('html')} AS text FROM pages"
 
 # --- JSON ----------------------------------------------------------------------
@@ -335,8 +337,17 @@ SELECT title, text, subject, date, cast(NULL AS varchar) AS "timestamp", cast(NU
 ORACLE["k10_message_key_value"] = with_ctes(ALL_ARTICLES) + """
 SELECT substr(title, 1, 50) AS key, article_id, title, subject, date FROM all_articles"""
 ORACLE["x5_dead_letter"] = """
-SELECT cast(doc_id AS varchar) AS key,
-       CASE WHEN doc_id % 10 IN (3, 5, 7, 9) THEN true ELSE text IS NULL END AS bad FROM documents"""
+SELECT count(*) AS n, count(value) AS with_value FROM (
+  SELECT CASE WHEN doc_id % 10 = 7 THEN NULL ELSE 'x' END AS value FROM documents
+  WHERE doc_id % 10 IN (3, 5, 7, 9) OR text IS NULL)"""
+ST4 = "doc_id % 10 IN (3, 5, 7, 9) OR text IS NULL"
+ORACLE["st4_foreach_batch"] = ML + """
+SELECT title, subject, date, prediction_label, prob_fake, prob_true FROM ml_predictions
+WHERE cast(article_id AS bigint) % 10 NOT IN (3, 5, 7, 9)"""
+ORACLE["g6_batch_metrics"] = ML + """
+SELECT count(*) AS good, (SELECT count(*) FROM documents WHERE """ + ST4 + """) AS bad,
+       count(*) FILTER (prediction_label = 'FAKE') AS fake
+FROM ml_predictions WHERE cast(article_id AS bigint) % 10 NOT IN (3, 5, 7, 9)"""
 
 # --- CSV / Parquet ---------------------------------------------------------------
 ORACLE["s1_csv_roundtrip"] = with_ctes(ARTICLES) + "\nSELECT title, text, subject, date, label FROM articles"
@@ -346,7 +357,8 @@ SELECT label, count(*) AS count FROM articles GROUP BY label"""
 CLEAN_KEPT = CLEAN_ALL + ",\nkept AS (SELECT * FROM cleaned WHERE length(text) > 100)"
 ORACLE["k4_backfill_parquet"] = CLEAN_KEPT + "\nSELECT title, text, subject, date FROM kept"
 ORACLE["k5_backfill_csv"] = ORACLE["k4_backfill_parquet"]
-ORACLE["st8_backfill"] = CLEAN_KEPT + "\nSELECT count(*) AS n FROM kept"
+ORACLE["st8_backfill"] = CLEAN_KEPT + """
+SELECT subject, count(*) AS n, cast(sum(length(text)) AS bigint) AS chars FROM kept GROUP BY subject"""
 
 PRED_ROWS = MR + """,
 pred_rows AS (
@@ -362,69 +374,91 @@ ORACLE["k7_export_predictions"] = PRED_ROWS + """
 SELECT title, subject, date, prediction_label, prob_fake, prob_true FROM pred_rows"""
 ORACLE["k8_export_summaries"] = PRED_ROWS + """
 SELECT subject, prediction_label, count(*) AS count FROM pred_rows GROUP BY subject, prediction_label"""
+ORACLE["k8_by_label"] = PRED_ROWS + """
+SELECT prediction_label, count(*) AS count FROM pred_rows GROUP BY prediction_label"""
+ORACLE["k8_by_date"] = PRED_ROWS + """
+SELECT date, prediction_label, count(*) AS count FROM pred_rows GROUP BY date, prediction_label"""
 ORACLE["r2_preview"] = PRED_ROWS + """
 SELECT substr(title, 1, 40) AS title, substr(subject, 1, 40) AS subject,
        substr(prediction_label, 1, 40) AS prediction_label, prob_fake
 FROM pred_rows ORDER BY subject, title, prob_fake LIMIT 10"""
-ORACLE["s6_file_inventory"] = CLEAN_KEPT + """
-SELECT DISTINCT 'subject=' || subject AS partition, true AS has_files, true AS has_bytes FROM kept"""
-ORACLE["g5_dataset_status"] = CLEAN_KEPT + """
-SELECT 'backfill_parquet' AS dataset, count(DISTINCT subject) AS children, true AS has_files, true AS has_bytes
-FROM kept"""
-ORACLE["r3_latest_partitions"] = CLEAN_KEPT + """
-SELECT partition FROM (SELECT DISTINCT 'subject=' || subject AS partition FROM kept)
-ORDER BY partition DESC LIMIT 10"""
+# A layout with known numbers of files: bucket b (doc_id % 4) is written as b + 1 files.
+ORACLE["s6_file_inventory"] = """
+SELECT 'bucket=' || b AS partition, cast(b + 1 AS bigint) AS files, true AS has_bytes
+FROM (SELECT DISTINCT doc_id % 4 AS b FROM documents)"""
+ORACLE["g5_dataset_status"] = """
+SELECT 'buckets' AS dataset, cast(sum(b + 1) AS bigint) AS files, count(*) AS children, true AS has_bytes, true AS has_time
+FROM (SELECT DISTINCT doc_id % 4 AS b FROM documents)
+UNION ALL SELECT 'empty', 0, 0, false, false UNION ALL SELECT 'missing', 0, 0, false, false"""
+ORACLE["r3_latest_partitions"] = """
+SELECT 'bucket=' || b AS partition, file FROM (
+  SELECT DISTINCT doc_id % 4 AS b, unnest(range(0, doc_id % 4 + 1)) AS file FROM documents)
+ORDER BY b DESC, file DESC LIMIT 5"""
+ORACLE["r3_latest_by_time"] = """
+SELECT 'bucket=' || max(doc_id % 4) AS partition FROM documents"""
 
 # --- feeds -------------------------------------------------------------------------
+# Written from what the feed documents are generated from (pages), not from their XML.
 FEED_ITEMS = """
 items AS (
-  SELECT cast(page_id // 12 AS integer) AS feed_pos, cast(page_id % 12 AS integer) AS pos,
+  SELECT cast(page_id // 12 AS integer) AS feed_pos, cast(page_id % 12 AS integer) AS pos, page_id,
          regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS raw_title,
          html AS description,
          CASE WHEN page_id % 9 <> 4
               THEN TIMESTAMP '2024-03-01 00:00:00' + to_hours(cast(page_id * 7 AS bigint)) END AS pub_ts
   FROM pages),
-parsed AS (
+once AS (
   SELECT feed_pos, pos, nullif(trim(raw_title), '') AS title, description, pub_ts,
-         strftime(pub_ts, '%a, %d %b %Y %H:%M:%S GMT') AS published,
+         CASE WHEN feed_pos % 5 >= 2 THEN strftime(pub_ts, '%Y-%m-%dT%H:%M:%SZ')
+              WHEN page_id % 3 = 0 THEN strftime(pub_ts, '%a, %d %b %Y %H:%M:%S GMT')
+              WHEN page_id % 3 = 1 THEN strftime(pub_ts, '%a, %-d %b %Y %H:%M GMT')
+              ELSE strftime(pub_ts, '%d %b %y %H:%M:%S +0000') END AS published,
          (['politics', 'business', 'technology', 'world'])[feed_pos % 4 + 1] AS subject
-  FROM items WHERE feed_pos % 50 <> 7),
+  FROM items),
+parsed AS (SELECT *, 0 AS landing FROM once UNION ALL SELECT *, 1 AS landing FROM once WHERE feed_pos % 5 = 1),
 firsts AS (SELECT * FROM parsed WHERE pos < 10),
 titled AS (
   SELECT * REPLACE (trim(coalesce(title, ''), """ + UNICODE_WS_SQL + """) AS title)
   FROM firsts),
 nonempty AS (SELECT * FROM titled WHERE title <> ''),
-deduped AS (SELECT * FROM nonempty QUALIFY row_number() OVER (PARTITION BY title ORDER BY feed_pos, pos) = 1),
+deduped AS (SELECT * FROM nonempty QUALIFY row_number() OVER (PARTITION BY title ORDER BY feed_pos, pos, landing) = 1),
+dated AS (SELECT *, strftime(coalesce(pub_ts, TIMESTAMP '2024-06-01 00:00:00' + to_hours(landing)), '%B %d, %Y') AS date
+          FROM parsed),
 extracted AS (
   SELECT *, """ + clean_html_sql("description") + """ AS text,
-         strftime(coalesce(pub_ts, current_timestamp::timestamp), '%B %d, %Y') AS date
+         strftime(coalesce(pub_ts, TIMESTAMP '2024-06-01 00:00:00' + to_hours(landing)), '%B %d, %Y') AS date,
+         strftime(TIMESTAMP '2024-06-01 00:00:00' + to_hours(landing), '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp"
   FROM deduped),
 long_enough AS (SELECT * FROM extracted WHERE length(text) >= 30)"""
 FEEDS = with_ctes(FEED_ITEMS)
 
 ORACLE["f1_rss_entries"] = FEEDS + "\nSELECT feed_pos, pos, title, published FROM parsed"
-ORACLE["f2_feed_errors"] = """
-SELECT DISTINCT cast(page_id // 12 AS integer) AS feed_pos,
-       'https://feeds.example.org/' || (['politics', 'business', 'technology', 'world'])[(page_id // 12) % 4 + 1]
-       || '/' || cast(page_id // 12 AS varchar) || '.xml' AS url
-FROM pages WHERE (page_id // 12) % 50 = 7"""
+ORACLE["f2_feed_errors"] = FEEDS + """
+SELECT DISTINCT feed_pos, 'https://feeds.example.org/' || subject || '/' || cast(feed_pos AS varchar) || '-broken.xml' AS url
+FROM once WHERE feed_pos % 5 = 2"""
 ORACLE["w1_first_n_per_feed"] = FEEDS + "\nSELECT feed_pos, pos FROM firsts"
 ORACLE["x3_nonempty_title"] = FEEDS + "\nSELECT feed_pos, pos, title FROM nonempty"
-ORACLE["d1_first_by_title"] = FEEDS + "\nSELECT feed_pos, pos, title FROM deduped"
+ORACLE["d1_first_by_title"] = FEEDS + """
+SELECT feed_pos, pos, title, published, TIMESTAMP '2024-06-01 00:00:00' + to_hours(landing) AS fetched_at FROM deduped"""
 ORACLE["x4_min_feed_text"] = FEEDS + """
 SELECT feed_pos, pos, cast(length(text) AS integer) AS text_len FROM long_enough"""
-ORACLE["t7_date_format"] = FEEDS + """
-SELECT feed_pos, pos, strftime(coalesce(pub_ts, current_timestamp::timestamp), '%B %d, %Y') AS date FROM parsed"""
-ORACLE["f_extract_feeds"] = FEEDS + "\nSELECT title, text, subject, date FROM long_enough"
+ORACLE["t7_date_format"] = FEEDS + "\nSELECT feed_pos, pos, date FROM dated"
+ORACLE["f_extract_feeds"] = FEEDS + """
+SELECT title, text, subject, date, "timestamp", pub_ts IS NULL AS date_guessed FROM long_enough"""
 ORACLE["k10_feed_messages"] = FEEDS + """
-SELECT substr(title, 1, 50) AS key, title, subject, date FROM long_enough"""
+SELECT substr(title, 1, 50) AS key, title, subject, date, "timestamp" FROM long_enough"""
 
 # --- streaming ---------------------------------------------------------------------
 ORACLE["st1_ingest"] = CLEAN_KEPT + """
 SELECT title, text, cast(NULL AS varchar) AS source, article_id, subject, date FROM kept"""
 ORACLE["k2_stream_csv"] = CLEAN_KEPT + "\nSELECT title, text, subject, date FROM kept"
 ORACLE["st6_restart"] = CLEAN_KEPT + "\nSELECT count(*) AS n FROM kept"
-ORACLE["d2_stream_dedupe"] = CLEAN_KEPT + "\nSELECT DISTINCT title FROM kept"
+ORACLE["d2_stream_dedupe"] = CLEAN_KEPT + """
+SELECT title, text, article_id, subject, date FROM kept
+QUALIFY title IS NULL OR row_number() OVER (PARTITION BY title ORDER BY cast(article_id AS varchar)) = 1"""
+ORACLE["d2_stream_dedupe_csv"] = CLEAN_KEPT + """
+SELECT nullif(title, '') AS title, text, subject, date FROM kept
+QUALIFY title IS NULL OR row_number() OVER (PARTITION BY title ORDER BY cast(article_id AS varchar)) = 1"""
 ORACLE["st3_console"] = with_ctes(ALL_ARTICLES) + "\nSELECT title, subject, date, article_id FROM all_articles"
 ORACLE["st5b_feed_stream"] = ORACLE["k10_feed_messages"]
 ORACLE["k1_stream_parquet"] = CLEAN_KEPT + "\nSELECT DISTINCT subject, date FROM kept"

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import text as TX
 from ..functions.html import clean_html
-from ..functions.messages import BAD_COLUMN, parse_json, parse_messages, to_json_value, to_message
+from ..functions.messages import parse_json, parse_messages, to_json_value, to_message
 from ..operators import aggregates, classifier, evaluation, feeds, ordering
 from ..operators.labels import decode_label
 from ..operators.tfidf_nb import prepare
@@ -149,7 +149,6 @@ def _ml_predictions(spark, sf_dir):
     """Fits the ML model on the training share; returns it with predictions of all prepared articles."""
     prep = fixtures.prepared(spark, sf_dir).drop("date")
     model = classifier.fit(prep.filter("is_train"))
-    _ML_MODELS[(spark.sparkContext.applicationId, id(spark), sf_dir)] = model
     return model, classifier.score(model, prep)
 
 
@@ -228,6 +227,12 @@ def t6_key_prefix(spark, sf_dir):
     return articles(spark, sf_dir, labelled=False).select("article_id", TX.title_key("title").alias("key"))
 
 
+@register("t2_references")
+def t2_references(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", clean_html(fixtures.references(F.col("text"))).alias("text"))
+
+
 @register("t2_clean_html")
 def t2_clean_html(spark, sf_dir):
     return read_table(spark, sf_dir, "pages").select("page_id", clean_html("html").alias("text"))
@@ -274,10 +279,35 @@ def k10_message_key_value(spark, sf_dir):
 
 @register("x5_dead_letter")
 def x5_dead_letter(spark, sf_dir):
-    path = fixtures.landed_messages(spark, sf_dir, malformed=True)
-    msgs = spark.read.schema("key string, value string").json(path)
-    return parse_messages(msgs, flag_bad=True, keep=("key",)).select(
-        "key", F.col(BAD_COLUMN).alias("bad"))
+    """What the ingest of malformed messages leaves in its dead-letter sink."""
+    src = fixtures.landed_messages(spark, sf_dir, malformed=True)
+    out, ckpt, dead = (scratch_path(spark, n) for n in ("scored", "scored_ckpt", "dead_letter"))
+    for q in scoring.start_scoring(_ml_model(spark, sf_dir), article_stream(spark, "json", src), out, ckpt,
+                                   dead_letter=dead, available_now=True):
+        q.awaitTermination()
+    rows = spark.read.schema("raw_value string, received_at timestamp").json(dead)
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.count("raw_value").alias("with_value"))
+
+
+def _foreach_batch(spark, sf_dir):
+    src = fixtures.landed_messages(spark, sf_dir, malformed=True)
+    out = scratch_path(spark, "scored_batches")
+    scoring.start_scoring_foreach_batch(_ml_model(spark, sf_dir), article_stream(spark, "json", src), out,
+                                        scratch_path(spark, "scored_batches_ckpt"), available_now=True).awaitTermination()
+    return out
+
+
+@register("st4_foreach_batch")
+def st4_foreach_batch(spark, sf_dir):
+    return read_predictions(spark, _foreach_batch(spark, sf_dir)).select(
+        "title", "subject", "date", "prediction_label", *_rounded())
+
+
+@register("g6_batch_metrics")
+def g6_batch_metrics(spark, sf_dir):
+    """Good, bad and FAKE counts that the batches wrote, added up."""
+    m = spark.read.parquet(f"{_foreach_batch(spark, sf_dir)}_metrics")
+    return m.agg(*[F.sum(c).alias(c) for c in ("good", "bad", "fake")])
 
 
 # --------------------------------------------------------------------------
@@ -326,8 +356,10 @@ def k5_backfill_csv(spark, sf_dir):
 
 @register("st8_backfill")
 def st8_backfill(spark, sf_dir):
-    _, n = _backfilled(spark, sf_dir)
-    return spark.range(1).select(F.lit(n).cast("bigint").alias("n"))
+    """ST8: an aggregate over what the backfill wrote."""
+    out, _ = _backfilled(spark, sf_dir)
+    return spark.read.schema(TRAINING_CSV_SCHEMA).parquet(f"{out}/parquet").groupBy("subject").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
 @register("s3_partition_scan")
@@ -346,13 +378,24 @@ def k7_export_predictions(spark, sf_dir):
                              "prob_fake double, prob_true double").options(**sinks.CSV_OPTIONS).csv(res["predictions"])
 
 
+def _summary(spark, sf_dir, name, schema):
+    res = jobs.export(spark, fixtures.prediction_dataset(spark, sf_dir), scratch_path(spark, "export"))
+    return spark.read.schema(schema).options(**sinks.CSV_OPTIONS).csv(res[name])
+
+
 @register("k8_export_summaries")
 def k8_export_summaries(spark, sf_dir):
-    path = fixtures.prediction_dataset(spark, sf_dir)
-    out = scratch_path(spark, "export")
-    res = jobs.export(spark, path, out)
-    return spark.read.schema("subject string, prediction_label string, count bigint").options(
-        **sinks.CSV_OPTIONS).csv(res["by_subject"])
+    return _summary(spark, sf_dir, "by_subject", "subject string, prediction_label string, count bigint")
+
+
+@register("k8_by_label")
+def k8_by_label(spark, sf_dir):
+    return _summary(spark, sf_dir, "by_label", "prediction_label string, count bigint")
+
+
+@register("k8_by_date")
+def k8_by_date(spark, sf_dir):
+    return _summary(spark, sf_dir, "by_date", "date string, prediction_label string, count bigint")
 
 
 @register("r2_preview")
@@ -362,30 +405,40 @@ def r2_preview(spark, sf_dir):
     return ordering.preview(df, 10, ("subject", "title", "prob_fake"), truncate=40)
 
 
-def _partition_listing(spark, sf_dir):
-    out, _ = _backfilled(spark, sf_dir)
-    listing = list_files(spark, f"{out}/parquet")
-    return listing.withColumn("partition", F.regexp_extract("path", r"/(subject=[^/]*)/", 1))
+def _bucket_listing(spark, sf_dir):
+    listing = list_files(spark, fixtures.bucket_files(spark, sf_dir))
+    return listing.withColumn("partition", F.regexp_extract("path", r"/(bucket=[^/]*)/", 1))
 
 
 @register("s6_file_inventory")
 def s6_file_inventory(spark, sf_dir):
-    return _partition_listing(spark, sf_dir).groupBy("partition").agg(
-        (F.count(F.lit(1)) > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes"))
+    return _bucket_listing(spark, sf_dir).groupBy("partition").agg(
+        F.count(F.lit(1)).alias("files"), (F.min("length") > 0).alias("has_bytes"))
 
 
 @register("g5_dataset_status")
 def g5_dataset_status(spark, sf_dir):
-    out, _ = _backfilled(spark, sf_dir)
-    st = jobs.dataset_status(spark, {"backfill_parquet": f"{out}/parquet"})
-    return st.select("dataset", "children", (F.col("files") >= F.col("children")).alias("has_files"),
-                     (F.col("bytes") > 0).alias("has_bytes"))
+    empty = scratch_path(spark, "empty")
+    sinks.make_folder(spark, empty)
+    st = jobs.dataset_status(spark, {"buckets": fixtures.bucket_files(spark, sf_dir), "empty": empty,
+                                     "missing": scratch_path(spark, "missing")})
+    return st.select("dataset", "files", "children", (F.col("bytes") > 0).alias("has_bytes"),
+                     F.col("latest").isNotNull().alias("has_time"))
 
 
 @register("r3_latest_partitions")
 def r3_latest_partitions(spark, sf_dir):
-    parts = _partition_listing(spark, sf_dir).select("partition").distinct()
-    return parts.orderBy(F.desc("partition")).limit(10)
+    """R3 by name: the last files of the dataset, by partition and number within it."""
+    listing = _bucket_listing(spark, sf_dir)
+    number = F.row_number().over(Window.partitionBy("partition").orderBy("path")) - 1      # a few files each
+    last = ordering.latest(listing.withColumn("file", number.cast("bigint")), 5)
+    return last.select("partition", "file")
+
+
+@register("r3_latest_by_time")
+def r3_latest_by_time(spark, sf_dir):
+    """R3 by time: the bucket written last has the latest file."""
+    return ordering.latest(_bucket_listing(spark, sf_dir), 1, by="modificationTime").select("partition")
 
 
 # --------------------------------------------------------------------------
@@ -418,7 +471,7 @@ def x3_nonempty_title(spark, sf_dir):
 @register("d1_first_by_title")
 def d1_first_by_title(spark, sf_dir):
     e = feeds.nonempty_titles(feeds.first_entries(feeds.feed_entries(feed_documents(spark, sf_dir))))
-    return feeds.first_by_title(e).select("feed_pos", "pos", "title")
+    return feeds.first_by_title(e).select("feed_pos", "pos", "title", "published", "fetched_at")
 
 
 @register("x4_min_feed_text")
@@ -430,19 +483,19 @@ def x4_min_feed_text(spark, sf_dir):
 @register("t7_date_format")
 def t7_date_format(spark, sf_dir):
     e = feeds.feed_entries(feed_documents(spark, sf_dir))
-    return e.select("feed_pos", "pos", TX.article_date("published").alias("date"))
+    return e.select("feed_pos", "pos", TX.article_date("published", F.col("fetched_at")).alias("date"))
 
 
 @register("f_extract_feeds")
 def f_extract_feeds(spark, sf_dir):
     arts = feeds.extract_feeds(feed_documents(spark, sf_dir))
-    return arts.select("title", "text", "subject", "date")
+    return arts.select("title", "text", "subject", "date", "timestamp", "date_guessed")
 
 
 @register("k10_feed_messages")
 def k10_feed_messages(spark, sf_dir):
     msgs = jobs.extract_and_publish(feed_documents(spark, sf_dir))
-    return parse_messages(msgs, keep=("key",)).select("key", "title", "subject", "date")
+    return parse_messages(msgs, keep=("key",)).select("key", "title", "subject", "date", "timestamp")
 
 
 # --------------------------------------------------------------------------
@@ -493,19 +546,21 @@ def st6_restart(spark, sf_dir):
 @register("d2_stream_dedupe")
 def d2_stream_dedupe(spark, sf_dir):
     out = _ingested(spark, sf_dir, dedupe=True)
-    return read_ingested(spark, f"{out}/parquet").select("title")
+    return read_ingested(spark, f"{out}/parquet").select("title", "text", "article_id", "subject", "date")
 
 
-_ML_MODELS: dict = {}
+@register("d2_stream_dedupe_csv")
+def d2_stream_dedupe_csv(spark, sf_dir):
+    """The CSV sink holds the same rows as the Parquet sink."""
+    out = _ingested(spark, sf_dir, dedupe=True)
+    return read_article_csv(spark, f"{out}/csv").select("title", "text", "subject", "date")
 
 
+@fixtures.once("ml_model")
 def _ml_model(spark, sf_dir):
     """The fitted ML model of an input, trained once per session (the scorer
     loads a trained model; it does not train)."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-    if key not in _ML_MODELS:
-        _ML_MODELS[key], _ = _ml_predictions(spark, sf_dir)
-    return _ML_MODELS[key]
+    return _ml_predictions(spark, sf_dir)[0]
 
 
 @register("k9_model_roundtrip")
@@ -557,15 +612,13 @@ def st5b_feed_stream(spark, sf_dir):
     stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
     start_feed_stream(stream, out, ckpt, available_now=True).awaitTermination()
     msgs = spark.read.schema("key string, value string, batch_id int").json(out)
-    return parse_messages(msgs, keep=("key",)).select("key", "title", "subject", "date")
+    return parse_messages(msgs, keep=("key",)).select("key", "title", "subject", "date", "timestamp")
 
 
 @register("st3_console")
 def st3_console(spark, sf_dir):
     src = fixtures.landed_messages(spark, sf_dir)
-    name = "console_" + scratch_path(spark, "q").rsplit("-", 1)[-1]
-    q = ingest.start_console(article_stream(spark, "json", src), scratch_path(spark, "console_ckpt"),
-                             sink="memory", query_name=name, available_now=True)
-    q.awaitTermination()
-    return spark.table(name).select("title", "subject", "date", "article_id")
-
+    out = scratch_path(spark, "console")
+    ingest.start_console(article_stream(spark, "json", src), scratch_path(spark, "console_ckpt"), sink="json", path=out,
+                         available_now=True).awaitTermination()
+    return spark.read.schema("title string, subject string, date string, article_id string").json(out)

@@ -9,7 +9,7 @@ Semantics (defined here, mirrored by the SQL oracle):
 2. every remaining markup token (tag, doctype, declaration, processing
    instruction) becomes a node boundary; a ``<`` not followed by a letter,
    ``/``, ``!`` or ``?`` is text, as in an HTML tokenizer;
-3. the common named entities are decoded (``&amp;`` last);
+3. numeric and the common named character references are decoded, each once;
 4. each text node is stripped of Unicode whitespace, empty nodes are dropped
    and the rest are joined with one blank.
 
@@ -33,15 +33,45 @@ HIDDEN_ELEMENTS = [
 HIDDEN = "(?is)" + "|".join(HIDDEN_ELEMENTS)      # one pass, leftmost construct first
 MARKUP = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 NODE_BREAK = "\u0001"
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+# Named references, by code point, that are common in feeds.
+ENTITIES = {
+    "lt": 60, "gt": 62, "quot": 34, "apos": 39, "nbsp": 160, "iexcl": 161, "cent": 162, "pound": 163, "yen": 165,
+    "sect": 167, "copy": 169, "laquo": 171, "reg": 174, "deg": 176, "plusmn": 177, "middot": 183, "raquo": 187,
+    "frac12": 189, "iquest": 191, "Agrave": 192, "Aacute": 193, "Auml": 196, "Ccedil": 199, "Egrave": 200,
+    "Eacute": 201, "Ntilde": 209, "Ouml": 214, "times": 215, "Uuml": 220, "szlig": 223, "agrave": 224, "aacute": 225,
+    "acirc": 226, "atilde": 227, "auml": 228, "aring": 229, "aelig": 230, "ccedil": 231, "egrave": 232, "eacute": 233,
+    "ecirc": 234, "euml": 235, "igrave": 236, "iacute": 237, "icirc": 238, "iuml": 239, "ntilde": 241, "ograve": 242,
+    "oacute": 243, "ocirc": 244, "otilde": 245, "ouml": 246, "oslash": 248, "ugrave": 249, "uacute": 250, "ucirc": 251,
+    "uuml": 252, "ndash": 8211, "mdash": 8212, "lsquo": 8216, "rsquo": 8217, "sbquo": 8218, "ldquo": 8220,
+    "rdquo": 8221, "bdquo": 8222, "bull": 8226, "hellip": 8230, "euro": 8364, "trade": 8482, "amp": 38}
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+
+
+def _decoded(part: Column) -> Column:
+    """Text that follows a ``&`` of the source, with the reference at its start decoded (or ``&`` put back)."""
+    name = F.regexp_extract(part, "^" + REFERENCE[1:], 1)
+    number = F.when(name.startswith("#x") | name.startswith("#X"), F.conv(F.substring(name, 3, 8), 16, 10)).when(
+        name.startswith("#"), F.substring(name, 2, 8)).cast("int")
+    named = F.element_at(F.create_map(*[x for k, v in ENTITIES.items() for x in (F.lit(k), F.lit(v))]), name)
+    code = F.coalesce(number, named)
+    # references to nothing, to surrogates or beyond Unicode stay as they are
+    legal = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    rest = F.substring(part, F.length(name) + 2, F.length(part))
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(legal, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+
+
+def decode_references(s: Column) -> Column:
+    """Character references decoded in one left-to-right pass (``&amp;lt;`` becomes ``&lt;``)."""
+    parts = F.split(s, "&", -1)
+    decoded = F.concat(F.element_at(parts, 1), F.array_join(
+        F.transform(F.slice(parts, 2, F.size(parts)), _decoded), ""))
+    return F.when(s.contains("&"), decoded).otherwise(s)
 
 
 def clean_html(c) -> Column:
     s = F.coalesce(col_(c), F.lit(""))
     s = F.regexp_replace(s, HIDDEN, "")
     s = F.regexp_replace(s, MARKUP, NODE_BREAK)
-    for ent, ch in ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    nodes = F.transform(F.split(s, NODE_BREAK), unicode_strip)
+    nodes = F.transform(F.split(s, NODE_BREAK), lambda x: unicode_strip(decode_references(x)))
     return F.array_join(F.filter(nodes, lambda x: x != F.lit("")), " ")

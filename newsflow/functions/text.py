@@ -25,9 +25,10 @@ ANY_TAG = r"<[^>]+>"                # the ingest cleaner's tag pattern
 UNICODE_WS_CHARS = "".join(chr(c) for c in (
     [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680]
     + list(range(0x2000, 0x200B)) + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-# Feed dates: RFC 822 after the weekday, with a zone name or an offset.
-PUBDATE_FORMATS = ["dd MMM yyyy HH:mm:ss zzz", "dd MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss zzz",
-                   "d MMM yyyy HH:mm:ss Z"]
+# Feed dates: RFC 822 after the weekday; seconds may be missing, the day may have one digit and the
+# year two, the zone is a name or an offset.
+PUBDATE_FORMATS = [f"d MMM {year} {time} {zone}" for year in ("yyyy", "yy") for time in ("H:mm:ss", "H:mm")
+                   for zone in ("z", "Z")]
 
 
 def col_(c) -> Column:
@@ -101,9 +102,10 @@ def title_key(c="title", n: int = C.KEY_PREFIX_CHARS) -> Column:
 
 def parse_published(c) -> Column:
     """Timestamp of an RSS/Atom date string, NULL when no format fits."""
-    s = F.regexp_replace(F.trim(col_(c)), r"^[A-Za-z]{3},\s*", "")
+    s = F.regexp_replace(F.regexp_replace(F.trim(col_(c)), r"^[A-Za-z]+,\s*", ""), r"\s+", " ")
+    s = F.regexp_replace(s, r" UT$", " UTC")
     tries = [F.try_to_timestamp(s, F.lit(f)) for f in PUBDATE_FORMATS]
-    tries.append(F.try_to_timestamp(F.trim(col_(c))))      # ISO-8601 (Atom)
+    tries.append(F.try_to_timestamp(F.trim(col_(c))))      # ISO-8601 (Atom, RSS 1.0)
     return F.coalesce(*tries)
 
 

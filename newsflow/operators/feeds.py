@@ -9,41 +9,57 @@ before D1 without changing which rows survive.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.html import clean_html
-from ..functions.text import article_date, compute_once, iso_timestamp, unicode_strip
-from ..schema import ATOM_XML_SCHEMA, RSS_XML_SCHEMA
+from ..functions.text import article_date, compute_once, iso_timestamp, parse_published, unicode_strip
+from ..schema import CORRUPT_XML, FEED_XML_SCHEMA
 
-FEED_ORDER = ("feed_pos", "url", "pos")
+FEED_ORDER = ("feed_pos", "url", "pos", "fetched_at")
+FEED_COLUMNS = ("subject", "feed_pos", "url", "fetched_at")
+XML_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT_XML, "ignoreNamespace": "true", "mode": "PERMISSIVE"}
 
 
-def parsed_items(feeds: DataFrame, xml: str = "xml") -> F.Column:
-    """Array of ``(title, description, pubDate)`` of an RSS or Atom document.
+def parsed_feed(xml="xml") -> Column:
+    """The document parsed once: RSS 2.0, RSS 1.0 (RDF) and Atom fields side by side."""
+    return F.from_xml(F.col(xml) if isinstance(xml, str) else xml, FEED_XML_SCHEMA, XML_OPTIONS)
 
-    NULL for a document that does not parse (broken XML) or has no channel;
-    an empty channel gives NULL too.  Only one parse runs per document.
+
+def feed_items(doc: Column) -> Column:
+    """Array of ``(title, description, published)`` of a parsed document.
+
+    RSS items carry ``pubDate`` (RSS 1.0: ``dc:date``); an Atom entry its summary, or
+    its content if it has none, and the time it was published, or else updated.
     """
-    rss = F.from_xml(F.col(xml), RSS_XML_SCHEMA)["channel"]["item"]
-    atom = F.transform(F.from_xml(F.col(xml), ATOM_XML_SCHEMA)["entry"], lambda e: F.struct(
-        e["title"].alias("title"), e["summary"].alias("description"), e["updated"].alias("pubDate")))
-    return F.when(F.col(xml).contains("<rss"), rss).otherwise(atom)
+    def rss(items):
+        return F.transform(items, lambda i: F.struct(i["title"].alias("title"), i["description"].alias("description"),
+                                                     F.coalesce(i["pubDate"], i["date"]).alias("published")))
+
+    atom = F.transform(doc["entry"], lambda e: F.struct(
+        e["title"].alias("title"), F.coalesce(e["summary"], e["content"]).alias("description"),
+        F.coalesce(e["published"], e["updated"]).alias("published")))
+    return F.coalesce(rss(doc["channel"]["item"]), rss(doc["item"]), atom)
 
 
 def feed_entries(feeds: DataFrame) -> DataFrame:
     """one row per entry, ``pos`` = position inside its feed (0-based)."""
-    keep = [c for c in ("subject", "feed_pos", "url", "fetched_at") if c in feeds.columns]
-    return feeds.select(*keep, F.posexplode(parsed_items(feeds)).alias("pos", "item")).select(
+    keep = [c for c in FEED_COLUMNS if c in feeds.columns]
+    parsed = compute_once(feeds.select(*keep, "xml"), {"doc": parsed_feed()})
+    return parsed.select(*keep, F.posexplode(feed_items(F.col("doc"))).alias("pos", "item")).select(
         *keep, "pos", F.col("item.title").alias("title"), F.col("item.description").alias("summary"),
-        F.col("item.pubDate").alias("published"))
+        F.col("item.published").alias("published"))
 
 
 def feed_errors(feeds: DataFrame) -> DataFrame:
-    """documents that yield no parsable channel (dead letter, by url)."""
-    return feeds.filter(F.col("xml").isNull() | parsed_items(feeds).isNull()).select(
-        *[c for c in ("subject", "feed_pos", "url", "fetched_at") if c in feeds.columns])
+    """documents that are missing, don't parse or are no feed (dead letter, by url).  A feed
+    without entries is none."""
+    parsed = compute_once(feeds, {"doc": parsed_feed()})
+    doc = F.col("doc")
+    no_feed = doc["channel"].isNull() & doc["item"].isNull() & doc["entry"].isNull() & doc["title"].isNull()
+    return parsed.filter(F.col("xml").isNull() | doc[CORRUPT_XML].isNotNull() | no_feed).select(
+        *[c for c in FEED_COLUMNS if c in feeds.columns])
 
 
 def first_entries(entries: DataFrame, n: int = C.ENTRIES_PER_FEED) -> DataFrame:
@@ -58,17 +74,15 @@ def nonempty_titles(entries: DataFrame) -> DataFrame:
 
 
 def first_by_title(entries: DataFrame, order=FEED_ORDER) -> DataFrame:
-    """Keep the first copy of each exact title in (feed, url, entry) order.
+    """Keep the first copy of each exact title in (feed, url, entry, fetch time) order.
 
-    Skew-safe: the earliest position per title is found by an aggregation
-    (partial aggregation collapses a hot title map-side), and the winners are
-    kept with a semi join on the full (title, position) key, which is unique,
-    so no task ever receives all copies of one title.
+    One aggregation: the copies of a hot title are combined on the map side, so no
+    task ever receives all of them.  NULL feed positions and urls come first, and
+    of copies that are equal in all of the order one stays.
     """
-    order = list(order)
-    first = entries.groupBy("title").agg(F.min(F.struct(*order)).alias("first")).select(
-        "title", *[F.col(f"first.{c}").alias(c) for c in order])
-    return entries.join(first, ["title", *order], "left_semi")
+    order = [c for c in order if c in entries.columns]
+    first = entries.groupBy("title").agg(F.min_by(F.struct(*entries.columns), F.struct(*order)).alias("first"))
+    return first.select("first.*")
 
 
 def with_clean_text(entries: DataFrame) -> DataFrame:
@@ -82,28 +96,21 @@ def long_enough(entries: DataFrame, n: int = C.MIN_FEED_TEXT_CHARS) -> DataFrame
 
 
 def extract_feeds(feeds: DataFrame, n_entries: int = C.ENTRIES_PER_FEED,
-                  min_text: int = C.MIN_FEED_TEXT_CHARS, stage=None) -> DataFrame:
-    """Feed documents -> article messages ``title, text, subject, date, timestamp``
-    (plus ``feed_pos, url, pos`` for lineage).
-
-    D1 reads the entries twice (earliest position per title, then the semi
-    join), so the entries are staged once by ``stage`` -- by default a written
-    table in the shared checkpoint folder; a streaming poll passes a
-    persist-based stage scoped to its micro-batch.  T2 is row-local, so it
-    runs before staging (the staged text is smaller than the raw summary);
-    X4 still runs after D1, which keeps the original order semantics.
-    """
-    if stage is None:
-        from ..session import materialize
+                  min_text: int = C.MIN_FEED_TEXT_CHARS, now: Column | None = None) -> DataFrame:
+    """Feed documents -> article messages ``title, text, subject, date, timestamp, date_guessed``
+    (plus ``feed_pos, url, pos`` for lineage), in one plan with one shuffle.
 
-        def stage(df):
-            return materialize(df, "feed_entries")
+    Messages are dated by the time of the poll: an entry without a date that parses
+    gets ``now`` (default: the document's ``fetched_at``, else the clock) and is
+    flagged in ``date_guessed``, so a replayed poll gives the same messages.
+    """
     e = feed_entries(feeds)
     e = first_entries(e, n_entries)
     e = nonempty_titles(e)
-    e = stage(with_clean_text(e).drop("summary"))
-    e = first_by_title(e)
+    e = first_by_title(with_clean_text(e).drop("summary"))
     e = long_enough(e, min_text)
-    now = F.current_timestamp()
+    if now is None:
+        now = F.coalesce("fetched_at", F.current_timestamp()) if "fetched_at" in e.columns else F.current_timestamp()
     return e.select("title", "text", "subject", article_date("published", now).alias("date"),
-                    iso_timestamp(now).alias("timestamp"), "feed_pos", "url", "pos")
+                    iso_timestamp(now).alias("timestamp"), parse_published("published").isNull().alias("date_guessed"),
+                    "feed_pos", "url", "pos")

@@ -9,9 +9,8 @@ _S = T.StringType()
 ARTICLE_FIELDS = ["title", "text", "subject", "date", "timestamp", "source", "article_id", "scraped_at"]
 ARTICLE_SCHEMA = T.StructType([T.StructField(n, _S, True) for n in ARTICLE_FIELDS])
 
-# Same, with the corrupt-record column filled by a PERMISSIVE parse.
+# Field of a PERMISSIVE parse that holds the raw text of what is not a JSON object.
 CORRUPT_COLUMN = "_corrupt"
-ARTICLE_SCHEMA_WITH_CORRUPT = T.StructType(ARTICLE_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, _S, True)])
 
 # Labelled CSV files: four string columns by header.
 TRAINING_CSV_SCHEMA = T.StructType([T.StructField(n, _S, True) for n in ["title", "text", "subject", "date"]])
@@ -48,13 +47,10 @@ FEED_DOCUMENT_SCHEMA = T.StructType([
     T.StructField("fetched_at", T.TimestampType(), True),
 ])
 
-# RSS 2.0 and Atom shapes read by ``from_xml`` (root element is the row).
-RSS_XML_SCHEMA = ("channel struct<item: array<struct<title: string, description: string, "
-                  "pubDate: string>>>")
-ATOM_XML_SCHEMA = "entry array<struct<title: string, summary: string, updated: string>>"
-
-FILE_LISTING_SCHEMA = T.StructType([
-    T.StructField("path", _S, True),
-    T.StructField("length", T.LongType(), True),
-    T.StructField("modificationTime", T.TimestampType(), True),
-])
+# RSS 2.0, RSS 1.0 (RDF) and Atom shapes, read by one ``from_xml`` (the root element is the row).
+# A document that doesn't parse has its text in the corrupt-record column.
+CORRUPT_XML = "corrupt"
+_RSS_ITEM = "struct<title: string, description: string, pubDate: string, date: string>"
+_ATOM_ENTRY = "struct<title: string, summary: string, content: string, published: string, updated: string>"
+FEED_XML_SCHEMA = (f"channel struct<title: string, item: array<{_RSS_ITEM}>>, item array<{_RSS_ITEM}>, "
+                   f"title string, entry array<{_ATOM_ENTRY}>, {CORRUPT_XML} string")

@@ -9,24 +9,33 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[8]", app: str = "newsflow", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", app: str = "newsflow", shuffle_partitions: int | None = 8,
                   extra: dict | None = None) -> SparkSession:
-    """Session with the settings the jobs are designed for (AQE, UTC, no UI)."""
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.ui.enabled", "false")
+    """Session with the settings the jobs are designed for (AQE, UTC, no UI).
+
+    Without ``master`` and ``shuffle_partitions`` those come from the environment
+    (``spark-submit``, ``spark-defaults.conf``), as on a cluster.
+    """
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        b = b.config("spark.driver.memory", "16g")
+    b = (b.config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.sql.session.timeZone", "UTC"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -62,9 +71,31 @@ def _context(spark: SparkSession):
         return None
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/newsflow/{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused folder under the shared checkpoint root (see ``scratch_scope``)."""
+    path = f"{checkpoint_root(spark)}/newsflow/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes at its end every scratch folder made inside it: the owner of a job ends it once the job's
+    results are written or read, as DataFrames built inside may still read these folders."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        sc = _context(spark)
+        for p in paths if sc is not None else []:
+            p = sc._jvm.org.apache.hadoop.fs.Path(p)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize(df, name: str = "table"):

@@ -73,13 +73,13 @@ def export_csv(df: DataFrame, out_dir: str, name: str, single_file: bool = False
     return target
 
 
-def export_summary(summary: DataFrame, out_dir: str, name: str) -> str:
-    """K8: a summary table as one CSV file, written by an executor (no driver collect).
+def export_summary(summary: DataFrame, out_dir: str, name: str, single_file: bool = False) -> str:
+    """K8: a summary table as CSV, written by executors (no driver collect).
 
-    Summaries are grouped counts over low-cardinality keys, so one task holds
-    them comfortably.
+    Its keys (subject, date) are free text of messages, so it is a folder of part
+    files unless ``single_file`` asks one task to write it.
     """
-    return export_csv(summary, out_dir, name, single_file=True)
+    return export_csv(summary, out_dir, name, single_file)
 
 
 def compact(spark: SparkSession, src: str, dst: str, partition_by=(), schema=None) -> None:
@@ -131,21 +131,27 @@ def land_training(spark: SparkSession, fake_path: str | None, true_path: str | N
     """
     parts, report = [], {}
     for label, p in ((0.0, fake_path), (1.0, true_path)):
-        if not p or not _exists(spark, p):
+        if not p or not path_exists(spark, p):
             report[label] = "missing"
             continue
         parts.append(with_label(read_article_csv(spark, p), label))
         report[label] = p
     if parts:
-        write_parquet(union_labelled(*parts), out, partition_by=("label",))
+        # every input file has one label already: each task writes into one folder, without a shuffle
+        union_labelled(*parts).write.mode("overwrite").partitionBy("label").parquet(out)
     return report
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _hadoop_fs(spark, path)
+    fs.mkdirs(p)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
 __all__ = ["write_parquet", "write_csv", "export_csv", "export_summary", "compact", "bucketed_table", "save_model",
            "publish",
-           "land_training", "CSV_OPTIONS", "CSV_WRITE_OPTIONS"]
+           "path_exists", "land_training", "CSV_OPTIONS", "CSV_WRITE_OPTIONS"]

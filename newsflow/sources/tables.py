@@ -79,12 +79,17 @@ def colocated_articles(spark: SparkSession, sf_dir: str, buckets: int, subject:
         F.col("quality").cast("double").alias("label"))
 
 
-# --- fixed values: feed layout of the generated RSS documents ---------------
+# --- fixed values: layout of the generated feed documents --------------------
 FEED_SUBJECTS = ["politics", "business", "technology", "world"]
 ITEMS_PER_GENERATED_FEED = 12          # > ENTRIES_PER_FEED, so the cut has work
-NO_PUBDATE_EVERY = 9                   # page_id % 9 == 4 -> item without pubDate
-BROKEN_FEED_EVERY = 50                 # feed_pos % 50 == 7 -> truncated document
+NO_PUBDATE_EVERY = 9                   # page_id % 9 == 4 -> item without a date
 PUBDATE_ORIGIN = "2024-03-01 00:00:00"
+FETCHED_AT = "2024-06-01 00:00:00"
+# feed_pos % 5: RSS 2.0, RSS 2.0 (landed twice), RSS 1.0, Atom with summary, Atom with content only.
+# Feeds of kind 2 also land as a broken copy, feeds of kind 3 as an empty one, both under urls of their own.
+FEED_KINDS = 5
+# Dates of RSS 2.0 items by page_id % 3: in full, without seconds, with a short year and an offset.
+RSS_DATE_FORMATS = ["EEE, dd MMM yyyy HH:mm:ss 'GMT'", "EEE, d MMM yyyy HH:mm 'GMT'", "dd MMM yy HH:mm:ss '+0000'"]
 
 
 def xml_escape(c) -> F.Column:
@@ -93,45 +98,67 @@ def xml_escape(c) -> F.Column:
                      F.lit(">"), F.lit("&gt;"))
 
 
+def _tag(name: str, c) -> F.Column:
+    """``<name>c</name>``, or nothing for NULL."""
+    return F.coalesce(F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>")), F.lit(""))
+
+
 def feed_items(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
-    """One generated RSS item per page: ``feed_pos, pos, title, description, pub_date``."""
+    """One generated entry per page: ``feed_pos, pos, kind, title, description, published`` (as written)."""
     pages = read_table(spark, sf_dir, "pages", tasks)
     # Wall-clock (NTZ) arithmetic: no session time zone or DST shift.
-    pub = F.date_format(F.lit(PUBDATE_ORIGIN).cast("timestamp_ntz") + F.make_dt_interval(
-        hours=(F.col("page_id") * 7).cast("int")), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    at = F.lit(PUBDATE_ORIGIN).cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("page_id") * 7).cast("int"))
+    iso = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    rss = F.element_at(F.array(*[F.date_format(at, f) for f in RSS_DATE_FORMATS]), (F.col("page_id") % 3 + 1).cast("int"))
+    feed = F.expr(f"page_id DIV {ITEMS_PER_GENERATED_FEED}").cast("int")
     return pages.select(
-        F.expr(f"page_id DIV {ITEMS_PER_GENERATED_FEED}").cast("int").alias("feed_pos"),
+        feed.alias("feed_pos"),
         (F.col("page_id") % ITEMS_PER_GENERATED_FEED).cast("int").alias("pos"),
+        (feed % FEED_KINDS).alias("kind"),
         F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"),
         F.col("html").alias("description"),
-        F.when(F.col("page_id") % NO_PUBDATE_EVERY != 4, pub).alias("pub_date"),
+        F.when(F.col("page_id") % NO_PUBDATE_EVERY != 4, F.when(feed % FEED_KINDS < 2, rss).otherwise(iso)).alias(
+            "published"),
     )
 
 
 def feed_documents(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
-    """S5 fixture: ``subject, feed_pos, url, xml, fetched_at`` RSS documents.
+    """S5 fixture: ``subject, feed_pos, url, xml, fetched_at`` RSS and Atom documents.
 
     Items are grouped into feeds of ``ITEMS_PER_GENERATED_FEED`` pages; the
     group size is fixed, so no task ever holds an unbounded group.
     """
-    items = feed_items(spark, sf_dir, tasks).select(
-        "feed_pos", "pos",
-        F.concat(F.lit("<item><title>"), xml_escape("title"), F.lit("</title><description>"),
-                 xml_escape("description"), F.lit("</description>"),
-                 F.coalesce(F.concat(F.lit("<pubDate>"), F.col("pub_date"), F.lit("</pubDate>")), F.lit("")),
-                 F.lit("</item>")).alias("item"))
-    feeds = items.groupBy("feed_pos").agg(
+    title, text = _tag("title", xml_escape("title")), xml_escape("description")
+    rss = F.concat(F.lit("<item>"), title, _tag("description", text), _tag("pubDate", F.col("published")), F.lit("</item>"))
+    rdf = F.concat(F.lit("<item>"), title, _tag("description", text), _tag("dc:date", F.col("published")), F.lit("</item>"))
+    atom = F.concat(F.lit("<entry>"), title, F.when(F.col("kind") == 3, _tag("summary", text)).otherwise(
+        _tag("content", text)), _tag("published", F.col("published")), F.when(F.col("published").isNotNull(), F.lit(
+            "<updated>2024-05-30T00:00:00Z</updated>")).otherwise(""), F.lit("</entry>"))
+    items = feed_items(spark, sf_dir, tasks).select("feed_pos", "kind", "pos", F.when(F.col("kind") < 2, rss).when(
+        F.col("kind") == 2, rdf).otherwise(atom).alias("item"))
+    feeds = items.groupBy("feed_pos", "kind").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"]),
                      "").alias("items"))
     subject = F.element_at(F.array(*[F.lit(s) for s in FEED_SUBJECTS]), (F.col("feed_pos") % 4 + 1).cast("int"))
-    xml = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>feed '),
-                   F.col("feed_pos").cast("string"), F.lit("</title>"), F.col("items"), F.lit("</channel></rss>"))
-    xml = F.when(F.col("feed_pos") % BROKEN_FEED_EVERY == 7, F.substring(xml, 1, 200)).otherwise(xml)
-    return feeds.select(
-        subject.alias("subject"),
-        F.col("feed_pos"),
-        F.concat(F.lit("https://feeds.example.org/"), subject, F.lit("/"), F.col("feed_pos").cast("string"),
-                 F.lit(".xml")).alias("url"),
-        xml.alias("xml"),
-        F.lit("2024-06-01 00:00:00").cast("timestamp").alias("fetched_at"),
-    )
+    name = F.concat(F.lit("<title>feed "), F.col("feed_pos").cast("string"), F.lit("</title>"))
+
+    def document(items):
+        return F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>'), F.when(F.col("kind") < 2, F.concat(
+            F.lit('<rss version="2.0"><channel>'), name, items, F.lit("</channel></rss>"))).when(
+            F.col("kind") == 2, F.concat(F.lit(
+                '<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" '
+                'xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'), name, F.lit("</channel>"), items,
+                F.lit("</rdf:RDF>"))).otherwise(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), name, items,
+                                                         F.lit("</feed>"))))
+
+    def landed(kind: str, suffix: str, xml, hours: int = 0) -> DataFrame:
+        return feeds.filter(kind).select(
+            subject.alias("subject"), "feed_pos",
+            F.concat(F.lit("https://feeds.example.org/"), subject, F.lit("/"), F.col("feed_pos").cast("string"),
+                     F.lit(f"{suffix}.xml")).alias("url"),
+            xml.alias("xml"), (F.lit(FETCHED_AT).cast("timestamp") + F.expr(f"interval {hours} hours")).alias("fetched_at"))
+
+    whole = document(F.col("items"))
+    return (landed("true", "", whole).unionByName(landed("kind = 1", "", whole, 1))
+            .unionByName(landed("kind = 2", "-broken", F.substring(whole, 1, 400)))
+            .unionByName(landed("kind = 3", "-empty", document(F.lit("")))))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from ..functions.messages import BAD_COLUMN
+
 
 def start(writer, checkpoint: str, trigger: str | None, available_now: bool = False):
     """Starts a query with an explicit checkpoint (required: restarts resume).
@@ -24,20 +28,25 @@ def start(writer, checkpoint: str, trigger: str | None, available_now: bool = Fa
     return w.start()
 
 
-def await_all(spark, queries, timeout: float | None = None) -> None:
-    """ST7: wait until any query ends; if one failed, stop the others and re-raise.
+def await_all(spark, queries, timeout: float | None = None) -> bool:
+    """ST7: wait until every query has ended; if one fails, stop the others and raise.
 
-    Unlike waiting on one query only, a failed sibling is noticed.
+    Returns False if ``timeout`` seconds pass first (the queries keep running).
     """
-    try:
-        spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
-    finally:
-        errors = [q.exception() for q in queries if q.exception() is not None]
-        if errors:
+    end = None if timeout is None else time.monotonic() + timeout
+    while True:
+        failed = [q for q in queries if q.exception() is not None]
+        if failed:
             for q in queries:
                 if q.isActive:
                     q.stop()
-            raise RuntimeError(f"streaming query failed: {errors[0]}")
+            raise RuntimeError(f"streaming query failed: {failed[0].exception()}")
+        active = [q for q in queries if q.isActive]
+        if not active:
+            return True
+        if end is not None and time.monotonic() >= end:
+            return False
+        active[0].awaitTermination(1)
 
 
 def observed_batch(df: DataFrame, name: str = "batch", label: str = "prediction_label"):
@@ -46,6 +55,19 @@ def observed_batch(df: DataFrame, name: str = "batch", label: str = "prediction_
                       F.sum(F.when(F.col(label) == "FAKE", 1).otherwise(0)).alias("fake"))
 
 
+def observed_rows(df: DataFrame, name: str = "ingest"):
+    """G6 of the ingest stream: rows per micro-batch."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
+def start_dead_letter(parsed: DataFrame, path: str, checkpoint: str, trigger: str | None, available_now: bool):
+    """Malformed messages, raw, to JSON files; their count per micro-batch is observed as ``bad``."""
+    bad = parsed.filter(F.col(BAD_COLUMN)).select("raw_value", F.current_timestamp().alias("received_at"))
+    bad = bad.observe("dead_letter", F.count(F.lit(1)).alias("bad"))
+    return start(bad.writeStream.format("json").outputMode("append").option("path", path),
+                 f"{checkpoint}/dead_letter", trigger, available_now)
+
+
 class BatchMetricsListener(StreamingQueryListener):
     """Collects the observed metrics of every finished micro-batch."""
 
@@ -66,4 +88,3 @@ class BatchMetricsListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         pass
-

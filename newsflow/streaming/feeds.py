@@ -11,38 +11,53 @@ D2 (watermark-bounded), as in the ingest stream.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.messages import to_message
 from ..operators.feeds import extract_feeds
+from ..sinks.files import publish
 from .control import start
 
 MESSAGE_FIELDS = ["title", "text", "subject", "date", "timestamp"]
 
 
-def poll_writer(out: str):
+def poll_writer(out: str | None, fmt: str = "json", options: dict | None = None):
+    """``foreachBatch`` function of one poll.
+
+    Files (``fmt`` json, parquet...) go under ``out``/batch_id=N with dynamic overwrite; Kafka gets the
+    messages with ``options``.  The poll's totals (documents, messages, messages with a guessed date) are
+    observed while writing and kept in ``poll_totals`` of the function, newest last.
+    """
     def write_poll(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
-        staged = []
-
-        def stage(df):
-            staged.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-            return staged[-1]
-        try:
-            msgs = to_message(extract_feeds(batch_df, stage=stage), MESSAGE_FIELDS).withColumn(
-                "batch_id", F.lit(int(batch_id)))
-            (msgs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").json(out))
-        finally:
-            for df in staged:
-                df.unpersist()
+        seen = Observation(f"poll_{uuid.uuid4().hex}")
+        arts = extract_feeds(batch_df).observe(seen, F.count(F.lit(1)).alias("messages"),
+                                               F.count_if("date_guessed").alias("guessed_dates"))
+        msgs = to_message(arts, MESSAGE_FIELDS)
+        if fmt == "kafka":
+            publish(msgs, fmt, None, options)
+        else:
+            (msgs.withColumn("batch_id", F.lit(int(batch_id))).write.format(fmt).mode("overwrite")
+             .options(**{"partitionOverwriteMode": "dynamic", **(options or {})}).partitionBy("batch_id").save(out))
+        write_poll.poll_totals.append({"batch_id": int(batch_id), **seen.get})
+
+    write_poll.poll_totals = []
     return write_poll
 
 
-def start_feed_stream(feed_docs: DataFrame, out: str, checkpoint: str, trigger: str = C.FEED_POLL_TRIGGER,
-                      available_now: bool = False):
-    return start(feed_docs.writeStream.foreachBatch(poll_writer(out)), checkpoint, trigger, available_now)
+def running_totals(polls: list[dict]) -> dict:
+    """Sums over all polls so far."""
+    return {"polls": len(polls), "messages": sum(p["messages"] for p in polls),
+            "guessed_dates": sum(p["guessed_dates"] for p in polls)}
+
+
+def start_feed_stream(feed_docs: DataFrame, out: str | None, checkpoint: str, trigger: str = C.FEED_POLL_TRIGGER,
+                      available_now: bool = False, fmt: str = "json", options: dict | None = None, writer=None):
+    """The poller; ``writer`` (a ``poll_writer``) can be passed in to read its totals."""
+    return start(feed_docs.writeStream.foreachBatch(writer or poll_writer(out, fmt, options)), checkpoint, trigger,
+                 available_now)

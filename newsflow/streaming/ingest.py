@@ -1,6 +1,6 @@
 """ST1 ingest stream: messages -> parse -> (dead letter) -> clean -> Parquet
 partitioned by ``subject, date`` (K1) and CSV (K2); D2 streaming de-duplication;
-ST3 console/memory stream.
+ST3 console stream.
 
 Each query has its own explicit checkpoint location, so a restart resumes
 from its offsets; the file sinks commit through ``_spark_metadata`` and give
@@ -11,13 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.messages import BAD_COLUMN, parse_messages
 from ..functions.text import clean_text
-from ..sinks.files import CSV_WRITE_OPTIONS
-from .control import start
+from ..sinks.files import CSV_WRITE_OPTIONS, path_exists
+from .control import observed_rows, start, start_dead_letter
 
+WRITE_SALTS = 8           # tasks that one partition value of a micro-batch is written by, at most
 INGEST_COLUMNS = ["title", "text", "subject", "date", "source", "article_id"]
 
 
@@ -40,56 +42,96 @@ def ingest_frame(parsed: DataFrame, min_text_chars: int = C.MIN_TEXT_CHARS,
     return cleaned.select(*INGEST_COLUMNS, now.alias("processed_at"), *extra)
 
 
-def dedupe_by_title(stream: DataFrame, event_time: str = "event_time", delay: str = "1 hour") -> DataFrame:
-    """Keep the first copy of each title across micro-batches.
+def clustered_for_write(rows: DataFrame, partition_by, n: int | None = None, salts: int = WRITE_SALTS) -> DataFrame:
+    """Hash-partition a micro-batch on (partition columns, salt).
 
-    State is bounded by the watermark: a copy arriving later than ``delay``
-    after the first one passes again (documented semantics).
+    A partition value goes to at most ``salts`` tasks, so each task writes into
+    few folders and a hot value is split: the salt is a hash of the row's title
+    and text, which every message has, and deterministic on retry.  A hash
+    exchange reads its input once (a range exchange would sample it first).
     """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["title"])
+    n = n or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, *partition_by, F.pmod(F.xxhash64("title", "text"), F.lit(salts)))
 
 
-def clustered_for_write(rows: DataFrame, partition_by, tie: str, n: int | None = None) -> DataFrame:
-    """Range-partition a micro-batch on (partition columns, unique ``tie``).
+def first_of_title(rows: DataFrame) -> DataFrame:
+    """D2 within a batch: the copy of each title with the earliest event time, then id, then content.
 
-    Each task receives a contiguous key range, so it writes files into a few
-    partition folders only (instead of every task writing into every folder),
-    and a hot partition value is split across several tasks by ``tie``.
-    AQE's rebalance does not run inside streaming micro-batches, hence the
-    explicit range exchange.
+    One aggregation: copies of a hot title are combined on the map side.
+    Untitled rows are no copies of each other and all stay.
     """
-    n = n or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(n, *partition_by, tie)
+    columns = F.struct(*rows.columns)
+    order = F.struct("event_time", F.coalesce("article_id", F.lit("")), F.xxhash64("text", "subject", "date"))
+    titled = rows.filter("title is not null").groupBy("title").agg(F.min_by(columns, order).alias("r"))
+    return titled.select("r.*").unionByName(rows.filter("title is null"))
+
+
+def not_seen(rows: DataFrame, accepted: DataFrame, delay: str) -> DataFrame:
+    """D2 across batches: drops a title accepted earlier whose event time lies less than ``delay`` before."""
+    seen = accepted.filter("title is not null").groupBy(F.col("title").alias("seen_title")).agg(
+        F.max("event_time").alias("seen_at"))
+    return rows.join(seen, (F.col("title") == F.col("seen_title")) &
+                     (F.col("event_time") <= F.col("seen_at") + F.expr(f"interval {delay}")), "left_anti")
+
+
+def dedupe_writer(out: str, delay: str = "1 hour"):
+    """``foreachBatch`` function that decides once per batch which rows are new and feeds both sinks.
+
+    The accepted rows of each batch are written under their ``batch_id`` (dynamic
+    overwrite, so a replayed batch replaces itself); the Parquet and the CSV sink
+    are written from there, and later batches compare with the accepted rows of
+    earlier ones whose event time is recent enough.
+    """
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        accepted = f"{out}/accepted"
+        rows = first_of_title(batch)
+        if path_exists(spark, accepted):
+            first = batch.agg(F.min("event_time").alias("t"))
+            earlier = spark.read.parquet(accepted).filter(F.col("batch_id") < batch_id).select("title", "event_time")
+            recent = earlier.join(first, F.col("event_time") >= F.col("t") - F.expr(f"interval {delay}"), "left_semi")
+            rows = not_seen(rows, recent, delay)
+        overwrite = {"partitionOverwriteMode": "dynamic"}
+        rows.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite").options(**overwrite).partitionBy(
+            "batch_id").parquet(accepted)
+        schema = T.StructType(batch.schema.fields + [T.StructField("batch_id", T.IntegerType())])
+        new = spark.read.schema(schema).parquet(accepted).filter(F.col("batch_id") == batch_id)
+        clustered_for_write(new.drop("event_time"), ("subject", "date")).write.mode("overwrite").options(
+            **overwrite).partitionBy("batch_id", "subject", "date").parquet(f"{out}/parquet")
+        new.select("title", "text", "subject", "date", "batch_id").write.mode("overwrite").options(
+            **CSV_WRITE_OPTIONS, **overwrite).partitionBy("batch_id").csv(f"{out}/csv")
+
+    return write_batch
 
 
 def start_ingest(stream: DataFrame, out: str, checkpoint: str, parquet_trigger=C.INGEST_PARQUET_TRIGGER,
                  csv_trigger=C.INGEST_CSV_TRIGGER, dead_letter: str | None = None,
                  available_now: bool = False, dedupe: bool = False):
-    """Starts the Parquet, CSV (and dead-letter) queries; returns them in that order."""
+    """Starts the ingest queries; malformed messages always go to a dead letter (``out``/dead_letter unless named).
+
+    Without ``dedupe``: the Parquet, the CSV and the dead-letter query, in that
+    order.  With it: one query that feeds both sinks (D2), and the dead letter.
+    """
     parsed = parsed_stream(stream)
-    rows = ingest_frame(parsed, with_event_time=dedupe)
+    rows = observed_rows(ingest_frame(parsed, with_event_time=dedupe))
     if dedupe:
-        rows = dedupe_by_title(rows).drop("event_time")
-    pq = start(clustered_for_write(rows, ("subject", "date"), "article_id").writeStream.format("parquet")
-               .partitionBy("subject", "date").outputMode("append").option("path", f"{out}/parquet"),
-               f"{checkpoint}/parquet", parquet_trigger, available_now)
-    csv = start(rows.select("title", "text", "subject", "date").writeStream.format("csv")
-                .options(**CSV_WRITE_OPTIONS).outputMode("append").option("path", f"{out}/csv"),
-                f"{checkpoint}/csv", csv_trigger, available_now)
-    queries = [pq, csv]
-    if dead_letter:
-        bad = parsed.filter(F.col(BAD_COLUMN)).select("raw_value", F.current_timestamp().alias("received_at"))
-        queries.append(start(bad.writeStream.format("json").outputMode("append").option("path", dead_letter),
-                             f"{checkpoint}/dead_letter", parquet_trigger, available_now))
-    return queries
-
-
-def start_console(stream: DataFrame, checkpoint: str, sink: str = "console", query_name: str | None = None,
+        queries = [start(rows.writeStream.foreachBatch(dedupe_writer(out)), f"{checkpoint}/deduped", parquet_trigger,
+                         available_now)]
+    else:
+        pq = start(clustered_for_write(rows, ("subject", "date")).writeStream.format("parquet")
+                   .partitionBy("subject", "date").outputMode("append").option("path", f"{out}/parquet"),
+                   f"{checkpoint}/parquet", parquet_trigger, available_now)
+        csv = start(rows.select("title", "text", "subject", "date").writeStream.format("csv")
+                    .options(**CSV_WRITE_OPTIONS).outputMode("append").option("path", f"{out}/csv"),
+                    f"{checkpoint}/csv", csv_trigger, available_now)
+        queries = [pq, csv]
+    bad = start_dead_letter(parsed, dead_letter or f"{out}/dead_letter", checkpoint, parquet_trigger, available_now)
+    return queries + [bad]
+
+
+def start_console(stream: DataFrame, checkpoint: str, sink: str = "console", path: str | None = None,
                   available_now: bool = False):
-    """ST3: parsed messages to the console (``truncate=false``) or a memory table."""
+    """ST3: parsed messages to the console (``truncate=false``), or to files for a look at larger streams."""
     w = parse_messages(stream).writeStream.format(sink).outputMode("append")
-    if sink == "console":
-        w = w.option("truncate", "false")
-    if query_name:
-        w = w.queryName(query_name)
+    w = w.option("truncate", "false") if sink == "console" else w.option("path", path)
     return start(w, checkpoint, None, available_now)

@@ -20,7 +20,7 @@ from .. import config as C
 from ..functions.messages import BAD_COLUMN, parse_messages
 from ..functions.text import preprocessed_content
 from ..operators.classifier import score
-from .control import observed_batch, start
+from .control import observed_batch, start, start_dead_letter
 
 PREDICTION_COLUMNS = ["title", "text", "subject", "date", "prob_fake", "prob_true", "processed_at",
                       "prediction_label"]
@@ -41,35 +41,46 @@ def predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def start_scoring(model: PipelineModel, stream: DataFrame, out: str, checkpoint: str,
                   trigger: str = C.SCORE_TRIGGER, dead_letter: str | None = None,
                   available_now: bool = False):
-    """Starts the scoring query (and the dead-letter query); returns them."""
+    """Starts the scoring and the dead-letter query (``out`` + ``_dead_letter`` unless named); returns them."""
     parsed = parse_messages(stream, flag_bad=True)
     pred = observed_batch(predictions(model, scorable(parsed)))       # G6: counts per micro-batch
     q = start(pred.writeStream.format("parquet").partitionBy("prediction_label").outputMode("append")
               .option("path", out), f"{checkpoint}/predictions", trigger, available_now)
-    queries = [q]
-    if dead_letter:
-        bad = parsed.filter(F.col(BAD_COLUMN)).select("raw_value", F.current_timestamp().alias("received_at"))
-        queries.append(start(bad.writeStream.format("json").outputMode("append").option("path", dead_letter),
-                             f"{checkpoint}/dead_letter", trigger, available_now))
-    return queries
+    return [q, start_dead_letter(parsed, dead_letter or f"{out}_dead_letter", checkpoint, trigger, available_now)]
 
 
-def batch_writer(model: PipelineModel, out: str):
+def batch_writer(model: PipelineModel, out: str, dead_letter: str | None = None):
     """ST4: ``foreachBatch`` function writing one ``batch_id`` partition per batch.
 
-    Idempotent per ``batch_id`` (dynamic partition overwrite); empty batches
-    are skipped (X6); the batch is computed once.
+    Idempotent per ``batch_id`` (dynamic partition overwrite); empty batches are
+    skipped (X6).  Predictions go to ``out``, malformed messages to the dead letter
+    (``out`` + ``_dead_letter`` unless named), and one row of counts (G6: batch_id,
+    good, bad, fake) to ``out`` + ``_metrics``, taken from what was written.
     """
+    def write(df: DataFrame, path: str, *by: str) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *by).parquet(path)
+
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
-        pred = predictions(model, scorable(batch_df)).withColumn("batch_id", F.lit(int(batch_id)))
-        (pred.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", "prediction_label").parquet(out))
+        spark, number = batch_df.sparkSession, F.lit(int(batch_id)).alias("batch_id")
+        bad_path = dead_letter or f"{out}_dead_letter"
+        pred = predictions(model, scorable(batch_df)).select("*", number)
+        write(pred, out, "prediction_label")
+        write(batch_df.filter(F.col(BAD_COLUMN)).select("raw_value", F.current_timestamp().alias("received_at"), number),
+              bad_path)
+        good = spark.read.schema(pred.schema).parquet(out).filter(F.col("batch_id") == batch_id).agg(
+            F.count(F.lit(1)).alias("good"),
+            F.count_if(F.col("prediction_label") == C.LABEL_FAKE).alias("fake"))
+        bad = spark.read.schema("raw_value string, received_at timestamp, batch_id int").parquet(bad_path).filter(
+            F.col("batch_id") == batch_id).agg(F.count(F.lit(1)).alias("bad"))
+        write(good.crossJoin(bad).select("good", "bad", "fake", number), f"{out}_metrics")    # one row each
     return write_batch
 
 
 def start_scoring_foreach_batch(model: PipelineModel, stream: DataFrame, out: str, checkpoint: str,
-                                trigger: str = C.SCORE_TRIGGER, available_now: bool = False):
+                                trigger: str = C.SCORE_TRIGGER, dead_letter: str | None = None,
+                                available_now: bool = False):
     parsed = parse_messages(stream, flag_bad=True)
-    return start(parsed.writeStream.foreachBatch(batch_writer(model, out)), checkpoint, trigger, available_now)
+    return start(parsed.writeStream.foreachBatch(batch_writer(model, out, dead_letter)), checkpoint, trigger,
+                 available_now)

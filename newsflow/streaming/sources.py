@@ -9,8 +9,9 @@ Every stream carries a ``value`` column holding one JSON object per record.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..schema import MESSAGE_SCHEMA
+from ..schema import FEED_DOCUMENT_SCHEMA, MESSAGE_SCHEMA
 
 KAFKA_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
 
@@ -26,3 +27,16 @@ def article_stream(spark: SparkSession, fmt: str = "json", path: str | None = No
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)
+
+
+def feed_stream(spark: SparkSession, fmt: str = "parquet", path: str | None = None, options: dict | None = None,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """S5 as a stream: landed feed documents, from files or as JSON values of a topic."""
+    reader = spark.readStream.format(fmt)
+    if fmt == "kafka":
+        docs = reader.options(**{**KAFKA_DEFAULTS, **(options or {})}).load()
+        return docs.select(F.from_json(F.col("value").cast("string"), FEED_DOCUMENT_SCHEMA).alias("d")).select("d.*")
+    reader = reader.schema(FEED_DOCUMENT_SCHEMA).options(**(options or {}))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)

@@ -130,10 +130,43 @@ def test_feed_extraction_rules(spark):
     assert titles == sorted([f"t{i}" for i in range(10)] + ["n30", "nodate", "one"])
     assert (0, "t0") in out and (5, "t0") not in out
     assert out[(0, "t1")]["date"] == "March 04, 2024"
-    today = spark.range(1).select(F.date_format(F.current_date(), "MMMM dd, yyyy")).first()[0]
-    assert out[(1, "nodate")]["date"] == today
+    assert out[(1, "nodate")]["date"] == "January 01, 2024"                 # the time of the poll
+    assert out[(1, "nodate")]["date_guessed"] and not out[(0, "t1")]["date_guessed"]
     errors = [r["feed_pos"] for r in feeds.feed_errors(docs).collect()]
-    assert sorted(errors) == [3, 4]                                         # empty channel, broken XML
+    assert errors == [4]                                                    # broken XML; an empty channel is none
+
+
+def test_first_by_title_of_relanded_and_unplaced_entries(spark):
+    """A document landed twice gives one copy; NULL positions and urls lose nothing."""
+    at = datetime.datetime
+    rows = [("a", 1, "u", 0, at(2024, 1, 2)), ("a", 1, "u", 0, at(2024, 1, 1)), ("b", None, None, 0, at(2024, 1, 1)),
+            ("b", 2, "u", 0, at(2024, 1, 1)), ("c", 1, None, 0, None)]
+    e = spark.createDataFrame(rows, "title string, feed_pos int, url string, pos int, fetched_at timestamp")
+    out = {r.title: r for r in feeds.first_by_title(e).collect()}
+    assert len(out) == 3 and out["a"].fetched_at == at(2024, 1, 1) and out["b"].feed_pos is None
+
+
+def test_feed_shapes_dates_and_references(spark):
+    """F1: Atom published and content, RSS 1.0; T7: date variants; T2: numeric and named references."""
+    from newsflow.functions.text import parse_published
+    atom = ('<feed xmlns="http://www.w3.org/2005/Atom"><title>f</title><entry><title>A</title><content type="html">'
+            'only content, long enough to stay in</content><published>2024-03-04T05:00:00Z</published>'
+            '<updated>2024-05-01T00:00:00Z</updated></entry></feed>')
+    rdf = ('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" '
+           'xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>c</title></channel><item><title>R</title>'
+           '<description>text of an RDF item, long enough</description><dc:date>2024-03-04T05:00:00Z</dc:date></item></rdf:RDF>')
+    tricky = _feed([_item("T", "an entry of &lt;rss that Atom markers do not mislead")], 3)
+    docs = spark.createDataFrame([("w", 1, "u1", atom, None), ("w", 2, "u2", rdf, None), tricky], FEED_SCHEMA)
+    out = {r.title: r for r in feeds.extract_feeds(docs).collect()}
+    assert {t: r.date for t, r in out.items()} == dict.fromkeys("ART", "March 04, 2024")
+    assert feeds.feed_errors(docs).count() == 0
+    dates = ["Mon, 04 Mar 2024 05:00:00 GMT", "Mon, 4 Mar 2024 05:00 GMT", "4 Mar 24 07:00:00 +0200",
+             "Monday, 04 Mar 2024 00:00:00 EST", "04 Mar 2024 05:00:00 UT", "2024-03-04T07:00:00+02:00"]
+    got = spark.createDataFrame([(d,) for d in dates + ["soon"]], "p string").select(
+        F.date_format(parse_published("p"), "yyyy-MM-dd HH:mm")).collect()
+    assert [r[0] for r in got] == ["2024-03-04 05:00"] * 6 + [None]
+    html = spark.createDataFrame([("It&#8217;s &mdash; caf&eacute; &#x2019; &amp;lt; &bogus; & &#0; &#128512;",)], "s string")
+    assert html.select(clean_html("s")).first()[0] == "It’s — café ’ &lt; &bogus; & &#0; 😀"
 
 
 def test_partition_values_stay_strings(spark):

@@ -34,6 +34,8 @@ def test_train_save_and_fallback_load(spark):
 def test_export_writes_four_files(spark):
     path = fixtures.prediction_dataset(spark, SF)
     out = scratch_path(spark, "export")
+    spread = jobs.export(spark, path, scratch_path(spark, "export"))
+    assert all(os.path.isdir(v.replace("file:", "")) for v in spread.values())      # parallel by default
     res = jobs.export(spark, path, out, single_file=True)
     for k in ("predictions", "by_label", "by_subject", "by_date"):
         assert os.path.isfile(res[k].replace("file:", "")), k
@@ -74,14 +76,139 @@ def test_scoring_stream_metrics_and_dead_letter(spark):
     assert int(observed["rows"]) == good
 
 
-def test_await_all_notices_a_failed_query(spark):
+def test_await_all_waits_for_every_query(spark):
     src = fixtures.landed_messages(spark, SF)
     out, ckpt = scratch_path(spark, "ingest"), scratch_path(spark, "ingest_ckpt")
     qs = ingest.start_ingest(article_stream(spark, "json", src), out, ckpt, available_now=True)
-    await_all(spark, qs, timeout=120)
+    assert await_all(spark, qs, timeout=120)
+    assert all(not q.isActive and q.exception() is None for q in qs)
+    # K1: no query reads its input twice
+    assert len({q.lastProgress["numInputRows"] for q in qs}) == 1
+
+
+def test_await_all_stops_the_others_when_one_fails(spark):
+    import pytest
+    src = fixtures.landed_messages(spark, SF)
+
+    def fail(df, batch_id):
+        raise ValueError("no")
+
+    stream = article_stream(spark, "json", src)
+    bad = stream.writeStream.foreachBatch(fail).option("checkpointLocation", scratch_path(spark, "bad")).start()
+    good = stream.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "good")).trigger(
+        processingTime="1 second").start()
+    with pytest.raises(RuntimeError):
+        await_all(spark, [good, bad], timeout=60)
+    assert not good.isActive
+
+
+def test_processing_time_trigger_runs(spark):
+    """ST5: a query with an interval keeps running until it is stopped."""
+    src = fixtures.landed_messages(spark, SF)
+    out, ckpt = scratch_path(spark, "ingest"), scratch_path(spark, "ingest_ckpt")
+    qs = ingest.start_ingest(article_stream(spark, "json", src), out, ckpt, parquet_trigger="1 second",
+                             csv_trigger="1 second")
+    assert not await_all(spark, qs, timeout=12)
+    assert all(q.isActive for q in qs)
     for q in qs:
+        q.stop()
+    assert spark.read.parquet(f"{out}/parquet").count() > 0
+
+
+def test_foreach_batch_skips_empty_batches_and_replays(spark):
+    """ST4 + X6: an empty batch writes nothing; a replayed one replaces itself, metrics and dead letter too."""
+    from newsflow.checks.queries import _ml_model
+    from newsflow.functions.messages import parse_messages
+    from newsflow.sinks.files import path_exists
+    out = scratch_path(spark, "batches")
+    write = scoring.batch_writer(_ml_model(spark, SF), out)
+    msgs = spark.read.schema("key string, value string").json(fixtures.landed_messages(spark, SF, malformed=True))
+    parsed = parse_messages(msgs, flag_bad=True)
+    write(parsed.limit(0), 0)
+    assert not path_exists(spark, out)
+    for _ in range(2):
+        write(parsed, 1)
+    m = spark.read.parquet(f"{out}_metrics").collect()
+    assert len(m) == 1 and m[0].good + m[0].bad == msgs.count()
+    assert spark.read.parquet(out).count() == m[0].good and spark.read.parquet(f"{out}_dead_letter").count() == m[0].bad
+
+
+def test_batch_metrics_listener_sees_good_and_bad(spark):
+    """The listener collects the observed counts of both queries of the scoring job."""
+    import time
+    from newsflow.checks.queries import _ml_model
+    from newsflow.streaming.control import BatchMetricsListener
+    good, bad = BatchMetricsListener("batch"), BatchMetricsListener("dead_letter")
+    for x in (good, bad):
+        spark.streams.addListener(x)
+    try:
+        src = fixtures.landed_messages(spark, SF, malformed=True)
+        out, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "scored_ckpt")
+        for q in scoring.start_scoring(_ml_model(spark, SF), article_stream(spark, "json", src), out, ckpt,
+                                       available_now=True):
+            q.awaitTermination()
+        end = time.time() + 20
+        while time.time() < end and not (good.batches and bad.batches):
+            time.sleep(0.2)
+    finally:
+        for x in (good, bad):
+            spark.streams.removeListener(x)
+    rows = sum(b["rows"] for _, b in good.batches)
+    assert rows == read_predictions(spark, out).count()
+    assert rows + sum(b["bad"] for _, b in bad.batches) == articles(spark, SF, labelled=False).count()
+
+
+def test_status_of_missing_and_empty_datasets(spark):
+    """0 files, as a listing of a folder that is not there yet."""
+    empty = scratch_path(spark, "empty")
+    sinks.make_folder(spark, empty)
+    st = {r.dataset: r for r in jobs.dataset_status(spark, {"m": scratch_path(spark, "none"), "e": empty}).collect()}
+    assert all((r.files, r.bytes, r.children, r.latest) == (0, 0, 0, None) for r in st.values()) and len(st) == 2
+
+
+def test_score_batch_counts_what_it_cannot_score(spark):
+    from newsflow.checks.queries import _ml_model
+    df = spark.createDataFrame([("a", "b c", "s", "d"), (None, "x", "s", "d"), ("y", None, "s", "d")],
+                               "title string, text string, subject string, date string")
+    dead = scratch_path(spark, "unscored")
+    assert jobs.score_batch(_ml_model(spark, SF), df, dead).count() == 1
+    assert spark.read.parquet(dead).count() == 2
+
+
+def test_poll_totals_and_formats(spark):
+    from newsflow.sources.tables import feed_documents
+    from newsflow.streaming.feeds import poll_writer, running_totals
+    docs = feed_documents(spark, SF)
+    out = scratch_path(spark, "polls")
+    write = poll_writer(out, "parquet")
+    write(docs, 0)
+    write(docs.limit(0), 1)
+    write(docs, 2)
+    n = spark.read.parquet(out).filter("batch_id = 0").count()
+    totals = running_totals(write.poll_totals)
+    assert totals["polls"] == 2 and totals["messages"] == 2 * n and 0 < totals["guessed_dates"] < totals["messages"]
+    # a poll replayed later gives the same messages
+    a, b = (spark.read.parquet(out).filter(f"batch_id = {i}").drop("batch_id") for i in (0, 2))
+    assert a.exceptAll(b).count() == 0
+
+
+def test_untitled_rows_and_equal_sinks_of_a_deduped_stream(spark):
+    """Untitled articles are no copies of each other; both sinks hold the same rows; the earliest copy wins."""
+    import json as _json
+    from newsflow.sources.files import read_article_csv, read_ingested
+    src, out, ckpt = (scratch_path(spark, n) for n in ("d2_src", "d2_out", "d2_ckpt"))
+    body = "word " * 40
+    rows = [(None, f"n{i}", "2024-03-01T10:00:00") for i in range(5)] + [
+        ("A", "late", "2024-03-01T10:20:00"), ("A", "early", "2024-03-01T10:00:00"), ("A", "b", "2024-03-01T10:00:00")]
+    vals = [(None, _json.dumps({"title": t, "text": body + i, "subject": "s", "date": "d", "article_id": i,
+                                "timestamp": ts})) for t, i, ts in rows]
+    spark.createDataFrame(vals, "key string, value string").write.json(src)
+    for q in ingest.start_ingest(article_stream(spark, "json", src), out, ckpt, available_now=True, dedupe=True):
         q.awaitTermination()
-    assert all(q.exception() is None for q in qs)
+    got = read_ingested(spark, f"{out}/parquet")
+    assert sorted(r.article_id for r in got.collect()) == ["b"] + [f"n{i}" for i in range(5)]
+    csv = read_article_csv(spark, f"{out}/csv").select("title", "text")
+    assert csv.exceptAll(got.select("title", "text")).count() == 0 and csv.count() == got.count()
 
 
 def test_stream_dedupe_across_batches(spark):
@@ -140,6 +267,13 @@ def test_command_line_jobs(spark, capsys):
                  "--available-now"], spark=spark) == 0
     exp = scratch_path(spark, "cli_export")
     assert main(["export", "--input", out, "--out", exp], spark=spark) == 0
+    batch = scratch_path(spark, "cli_batch")
+    assert main(["score-batch", "--input", fixtures.article_csv(spark, SF), "--model", model, "--out", batch],
+                spark=spark) == 0
+    assert read_predictions(spark, batch).count() > 0
+    capsys.readouterr()
+    assert main(["latest", batch, "-n", "1", "--by", "modificationTime"], spark=spark) == 0
+    assert "prediction_label=" in capsys.readouterr().out
     assert read_predictions(spark, out).count() == articles(spark, SF, labelled=False).count()
 
 
@@ -155,7 +289,7 @@ def test_console_stream_runs(spark, capfd):
 def test_single_file_export_of_empty_result(spark):
     out = scratch_path(spark, "empty_export")
     df = spark.createDataFrame([], "subject string, prediction_label string, count bigint")
-    target = sinks.export_summary(df, out, "summary.csv")
+    target = sinks.export_summary(df, out, "summary.csv", single_file=True)
     assert os.path.isfile(target.replace("file:", ""))
     assert spark.read.options(**sinks.CSV_OPTIONS).schema("subject string, prediction_label string, count bigint") \
         .csv(target).count() == 0
@@ -203,7 +337,27 @@ def test_command_line_other_jobs(spark, capsys):
     msgs = fixtures.landed_messages(spark, SF)
     assert main(["ingest-stream", "--input", msgs, "--checkpoint", f"{out}/ck1", "--out", f"{out}/ing",
                  "--dedupe", "--available-now"], spark=spark) == 0
+    capsys.readouterr()
     assert main(["feed-stream", "--input", feeds_in, "--checkpoint", f"{out}/ck2", "--out", f"{out}/fs",
                  "--available-now"], spark=spark) == 0
+    totals = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert totals["messages"] == spark.read.json(f"{out}/msgs").count()
+    # source options reach the source: one file a batch is one poll a file
+    assert main(["feed-stream", "--input", feeds_in, "--checkpoint", f"{out}/ck4", "--out", f"{out}/fs2", "--sink",
+                 "parquet", "--sink-option", "compression=none", "--max-files-per-trigger", "1", "--option",
+                 "pathGlobFilter=*.parquet", "--available-now"], spark=spark) == 0
+    polls = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])["polls"]
+    assert polls == len([f for f in os.listdir(feeds_in.replace("file:", "")) if f.endswith(".parquet")]) > 0
+    assert spark.read.parquet(f"{out}/fs2").count() > 0
     assert main(["console", "--input", msgs, "--checkpoint", f"{out}/ck3", "--available-now"], spark=spark) == 0
     assert spark.read.json(f"{out}/fs").count() == spark.read.json(f"{out}/msgs").count()
+
+
+def test_scratch_scope_deletes_what_was_made_inside(spark):
+    from newsflow.session import materialize, scratch_scope
+    kept = materialize(spark.range(3), "kept")
+    with scratch_scope(spark):
+        inside = materialize(spark.range(5), "inside")
+        path = inside.inputFiles()[0].replace("file://", "")
+        assert inside.count() == 5 and os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from newsflow.checks import fixtures
 from newsflow.operators import aggregates, feeds, tfidf_nb
 from newsflow.plans import relational
+from newsflow.session import scratch_path
 from newsflow.sources.files import read_predictions
 from newsflow.sources.tables import feed_documents
 
@@ -25,11 +26,35 @@ def test_partition_and_column_pruning(spark):
     assert "ReadSchema: struct<subject:string>" in plan(summary)
 
 
-def test_first_by_title_uses_no_window(spark):
-    e = feeds.nonempty_titles(feeds.feed_entries(feed_documents(spark, SF)))
-    p = plan(feeds.first_by_title(e))
-    assert "Window" not in p
-    assert "LeftSemi" in p
+def test_feed_extraction_is_one_shuffle_and_one_parse(spark):
+    """D1 by one aggregation: no window, no join, one exchange, one XML parse per document."""
+    path = scratch_path(spark, "feeds")
+    feed_documents(spark, SF).write.parquet(path)
+    p = plan(feeds.extract_feeds(spark.read.parquet(path)))
+    assert "Window" not in p and "Join" not in p
+    assert p.count("Exchange hashpartitioning") == 1 and p.count("FileScan") == 1
+    assert p.lower().count("from_xml(") + p.lower().count("xmltostructs(") == 1, p
+
+
+def test_landing_training_needs_no_shuffle(spark):
+    """Every input file has one label already."""
+    from newsflow.operators.labels import union_labelled, with_label
+    from newsflow.sources.files import read_article_csv
+    fake, true = fixtures.training_csvs(spark, SF)
+    both = union_labelled(with_label(read_article_csv(spark, fake), 0.0), with_label(read_article_csv(spark, true), 1.0))
+    assert "Exchange" not in plan(both)
+
+
+def test_hot_partition_value_is_split_without_sampling(spark):
+    """K1: one (subject, date) and no article id; a hash exchange, several tasks."""
+    from newsflow.streaming.ingest import clustered_for_write
+    rows = spark.range(4000).selectExpr("concat('t', id) as title", "concat('x', id) as text", "'s' as subject",
+                                        "'d' as date", "cast(null as string) as article_id")
+    out = clustered_for_write(rows, ("subject", "date"))
+    assert "rangepartitioning(" not in plan(out) and "Exchange hashpartitioning" in plan(out)
+    tasks = out.groupBy(F.spark_partition_id()).count().count()
+    assert tasks > 2
+    assert clustered_for_write(rows, ("subject", "date"), salts=1).groupBy(F.spark_partition_id()).count().count() == 1
 
 
 def test_no_python_udf_in_scoring(spark):
