@@ -143,10 +143,19 @@ def _run(spark, args) -> int:
             print(json.dumps({k: str(v) for k, v in r.asDict().items()}))
     elif args.job == "score-stream":
         from .sources.files import load_model
+        from .streaming.control import BatchMetricsListener
         from .streaming.scoring import start_scoring
+        seen = [BatchMetricsListener("batch"), BatchMetricsListener("dead_letter")]     # G6
+        for x in seen:
+            spark.streams.addListener(x)
         qs = start_scoring(load_model(args.model), _stream(spark, args), args.out, args.checkpoint, args.trigger,
                            args.dead_letter, args.available_now)
-        _finish(spark, qs, args.available_now)
+        try:
+            _finish(spark, qs, args.available_now)
+        finally:
+            for x in seen:
+                spark.streams.removeListener(x)
+                print(json.dumps({"metrics": x.name, "batches": len(x.batches), **x.totals()}))
     elif args.job == "ingest-stream":
         from .streaming.ingest import start_ingest
         qs = start_ingest(_stream(spark, args), args.out, args.checkpoint, dead_letter=args.dead_letter,

@@ -75,6 +75,14 @@ class BatchMetricsListener(StreamingQueryListener):
         self.name = name
         self.batches = []
 
+    def totals(self) -> dict:
+        """Sums of the metrics over all batches seen so far."""
+        out: dict = {}
+        for _, metrics in self.batches:
+            for k, v in metrics.items():
+                out[k] = out.get(k, 0) + (v or 0)
+        return out
+
     def onQueryStarted(self, event):
         pass
 

@@ -153,9 +153,9 @@ def test_batch_metrics_listener_sees_good_and_bad(spark):
     finally:
         for x in (good, bad):
             spark.streams.removeListener(x)
-    rows = sum(b["rows"] for _, b in good.batches)
+    rows = good.totals()["rows"]
     assert rows == read_predictions(spark, out).count()
-    assert rows + sum(b["bad"] for _, b in bad.batches) == articles(spark, SF, labelled=False).count()
+    assert rows + bad.totals()["bad"] == articles(spark, SF, labelled=False).count()
 
 
 def test_status_of_missing_and_empty_datasets(spark):
