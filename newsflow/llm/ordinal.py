@@ -132,7 +132,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, grade: str = "quality", ma
     n = own.count()
     if n > max_train:
         own = own.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1 << 30)) < int((1 << 30) * max_train / n))
-    return docs.select("doc_id", "text").join(own, "doc_id").select("text", "grade")
+    # the sample is bounded, so it is broadcast and the texts of all other documents stay where they are
+    return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "grade")
 
 
 def _featurize_all(texts: list) -> dict:

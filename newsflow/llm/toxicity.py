@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .tables import map_column
 
 MAX_TRAIN = 20_000
@@ -146,7 +147,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     if n > max_train:
         own = own.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * max_train / n))
     # copies of one text would make its rare words look telling
-    return docs.select("doc_id", "text").join(own, "doc_id").select(
+    # the sample is bounded, so it is broadcast and the texts of all other documents stay where they are
+    return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select(
         "text", F.col("toxic").cast("int").alias("toxic")).dropDuplicates()
 
 
@@ -247,7 +249,8 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
-    train = training_rows(docs, labels, max_train)
+    # written once: every round of the fit reads the sample and not all documents
+    train = materialize(training_rows(docs, labels, max_train), "toxicity-sample")
     lexicon = learn_lexicon(train, max_terms)
     # the sample is bounded, so its few numbers per row fit the driver
     rows = train.mapInPandas(_emit(lexicon), ", ".join(f"{a} double" for a in MEASURES) + ", toxic int").toPandas()
