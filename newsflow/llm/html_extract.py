@@ -30,7 +30,10 @@ DROPPED_WORDS = frozenset("ad ads advert adverts advertisement advertising adsen
                           "banner cookie cookies consent gdpr notice sidebar aside comment comments discussion disqus "
                           "respond replies share sharing social related recommended newsletter subscribe subscription "
                           "signup login nav navbar navigation menu breadcrumb breadcrumbs footer header masthead popup "
-                          "modal overlay widget toolbar pagination pager outbrain taboola".split())
+                          "modal overlay widget toolbar pagination pager outbrain taboola alert disclaimer copyright".split())
+# beginnings of compound names such as commentlist, sidebarleft, cookiebar
+DROPPED_STARTS = ("advert", "sponsor", "cookie", "sidebar", "newsletter", "breadcrumb", "footer", "navbar", "commentl",
+                  "commentf", "commentsec", "commentbox", "commentth", "disqus", "subscrib")
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre div section article main body html table thead "
                    "tbody tfoot tr td th caption figure figcaption address header footer aside nav form hr details "
                    "summary center fieldset".split())
@@ -48,6 +51,7 @@ COMMA = re.compile("[,،、，]")
 MIN_PARAGRAPH = 25
 REACH = 5                 # ancestors that get points
 SPLIT_NAMES = re.compile(r"[^a-z]+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
@@ -64,10 +68,12 @@ def is_dropped(tag: str, attrs: list, inside_article: bool) -> bool:
     if tag in DROPPED_TAGS or tag == "header" and not inside_article:
         return True
     for name, value in attrs:
+        names = CAMEL.sub(" ", value or "").lower() if name in ("class", "id") else ""
         value = (value or "").lower()
         if name in ("class", "id"):
             if tag not in ("body", "html", "article", "main") or "comment" in value:
-                if not DROPPED_WORDS.isdisjoint(SPLIT_NAMES.split(value)):
+                words = SPLIT_NAMES.split(names)
+                if not DROPPED_WORDS.isdisjoint(words) or any(w.startswith(DROPPED_STARTS) for w in words):
                     return True
         elif name == "role" and value in DROPPED_ROLES:
             return True

@@ -169,7 +169,10 @@ def test_siblings_of_the_best_container_are_kept():
     ("<p>a<p>b</div></p>c", "a\n\nb\n\nc"), ("<script>x", ""), ("a <!-- <p>no</p> --> b", "a b"),
     ("<article><p><b>One.<br><p>Two &am &copy; &lt;p&gt;</article>", "One.\n\nTwo &am © <p>"),
     ("<div hidden>no</div><div style='display: none'>no</div><p>yes</p>", "yes"),
-    ("<p>headline of the adventure</p>", "headline of the adventure")])
+    ("<p>headline of the adventure</p>", "headline of the adventure"),
+    ("<div class='commentList'>no</div><div id=cookieBar>no</div><div class='commentary shadow'>yes</div>", "yes"),
+    ("<div class='post-comments'>no</div><div role=banner>no</div><section class='headings'>yes</section>", "yes"),
+    ("<main><p>a</p><article class='comment'><p>no</p></article></main>", "a")])
 def test_small_pages(page, text):
     assert html_extract.main_text(page) == text
 
