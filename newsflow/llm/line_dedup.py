@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .tables import packed, text_key
 
 SPACE = " \t\n\x0b\x0c\r"
+SALTS = 8                 # tasks that the lines of one frequent key are spread over
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,7 +50,11 @@ def frequent_keys(positions: DataFrame, min_docs: int) -> DataFrame:
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """``docs`` with ``text`` rebuilt from the lines that stay, and ``n_lines``, ``n_dropped`` (long)."""
     positions = _positions(docs, min_chars)
-    lost = (positions.join(frequent_keys(positions, min_docs), ["k1", "k2"], "left_semi")
+    # a line of a third of all documents would meet its key in one task: keys are repeated for each salt
+    keys = frequent_keys(positions, min_docs).withColumn(
+        "salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])))
+    lost = (positions.withColumn("salt", F.pmod(F.xxhash64("doc_id", "rk"), F.lit(SALTS)))
+            .join(keys, ["k1", "k2", "salt"], "left_semi")
             .groupBy(F.col("doc_id").alias("lost_id"), F.col("rk").alias("lost_rk"))
             .agg(F.collect_set("at").alias("lost_at")))
     keyed = packed(docs).withColumn("rk", text_key(F.col("row.text")))
