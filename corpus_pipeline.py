@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from newsflow.llm import decontaminate, line_dedup, mixing, setsketch, toxicity
 from newsflow.llm.tables import read
-from newsflow.session import materialize
+from newsflow.session import scratch_path, scratch_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -54,5 +54,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        out = materialize(stage(spark, out, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
+        with scratch_scope(spark):                 # what the stage's operators wrote goes once it is written
+            stage(spark, out, sf_dir).write.parquet(path)
+        out = spark.read.parquet(path)
     return out
