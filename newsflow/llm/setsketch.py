@@ -46,7 +46,7 @@ BASE = 1.125
 ROWS = 6                  # registers in a band
 MISS = 1e-6               # largest chance of missing a pair at the threshold
 TOP = 20.0                # largest exponential variate told apart; registers start there
-BLOCK = 512
+BLOCK = 256               # classes of a bucket that one block takes
 RULED_OUT = 28.0          # twice the log likelihood ratio: 5.3 standard deviations
 PAIRS_AT_ONCE = 1 << 15
 
