@@ -36,7 +36,8 @@ from .tables import text_key
 from .words import BYTE_BASE, _powers, mix, to_bytes, window_hashes, word_hashes
 
 ANCHOR = 10
-HOT = 4096
+HOT = 512                 # different runs of one minimizer that one shard takes
+SALTS = 16                # tasks that the runs of one frequent window are spread over
 PART = 1 << 19            # words of a document whose runs are found at once
 BLOCK_WORDS = 1 << 19     # words of one FM-index
 
@@ -317,8 +318,11 @@ def repeated_spans(docs: DataFrame, size: int = 35) -> DataFrame:
     windows = texts(True).mapInArrow(
         _run_texts(size, True), "doc_id long, rk long, n long, start int, hashes array<long>").select(
         "doc_id", "rk", "n", "start", F.posexplode("hashes").alias("j", "hash"))
-    often = windows.groupBy("hash").agg(F.sum("n").alias("total")).filter("total > 1").select("hash")
-    single = windows.filter("n = 1").join(often, "hash", "left_semi").select(
+    # a window of very many runs would meet its count in one task: counts are repeated for each salt
+    often = windows.groupBy("hash").agg(F.sum("n").alias("total")).filter("total > 1").select(
+        "hash", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).alias("salt"))
+    single = windows.filter("n = 1").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS))).join(
+        often, ["hash", "salt"], "left_semi").select(
         "doc_id", "rk", (F.col("start") + F.col("j")).alias("a"), (F.col("start") + F.col("j") + size).alias("b"))
     return whole.unionByName(searched).unionByName(single).groupBy("doc_id", "rk").agg(
         F.collect_list(F.struct("a", "b")).alias("spans"))
