@@ -85,16 +85,17 @@ def dedupe_writer(out: str, delay: str = "1 hour"):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         accepted = f"{out}/accepted"
+        # read with a schema: earlier batches may have left no file yet
+        schema = T.StructType(batch.schema.fields + [T.StructField("batch_id", T.IntegerType())])
         rows = first_of_title(batch)
         if path_exists(spark, accepted):
             first = batch.agg(F.min("event_time").alias("t"))
-            earlier = spark.read.parquet(accepted).filter(F.col("batch_id") < batch_id).select("title", "event_time")
+            earlier = spark.read.schema(schema).parquet(accepted).filter(F.col("batch_id") < batch_id).select("title", "event_time")
             recent = earlier.join(first, F.col("event_time") >= F.col("t") - F.expr(f"interval {delay}"), "left_semi")
             rows = not_seen(rows, recent, delay)
         overwrite = {"partitionOverwriteMode": "dynamic"}
         rows.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite").options(**overwrite).partitionBy(
             "batch_id").parquet(accepted)
-        schema = T.StructType(batch.schema.fields + [T.StructField("batch_id", T.IntegerType())])
         new = spark.read.schema(schema).parquet(accepted).filter(F.col("batch_id") == batch_id)
         clustered_for_write(new.drop("event_time"), ("subject", "date")).write.mode("overwrite").options(
             **overwrite).partitionBy("batch_id", "subject", "date").parquet(f"{out}/parquet")

@@ -295,23 +295,25 @@ def test_single_file_export_of_empty_result(spark):
         .csv(target).count() == 0
 
 
-def test_stream_dedupe_uses_producer_time_and_watermark(spark):
-    """D2 semantics: a copy within the delay is dropped; after the watermark passes, it is new again."""
+def test_stream_dedupe_uses_producer_time_and_delay(spark):
+    """D2 semantics: a copy within the delay is dropped; later it is new again."""
     import json as _json
     from newsflow.sources.files import read_ingested
     src = scratch_path(spark, "wm_src")
     out, ckpt = scratch_path(spark, "wm_out"), scratch_path(spark, "wm_ckpt")
-    body = "word " * 40
+    full = "word " * 40
 
-    def land(batch, rows):
+    def land(batch, rows, body=full):
         vals = [(None, _json.dumps({"title": t, "text": body + t, "subject": "s", "date": "d", "article_id": i,
                                     "timestamp": ts})) for t, i, ts in rows]
         spark.createDataFrame(vals, "key string, value string").write.json(f"{src}/{batch}")
         for q in ingest.start_ingest(article_stream(spark, "json", src + "/*"), out, ckpt, available_now=True,
                                      dedupe=True):
             q.awaitTermination()
-        return sorted(r["article_id"] for r in read_ingested(spark, f"{out}/parquet").collect())
+        schema = "title string, text string, subject string, date string, article_id string"
+        return sorted(r["article_id"] for r in spark.read.schema(schema).parquet(f"{out}/parquet").collect())
 
+    assert land("b0", [("Z", "0", "2024-03-01T09:00:00")], "short ") == []           # nothing accepted yet
     assert land("b1", [("A", "1", "2024-03-01T10:00:00")]) == ["1"]
     assert land("b2", [("A", "2", "2024-03-01T10:30:00"), ("B", "3", "2024-03-01T12:00:00")]) == ["1", "3"]
     assert land("b3", [("A", "4", "2024-03-01T12:30:00")]) == ["1", "3", "4"]
