@@ -55,7 +55,7 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "chars", "link_chars", "hidden_header")
+    __slots__ = ("tag", "parent", "children", "dropped", "score", "chars", "link_chars")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool):
         self.tag, self.parent, self.dropped = tag, parent, dropped

@@ -60,9 +60,7 @@ def measure(text: str | None) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a whole text."""
     data = to_bytes(text)
     words = data.split()
-    flat = b"".join(words)
-    # code points: bytes that don't continue a UTF-8 sequence
-    chars = len(flat.decode("utf-8", "surrogatepass"))
+    chars = len(b"".join(words).decode("utf-8", "surrogatepass"))      # code points
     return (len(words), chars, sum(map(data.count, (SYMBOLS[i:i + 1] for i in range(len(SYMBOLS))))),
             duplicate_lines(data), repeat_words(words))
 
