@@ -203,7 +203,9 @@ ORACLE["g4_by_date_label"] = MR + """
 SELECT date, prediction_label, count(*) AS count FROM predictions GROUP BY date, prediction_label
 ORDER BY date, prediction_label"""
 ORACLE["p5_label_decode"] = """
-SELECT doc_id, CASE WHEN cast(quality AS double) = 0.0 THEN 'FAKE' ELSE 'TRUE' END AS decoded FROM labels"""
+SELECT cast(d.doc_id AS varchar) AS article_id, cast(quality AS double) AS label,
+       CASE WHEN quality = 0 THEN 'FAKE' ELSE 'TRUE' END AS decoded
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 ORACLE["m2_document_frequency"] = MR + "\nSELECT term, cast(df AS bigint) AS df, round(idf, 9) AS idf FROM idf"
 ORACLE["mr_theta"] = MR + """
 SELECT term, cast(tf0 AS bigint) AS tf0, cast(tf1 AS bigint) AS tf1,

@@ -76,8 +76,8 @@ def g4_by_date_label(spark, sf_dir):
 
 @register("p5_label_decode")
 def p5_label_decode(spark, sf_dir):
-    labels = read_table(spark, sf_dir, "labels")
-    return labels.select("doc_id", decode_label(F.col("quality").cast("double")).alias("decoded"))
+    """P5 over all articles: an unlabelled one (NULL) decodes to TRUE."""
+    return articles(spark, sf_dir, how="left").select("article_id", "label", decode_label("label").alias("decoded"))
 
 
 @register("m2_document_frequency")

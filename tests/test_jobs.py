@@ -298,7 +298,6 @@ def test_single_file_export_of_empty_result(spark):
 def test_stream_dedupe_uses_producer_time_and_delay(spark):
     """D2 semantics: a copy within the delay is dropped; later it is new again."""
     import json as _json
-    from newsflow.sources.files import read_ingested
     src = scratch_path(spark, "wm_src")
     out, ckpt = scratch_path(spark, "wm_out"), scratch_path(spark, "wm_ckpt")
     full = "word " * 40
@@ -363,3 +362,22 @@ def test_scratch_scope_deletes_what_was_made_inside(spark):
         path = inside.inputFiles()[0].replace("file://", "")
         assert inside.count() == 5 and os.path.exists(path)
     assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3
+
+
+def test_processing_time_is_that_of_the_run(spark):
+    """Prediction and ingest rows carry the time at which they were processed."""
+    import datetime
+    from newsflow.checks.queries import _ml_model
+    from newsflow.sources.files import read_ingested
+    src, out = fixtures.landed_messages(spark, SF), scratch_path(spark, "p7")
+    before = datetime.datetime.now(datetime.timezone.utc)
+    queries = scoring.start_scoring(_ml_model(spark, SF), article_stream(spark, "json", src), f"{out}/pred", f"{out}/c1",
+                                    available_now=True)
+    queries += ingest.start_ingest(article_stream(spark, "json", src), f"{out}/in", f"{out}/c2", available_now=True)
+    assert await_all(spark, queries, timeout=120)
+    after = datetime.datetime.now(datetime.timezone.utc)
+    for df in (read_predictions(spark, f"{out}/pred"), read_ingested(spark, f"{out}/in/parquet")):
+        # as text: the session is in UTC whatever the zone of Python
+        low, high = df.select(F.date_format("processed_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("p")).agg(
+            F.min("p"), F.max("p")).first()
+        assert before.strftime("%Y-%m-%dT%H:%M:%S") <= low <= high <= after.strftime("%Y-%m-%dT%H:%M:%S.999999")
