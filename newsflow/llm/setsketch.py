@@ -80,9 +80,10 @@ def _more(x: np.ndarray) -> np.ndarray:
 
 def ruled_out(plus: np.ndarray, minus: np.ndarray, m: int, n1: np.ndarray, n2: np.ndarray, threshold: float) -> np.ndarray:
     """True where the joint likelihood of register comparisons and set sizes rules ``threshold`` out."""
-    u = n1 / (n1 + n2)
-    v = 1.0 - u
-    most = np.minimum(u / v, v / u)
+    u, v = n1 / (n1 + n2), n2 / (n1 + n2)
+    small, large = np.minimum(n1, n2), np.maximum(n1, n2)
+    too_far = 100 * small < round(100 * threshold, 6) * large    # whole numbers: a set contained at the threshold stays
+    most = np.where(too_far, small / large, np.maximum(small / large, threshold))
 
     def likelihood(j):
         more, less = _more(u[:, None] - v[:, None] * j), _more(v[:, None] - u[:, None] * j)
@@ -95,7 +96,7 @@ def ruled_out(plus: np.ndarray, minus: np.ndarray, m: int, n1: np.ndarray, n2: n
     # the best similarity of at least the threshold that the sizes allow
     at = np.maximum(np.where(grid >= threshold, all_j, -np.inf).max(axis=1),
                     likelihood(np.minimum(most, threshold)[:, None])[:, 0])
-    return (most < threshold) | (2 * (best - at) > RULED_OUT)
+    return too_far | (2 * (best - at) > RULED_OUT)
 
 
 def sketch(docs: DataFrame, size: int, m: int) -> DataFrame:

@@ -102,6 +102,33 @@ def test_registers_merge_and_estimate():
         assert setsketch.ruled_out(np.array([(r > s).sum()]), np.array([(r < s).sum()]), m, n, n, 0.8)[0] == out
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sets_contained_at_the_threshold_are_linked(spark, percent):
+    data = []
+    for i in range(1, 6):
+        part, whole = 20 * i * percent // 100, 20 * i          # shingles
+        for order in (1, -1):
+            text = prose(1700 + len(data), whole + 4)
+            pair = [text, " ".join(text.split()[:part + 4])][::order]
+            data += [(1000 * percent + len(data) + k, t) for k, t in enumerate(pair)]
+    want = brute_components(data, percent)
+    assert len(set(want.values())) == len(data) // 2
+    out = setsketch.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), percent).collect()
+    assert {r.doc_id: r.component_id for r in out} == want
+
+
+def test_no_size_pair_at_the_threshold_is_ruled_out():
+    m = 180
+    for percent in (80, 85):
+        large = np.arange(20, 4001, 20)
+        small = large * percent // 100
+        # a contained set exceeds the other in no register; the sets agree in about percent of them
+        plus, minus = np.zeros(len(large), int), np.full(len(large), m - m * percent // 100)
+        for n, k, more, less in ((small, large, plus, minus), (large, small, minus, plus)):
+            assert not setsketch.ruled_out(more, less, m, n.astype(float), k.astype(float), percent / 100).any()
+        assert setsketch.ruled_out(plus, minus, m, small - 1.0, large.astype(float), percent / 100).all()
+
+
 def test_bands_reach_the_threshold():
     for t in (0.8, 0.85):
         assert (1 - t ** setsketch.ROWS) ** setsketch.bands_for(t) <= setsketch.MISS
