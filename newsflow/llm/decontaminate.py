@@ -6,6 +6,9 @@ each mask; equal hashes are hits.  The hits of a document on one diagonal (its
 position minus the item's) are one candidate, verified along the whole
 diagonal: the best stretch scores +1 for an equal token and ``-MISMATCH`` for a
 substituted one and must reach ``min_score`` (or the item's length, if less).
+With ``min_share``, which verdicts and decontamination set, a diagonal on which
+that share of the item's tokens is equal counts too, whatever its score: short
+items can't reach the score with a few tokens substituted.
 
 Tokens are runs of letters and digits, lower-cased.  Items of fewer tokens than
 the longest mask have no seed and are not looked for.  Null and empty texts
@@ -25,6 +28,7 @@ from .tables import text_key
 MASKS = ("110110010111", "101001110111")   # eight of twelve positions each
 MISMATCH = 2
 MIN_SCORE = 13
+MIN_SHARE = 0.75
 BROADCAST_SEEDS = 1_000_000    # benchmark seeds: at most so many rows (16 MB) are broadcast
 
 
@@ -64,8 +68,11 @@ def _best_stretch(equal: Column) -> Column:
     return F.aggregate(equal, zero, step)
 
 
-def overlaps(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MIN_SCORE) -> DataFrame:
-    """doc_id, item_id, score, matched: the best verified overlap of each pair that has one."""
+def overlaps(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MIN_SCORE,
+             min_share: float | None = None) -> DataFrame:
+    """doc_id, item_id, score, matched: the best verified overlap of each pair that has one.
+
+    ``matched`` counts equal tokens: of the best stretch, or of the diagonal if only ``min_share`` is reached."""
     bench = materialize(items.select("item_id", text_key().alias("item_rk"), token_hashes(F.col("text")).alias("ih")),
                         "benchmark-tokens")
     bench_seeds = materialize(seeds(bench, "ih", ["item_id", "item_rk"], masks).select(
@@ -87,15 +94,20 @@ def overlaps(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MI
     first, item_first = F.greatest(F.col("d"), F.lit(0)), F.greatest(-F.col("d"), F.lit(0))
     n = F.least(F.size("h") - first, F.size("ih") - item_first)
     equal = F.zip_with(F.slice("h", first + 1, n), F.slice("ih", item_first + 1, n), lambda x, y: x == y)
-    best = both.select("doc_id", "item_id", F.least(F.size("ih"), F.lit(min_score)).alias("least"),
-                       _best_stretch(equal).alias("best")).filter(F.col("best.score") >= F.col("least"))
+    judged = both.select("doc_id", "item_id", F.size("ih").alias("length"), equal.alias("equal"))
+    judged = judged.select("doc_id", "item_id", "length", F.size(F.filter("equal", lambda e: e)).alias("same"),
+                           _best_stretch(F.col("equal")).alias("best"))
+    scored = F.col("best.score") >= F.least("length", F.lit(min_score))
+    shared = F.lit(False) if min_share is None else F.col("same") >= F.lit(float(min_share)) * F.col("length")
+    best = judged.filter(scored | shared).withColumn("matched", F.when(scored, F.col("best.matched")).otherwise(F.col("same")))
     return best.groupBy("doc_id", "item_id").agg(F.max("best.score").cast("long").alias("score"),
-                                                 F.max("best.matched").cast("long").alias("matched"))
+                                                 F.max("matched").cast("long").alias("matched"))
 
 
-def verdicts(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MIN_SCORE) -> DataFrame:
+def verdicts(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MIN_SCORE,
+             min_share: float | None = MIN_SHARE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_items, item_ids (sorted), best_matched, kept."""
-    leaks = overlaps(docs, items, masks, min_score).groupBy(F.col("doc_id").alias("leak_id")).agg(
+    leaks = overlaps(docs, items, masks, min_score, min_share).groupBy(F.col("doc_id").alias("leak_id")).agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("item_id")).alias("ids"), F.max("matched").alias("m"))
     out = docs.select("doc_id").join(leaks, F.col("doc_id").eqNullSafe(F.col("leak_id")), "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_items"),
@@ -103,7 +115,8 @@ def verdicts(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MI
                       F.coalesce("m", F.lit(0)).alias("best_matched"), F.col("n").isNull().alias("kept"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MIN_SCORE) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MIN_SCORE,
+                  min_share: float | None = MIN_SHARE) -> DataFrame:
     """``docs`` without the documents that overlap an item."""
-    leaks = overlaps(docs, items, masks, min_score).select(F.col("doc_id").alias("leak_id")).distinct()
+    leaks = overlaps(docs, items, masks, min_score, min_share).select(F.col("doc_id").alias("leak_id")).distinct()
     return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak_id"]), "left_anti")

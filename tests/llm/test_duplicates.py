@@ -282,6 +282,28 @@ def test_leak_edges(spark):
         decontaminate.BROADCAST_SEEDS = few
 
 
+def test_short_items_with_substituted_tokens_are_leaks(spark):
+    """Items of 15 to 20 tokens, one to three substituted: found wherever a seed is left over, else kept."""
+    items, docs, want = [], [], {}
+    for n in range(15, 21):
+        item = prose(800 + n, n).split()
+        items.append((n, " ".join(item)))
+        for k in (1, 2, 3, 6):
+            for trial in range(4):
+                at = random.Random(100 * n + 10 * k + trial).sample(range(1, n - 1), k)
+                words = ["changed" if i in at else w for i, w in enumerate(item)]
+                seeded = any(all(i + j not in at for j, c in enumerate(mask) if c == "1")
+                             for mask in decontaminate.MASKS for i in range(n - 11))
+                d = len(docs)
+                docs.append((d, f"{prose(5000 + d, 7)} {' '.join(words)} {prose(6000 + d, 7)}"))
+                if seeded and n - k >= 0.75 * n:
+                    want[d] = n
+    out = decontaminate.verdicts(spark.createDataFrame(docs, "doc_id long, text string"),
+                                 spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.item_ids[0] for r in out if not r.kept} == want
+    assert len(want) > 40 and {d for d in range(len(docs)) if d % 16 < 4} <= set(want)     # k = 1: every document
+
+
 def test_leaks_are_native(spark):
     df = decontaminate.verdicts(documents(spark), spark.createDataFrame([(1, prose(1, 30))], "item_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
