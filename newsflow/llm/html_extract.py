@@ -5,6 +5,10 @@ plus one per comma, plus length) to its ancestors, less the further up; a
 container's points are discounted by its link density.  The best container, or
 the article or main element around it, and its siblings that score well are
 kept, without subtrees that are menus, adverts, forms, comments and the like.
+Class and id names that tell such subtrees don't count for headings, for what is
+around the main element, around the article or (without an article elsewhere) around most
+of the page's points, after "has", "no" or "with", nor for ids that are slugs inside the article; a page
+that is empty by them is read without them.
 
 A null, empty or text-free page gives an empty text.  Columns of the page are
 independent: equal rows give equal results.  Any nesting depth is handled
@@ -34,6 +38,12 @@ DROPPED_WORDS = frozenset("ad ads advert adverts advertisement advertising adsen
 # beginnings of compound names such as commentlist, sidebarleft, cookiebar
 DROPPED_STARTS = ("advert", "sponsor", "cookie", "sidebar", "newsletter", "breadcrumb", "footer", "navbar", "commentl",
                   "commentf", "commentsec", "commentbox", "commentth", "disqus", "subscrib")
+# names of parts that may hold more text than the article; the others are names of layout
+CROWDS = ("comment", "disqus", "discussion", "respond", "replies", "related", "recommended", "outbrain", "taboola",
+          "sponsor", "promo", "ad", "cookie", "consent", "gdpr", "newsletter", "subscri", "disclaimer", "notice")
+NOT_SLUGS = ("comment", "disqus", "respond")
+MODIFIERS = frozenset("has have no not with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre div section article main body html table thead "
                    "tbody tfoot tr td th caption figure figcaption address header footer aside nav form hr details "
                    "summary center fieldset".split())
@@ -55,27 +65,23 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "dropped", "named", "slug", "score", "chars", "link_chars")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, named: str = "", slug: str = ""):
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.named, self.slug = named, slug     # the class names, and the id, that tell a part to drop
         self.children: list = []
         self.score = BASE.get(tag, 0.0)
         self.chars = self.link_chars = 0
 
 
 def is_dropped(tag: str, attrs: list, inside_article: bool) -> bool:
+    """True for elements that are dropped whatever they hold."""
     if tag in DROPPED_TAGS or tag == "header" and not inside_article:
         return True
     for name, value in attrs:
-        names = CAMEL.sub(" ", value or "").lower() if name in ("class", "id") else ""
         value = (value or "").lower()
-        if name in ("class", "id"):
-            if tag not in ("body", "html", "article", "main") or "comment" in value:
-                words = SPLIT_NAMES.split(names)
-                if not DROPPED_WORDS.isdisjoint(words) or any(w.startswith(DROPPED_STARTS) for w in words):
-                    return True
-        elif name == "role" and value in DROPPED_ROLES:
+        if name == "role" and value in DROPPED_ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -84,10 +90,25 @@ def is_dropped(tag: str, attrs: list, inside_article: bool) -> bool:
     return False
 
 
+def dropped_names(tag: str, value: str) -> str:
+    """The words of a class or id that tell a part to drop."""
+    if tag in HEADINGS or tag in ("body", "html") or tag in ("article", "main") and "comment" not in value.lower():
+        return ""
+    found = []
+    for token in CAMEL.sub("-", value).lower().split():
+        for w in SPLIT_NAMES.split(token):
+            if w in MODIFIERS:
+                break
+            if w in DROPPED_WORDS or w.startswith(DROPPED_STARTS):
+                found.append(w)
+    return " ".join(found)
+
+
 class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", None, False)
+        self.named: list[Node] = []
 
     def _close(self, tags: tuple, scope: tuple) -> None:
         """Close the nearest open element of ``tags``, if no element of ``scope`` is nearer."""
@@ -115,6 +136,14 @@ class TreeBuilder(HTMLParser):
             inside = node.tag in ("article", "main")
             node = node.parent if tag == "header" else None
         new = Node(tag, up, up.dropped or is_dropped(tag, attrs, inside))
+        if not new.dropped:
+            for name, value in attrs:
+                if name == "class" and value:
+                    new.named = dropped_names(tag, value)
+                elif name == "id" and value:
+                    new.slug = dropped_names(tag, value)
+            if new.named or new.slug:
+                self.named.append(new)
         up.children.append(new)
         if tag not in VOID:
             self.at = new
@@ -142,10 +171,12 @@ class TreeBuilder(HTMLParser):
             self.at.children.append(data)
 
 
-def parse(html: str) -> Node:
+def parse(html: str, by_name: bool = True) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
+    if by_name and builder.named:
+        drop_named(builder.root, builder.named)
     return builder.root
 
 
@@ -160,10 +191,11 @@ def _preorder(root: Node) -> list[Node]:
     return out
 
 
-def best_container(root: Node) -> list[Node]:
-    """The kept nodes: the best container and its good siblings, in page order."""
-    nodes = _preorder(root)
-    commas = {}
+def _measure(nodes: list[Node]) -> dict:
+    """Characters, those in links (both kept in the nodes) and commas of every node."""
+    commas: dict = {}
+    for node in nodes:
+        node.chars = node.link_chars = 0
     for node in reversed(nodes):                      # children before parents
         own = [c for c in node.children if isinstance(c, str)]
         node.chars += sum(len(c.strip()) for c in own)
@@ -174,13 +206,76 @@ def best_container(root: Node) -> list[Node]:
             node.parent.chars += node.chars
             node.parent.link_chars += node.link_chars
             commas[node.parent] = commas.get(node.parent, 0) + commas[node]
+    return commas
+
+
+def _points(node: Node, commas: dict) -> float | None:
+    """What a paragraph passes on; None for what isn't one."""
+    if (node.tag in PARAGRAPHS or node.tag == "div" and not any(
+            not isinstance(c, str) and c.tag in BLOCKS for c in node.children)) and node.chars >= MIN_PARAGRAPH:
+        return (1 + commas[node] + min(3.0, node.chars / 100)) * (1 - node.link_chars / node.chars)
+    return None
+
+
+def _ancestors(node: Node):
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _is_slug(node: Node) -> bool:
+    """True for an id inside the article or main element that names a section of it."""
+    around = {n.tag for n in _ancestors(node.parent)}
+    if node.slug.startswith(NOT_SLUGS) or around.isdisjoint(("article", "main")):
+        return False
+    if "article" in around and node.tag != "div":
+        return True
+    first = next((c for c in node.children if not isinstance(c, str) or c.strip()), None)
+    if first is None or isinstance(first, str) or first.tag not in HEADINGS:
+        return False
+    words = SPLIT_NAMES.split(" ".join(blocks([first])).lower())
+    return all(w in words for w in node.slug.split())
+
+
+def drop_named(root: Node, named: list[Node]) -> None:
+    """Drops the elements that their names tell, but not what is around the article."""
+    for node in named:
+        if node.slug and not _is_slug(node):
+            node.named = f"{node.named} {node.slug}".strip()
+    named = [n for n in named if n.named]
+    if not named:
+        return
+    nodes = _preorder(root)
+    commas = _measure(nodes)
+    crowds = {n for n in named if any(w.startswith(CROWDS) for w in n.named.split())}
+    below: dict = {}                                  # points below a node, with and without those of crowds in it
+    for node in reversed(nodes):
+        own = _points(node, commas) or 0.0
+        every, plain = below.get(node, (0.0, 0.0))
+        below[node] = every, plain = every + own, plain + own
+        if node.parent is not None:
+            up = below.get(node.parent, (0.0, 0.0))
+            below[node.parent] = up[0] + every, up[1] + (0.0 if node in crowds else plain)
+    half = below[root][1] / 2
+    around: set = set()
+    apart = False                                     # an article stands outside all named elements
+    for node in nodes:
+        if node.tag in ("article", "main") and not node.named and node.chars:
+            if node.tag == "main" or below[node][1] > half:
+                around.update(_ancestors(node))
+            apart = apart or not any(n.named for n in _ancestors(node))
+    for node in named:
+        node.dropped = not (node in around or not apart and node not in crowds and below[node][1] > half)
+
+
+def best_container(root: Node) -> list[Node]:
+    """The kept nodes: the best container and its good siblings, in page order."""
+    nodes = _preorder(root)
+    commas = _measure(nodes)
     got = set()
     for node in nodes:
-        if node.tag in PARAGRAPHS or node.tag == "div" and not any(
-                not isinstance(c, str) and c.tag in BLOCKS for c in node.children):
-            if node.chars < MIN_PARAGRAPH:
-                continue
-            points = (1 + commas[node] + min(3.0, node.chars / 100)) * (1 - node.link_chars / node.chars)
+        points = _points(node, commas)
+        if points is not None:
             up, level = node.parent, 0
             while up is not None and level < REACH:
                 up.score += points / (1 if level == 0 else 2 * level)
@@ -239,7 +334,11 @@ def blocks(kept: list[Node]) -> list[str]:
 
 
 def main_text(html: str | None) -> str:
-    return "\n\n".join(blocks(best_container(parse(html)))) if html else ""
+    if not html:
+        return ""
+    root = parse(html)
+    text = "\n\n".join(blocks(best_container(root)))
+    return text if text else "\n\n".join(blocks(best_container(parse(html, by_name=False))))
 
 
 def _extract_all(pages: list) -> dict:

@@ -177,6 +177,27 @@ def test_small_pages(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("page", [
+    f"<div class='container has-sidebar'><article><p>{LONG}</p></article></div>",
+    f"<div id='page' class='no-sidebar'><article><p>{LONG}</p></article></div>",
+    f"<div class='sidebar-right'><div><p>{LONG}</p></div><div class='sidebar'><p>Side.</p></div></div><p>Small.</p>",
+    f"<div class='related-layout'><main><p>{LONG}</p></main></div>",
+    f"<body class='comments-open'><article><p>{LONG}</p></article></body>",
+    f"<div class='hasSidebar'><p>{LONG}</p></div>", f"<div class='comments'><p>{LONG}</p></div>",
+    f"<article><p>{LONG}</p></article><div class='related'>" + f"<article><p>{LONG}</p></article>" * 3 + "</div>",
+    f"<div class='ad'>{LONG} {LONG}</div><article><p>{LONG}</p></article><div class='widget'>{LONG} {LONG}</div>",
+    f"<div><p>{LONG}</p></div><section class='comments'>" + f"<p>{LONG} {LONG}</p>" * 9 + "</section>"])
+def test_layout_names_do_not_drop_the_article(page):
+    assert html_extract.main_text(page) in (LONG, LONG + "\n\nSmall.")
+
+
+def test_headings_and_slugs_stay_in_the_article():
+    page = (f"<article><p>{LONG}</p><section id=discussion><p>Said.</p></section><h2 id=related-work>Work</h2>"
+            f"<h2 id=cookie-settings>Cookies</h2><div id=related><h3>Related</h3><p>More.</p></div><div id=ad-1>no</div>"
+            f"<section id=comments><h2>Comments</h2><p>no</p></section><div class=ad>no</div></article>")
+    assert html_extract.main_text(page).split("\n\n") == [LONG, "Said.", "Work", "Cookies", "Related", "More."]
+
+
 def test_deep_and_long_pages():
     assert html_extract.main_text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     long = "<article>" + "".join(f"<p>{LONG} {i}</p>" for i in range(5000)) + "</article>"
