@@ -11,7 +11,8 @@ that share of the item's tokens is equal counts too, whatever its score: short
 items can't reach the score with a few tokens substituted.
 
 Tokens are runs of letters and digits, lower-cased.  Items of fewer tokens than
-the longest mask have no seed and are not looked for.  Null and empty texts
+the longest mask are hashed whole and found where a document has all their
+tokens in a row.  Null and empty texts
 match nothing.  Rows that share ``doc_id`` (null too) are one document: one
 leaking row marks them all.  Items that share an ``item_id`` are all looked for.
 Empty tables give no match.
@@ -54,6 +55,19 @@ def seeds(df: DataFrame, hashes: str, keep: list, masks=MASKS) -> DataFrame:
             .select(*keep, "at", F.explode("both").alias("seed")))
 
 
+def whole_seeds(df: DataFrame, hashes: str, keep: list, lengths: list) -> DataFrame:
+    """keep..., length, at, seed: one row per length and place of so many tokens in a row."""
+    def of(n: int) -> Column:
+        def seed(i: Column) -> Column:
+            return F.struct(F.lit(n).alias("length"), i.alias("at"),
+                            F.xxhash64(F.lit(n), *[F.get(F.col(hashes), i + j) for j in range(n)]).alias("seed"))
+
+        return F.when(F.size(hashes) >= n, F.transform(F.sequence(F.lit(0), F.size(hashes) - n), seed))
+
+    return df.select(*keep, F.explode(F.array_compact(F.array(*map(of, lengths)))).alias("places")).select(
+        *keep, F.inline("places"))
+
+
 def _best_stretch(equal: Column) -> Column:
     """struct(score, matched) of the best stretch of an array of booleans."""
     zero = F.struct(F.lit(0).alias("run"), F.lit(0).alias("got"), F.lit(0).alias("score"), F.lit(0).alias("matched"))
@@ -83,6 +97,16 @@ def overlaps(docs: DataFrame, items: DataFrame, masks=MASKS, min_score: int = MI
     hits = found.join(F.broadcast(bench_seeds) if few else bench_seeds, "seed")
     # distinct combines on the map side: a document's hits on one diagonal are one row
     diagonals = hits.select("doc_id", "rk", "item_id", "item_rk", (F.col("at") - F.col("item_at")).alias("d")).distinct()
+    # short items, whole: the lengths are at most the longest mask's
+    span = max(map(len, masks))
+    lengths = sorted(r[0] for r in bench.filter(F.size("ih").between(1, span - 1)).select(F.size("ih")).distinct().collect())
+    if lengths:
+        short = materialize(whole_seeds(bench.filter(F.size("ih") < span), "ih", ["item_id", "item_rk", "ih"], lengths).filter(
+            F.col("length") == F.size("ih")).select("item_id", "item_rk", "seed").distinct(), "short-item-seeds")
+        places = whole_seeds(tokenised, "h", ["doc_id", "rk"], lengths)
+        places = places.join(F.broadcast(short) if short.count() <= BROADCAST_SEEDS else short, "seed")
+        # one place is enough: a document may have many of a very short item
+        diagonals = diagonals.unionByName(places.groupBy("doc_id", "rk", "item_id", "item_rk").agg(F.min("at").alias("d")))
     diagonals = materialize(diagonals, "diagonals")
     texts = docs.select(F.col("doc_id").alias("t_id"), text_key().alias("t_rk"), F.col("text").alias("t_text"))
     texts = texts.join(diagonals.select(F.col("doc_id").alias("s_id"), F.col("rk").alias("s_rk")).distinct(),

@@ -304,6 +304,23 @@ def test_short_items_with_substituted_tokens_are_leaks(spark):
     assert len(want) > 40 and {d for d in range(len(docs)) if d % 16 < 4} <= set(want)     # k = 1: every document
 
 
+def test_items_shorter_than_a_mask_are_found_whole(spark):
+    items = [(n, prose(950 + n, n)) for n in (1, 2, 5, 8, 11)] + [(50, None), (51, "")]
+    docs = [(n, f"{prose(7000 + n, 30)}, {t.upper()}! {t} {prose(7100 + n, 9)}") for n, t in items[1:5]]
+    docs += [(100 + n, edited(t, n, 2)) for n, t in items[1:5]] + [(200, items[3][1]), (201, None), (202, "x")]
+    want = {(d, i) for d, t in docs for i, x in items if toks(x) and any(
+        toks(t)[k:k + len(toks(x))] == toks(x) for k in range(len(toks(t))))}
+    assert {(n, n) for n in (2, 5, 8, 11)} | {(200, 8)} <= want
+    docs, items = (spark.createDataFrame(x, f"{c} long, text string") for x, c in ((docs, "doc_id"), (items, "item_id")))
+    for few in (decontaminate.BROADCAST_SEEDS, 0):
+        kept, decontaminate.BROADCAST_SEEDS = decontaminate.BROADCAST_SEEDS, few
+        try:
+            got = decontaminate.overlaps(docs, items).collect()
+        finally:
+            decontaminate.BROADCAST_SEEDS = kept
+        assert {(r.doc_id, r.item_id) for r in got} == want and all(r.matched == r.score == r.item_id for r in got)
+
+
 def test_leaks_are_native(spark):
     df = decontaminate.verdicts(documents(spark), spark.createDataFrame([(1, prose(1, 30))], "item_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
