@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import (decontaminate, fm_substring, html_extract, line_dedup, mixing, ordinal, quality_rules, setsketch,
                toxicity, url_filter)
 from .tables import read
@@ -71,7 +72,9 @@ def op9_toxicity(spark, sf_dir):
 
 @register
 def op10_poisson_mix(spark, sf_dir):
-    return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source"))
+    # whole documents are mixed and written; the result names them in the mix
+    mixed = materialize(mixing.mix(read(spark, sf_dir, "documents")), "mix")
+    return mixed.select("doc_id", "source", "copy", "shuffle_key")
 
 
 ORACLE: dict[str, str] = {

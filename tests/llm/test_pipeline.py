@@ -1,5 +1,6 @@
 """The corpus pipeline against brute force, stage by stage, on a small fixture."""
 
+import os
 import random
 
 import corpus_pipeline
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsflow.llm import mixing, toxicity
+from newsflow.llm.queries import QUERIES
 
 from .fixtures import DOC_SCHEMA, edited, empty, prose
 from .test_duplicates import brute_best, brute_components, toks
@@ -83,6 +85,17 @@ def test_pipeline_takes_an_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_mix_query_moves_whole_documents(spark, corpus):
+    at, rows = corpus
+    out = QUERIES["op10_poisson_mix"](spark, at)
+    assert out.columns == ["doc_id", "source", "copy", "shuffle_key"]
+    written = spark.read.parquet(os.path.dirname(out.inputFiles()[0]))
+    assert set(corpus_pipeline.COLUMNS) < set(written.columns)
+    texts = {d: t for d, t, *_ in rows}
+    assert all(texts[r.doc_id] == r.text for r in written.select("doc_id", "text").collect())
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, written.select(*out.columns).collect()), key=str)
+
+
 def test_toxic_stage_learns_the_planted_words(spark, corpus):
     at, _ = corpus
     docs = spark.read.parquet(f"{at}/documents.parquet")
