@@ -4,7 +4,8 @@ Five transducers read the words of a clause: insult, threat, target, negation
 and reported speech.  Their composition walks each clause once; its state says
 whether a target, a negation or a report is in force, and every insult or
 threat word it reads emits its weight on the arc of that state (plain, at a
-target, negated, reported, threat).  A document's score is a logistic function
+target, negated, reported, threat).  A threat word emits near a target, before
+or after it, unless negated or reported.  A document's score is a logistic function
 of what its matched clauses emit on each arc.
 
 Threat, target, negation and report words are short fixed lists.  Insult words
@@ -96,15 +97,15 @@ def arcs(text: str | None, lexicon: dict) -> list[float]:
         marked = THREATS.intersection(words)
         if not known and not marked:
             continue
-        target = negated = reported = threat = 0     # words for which each state stays in force
+        target = negated = reported = threat = denied = 0     # words for which each state stays in force
         for w in words:
             if w in ENDS:
-                target = negated = reported = threat = 0
+                target = negated = reported = threat = denied = 0
                 continue
             target, negated, threat = max(0, target - 1), max(0, negated - 1), max(0, threat - 1)
             if w in TARGETS:
-                target = SCOPE
-                if threat and not negated:
+                target, denied = SCOPE, negated            # a negation before the target holds with it
+                if threat and not negated and not reported:
                     out[4] += 1.0
                     threat = 0
             elif w in NEGATIONS:
@@ -113,6 +114,9 @@ def arcs(text: str | None, lexicon: dict) -> list[float]:
                 reported = 1                          # until the clause ends
             elif w in marked:
                 threat = SCOPE
+                if target and not negated and not denied and not reported:     # te voy a matar, ich werde dich töten
+                    out[4] += 1.0
+                    threat = 0
             x = known.get(w)
             if x:
                 out[3 if reported else 2 if negated else 1 if target else 0] += x

@@ -42,6 +42,15 @@ def test_grammar_arcs():
     assert toxicity.weight_of("viler", lex) == 2.0 and toxicity.weight_of("vil", lex) == 0.0
 
 
+@pytest.mark.parametrize("clause, threats", [
+    ("I will kill you", 1), ("te voy a matar", 1), ("ich werde dich töten", 1), ("je vais te tuer", 1),
+    ("ich werde dich nicht töten", 0), ("je ne vais pas te tuer", 0), ("nunca te voy a matar", 0),
+    ("er sagte ich werde dich töten", 0), ("dich. Morgen töten", 0), ("te uno dos tres cuatro matar", 0),
+    ("ich werde dich töten, dich", 1)])
+def test_threats_in_either_order(clause, threats):
+    assert toxicity.arcs(clause, {})[:-1] == [0, 0, 0, 0, threats]
+
+
 def test_long_texts_are_read_whole(monkeypatch):
     text = "word " * 1000 + "scum " + "word " * 1000 + "scum"
     lex = {"scum": 1.0}
