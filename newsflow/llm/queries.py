@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import (decontaminate, fm_substring, html_extract, line_dedup, mixing, ordinal, quality_rules, setsketch,
-               toxicity, url_filter)
+from . import (decontaminate, fm_substring, html_extract, line_dedup, mixing, ordinal, piece_codec, quality_rules,
+               setsketch, token_alignment, toxicity, url_filter)
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,23 @@ def op10_poisson_mix(spark, sf_dir):
     return mixed.select("doc_id", "source", "copy", "shuffle_key")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+@register
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                 tokenizer_path("piece_bpe_32k.model"))
+
+
+@register
+def op13_piece_codec(spark, sf_dir):
+    return piece_codec.round_trip(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_setsketch_dedup": setsketch.ORACLE,
