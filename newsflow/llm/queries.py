@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import (decontaminate, fm_substring, html_extract, line_dedup, mixing, ordinal, piece_codec, quality_rules,
-               setsketch, token_alignment, toxicity, url_filter)
+from . import (collocations, decontaminate, fm_substring, html_extract, line_dedup, mixing, ordinal, piece_codec,
+               quality_rules, setsketch, token_alignment, toxicity, url_filter)
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,11 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@register
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents"), longest=4, least=30, share=80, top=2000)
+
+
 @register
 def op12_token_alignment(spark, sf_dir):
     return token_alignment.align(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
@@ -101,4 +106,5 @@ ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op6_fm_substring": fm_substring.ORACLE,
     "op10_poisson_mix": mixing.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }
