@@ -417,7 +417,8 @@ once AS (
               ELSE strftime(pub_ts, '%d %b %y %H:%M:%S +0000') END AS published,
          (['politics', 'business', 'technology', 'world'])[feed_pos % 4 + 1] AS subject
   FROM items),
-parsed AS (SELECT *, 0 AS landing FROM once UNION ALL SELECT *, 1 AS landing FROM once WHERE feed_pos % 5 = 1),
+parsed AS (SELECT *, 0 AS landing FROM once UNION ALL SELECT *, 1 AS landing FROM once WHERE feed_pos % 5 = 1
+           UNION ALL SELECT *, 0 AS landing FROM once WHERE feed_pos % 5 = 2 AND pos < 3),
 firsts AS (SELECT * FROM parsed WHERE pos < 10),
 titled AS (
   SELECT * REPLACE (trim(coalesce(title, ''), """ + UNICODE_WS_SQL + """) AS title)
@@ -436,8 +437,9 @@ FEEDS = with_ctes(FEED_ITEMS)
 
 ORACLE["f1_rss_entries"] = FEEDS + "\nSELECT feed_pos, pos, title, published FROM parsed"
 ORACLE["f2_feed_errors"] = FEEDS + """
-SELECT DISTINCT feed_pos, 'https://feeds.example.org/' || subject || '/' || cast(feed_pos AS varchar) || '-broken.xml' AS url
-FROM once WHERE feed_pos % 5 = 2"""
+SELECT feed_pos, 'https://feeds.example.org/' || any_value(subject) || '/' || cast(feed_pos AS varchar) || '-broken.xml' AS url,
+       'broken' AS error, cast(count(*) FILTER (pos < 3) AS integer) AS recovered, true AS has_rest
+FROM once WHERE feed_pos % 5 = 2 GROUP BY feed_pos"""
 ORACLE["w1_first_n_per_feed"] = FEEDS + "\nSELECT feed_pos, pos FROM firsts"
 ORACLE["x3_nonempty_title"] = FEEDS + "\nSELECT feed_pos, pos, title FROM nonempty"
 ORACLE["d1_first_by_title"] = FEEDS + """

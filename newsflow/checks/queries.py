@@ -453,7 +453,8 @@ def f1_rss_entries(spark, sf_dir):
 
 @register("f2_feed_errors")
 def f2_feed_errors(spark, sf_dir):
-    return feeds.feed_errors(feed_documents(spark, sf_dir)).select("feed_pos", "url")
+    return feeds.feed_errors(feed_documents(spark, sf_dir)).select(
+        "feed_pos", "url", "error", "recovered", F.col("rest").endswith("it never ends").alias("has_rest"))
 
 
 @register("w1_first_n_per_feed")

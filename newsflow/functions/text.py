@@ -51,6 +51,11 @@ def compute_once(df: DataFrame, cols: dict) -> DataFrame:
     return out.select(*df.columns, *[n for n in cols if n not in df.columns])
 
 
+def let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def collapse_whitespace(c) -> Column:
     return F.regexp_replace(col_(c), WS_RUN, " ")
 
@@ -115,7 +120,11 @@ def article_date(published, now: Column | None = None) -> Column:
     Rendered as the UTC calendar date whatever the session time zone (feed
     dates are parsed into UTC before formatting).
     """
-    ts = F.coalesce(parse_published(published), now if now is not None else F.current_timestamp())
+    return article_date_of_time(F.coalesce(parse_published(published), now if now is not None else F.current_timestamp()))
+
+
+def article_date_of_time(ts: Column) -> Column:
+    """T7 from a timestamp."""
     return F.date_format(F.convert_timezone(None, F.lit("UTC"), ts), C.ARTICLE_DATE_FORMAT)
 
 

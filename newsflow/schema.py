@@ -48,9 +48,13 @@ FEED_DOCUMENT_SCHEMA = T.StructType([
 ])
 
 # RSS 2.0, RSS 1.0 (RDF) and Atom shapes, read by one ``from_xml`` (the root element is the row).
+# Names are qualified: ``description`` is the feed's own, ``media:description`` another one that is not read.
 # A document that doesn't parse has its text in the corrupt-record column.
 CORRUPT_XML = "corrupt"
-_RSS_ITEM = "struct<title: string, description: string, pubDate: string, date: string>"
-_ATOM_ENTRY = "struct<title: string, summary: string, content: string, published: string, updated: string>"
-FEED_XML_SCHEMA = (f"channel struct<title: string, item: array<{_RSS_ITEM}>>, item array<{_RSS_ITEM}>, "
-                   f"title string, entry array<{_ATOM_ENTRY}>, {CORRUPT_XML} string")
+ENTRY_FIELDS = ["title", "description", "content:encoded", "itunes:summary", "summary", "content", "pubDate", "dc:date",
+                "published", "issued", "updated", "modified"]
+ENTRY_XML = ", ".join(f"`{n}` string" for n in ENTRY_FIELDS)
+ENTRY_XML_SCHEMA = f"{ENTRY_XML}, {CORRUPT_XML} string"
+_ENTRIES = f"array<struct<{', '.join(f'`{n}`: string' for n in ENTRY_FIELDS)}>>"
+FEED_XML_SCHEMA = (f"channel struct<title: string, item: {_ENTRIES}>, item {_ENTRIES}, title string, entry {_ENTRIES}, "
+                   f"{CORRUPT_XML} string")

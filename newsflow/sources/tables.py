@@ -85,9 +85,16 @@ ITEMS_PER_GENERATED_FEED = 12          # > ENTRIES_PER_FEED, so the cut has work
 NO_PUBDATE_EVERY = 9                   # page_id % 9 == 4 -> item without a date
 PUBDATE_ORIGIN = "2024-03-01 00:00:00"
 FETCHED_AT = "2024-06-01 00:00:00"
-# feed_pos % 5: RSS 2.0, RSS 2.0 (landed twice), RSS 1.0, Atom with summary, Atom with content only.
-# Feeds of kind 2 also land as a broken copy, feeds of kind 3 as an empty one, both under urls of their own.
+# feed_pos % 5: RSS 2.0, RSS 2.0 (landed twice), RSS 1.0, Atom with summary, Atom with content only and a prefix of its own.
+# Feeds of kind 2 also land as a copy that breaks off after three entries, feeds of kind 3 as an empty one, both under
+# urls of their own.
 FEED_KINDS = 5
+BROKEN_AFTER = 3
+# page_id % 5 of RSS 2.0 items: plain; elements of other namespaces after or before the item's own; the full text only;
+# summary and another full text.
+RSS_VARIANTS = 5
+OTHER_NAMESPACES = ("<media:title>a photo</media:title><media:description>its caption</media:description>"
+                    "<itunes:title>an episode</itunes:title><itunes:summary>its summary</itunes:summary>")
 # Dates of RSS 2.0 items by page_id % 3: in full, without seconds, with a short year and an offset.
 RSS_DATE_FORMATS = ["EEE, dd MMM yyyy HH:mm:ss 'GMT'", "EEE, d MMM yyyy HH:mm 'GMT'", "dd MMM yy HH:mm:ss '+0000'"]
 
@@ -112,7 +119,7 @@ def feed_items(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> Da
     rss = F.element_at(F.array(*[F.date_format(at, f) for f in RSS_DATE_FORMATS]), (F.col("page_id") % 3 + 1).cast("int"))
     feed = F.expr(f"page_id DIV {ITEMS_PER_GENERATED_FEED}").cast("int")
     return pages.select(
-        feed.alias("feed_pos"),
+        "page_id", feed.alias("feed_pos"),
         (F.col("page_id") % ITEMS_PER_GENERATED_FEED).cast("int").alias("pos"),
         (feed % FEED_KINDS).alias("kind"),
         F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"),
@@ -129,27 +136,50 @@ def feed_documents(spark: SparkSession, sf_dir: str, tasks: int | None = None) -
     group size is fixed, so no task ever holds an unbounded group.
     """
     title, text = _tag("title", xml_escape("title")), xml_escape("description")
-    rss = F.concat(F.lit("<item>"), title, _tag("description", text), _tag("pubDate", F.col("published")), F.lit("</item>"))
-    rdf = F.concat(F.lit("<item>"), title, _tag("description", text), _tag("dc:date", F.col("published")), F.lit("</item>"))
-    atom = F.concat(F.lit("<entry>"), title, F.when(F.col("kind") == 3, _tag("summary", text)).otherwise(
-        _tag("content", text)), _tag("published", F.col("published")), F.when(F.col("published").isNotNull(), F.lit(
-            "<updated>2024-05-30T00:00:00Z</updated>")).otherwise(""), F.lit("</entry>"))
+    published = F.col("published")
+    cdata = F.concat(F.lit("<content:encoded><![CDATA["), F.replace("description", F.lit("]]>"), F.lit("]]]]><![CDATA[>")),
+                     F.lit("]]></content:encoded>"))
+    plain = F.concat(title, _tag("description", text), _tag("pubDate", published))
+    variant = F.col("page_id") % RSS_VARIANTS
+    rss = F.concat(F.lit("<item>"), F.when(variant == 1, F.concat(plain, F.lit(OTHER_NAMESPACES))).when(
+        variant == 2, F.concat(F.lit(OTHER_NAMESPACES), plain)).when(
+        variant == 3, F.concat(cdata, title, _tag("pubDate", published))).when(
+        variant == 4, F.concat(plain, F.lit("<content:encoded>not the summary</content:encoded>"))).otherwise(plain),
+        F.lit("</item>"))
+    rdf = F.concat(F.lit("<item>"), title, _tag("description", text), _tag("dc:date", published), F.lit("</item>"))
+
+    def atom(prefix: str, body: str) -> F.Column:
+        updated = F.when(published.isNotNull(), F.lit(f"<{prefix}updated>2024-05-30T00:00:00Z</{prefix}updated>")).otherwise("")
+        return F.concat(F.lit(f"<{prefix}entry>"), _tag(f"{prefix}title", xml_escape("title")), _tag(prefix + body, text),
+                        _tag(f"{prefix}published", published), updated, F.lit(f"</{prefix}entry>"))
+
     items = feed_items(spark, sf_dir, tasks).select("feed_pos", "kind", "pos", F.when(F.col("kind") < 2, rss).when(
-        F.col("kind") == 2, rdf).otherwise(atom).alias("item"))
-    feeds = items.groupBy("feed_pos", "kind").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"]),
-                     "").alias("items"))
+        F.col("kind") == 2, rdf).when(F.col("kind") == 3, atom("", "summary")).otherwise(atom("a:", "content")).alias("item"))
+
+    def joined(kept) -> F.Column:
+        return F.array_join(F.transform(kept, lambda x: x["item"]), "")
+
+    feeds = items.groupBy("feed_pos", "kind").agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("all")).select(
+        "feed_pos", "kind", joined(F.col("all")).alias("items"),
+        joined(F.filter("all", lambda x: x["pos"] < BROKEN_AFTER)).alias("first_items"))
     subject = F.element_at(F.array(*[F.lit(s) for s in FEED_SUBJECTS]), (F.col("feed_pos") % 4 + 1).cast("int"))
-    name = F.concat(F.lit("<title>feed "), F.col("feed_pos").cast("string"), F.lit("</title>"))
+    name = F.concat(F.lit("feed "), F.col("feed_pos").cast("string"))
 
     def document(items):
         return F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>'), F.when(F.col("kind") < 2, F.concat(
-            F.lit('<rss version="2.0"><channel>'), name, items, F.lit("</channel></rss>"))).when(
+            F.lit('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/" '
+                  'xmlns:media="http://search.yahoo.com/mrss/" xmlns:itunes="http://www.itunes.com/dtds/podcast-1.0.dtd"><channel>'),
+            _tag("title", name), items, F.lit("</channel></rss>"))).when(
             F.col("kind") == 2, F.concat(F.lit(
                 '<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" '
-                'xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'), name, F.lit("</channel>"), items,
-                F.lit("</rdf:RDF>"))).otherwise(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), name, items,
-                                                         F.lit("</feed>"))))
+                'xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'), _tag("title", name), F.lit("</channel>"), items,
+                F.lit("</rdf:RDF>"))).when(F.col("kind") == 3, F.concat(
+                    F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), _tag("title", name), items, F.lit("</feed>"))).otherwise(
+                F.concat(F.lit('<a:feed xmlns:a="http://www.w3.org/2005/Atom">'), _tag("a:title", name), items, F.lit("</a:feed>"))))
+
+    # the connection broke inside an entry
+    broken = F.replace(document(F.concat("first_items", F.lit("<item><title>cut</title><description>it never ends"))),
+                       F.lit("</rdf:RDF>"), F.lit(""))
 
     def landed(kind: str, suffix: str, xml, hours: int = 0) -> DataFrame:
         return feeds.filter(kind).select(
@@ -160,5 +190,5 @@ def feed_documents(spark: SparkSession, sf_dir: str, tasks: int | None = None) -
 
     whole = document(F.col("items"))
     return (landed("true", "", whole).unionByName(landed("kind = 1", "", whole, 1))
-            .unionByName(landed("kind = 2", "-broken", F.substring(whole, 1, 400)))
+            .unionByName(landed("kind = 2", "-broken", broken))
             .unionByName(landed("kind = 3", "-empty", document(F.lit("")))))
