@@ -72,9 +72,13 @@ def build_parser() -> argparse.ArgumentParser:
             s.add_argument("--model", action="append", required=True, help="model location(s), in fallback order")
             s.add_argument("--trigger", default=C.SCORE_TRIGGER)
         if name == "ingest-stream":
-            s.add_argument("--dedupe", action="store_true")
+            s.add_argument("--dedupe", nargs="?", const="first", choices=["first", "final"],
+                           help="one copy of a title: the first to arrive, or, later, the earliest")
+            s.add_argument("--delay", default=C.DEDUPE_DELAY, help="copies no further apart than this are one")
         if name == "feed-stream":
             s.add_argument("--trigger", default=C.FEED_POLL_TRIGGER)
+            s.add_argument("--dead-letter", help="folder of broken documents (default: beside the output)")
+            s.add_argument("--totals", help="folder of the polls' counts (default: beside the output)")
             _sink_arguments(s)
         elif name != "console":
             s.add_argument("--dead-letter", help="folder of malformed messages (default: beside the output)")
@@ -159,20 +163,20 @@ def _run(spark, args) -> int:
     elif args.job == "ingest-stream":
         from .streaming.ingest import start_ingest
         qs = start_ingest(_stream(spark, args), args.out, args.checkpoint, dead_letter=args.dead_letter,
-                          available_now=args.available_now, dedupe=args.dedupe)
+                          available_now=args.available_now, dedupe=args.dedupe, delay=args.delay)
         _finish(spark, qs, args.available_now)
     elif args.job == "console":
         from .streaming.ingest import start_console
         _finish(spark, [start_console(_stream(spark, args), args.checkpoint, available_now=args.available_now)],
                 args.available_now)
     elif args.job == "feed-stream":
-        from .streaming.feeds import poll_writer, running_totals, start_feed_stream
+        from .streaming.feeds import running_totals, start_feed_stream
         from .streaming.sources import feed_stream
         docs = feed_stream(spark, args.format, args.input, _options(args.option), args.max_files_per_trigger)
-        writer = poll_writer(args.out, args.sink, _options(args.sink_option))
-        _finish(spark, [start_feed_stream(docs, args.out, args.checkpoint, args.trigger, args.available_now,
-                                          writer=writer)], args.available_now)
-        print(json.dumps(running_totals(writer.poll_totals)))
+        where = {k: getattr(args, k) or f"{args.out or args.checkpoint}_{k}" for k in ("dead_letter", "totals")}
+        _finish(spark, [start_feed_stream(docs, args.out, args.checkpoint, args.trigger, args.available_now, args.sink,
+                                          _options(args.sink_option), **where)], args.available_now)
+        print(json.dumps(running_totals(spark, where["totals"])))
     elif args.job == "backfill":
         print(json.dumps({"rows": jobs.backfill(spark, args.input, args.out)}))
     elif args.job == "export":

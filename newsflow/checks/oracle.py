@@ -459,10 +459,17 @@ ORACLE["k2_stream_csv"] = CLEAN_KEPT + "\nSELECT title, text, subject, date FROM
 ORACLE["st6_restart"] = CLEAN_KEPT + "\nSELECT count(*) AS n FROM kept"
 ORACLE["d2_stream_dedupe"] = CLEAN_KEPT + """
 SELECT title, text, article_id, subject, date FROM kept
-QUALIFY title IS NULL OR row_number() OVER (PARTITION BY title ORDER BY cast(article_id AS varchar)) = 1"""
+QUALIFY trim(coalesce(title, ''), """ + UNICODE_WS_SQL + """) = '' OR row_number() OVER (PARTITION BY title ORDER BY cast(article_id AS varchar)) = 1"""
 ORACLE["d2_stream_dedupe_csv"] = CLEAN_KEPT + """
 SELECT nullif(title, '') AS title, text, subject, date FROM kept
-QUALIFY title IS NULL OR row_number() OVER (PARTITION BY title ORDER BY cast(article_id AS varchar)) = 1"""
+QUALIFY trim(coalesce(title, ''), """ + UNICODE_WS_SQL + """) = '' OR row_number() OVER (PARTITION BY title ORDER BY cast(article_id AS varchar)) = 1"""
+# A copy is new when it comes more than an hour after the copy before it.
+ORACLE["d2_stream_sessions"] = CLEAN_KEPT + """
+SELECT title, article_id, subject FROM (
+  SELECT *, (cast(article_id AS bigint) * 37 % 11) * 45 AS minute FROM kept)
+QUALIFY trim(coalesce(title, ''), """ + UNICODE_WS_SQL + """) = ''
+     OR minute - lag(minute) OVER (PARTITION BY title ORDER BY minute, article_id) > 60
+     OR row_number() OVER (PARTITION BY title ORDER BY minute, article_id) = 1"""
 ORACLE["st3_console"] = with_ctes(ALL_ARTICLES) + "\nSELECT title, subject, date, article_id FROM all_articles"
 ORACLE["st5b_feed_stream"] = ORACLE["k10_feed_messages"]
 ORACLE["k1_stream_parquet"] = CLEAN_KEPT + "\nSELECT DISTINCT subject, date FROM kept"

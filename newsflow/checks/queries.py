@@ -557,6 +557,21 @@ def d2_stream_dedupe_csv(spark, sf_dir):
     return read_article_csv(spark, f"{out}/csv").select("title", "text", "subject", "date")
 
 
+@register("d2_stream_sessions")
+def d2_stream_sessions(spark, sf_dir):
+    """D2 by the producer's time, over two runs: later copies arrive in the second."""
+    src = scratch_path(spark, "timed_messages")
+    minute = (F.col("article_id").cast("bigint") * 37 % 11) * 45
+    arts = articles(spark, sf_dir, labelled=False).withColumn("minute", minute).withColumn(
+        "timestamp", F.date_format(F.timestamp_seconds(minute * 60 + 1709251200), "yyyy-MM-dd'T'HH:mm:ssXXX"))
+    out, ckpt = scratch_path(spark, "ingest"), scratch_path(spark, "ingest_ckpt")
+    for part, rows in enumerate(("minute < 225", "minute >= 225")):
+        to_message(arts.filter(rows), [*fixtures.MESSAGE_FIELDS, "timestamp"]).write.json(f"{src}/{part}")
+        for q in ingest.start_ingest(article_stream(spark, "json", f"{src}/*"), out, ckpt, available_now=True, dedupe=True):
+            q.awaitTermination()
+    return read_ingested(spark, f"{out}/parquet").select("title", "article_id", "subject")
+
+
 @fixtures.once("ml_model")
 def _ml_model(spark, sf_dir):
     """The fitted ML model of an input, trained once per session (the scorer

@@ -28,3 +28,5 @@ SCORE_TRIGGER = "30 seconds"
 INGEST_PARQUET_TRIGGER = "1 minute"
 INGEST_CSV_TRIGGER = "5 minutes"
 FEED_POLL_TRIGGER = "2 minutes"
+DEDUPE_DELAY = "1 hour"              # D2: copies of a title no further apart are one article
+DEDUPE_KEEP = "1 day"                # D2: how long a title is remembered that gets no more copies

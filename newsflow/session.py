@@ -8,6 +8,7 @@ Intermediate tables and streaming checkpoints go under the cluster's shared
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -71,27 +72,33 @@ def _context(spark: SparkSession):
         return None
 
 
-_SCOPES: list[list[str]] = []
+_LOCAL = threading.local()        # streams run their batches in threads of their own
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint root (see ``scratch_scope``)."""
     path = f"{checkpoint_root(spark)}/newsflow/{name}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if _scopes():
+        _scopes()[-1].append(path)
     return path
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
-    """Deletes at its end every scratch folder made inside it: the owner of a job ends it once the job's
+    """Deletes at its end every scratch folder made inside it by this thread: the owner of a job ends it once the job's
     results are written or read, as DataFrames built inside may still read these folders."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    _scopes().append(paths)
     try:
         yield
     finally:
-        _SCOPES.remove(paths)
+        _scopes().pop()
         sc = _context(spark)
         for p in paths if sc is not None else []:
             p = sc._jvm.org.apache.hadoop.fs.Path(p)

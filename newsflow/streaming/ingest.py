@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.messages import BAD_COLUMN, parse_messages
 from ..functions.text import clean_text
-from ..sinks.files import CSV_WRITE_OPTIONS, path_exists
+from ..sinks.batches import replace_batch
+from ..sinks.files import CSV_WRITE_OPTIONS
 from .control import observed_rows, start, start_dead_letter
+from .dedupe import final_copies, first_copies
 
 WRITE_SALTS = 8           # tasks that one partition value of a micro-batch is written by, at most
 INGEST_COLUMNS = ["title", "text", "subject", "date", "source", "article_id"]
@@ -54,70 +55,34 @@ def clustered_for_write(rows: DataFrame, partition_by, n: int | None = None, sal
     return rows.repartition(n, *partition_by, F.pmod(F.xxhash64("title", "text"), F.lit(salts)))
 
 
-def first_of_title(rows: DataFrame) -> DataFrame:
-    """D2 within a batch: the copy of each title with the earliest event time, then id, then content.
-
-    One aggregation: copies of a hot title are combined on the map side.
-    Untitled rows are no copies of each other and all stay.
-    """
-    columns = F.struct(*rows.columns)
-    order = F.struct("event_time", F.coalesce("article_id", F.lit("")), F.xxhash64("text", "subject", "date"))
-    titled = rows.filter("title is not null").groupBy("title").agg(F.min_by(columns, order).alias("r"))
-    return titled.select("r.*").unionByName(rows.filter("title is null"))
-
-
-def not_seen(rows: DataFrame, accepted: DataFrame, delay: str) -> DataFrame:
-    """D2 across batches: drops a title accepted earlier whose event time lies less than ``delay`` before."""
-    seen = accepted.filter("title is not null").groupBy(F.col("title").alias("seen_title")).agg(
-        F.max("event_time").alias("seen_at"))
-    return rows.join(seen, (F.col("title") == F.col("seen_title")) &
-                     (F.col("event_time") <= F.col("seen_at") + F.expr(f"interval {delay}")), "left_anti")
-
-
-def dedupe_writer(out: str, delay: str = "1 hour"):
-    """``foreachBatch`` function that decides once per batch which rows are new and feeds both sinks.
-
-    The accepted rows of each batch are written under their ``batch_id`` (dynamic
-    overwrite, so a replayed batch replaces itself); the Parquet and the CSV sink
-    are written from there, and later batches compare with the accepted rows of
-    earlier ones whose event time is recent enough.
-    """
+def write_both(out: str):
+    """``foreachBatch`` function that commits each batch as a whole to the Parquet sink, and from there to the
+    CSV sink, so both hold the same rows."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        accepted = f"{out}/accepted"
-        # read with a schema: earlier batches may have left no file yet
-        schema = T.StructType(batch.schema.fields + [T.StructField("batch_id", T.IntegerType())])
-        rows = first_of_title(batch)
-        if path_exists(spark, accepted):
-            first = batch.agg(F.min("event_time").alias("t"))
-            earlier = spark.read.schema(schema).parquet(accepted).filter(F.col("batch_id") < batch_id).select("title", "event_time")
-            recent = earlier.join(first, F.col("event_time") >= F.col("t") - F.expr(f"interval {delay}"), "left_semi")
-            rows = not_seen(rows, recent, delay)
-        overwrite = {"partitionOverwriteMode": "dynamic"}
-        rows.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite").options(**overwrite).partitionBy(
-            "batch_id").parquet(accepted)
-        new = spark.read.schema(schema).parquet(accepted).filter(F.col("batch_id") == batch_id)
-        clustered_for_write(new.drop("event_time"), ("subject", "date")).write.mode("overwrite").options(
-            **overwrite).partitionBy("batch_id", "subject", "date").parquet(f"{out}/parquet")
-        new.select("title", "text", "subject", "date", "batch_id").write.mode("overwrite").options(
-            **CSV_WRITE_OPTIONS, **overwrite).partitionBy("batch_id").csv(f"{out}/csv")
+        rows = clustered_for_write(batch, ("subject", "date"))
+        written = replace_batch(rows, f"{out}/parquet", batch_id, partition_by=("subject", "date"))
+        back = batch.sparkSession.read.schema(batch.schema).parquet(written)
+        replace_batch(back.select("title", "text", "subject", "date"), f"{out}/csv", batch_id, "csv",
+                      options=CSV_WRITE_OPTIONS)
 
     return write_batch
 
 
 def start_ingest(stream: DataFrame, out: str, checkpoint: str, parquet_trigger=C.INGEST_PARQUET_TRIGGER,
                  csv_trigger=C.INGEST_CSV_TRIGGER, dead_letter: str | None = None,
-                 available_now: bool = False, dedupe: bool = False):
+                 available_now: bool = False, dedupe: bool | str | None = False, delay: str = C.DEDUPE_DELAY):
     """Starts the ingest queries; malformed messages always go to a dead letter (``out``/dead_letter unless named).
 
     Without ``dedupe``: the Parquet, the CSV and the dead-letter query, in that
-    order.  With it: one query that feeds both sinks (D2), and the dead letter.
+    order.  With it (``first`` or ``final``, see ``streaming.dedupe``; True is ``first``): one
+    query that feeds both sinks (D2), and the dead letter.
     """
     parsed = parsed_stream(stream)
-    rows = observed_rows(ingest_frame(parsed, with_event_time=dedupe))
+    rows = observed_rows(ingest_frame(parsed, with_event_time=bool(dedupe)))
     if dedupe:
-        queries = [start(rows.writeStream.foreachBatch(dedupe_writer(out)), f"{checkpoint}/deduped", parquet_trigger,
-                         available_now)]
+        copies = final_copies(rows, delay) if dedupe == "final" else first_copies(rows, delay)
+        queries = [start(copies.writeStream.outputMode("append").foreachBatch(write_both(out)), f"{checkpoint}/deduped",
+                         parquet_trigger, available_now)]
     else:
         pq = start(clustered_for_write(rows, ("subject", "date")).writeStream.format("parquet")
                    .partitionBy("subject", "date").outputMode("append").option("path", f"{out}/parquet"),

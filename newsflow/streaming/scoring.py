@@ -5,9 +5,8 @@ DataFrame (row-local, no shuffle) into the Parquet file sink partitioned by
 ``prediction_label``: exactly-once through the sink's commit log, one
 computation per micro-batch.
 
-``foreachBatch`` variant: each batch is written under its own ``batch_id``
-partition with dynamic partition overwrite, so a replayed batch replaces its
-own output instead of appending it twice.
+``foreachBatch`` variant: each batch is committed as a whole under its own
+``batch_id`` folder, so a replay leaves exactly the last attempt's rows.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from .. import config as C
 from ..functions.messages import BAD_COLUMN, parse_messages
 from ..functions.text import preprocessed_content
 from ..operators.classifier import score
+from ..sinks.batches import clear_batch, replace_batch
 from .control import observed_batch, start, start_dead_letter
 
 PREDICTION_COLUMNS = ["title", "text", "subject", "date", "prob_fake", "prob_true", "processed_at",
@@ -50,31 +50,30 @@ def start_scoring(model: PipelineModel, stream: DataFrame, out: str, checkpoint:
 
 
 def batch_writer(model: PipelineModel, out: str, dead_letter: str | None = None):
-    """ST4: ``foreachBatch`` function writing one ``batch_id`` partition per batch.
+    """ST4: ``foreachBatch`` function that commits one ``batch_id`` folder per batch and output.
 
-    Idempotent per ``batch_id`` (dynamic partition overwrite); empty batches are
-    skipped (X6).  Predictions go to ``out``, malformed messages to the dead letter
-    (``out`` + ``_dead_letter`` unless named), and one row of counts (G6: batch_id,
-    good, bad, fake) to ``out`` + ``_metrics``, taken from what was written.
+    Predictions go to ``out``, malformed messages to the dead letter (``out`` +
+    ``_dead_letter`` unless named), and one row of counts (G6: good, bad, fake) to ``out``
+    + ``_metrics``, taken from what was written.  A batch without messages writes nothing
+    (X6) and clears what an earlier attempt of it wrote.
     """
-    def write(df: DataFrame, path: str, *by: str) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *by).parquet(path)
+    bad_path, metrics = dead_letter or f"{out}_dead_letter", f"{out}_metrics"
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
         if batch_df.isEmpty():
+            for path in (out, bad_path, metrics):
+                clear_batch(spark, path, batch_id)
             return
-        spark, number = batch_df.sparkSession, F.lit(int(batch_id)).alias("batch_id")
-        bad_path = dead_letter or f"{out}_dead_letter"
-        pred = predictions(model, scorable(batch_df)).select("*", number)
-        write(pred, out, "prediction_label")
-        write(batch_df.filter(F.col(BAD_COLUMN)).select("raw_value", F.current_timestamp().alias("received_at"), number),
-              bad_path)
-        good = spark.read.schema(pred.schema).parquet(out).filter(F.col("batch_id") == batch_id).agg(
+        pred = predictions(model, scorable(batch_df))
+        written = replace_batch(pred, out, batch_id, partition_by=("prediction_label",))
+        bad = batch_df.filter(F.col(BAD_COLUMN)).select("raw_value", F.current_timestamp().alias("received_at"))
+        bad_written = replace_batch(bad, bad_path, batch_id)
+        good = spark.read.schema(pred.schema).parquet(written).agg(
             F.count(F.lit(1)).alias("good"),
             F.count_if(F.col("prediction_label") == C.LABEL_FAKE).alias("fake"))
-        bad = spark.read.schema("raw_value string, received_at timestamp, batch_id int").parquet(bad_path).filter(
-            F.col("batch_id") == batch_id).agg(F.count(F.lit(1)).alias("bad"))
-        write(good.crossJoin(bad).select("good", "bad", "fake", number), f"{out}_metrics")    # one row each
+        bad = spark.read.schema(bad.schema).parquet(bad_written).agg(F.count(F.lit(1)).alias("bad"))
+        replace_batch(good.crossJoin(bad).select("good", "bad", "fake"), metrics, batch_id)    # one row each
     return write_batch
 
 

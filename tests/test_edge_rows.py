@@ -246,3 +246,86 @@ def test_strip_is_linear_on_long_inner_whitespace(spark):
     out = df.select(unicode_strip("s").alias("u"), clean_html("s").alias("h")).first()
     assert time.time() - t < 60
     assert out["u"] == s.strip() and out["h"] == s.strip()
+
+
+def _titles(spark, *xml):
+    docs = spark.createDataFrame([("s", i, f"u{i}", x, None) for i, x in enumerate(xml)], FEED_SCHEMA)
+    return {(r.feed_pos, r.pos): (r.title, r.summary, r.published) for r in feeds.feed_entries(docs).collect()}, {
+        r.feed_pos: (r.error, r.recovered, r.rest) for r in feeds.feed_errors(docs).collect()}
+
+
+def test_names_of_other_namespaces_are_other_names(spark):
+    """media, itunes and atom elements before or after the entry's own; full text where there is no summary."""
+    other = ("<media:title>photo</media:title><media:description>caption</media:description><itunes:title>ep</itunes:title>"
+             "<atom:title>x</atom:title><media:group><media:title>y</media:title></media:group>")
+    own = "<title>T</title><description>a real summary</description><pubDate>D</pubDate>"
+    rss = ('<rss xmlns:media="m" xmlns:itunes="i" xmlns:atom="http://www.w3.org/2005/Atom" '
+           'xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>c</title><atom:title>no</atom:title>'
+           f"<item>{other}{own}</item><item>{own}{other}</item>"
+           "<item><title>F</title><content:encoded><![CDATA[<p>full & text</p>]]></content:encoded></item>"
+           "<item><title>B</title><description> </description><content:encoded>full</content:encoded></item>"
+           "<item><title>I</title><itunes:summary>spoken</itunes:summary></item>"
+           "<item><title>N</title><media:description>caption</media:description></item></channel></rss>")
+    got, errors = _titles(spark, rss)
+    assert got[0, 0] == got[0, 1] == ("T", "a real summary", "D")
+    assert got[0, 2][:2] == ("F", "<p>full & text</p>") and got[0, 3][:2] == ("B", "full")
+    assert got[0, 4][:2] == ("I", "spoken") and got[0, 5][:2] == ("N", None) and errors == {}
+
+
+def test_prefixes_are_those_that_the_document_declares(spark):
+    atom = ('<a.b:feed xmlns:a.b="http://www.w3.org/2005/Atom" xmlns:media="m"><a.b:entry><media:title>no</media:title>'
+            "<a.b:title>T</a.b:title><a.b:summary>S</a.b:summary><a.b:published>P</a.b:published></a.b:entry></a.b:feed>")
+    rdf = ('<r:RDF xmlns:r="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:rss="http://purl.org/rss/1.0/" '
+           "xmlns:d='http://purl.org/dc/elements/1.1/'><rss:channel><rss:title>c</rss:title></rss:channel>"
+           "<rss:item><rss:title>T</rss:title><rss:description>S</rss:description><d:date>P</d:date></rss:item></r:RDF>")
+    dc = ('<rss xmlns:when="http://purl.org/dc/elements/1.1/" xmlns:c="http://purl.org/rss/1.0/modules/content/"><channel>'
+          "<item><title>T</title><c:encoded>S</c:encoded><when:date>P</when:date></item></channel></rss>")
+    old = ('<feed xmlns="http://purl.org/atom/ns#"><entry><title>T</title><content>S</content><issued>P</issued></entry></feed>')
+    got, errors = _titles(spark, atom, rdf, dc, old)
+    assert got == {(i, 0): ("T", "S", "P") for i in range(4)} and errors == {}
+
+
+def test_text_constructs_of_atom(spark):
+    """Atom: escaped, XHTML and CDATA content all give the same visible text."""
+    from newsflow.functions.html import clean_html
+    bodies = ['<content type="html">&lt;p&gt;one &lt;b&gt;two&lt;/b&gt;&lt;/p&gt;</content>',
+              '<content type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml"><p>one <b>two</b></p></div></content>',
+              "<content><![CDATA[<p>one <b>two</b></p>]]></content>"]
+    xml = "<feed>" + "".join(f"<entry><title>t</title>{b}</entry>" for b in bodies) + "</feed>"
+    docs = spark.createDataFrame([("s", 0, "u", xml, None)], FEED_SCHEMA)
+    got = feeds.feed_entries(docs).select(clean_html("summary").alias("t")).distinct().collect()
+    assert [r.t for r in got] == ["one two"]
+
+
+def test_broken_documents_keep_their_complete_entries(spark):
+    """entries before, between and after what is broken; the rest is kept for the dead letter."""
+    def item(t):
+        return f"<item><title>{t}</title></item>"
+
+    cut = f"<rss><channel>{item('a')}{item('b')}<item><title>c"
+    inner = f"<rss><channel>{item('a')}<item><title>b<x></title></item>{item('c')}</channel></rss>"
+    entity = f"<rss><channel>{item('a&nbsp;b')}{item('AT&T &amp; x')}</channel></rss>"
+    open_ = f"<rss><channel><item><title>lost{item('b')}</channel></rss>"
+    cdata = "<rss><channel><item><title><![CDATA[</item> & <i>]]></title></item><item><title>x"
+    comment = f"<rss><channel><!-- {item('no')} -->{item('a')}<oops></channel></rss>"
+    never = "<rss><channel><item><title>x</title><description><![CDATA[ " + "y" * 100_000
+    control = f"<rss><channel>{item('a' + chr(1))}</channel></rss>"
+    upper = "<feed><entry a='1'><title>e</title></entry ><entry>"
+    got, errors = _titles(spark, cut, inner, entity, open_, cdata, comment, never, control, upper)
+    by_doc = {}
+    for (doc, _), (title, _, _) in sorted(got.items()):
+        by_doc.setdefault(doc, []).append(title)
+    assert by_doc == {0: ["a", "b"], 1: ["a", "c"], 2: ["a&nbsp;b", "AT&T & x"], 3: ["b"], 4: ["</item> & <i>"], 5: ["a"],
+                      7: ["a"], 8: ["e"]}
+    assert {d: (e[0], e[1]) for d, e in errors.items()} == {d: ("broken", len(by_doc.get(d, []))) for d in range(9)}
+    assert errors[0][2] == "<rss><channel><item><title>c" and "<item><title>b<x></title></item>" in errors[1][2]
+    assert "lost" in errors[3][2] and errors[6][2] == never
+
+
+def test_long_broken_documents_take_linear_time(spark):
+    import time
+    many = "<rss><channel>" + "<item><title>x" * 60_000
+    half = "<rss><channel>" + "<item><title>x</title></item>" * 20_000 + "<![CDATA[" * 20_000
+    start = time.monotonic()
+    got, errors = _titles(spark, many, half)
+    assert len(got) == 20_000 and len(errors) == 2 and time.monotonic() - start < 60

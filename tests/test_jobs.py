@@ -176,20 +176,158 @@ def test_score_batch_counts_what_it_cannot_score(spark):
 
 
 def test_poll_totals_and_formats(spark):
+    """ST5b: totals come from the polls' own table, so a new process (or a replay) counts the same."""
     from newsflow.sources.tables import feed_documents
     from newsflow.streaming.feeds import poll_writer, running_totals
     docs = feed_documents(spark, SF)
     out = scratch_path(spark, "polls")
+    assert running_totals(spark, f"{out}_totals")["polls"] == 0
     write = poll_writer(out, "parquet")
     write(docs, 0)
     write(docs.limit(0), 1)
     write(docs, 2)
     n = spark.read.parquet(out).filter("batch_id = 0").count()
-    totals = running_totals(write.poll_totals)
+    totals = running_totals(spark, f"{out}_totals")
     assert totals["polls"] == 2 and totals["messages"] == 2 * n and 0 < totals["guessed_dates"] < totals["messages"]
+    assert totals["documents"] == 2 * docs.count() and totals["broken"] == 2 * docs.filter("url like '%-broken.xml'").count()
     # a poll replayed later gives the same messages
     a, b = (spark.read.parquet(out).filter(f"batch_id = {i}").drop("batch_id") for i in (0, 2))
     assert a.exceptAll(b).count() == 0
+    # after a restart: the same batch again, by a new writer, and another without documents
+    again = poll_writer(out, "parquet")
+    again(docs, 2)
+    assert running_totals(spark, f"{out}_totals") == totals
+    again(docs.limit(0), 2)
+    assert running_totals(spark, f"{out}_totals")["polls"] == 1
+    assert spark.read.parquet(out).filter("batch_id = 2").count() == 0
+
+
+def test_poller_keeps_broken_documents(spark):
+    """entries before the break become messages; the rest of the document is in the dead letter."""
+    from newsflow.schema import FEED_DOCUMENT_SCHEMA
+    from newsflow.streaming.feeds import poll_writer
+    whole = "".join(f"<item><title>t{i}</title><description>{'word ' * 10}</description></item>" for i in range(3))
+    rows = [("s", 0, "u0", f"<rss><channel>{whole}<item><title>cut", None), ("s", 1, "u1", None, None),
+            ("s", 2, "u2", "<html/>", None), ("s", 3, "u3", "<rss><channel/></rss>", None)]
+    out = scratch_path(spark, "broken_polls")
+    poll_writer(out)(spark.createDataFrame(rows, FEED_DOCUMENT_SCHEMA), 5)
+    assert sorted(r.key for r in spark.read.json(f"{out}/batch_id=5").collect()) == ["t0", "t1", "t2"]
+    dead = {r.url: (r.error, r.recovered, r.rest) for r in spark.read.parquet(f"{out}_dead_letter").collect()}
+    assert dead == {"u0": ("broken", 3, "<rss><channel><item><title>cut"), "u1": ("missing", 0, None),
+                    "u2": ("no feed", 0, "<html/>")}
+
+
+def test_a_replay_leaves_the_last_attempt_only(spark):
+    """ST4: other labels, other partitions or no rows at all in the second attempt."""
+    from newsflow.sinks.batches import STAGED, clear_batch, replace_batch
+    from newsflow.sinks.files import path_exists
+    out = scratch_path(spark, "replaced")
+    first = spark.createDataFrame([(1, "FAKE"), (2, "TRUE")], "id int, label string")
+    replace_batch(first, out, 3, partition_by=("label",))
+    replace_batch(first, out, 4, partition_by=("label",))
+    replace_batch(first.filter("id = 2").withColumn("label", F.lit("FAKE")), out, 3, partition_by=("label",))
+    rows = spark.read.schema("id int, label string, batch_id int").parquet(out)
+    assert sorted((r.batch_id, r.id, r.label) for r in rows.collect()) == [(3, 2, "FAKE"), (4, 1, "FAKE"), (4, 2, "TRUE")]
+    replace_batch(first.limit(0), out, 4, partition_by=("label",))
+    assert spark.read.schema(rows.schema).parquet(out).count() == 1
+    # what a crashed attempt left staged is not read, and goes with the next one
+    first.write.parquet(f"{out}/{STAGED}/3-crashed")
+    assert spark.read.schema(rows.schema).parquet(out).count() == 1
+    clear_batch(spark, out, 3)
+    assert not path_exists(spark, f"{out}/{STAGED}/3-crashed") and not path_exists(spark, f"{out}/batch_id=3")
+
+
+def test_scored_batch_replayed_with_another_model(spark):
+    """ST4: the replay's labels replace the first attempt's, also where a label has no rows any more."""
+    from newsflow.checks.queries import _ml_model
+    from newsflow.functions.messages import parse_messages
+    from newsflow.operators import classifier
+    from newsflow.plans.relational import prepared_articles
+    out = scratch_path(spark, "remodelled")
+    msgs = spark.read.schema("key string, value string").json(fixtures.landed_messages(spark, SF))
+    parsed = parse_messages(msgs, flag_bad=True)
+    scoring.batch_writer(_ml_model(spark, SF), out)(parsed, 0)
+    prep = prepared_articles(spark, SF, 4).filter("label is not null")
+    other = classifier.fit(prep.withColumn("label", 1.0 - F.col("label")))
+    scoring.batch_writer(other, out)(parsed, 0)
+    got, want = (df.groupBy("prediction_label").count().collect() for df in (
+        spark.read.parquet(out), scoring.predictions(other, scoring.scorable(parsed))))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert spark.read.parquet(out).count() == msgs.count()
+    scoring.batch_writer(other, out)(parsed.limit(0), 0)
+    assert spark.read.schema("title string, batch_id int").parquet(f"{out}_metrics").count() == 0
+
+
+def _dedupe_runs(spark, mode, batches):
+    import json as _json
+    src, out, ckpt = (scratch_path(spark, n) for n in ("borders_src", "borders_out", "borders_ckpt"))
+    for k, rows in enumerate(batches):
+        vals = [(None, _json.dumps({"title": t, "text": "word " * 40 + i, "subject": "s", "date": "d", "article_id": i,
+                                    "timestamp": f"2024-03-01T{at}:00"})) for t, i, at in rows]
+        spark.createDataFrame(vals, "key string, value string").write.json(f"{src}/{k}")
+        for q in ingest.start_ingest(article_stream(spark, "json", src + "/*"), out, ckpt, available_now=True, dedupe=mode):
+            q.awaitTermination()
+    schema = "title string, article_id string, subject string, date string"
+    return sorted(r.article_id for r in spark.read.schema(schema).parquet(f"{out}/parquet").collect())
+
+
+def test_stream_dedupe_is_the_same_for_all_batch_borders(spark):
+    """Copies five hours apart are two articles in one batch, in two and in reverse; near ones are one."""
+    early = [("A", "a0", "01:00"), ("A", "a1", "01:30"), ("A", "a2", "02:20"), (None, "n", "01:00"), (None, "n", "01:00"),
+             (" ", "b", "01:00"), (" ", "b2", "01:00")]
+    late = [("A", "a3", "07:00"), ("B", "b0", "07:10"), (None, "n2", "07:00")]
+    want = ["a0", "a3", "b", "b0", "b2", "n", "n", "n2"]
+    for batches in ([early + late], [early, late], [late, early], [early[:1] + late, early[1:]]):
+        assert _dedupe_runs(spark, "first", batches) == want
+
+
+def test_final_copies_don_t_depend_on_order_within_the_watermark(spark):
+    """D2, final: the earliest copy of each session comes out once the watermark has passed it."""
+    a = [("A", "a1", "05:30"), ("B", "b0", "05:40"), (None, "n", "05:40")]
+    b = [("A", "a0", "05:10"), ("A", "a2", "06:20"), ("B", "b1", "05:20")]
+    beat = [("beat", "beat", "23:00")]
+    for batches in ([a + b + beat], [a, b, beat], [b, a, beat]):
+        assert _dedupe_runs(spark, "final", batches) == ["a0", "b1", "n"]
+
+
+def test_hot_title_is_combined_before_the_state():
+    """A task passes on one row per session of a title's copies, whatever their number."""
+    import pandas as pd
+    from newsflow.streaming.dedupe import _combined
+    rows = pd.DataFrame({"key": ["tA"] * 1000 + ["u1"] * 3, "at": [i * 10 for i in range(1000)] + [5] * 3,
+                         "article_id": [str(i) for i in range(1003)], "tie": 0})
+    (got,) = _combined(60)(iter([rows.sample(frac=1, random_state=1)]))
+    assert got[["key", "at", "until"]].values.tolist() == [["tA", 0, 9990]] + [["u1", 5, 5]] * 3
+
+
+def test_state_of_old_titles_goes():
+    """Sessions that ended long before the newest leave the state; a timed-out title leaves it whole."""
+    import pandas as pd
+    from newsflow.streaming.dedupe import _decide
+
+    class State:
+        exists, hasTimedOut, get, timeout = False, False, None, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def setTimeoutTimestamp(self, at):
+            self.timeout = at
+
+        def remove(self):
+            self.exists = False
+
+    state, decide = State(), _decide(60, 1000, ["article_id"])
+
+    def send(*at):
+        rows = pd.DataFrame({"at": at, "until": at, "article_id": [str(x) for x in at], "tie": 0, "arrived": 7})
+        return [i for df in decide(("tA",), iter([rows]), state) for i in df["article_id"]]
+
+    assert send(0, 50, 200) == ["0", "200"] and state.get == ([0, 200], [50, 200]) and state.timeout == 8
+    assert send(100) == [] and send(1150) == ["1150"] and state.get == ([200, 1150], [200, 1150]) or state.get
+    assert send(5000) == ["5000"] and state.get == ([5000], [5000])
+    state.hasTimedOut = True
+    assert send(1) == [] and not state.exists
 
 
 def test_untitled_rows_and_equal_sinks_of_a_deduped_stream(spark):
