@@ -353,6 +353,7 @@ FROM ml_predictions WHERE cast(article_id AS bigint) % 10 NOT IN (3, 5, 7, 9)"""
 
 # --- CSV / Parquet ---------------------------------------------------------------
 ORACLE["s1_csv_roundtrip"] = with_ctes(ARTICLES) + "\nSELECT title, text, subject, date, label FROM articles"
+ORACLE["s1_split_csv"] = with_ctes(ALL_ARTICLES) + "\nSELECT title, text, subject, date FROM all_articles"
 ORACLE["k11_land_training"] = ORACLE["s1_csv_roundtrip"]
 ORACLE["u1_labelled_union"] = with_ctes(ARTICLES) + """
 SELECT label, count(*) AS count FROM articles GROUP BY label"""

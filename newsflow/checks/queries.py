@@ -320,6 +320,11 @@ def s1_csv_roundtrip(spark, sf_dir):
     return jobs.labelled_articles(spark, fake, true)
 
 
+@register("s1_split_csv")
+def s1_split_csv(spark, sf_dir):
+    return read_article_csv(spark, fixtures.article_csv(spark, sf_dir), split=True)
+
+
 @register("u1_labelled_union")
 def u1_labelled_union(spark, sf_dir):
     fake, true = fixtures.training_csvs(spark, sf_dir)

@@ -8,19 +8,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import INGESTED_SCHEMA, PREDICTION_SCHEMA, TRAINING_CSV_SCHEMA
+from .split_csv import read_split_csv
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
-def read_article_csv(spark: SparkSession, path: str, schema: T.StructType = TRAINING_CSV_SCHEMA) -> DataFrame:
+def read_article_csv(spark: SparkSession, path: str, schema: T.StructType = TRAINING_CSV_SCHEMA,
+                     split: bool | None = None) -> DataFrame:
     """Header CSV with quoted multi-line fields, explicit string schema.
 
-    A multi-line CSV file is not splittable: parallelism comes from many
-    files, which is how every sink in this package writes CSV.
+    Spark's reader gives a multi-line file to one task.  With ``split``, files are read
+    split by split (``split_csv``: the text is read twice, the rows are the same); by default
+    they are if one is larger than a split.
     """
+    if split is None:
+        split = _has_larger_file(spark, path, _split_bytes(spark))
+    if split:
+        return read_split_csv(spark, path, schema, CSV_OPTIONS)
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
+def _has_larger_file(spark: SparkSession, path: str, size: int) -> bool:
+    """Whether a file below ``path`` is larger; the listing is walked, not kept, and left at the first."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True)
+    while files.hasNext():
+        if files.next().getLen() > size:
+            return True
+    return False
+
+
 def read_predictions(spark: SparkSession, path: str, schema: T.StructType = PREDICTION_SCHEMA) -> DataFrame:
     """S3: prediction dataset partitioned by ``prediction_label``.
 
