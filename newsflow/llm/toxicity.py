@@ -1,22 +1,27 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five transducers read the words of a clause: insult, threat, target, negation
-and reported speech.  Their composition walks each clause once; its state says
-whether a target, a negation or a report is in force, and every insult or
-threat word it reads emits its weight on the arc of that state (plain, at a
-target, negated, reported, threat).  A threat word emits near a target, before
-or after it, unless negated or reported.  A document's score is a logistic function
-of what its matched clauses emit on each arc.
-
-Threat, target, negation and report words are short fixed lists.  Insult words
-and word beginnings, their weights and the arc weights are learned from labelled
-rows outside the held-out fold: at most ``MAX_TRAIN`` of them in expectation,
-chosen by a hash, and at most ``MAX_TERMS`` lexicon entries, the most telling.
-Neither labels nor ``lang``, ``source`` or ``doc_id`` enter a score.
+Five transducers read the words of a clause in cascade: report, negation, target,
+threat and insult.  Each has a small state (how many more words a mark stays in
+force) and hands it to the next; their composition is one machine whose states and
+arcs are tabulated as they are met.  It walks a text once, its state carried over the
+parts that long texts are read in.  An insult word emits its weight on the arc of
+the state it meets (plain, at a target, negated, reported); a threat word
+emits on the threat arc near a target, before or after it, unless negated or
+reported.  A document's score is a logistic function of what its clauses emit on
+each arc.
+
+Target, negation and report words and the stems of threat words are short fixed lists;
+threat words may be inflected.  Insult words and word beginnings and their weights are
+learned from labelled rows outside the held-out fold: at most ``MAX_TRAIN`` of them in
+expectation, chosen by a hash, and at most ``MAX_TERMS`` lexicon entries, the most
+telling.  Arc weights are fitted under the grammar's order: negated < reported <
+plain < at a target, each by a least step, and threats by a prior where the labels
+show none, so labels can't turn the meaning of a clause around.  Neither labels nor
+``lang``, ``source`` or ``doc_id`` enter a score.
 
 Null and empty texts emit nothing and get the score of a document without
-matches.  Without labels (or without toxic ones) the lexicon is empty and every
-score is the base rate.  Rows are scored one by one, so repeated rows stay.  A
+matches.  Without labels (or without toxic ones) the lexicon is empty, and texts
+without a threat get the base rate.  Rows are scored one by one, so repeated rows stay.  A
 null ``doc_id`` is not held out.
 """
 
@@ -53,13 +58,24 @@ TARGETS = frozenset("you your yours he she they them him her these those people
 NEGATIONS = frozenset("not no never don't isn't aren't wasn't nicht kein keine nie pas jamais aucun ne nunca jamás".split())
 REPORTS = frozenset("said says reported according quoted wrote called alleged sagte laut zitierte schrieb selon "
                     "rapporté cité dijo según citó".split())
-THREATS = frozenset("kill hurt destroy burn shoot stab töten verbrennen erschießen sterben tuer brûler mourir "
-                    "matar quemar morir".split())
+THREAT_STEMS = frozenset("kill murder strangl shoot stab burn hurt destroy behead slaughter poison drown töt erschieß ermord "
+                         "erschlag erwürg erstech verbrenn vergift tuer étrangl égorg brûl assassin poignard empoisonn matar "
+                         "asesin estrangul quemar degoll apuñal envenen".split())
+THREAT_FORMS = frozenset("shot erschossen erstochen sterben mourir mourras morir morirás muere tue tuez tué mato mata "
+                         "maten quemo quema".split())
+THREAT_ENDINGS = frozenset("e s es d ed er ers ing ting bing bed ning t te ten st en et est é ée és ées ez ai as a ons ont "
+                           "erai eras era ent ar o an aré arás ará é ás á emos án ado ada le les n".split()) | {""}
+
+THREAT_STARTS = frozenset(s[:3] for s in THREAT_STEMS)
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;\n]")
 ENDS = frozenset(".!?;\n")
 ARCS = ("plain", "target", "negated", "reported", "threat")
 MEASURES = (*ARCS, "words")     # what each arc emits, and how many words the clauses have
+KNOWN_WORDS = 200_000           # words whose symbol a task remembers
+
+# Symbols that the machine reads.  A word has one mark at most (the first that fits), and may be an insult too.
+INSULT, TARGET, NEGATION, REPORT, THREAT, END = 1, 2, 4, 8, 16, 32
 
 
 def pieces(text: str | None) -> Iterator[str]:
@@ -87,40 +103,138 @@ def weight_of(word: str, lexicon: dict) -> float:
     return 0.0
 
 
-def arcs(text: str | None, lexicon: dict) -> list[float]:
-    """``MEASURES`` of a whole text: the weight its clauses emit on each arc, and its number of words."""
-    out = [0.0] * len(MEASURES)
-    for piece in pieces(text):
-        words = WORD.findall(piece)
-        out[-1] += len(words)
-        known = {w: x for w in set(words) if (x := weight_of(w, lexicon))}
-        marked = THREATS.intersection(words)
-        if not known and not marked:
-            continue
-        target = negated = reported = threat = denied = 0     # words for which each state stays in force
-        for w in words:
-            if w in ENDS:
-                target = negated = reported = threat = denied = 0
-                continue
-            target, negated, threat = max(0, target - 1), max(0, negated - 1), max(0, threat - 1)
-            if w in TARGETS:
-                target, denied = SCOPE, negated            # a negation before the target holds with it
-                if threat and not negated and not reported:
-                    out[4] += 1.0
-                    threat = 0
-            elif w in NEGATIONS:
-                negated = SCOPE
-            elif w in REPORTS:
-                reported = 1                          # until the clause ends
-            elif w in marked:
-                threat = SCOPE
-                if target and not negated and not denied and not reported:     # te voy a matar, ich werde dich töten
+def is_threat(word: str) -> bool:
+    """A threat word in one of its forms."""
+    return word in THREAT_FORMS or word[:3] in THREAT_STARTS and any(
+        word[:n] in THREAT_STEMS and word[n:] in THREAT_ENDINGS for n in range(3, len(word) + 1))
+
+
+def mark_of(word: str) -> int:
+    if word in ENDS:
+        return END
+    for words, mark in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
+        if word in words:
+            return mark
+    return THREAT if is_threat(word) else 0
+
+
+# The transducers: (state, symbol, what the earlier ones of the cascade say) -> (state, output).
+
+def read_report(state: int, symbol: int, said: dict) -> tuple[int, int]:
+    """In force until the clause ends."""
+    state = 0 if symbol & END else 1 if symbol & REPORT else state
+    return state, state
+
+
+def read_negation(state: int, symbol: int, said: dict) -> tuple[int, int]:
+    state = 0 if symbol & END else SCOPE if symbol & NEGATION else max(0, state - 1)
+    return state, state
+
+
+def read_target(state: tuple, symbol: int, said: dict) -> tuple[tuple, tuple]:
+    """How long the target stays in force, and whether a negation before it holds with it."""
+    left, denied = state
+    state = (0, 0) if symbol & END else (SCOPE, int(said["negation"] > 0)) if symbol & TARGET else (max(0, left - 1), denied)
+    return state, state
+
+
+def read_threat(state: int, symbol: int, said: dict) -> tuple[int, bool]:
+    """A threat word waits for a target; it counts when both are there, in either order."""
+    if symbol & END:
+        return 0, False
+    state = max(0, state - 1)
+    left, denied = said["target"]
+    free = not said["negation"] and not said["report"]
+    if symbol & TARGET and state and free:
+        return 0, True
+    if symbol & THREAT:
+        return (0, True) if left and free and not denied else (SCOPE, False)
+    return state, False
+
+
+def read_insult(state: int, symbol: int, said: dict) -> tuple[int, int | None]:
+    if not symbol & INSULT:
+        return 0, None
+    return 0, ARCS.index("reported" if said["report"] else "negated" if said["negation"] else
+                         "target" if said["target"][0] else "plain")
+
+
+CASCADE = (("report", read_report, 0), ("negation", read_negation, 0), ("target", read_target, (0, 0)),
+           ("threat", read_threat, 0), ("insult", read_insult, 0))
+
+
+class Machine:
+    """The composition of the cascade: numbered states, arcs tabulated when they are first taken."""
+
+    def __init__(self):
+        self.states: list[tuple] = [tuple(start for _, _, start in CASCADE)]
+        self.number = {self.states[0]: 0}
+        self.arcs: dict[int, tuple[int, int | None, bool]] = {}
+
+    def arc(self, state: int, symbol: int) -> tuple[int, int | None, bool]:
+        """Next state, the arc that an insult emits on (or None), whether a threat is complete."""
+        key = state << 6 | symbol
+        found = self.arcs.get(key)
+        if found is None:
+            said: dict = {}
+            after = []
+            for (name, step, _), own in zip(CASCADE, self.states[state]):
+                own, said[name] = step(own, symbol, said)
+                after.append(own)
+            to = self.number.setdefault(tuple(after), len(self.states))
+            if to == len(self.states):
+                self.states.append(tuple(after))
+            found = self.arcs[key] = (to, said["insult"], said["threat"])
+        return found
+
+
+class Reader:
+    """Walks texts with the machine and a lexicon."""
+
+    def __init__(self, lexicon: dict):
+        self.lexicon, self.machine = lexicon, Machine()
+        self.symbols: dict[str, tuple[int, float] | None] = {}
+
+    def learn(self, words: set[str]) -> None:
+        """Symbol and weight of each word; None for those that the machine doesn't read."""
+        if len(self.symbols) + len(words) > KNOWN_WORDS:
+            self.symbols.clear()
+        for word in [w for w in words if w not in self.symbols]:
+            mark = mark_of(word)
+            weight = 0.0 if mark & END else weight_of(word, self.lexicon)
+            self.symbols[word] = (mark | (INSULT if weight else 0), weight) if mark or weight else None
+
+    def measures(self, text: str | None) -> list[float]:
+        """``MEASURES`` of a whole text: the weight its clauses emit on each arc, and its number of words."""
+        out = [0.0] * len(MEASURES)
+        arc, state = self.machine.arc, 0
+        for piece in pieces(text):
+            words = WORD.findall(piece)
+            out[-1] += len(words)
+            self.learn(set(words))
+            at = -1
+            for i, read in enumerate(map(self.symbols.__getitem__, words)):
+                if read is None:
+                    continue
+                symbol, weight = read
+                if state:                                  # words between: after ``SCOPE`` of them nothing changes
+                    for _ in range(min(i - at - 1, SCOPE + 1)):
+                        state = arc(state, 0)[0]
+                at = i
+                if not state and symbol == END:
+                    continue
+                state, insult, threat = arc(state, symbol)
+                if insult is not None:
+                    out[insult] += weight
+                if threat:
                     out[4] += 1.0
-                    threat = 0
-            x = known.get(w)
-            if x:
-                out[3 if reported else 2 if negated else 1 if target else 0] += x
-    return out
+            for _ in range(min(len(words) - at - 1, SCOPE + 1) if state else 0):
+                state = arc(state, 0)[0]
+        return out
+
+
+def arcs(text: str | None, lexicon: dict) -> list[float]:
+    return Reader(lexicon).measures(text)
 
 
 def features(measured: np.ndarray) -> np.ndarray:
@@ -175,7 +289,9 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _reached(lexicon: dict):
-    return F.pandas_udf(lambda texts: pd.Series([sum(arcs(t, lexicon)[:-1]) >= REACHED for t in texts], dtype=bool), "boolean")
+    reader = Reader(lexicon)
+    return F.pandas_udf(lambda texts: pd.Series([sum(reader.measures(t)[:-1]) >= REACHED for t in texts], dtype=bool),
+                        "boolean")
 
 
 def learn_lexicon(train: DataFrame, max_terms: int = MAX_TERMS) -> dict:
@@ -217,26 +333,49 @@ def learn_lexicon(train: DataFrame, max_terms: int = MAX_TERMS) -> dict:
 
 def _emit(lexicon: dict) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(lexicon)
         for b in batches:
-            out = pd.DataFrame([arcs(t, lexicon) for t in b["text"]], columns=list(MEASURES), dtype=float)
+            out = pd.DataFrame([reader.measures(t) for t in b["text"]], columns=list(MEASURES), dtype=float)
             out["toxic"] = b["toxic"].to_numpy()
             yield out
     return run
 
 
-def fit_arcs(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
-    """Logistic regression by Newton steps; the last weight is the intercept."""
-    a = np.hstack([features(x), np.ones((len(x), 1))])
-    w = np.zeros(a.shape[1])
-    penalty = np.full(a.shape[1], ridge)
-    penalty[-1] = 1e-6
+# Steps between the arcs, in the order in which they are fitted: (least value, prior mean, prior strength).
+STEPS = {"negated": (0.0, 0.0, 1e-2), "reported over negated": (0.25, 0.5, 1e-1), "plain over reported": (0.5, 1.0, 1e-1),
+         "target over plain": (0.5, 1.0, 1e-1), "threat": (1.0, 6.0, 1.0), "words": (-0.7, 0.0, 1e-2),
+         "intercept": (-12.0, 0.0, 1e-6)}
+MOST_PER_WORD = 0.0       # long documents have more matches by chance; words never add to a score
+
+
+def in_steps(x: np.ndarray) -> np.ndarray:
+    """Columns whose weights are ``STEPS``: a step counts for every arc above it."""
+    plain, target, negated, reported, threat, words = features(x).T
+    return np.column_stack([negated + reported + plain + target, reported + plain + target, plain + target, target, threat,
+                            words, np.ones(len(x))])
+
+
+def fit_arcs(x: np.ndarray, y: np.ndarray, rounds: int = 500) -> np.ndarray:
+    """Logistic regression under ``STEPS``, one step at a time by Newton; weights of ``MEASURES`` and the intercept."""
+    a = in_steps(np.asarray(x, float))
+    least, mean, strength = np.array(list(STEPS.values())).T
+    most = np.full(len(least), np.inf)
+    most[list(STEPS).index("words")] = MOST_PER_WORD
+    u = np.clip(mean, least, most)
+    z = a @ u
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p) + 1e-9)[:, None]).T @ a + np.diag(penalty), a.T @ (y - p) - penalty * w)
-        w += np.clip(step, -4, 4)
-        if np.abs(step).max() < 1e-6:
+        moved = 0.0
+        for j in range(len(u)):
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            slope = a[:, j] @ (p - y) + strength[j] * (u[j] - mean[j])
+            bend = (a[:, j] ** 2) @ (p * (1 - p)) + strength[j] + 1e-9
+            new = float(np.clip(u[j] - np.clip(slope / bend, -2, 2), least[j], most[j]))
+            z += a[:, j] * (new - u[j])
+            moved, u[j] = max(moved, abs(new - u[j])), new
+        if moved < 1e-5:
             break
-    return w
+    negated, reported, plain, target = np.cumsum(u[:4])
+    return np.array([plain, target, negated, reported, *u[4:]])
 
 
 class Model:
@@ -244,11 +383,12 @@ class Model:
 
     def __init__(self, lexicon: dict, weights: np.ndarray):
         self.lexicon, self.weights = lexicon, np.asarray(weights, float)
+        self.reader = Reader(lexicon)
 
     def scores(self, texts) -> np.ndarray:
         if not len(texts):
             return np.zeros(0)
-        z = features(np.array([arcs(t, self.lexicon) for t in texts])) @ self.weights[:-1] + self.weights[-1]
+        z = features(np.array([self.reader.measures(t) for t in texts])) @ self.weights[:-1] + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -261,7 +401,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_term
     y = (rows["toxic"] != 0).to_numpy(float)
     if not lexicon:
         base = (y.sum() + 0.5) / (len(y) + 1.0) if len(y) else 1e-6
-        return Model({}, np.array([0.0] * len(MEASURES) + [math.log(base / (1 - base))]))
+        return Model({}, np.array([0.0] * 4 + [STEPS["threat"][1], 0.0, math.log(base / (1 - base))]))
     return Model(lexicon, fit_arcs(rows[list(MEASURES)].to_numpy(float), y))
 
 

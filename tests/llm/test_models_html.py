@@ -1,6 +1,8 @@
 """Toxicity, ordinal quality and HTML extraction: held-out accuracy, rules and edge rows."""
 
 import random
+import random
+import re
 import zlib
 
 import numpy as np
@@ -51,6 +53,84 @@ def test_threats_in_either_order(clause, threats):
     assert toxicity.arcs(clause, {})[:-1] == [0, 0, 0, 0, threats]
 
 
+@pytest.mark.parametrize("clause, threats", [
+    ("he murders them", 1), ("you get strangled", 1), ("you shot them", 1), ("er ermordet dich", 1), ("il te tuera", 1),
+    ("te mataré", 1), ("a matter for you", 0), ("you burnish it", 0), ("die Leute, die sie sahen", 0)])
+def test_threats_are_inflected(clause, threats):
+    assert toxicity.arcs(clause, {})[4] == threats
+
+
+def slow_walk(text, lexicon):
+    """The grammar by its description: for each word, what stands how far before it in its clause."""
+    out = dict.fromkeys(toxicity.ARCS, 0.0)
+    for clause in re.split(r"[.!?;\n]", (text or "").lower()):
+        words = toxicity.WORD.findall(clause)
+        marks = [toxicity.mark_of(w) for w in words]
+
+        def within(i, mark, n=toxicity.SCOPE):
+            """The nearest mark at most ``n - 1`` words before (or at) i."""
+            return next((j for j in range(i, max(-1, i - n), -1) if marks[j] == mark), None)
+
+        pending = None
+        for i, w in enumerate(words):
+            reported = toxicity.REPORT in marks[:i + 1]
+            negated = within(i, toxicity.NEGATION) is not None
+            target = within(i, toxicity.TARGET)
+            if pending is not None and i - pending >= toxicity.SCOPE:
+                pending = None
+            if marks[i] == toxicity.TARGET and pending is not None and not negated and not reported:
+                out["threat"] += 1
+                pending = None
+            elif marks[i] == toxicity.THREAT:
+                denied = target is not None and within(target, toxicity.NEGATION) is not None
+                if target is not None and not negated and not denied and not reported:
+                    out["threat"] += 1
+                    pending = None
+                else:
+                    pending = i
+            x = toxicity.weight_of(w, lexicon)
+            if x:
+                out["reported" if reported else "negated" if negated else "target" if target is not None else "plain"] += x
+    return [out[a] for a in toxicity.ARCS]
+
+
+def test_the_composed_machine_walks_as_described(monkeypatch):
+    r = random.Random(11)
+    words = ["you", "dich", "not", "said", "kill", "murdered", "scum", "viler", "day", "tree", ".", "\n", "sun", "moon"]
+    lex = {"scum": 3.0, "vile*": 2.0}
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(1, 60))) for _ in range(600)]
+    reader = toxicity.Reader(lex)
+    for t in texts:
+        assert reader.measures(t)[:-1] == slow_walk(t, lex), t
+    monkeypatch.setattr(toxicity, "PIECE", 13)              # the state is carried over the parts of a text
+    for t in texts:
+        assert toxicity.arcs(t, lex)[:-1] == slow_walk(t, lex), t
+    assert len(reader.machine.states) < 1500
+
+
+def test_fitted_weights_keep_the_grammar(spark):
+    """On the given labels: a target adds to an insult, negation and report take from it, a threat counts."""
+    model = toxicity.fit(read(spark, SF_MID, "documents"), read(spark, SF_MID, "labels"))
+    words = sorted(w for w in model.lexicon if not w.endswith("*"))[:20]
+    assert words
+    for w in words:
+        aimed, plain, denied, quoted = model.scores([f"you are {w}", w, f"you are not {w}", f"they said you are {w}"])
+        assert aimed > plain > denied and plain > quoted > model.scores(["a fine day it was"])[0]
+    threat, denied, harmless = model.scores(["I will kill you", "I will not kill you", "I will call you"])
+    assert threat > harmless and threat > denied
+
+
+def test_labels_cannot_turn_the_grammar_around():
+    r = np.random.default_rng(1)
+    x = np.zeros((400, 6))
+    x[:, 5] = r.integers(5, 500, 400)
+    x[:100, 2] = x[100:200, 3] = 5.0                        # only negated and reported insults are labelled toxic
+    x[200:300, 1] = 5.0
+    y = np.r_[np.ones(200), np.zeros(200)]
+    plain, target, negated, reported, threat, words, _ = toxicity.fit_arcs(x, y)
+    assert target > plain > reported > negated >= 0 and threat > 1 and words <= 0
+
+
 def test_long_texts_are_read_whole(monkeypatch):
     text = "word " * 1000 + "scum " + "word " * 1000 + "scum"
     lex = {"scum": 1.0}
