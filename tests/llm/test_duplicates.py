@@ -282,26 +282,48 @@ def test_leak_edges(spark):
         decontaminate.BROADCAST_SEEDS = few
 
 
-def test_short_items_with_substituted_tokens_are_leaks(spark):
-    """Items of 15 to 20 tokens, one to three substituted: found wherever a seed is left over, else kept."""
-    items, docs, want = [], [], {}
-    for n in range(15, 21):
+def brute_leaks(docs, items):
+    """Pairs that either rule accepts, over all diagonals."""
+    out = set()
+    for d, t in docs:
+        words = toks(t)
+        for i, x in items:
+            item = toks(x)
+            same = max((sum(words[k + j] == w for j, w in enumerate(item) if 0 <= k + j < len(words))
+                        for k in range(-len(item) + 1, len(words))), default=0)
+            if same >= 0.75 * len(item) or brute_best(words, item) >= min(13, len(item)):
+                out.add((d, i))
+    return out
+
+
+@pytest.mark.parametrize("seed_set", [0, decontaminate.SEED_SET])
+def test_short_items_with_substituted_tokens_are_leaks(spark, monkeypatch, seed_set):
+    """Items of 12 to 64 tokens, up to a quarter (and more) substituted at random: full alignment, no exemption."""
+    monkeypatch.setattr(decontaminate, "SEED_SET", seed_set)
+    items, docs = [], []
+    for n in (12, 13, 15, 16, 18, 20, 24, 40, 64):
         item = prose(800 + n, n).split()
         items.append((n, " ".join(item)))
-        for k in (1, 2, 3, 6):
-            for trial in range(4):
-                at = random.Random(100 * n + 10 * k + trial).sample(range(1, n - 1), k)
+        for k in sorted({1, 2, n // 5, n // 4, n // 4 + 1, n // 2}):
+            for trial in range(3):
+                at = random.Random(100 * n + 10 * k + trial).sample(range(n), k)
                 words = ["changed" if i in at else w for i, w in enumerate(item)]
-                seeded = any(all(i + j not in at for j, c in enumerate(mask) if c == "1")
-                             for mask in decontaminate.MASKS for i in range(n - 11))
                 d = len(docs)
-                docs.append((d, f"{prose(5000 + d, 7)} {' '.join(words)} {prose(6000 + d, 7)}"))
-                if seeded and n - k >= 0.75 * n:
-                    want[d] = n
-    out = decontaminate.verdicts(spark.createDataFrame(docs, "doc_id long, text string"),
-                                 spark.createDataFrame(items, "item_id long, text string")).collect()
-    assert {r.doc_id: r.item_ids[0] for r in out if not r.kept} == want
-    assert len(want) > 40 and {d for d in range(len(docs)) if d % 16 < 4} <= set(want)     # k = 1: every document
+                cut = words[trial:] if k == 1 else words              # an item that the document holds in part
+                docs.append((d, " ".join([prose(5000 + d, 7 * trial), *cut, prose(6000 + d, 7 * (trial % 2))])))
+    docs.append((len(docs), " ".join(prose(9000 + i, 9000 if i == 1 else 5) + " " + items[4][1] for i in range(3))))
+    want = brute_leaks(docs[:-1], items) | {(len(docs) - 1, items[4][0])}
+    got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"),
+                                 spark.createDataFrame(items, "item_id long, text string"), min_share=0.75).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) > 80
+
+
+def test_items_too_short_to_judge(spark):
+    items = spark.createDataFrame([(1, "the"), (2, "of the day"), (3, prose(3, 20)), (4, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the end of the day"), (2, prose(3, 20))], "doc_id long, text string")
+    kept = {r.doc_id for r in decontaminate.decontaminate(docs, items, min_tokens=4).collect()}
+    assert kept == {1} and decontaminate.decontaminate(docs, items).count() == 0
+    assert {(r.item_id, r.n_tokens) for r in decontaminate.too_short(items, 4).collect()} == {(1, 1), (2, 3), (4, 0)}
 
 
 def test_items_shorter_than_a_mask_are_found_whole(spark):
