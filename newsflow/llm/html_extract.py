@@ -4,19 +4,22 @@ A tolerant parse builds the element tree.  Every paragraph passes points (one,
 plus one per comma, plus length) to its ancestors, less the further up; a
 container's points are discounted by its link density.  The best container, or
 the article or main element around it, and its siblings that score well are
-kept, without subtrees that are menus, adverts, forms, comments and the like.
-Class and id names that tell such subtrees don't count for headings, for what is
+kept, without subtrees that are menus, adverts, forms, comments and the like, by
+their tag, role, hiding attributes, or class and id names.  None of these drops what is
 around the main element, around the article or (without an article elsewhere) around most
-of the page's points, after "has", "no" or "with", nor for ids that are slugs inside the article; a page
-that is empty by them is read without them.
+of the page's points: a form or an unclosed menu around the article is a wrapper.  Names
+don't count for headings, after "has", "no" or "with", nor for ids that are slugs inside the
+article; a page that is empty by all that is read with all but scripts, controls and media.
 
 A null, empty or text-free page gives an empty text.  Columns of the page are
 independent: equal rows give equal results.  Any nesting depth is handled
-without recursion; unclosed and stray tags follow the usual implied closing.
+without recursion; unclosed and stray tags follow the usual implied closing.  Time is
+linear in the page: what is open is kept by tag, so no tag searches its ancestors.
 """
 
 from __future__ import annotations
 
+import gc
 import re
 from html.parser import HTMLParser
 
@@ -26,8 +29,10 @@ from .tables import map_column
 
 # --- fixed values -----------------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED_TAGS = frozenset("script style noscript template nav footer aside form button select textarea iframe svg math "
-                         "object canvas audio video dialog menu head title fieldset datalist".split())
+DROPPED_TAGS = frozenset("script style noscript template button select textarea iframe svg math object canvas audio video "
+                         "head title datalist".split())
+# dropped unless they are around the article
+LAYOUT_TAGS = frozenset("nav footer aside form dialog menu fieldset header".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
                           "form toolbar".split())
 DROPPED_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion "
@@ -40,7 +45,9 @@ DROPPED_STARTS = ("advert", "sponsor", "cookie", "sidebar", "newsletter", "bread
                   "commentf", "commentsec", "commentbox", "commentth", "disqus", "subscrib")
 # names of parts that may hold more text than the article; the others are names of layout
 CROWDS = ("comment", "disqus", "discussion", "respond", "replies", "related", "recommended", "outbrain", "taboola",
-          "sponsor", "promo", "ad", "cookie", "consent", "gdpr", "newsletter", "subscri", "disclaimer", "notice")
+          "sponsor", "promo", "ad", "cookie", "consent", "gdpr", "newsletter", "subscri", "disclaimer", "notice",
+          "tag:aside", "tag:footer", "tag:dialog", "tag:menu", "role:complementary", "role:contentinfo", "role:dialog",
+          "role:alert", "role:menu")
 NOT_SLUGS = ("comment", "disqus", "respond")
 MODIFIERS = frozenset("has have no not with without".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -64,30 +71,45 @@ SPLIT_NAMES = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+# what start tags look for: (tags that they close, nearer tags that keep those open)
+P_SCOPE = ("td", "th", "button", "table", "article", "section", "div", "body")
+CLOSES = {"p": (frozenset("p".split()), frozenset(P_SCOPE)),
+          **{t: (frozenset(IMPLIED[t]), frozenset(LIST_SCOPE[t])) for t in IMPLIED}}
+WATCHED: dict[str, list[str]] = {}
+for _kind, (_tags, _scope) in CLOSES.items():
+    for _t in _tags | _scope:
+        WATCHED.setdefault(_t, []).append(_kind)
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "named", "slug", "score", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "dropped", "named", "slug", "score", "chars", "link_chars", "depth", "within")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool, named: str = "", slug: str = ""):
         self.tag, self.parent, self.dropped = tag, parent, dropped
-        self.named, self.slug = named, slug     # the class names, and the id, that tell a part to drop
+        self.named, self.slug = named, slug     # what of the tag, role or class, and of the id, tells a part to drop
         self.children: list = []
         self.score = BASE.get(tag, 0.0)
         self.chars = self.link_chars = 0
+        self.depth = parent.depth + 1 if parent is not None else 0
+        # article and main elements around it
+        self.within = frozenset() if parent is None else parent.within | {parent.tag} if (
+            parent.tag in ("article", "main")) else parent.within
 
 
-def is_dropped(tag: str, attrs: list, inside_article: bool) -> bool:
-    """True for elements that are dropped whatever they hold."""
-    if tag in DROPPED_TAGS or tag == "header" and not inside_article:
-        return True
+def layout(tag: str, attrs: list, inside_article: bool) -> str:
+    """What tells that an element is none of the article, whatever its names."""
+    found = []
+    if tag in LAYOUT_TAGS and not (tag == "header" and inside_article):
+        found.append(f"tag:{tag}")
     for name, value in attrs:
         value = (value or "").lower()
         if name == "role" and value in DROPPED_ROLES:
-            return True
+            found.append(f"role:{value}")
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            found.append("hidden")
         elif name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            found.append("hidden")
+    return " ".join(found)
 
 
 def dropped_names(tag: str, value: str) -> str:
@@ -109,62 +131,73 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", None, False)
         self.named: list[Node] = []
-
-    def _close(self, tags: tuple, scope: tuple) -> None:
-        """Close the nearest open element of ``tags``, if no element of ``scope`` is nearer."""
-        node = self.at
-        while node.parent is not None:
-            if node.tag in tags:
-                self.at = node.parent
-                return
-            if node.tag in scope:
-                return
-            node = node.parent
+        self.opened: dict[str, list[Node]] = {}           # open elements by tag, the innermost last
+        self.blocks: list[Node] = []                      # open blocks
+        self.near: dict[str, list[Node]] = {kind: [] for kind in CLOSES}
+
+    def _open(self, node: Node) -> None:
+        self.opened.setdefault(node.tag, []).append(node)
+        if node.tag in BLOCKS:
+            self.blocks.append(node)
+        for kind in WATCHED.get(node.tag, ()):
+            self.near[kind].append(node)
+        self.at = node
+
+    def _close(self, last: Node) -> None:
+        """Closes all open elements down from ``last``; each is closed once."""
+        node = None
+        while node is not last:
+            node = self.at
+            self.opened[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+            for kind in WATCHED.get(node.tag, ()):
+                self.near[kind].pop()
+            self.at = node.parent
+
+    def _imply(self, kind: str) -> None:
+        """Closes the nearest open element that a start tag of this kind ends, if none of its scope is nearer."""
+        near = self.near[kind]
+        if near and near[-1].tag in CLOSES[kind][0]:
+            self._close(near[-1])
 
     def handle_starttag(self, tag, attrs):
         if tag in ENDS_P:
-            self._close(("p",), ("td", "th", "button", "table", "article", "section", "div", "body"))
+            self._imply("p")
         if tag in IMPLIED:
-            self._close(IMPLIED[tag], LIST_SCOPE[tag])
+            self._imply(tag)
         up = self.at
-        if tag == "body" or tag == "html":
-            if up.tag in ("body",):
-                return
-        inside = False
-        node = up
-        while node is not None and not inside:
-            inside = node.tag in ("article", "main")
-            node = node.parent if tag == "header" else None
-        new = Node(tag, up, up.dropped or is_dropped(tag, attrs, inside))
+        if tag in ("body", "html") and up.tag == "body":
+            return
+        new = Node(tag, up, up.dropped or tag in DROPPED_TAGS)
         if not new.dropped:
+            if attrs or tag in LAYOUT_TAGS:
+                new.named = layout(tag, attrs, bool(self.opened.get("article") or self.opened.get("main")))
             for name, value in attrs:
                 if name == "class" and value:
-                    new.named = dropped_names(tag, value)
+                    new.named = f"{new.named} {dropped_names(tag, value)}".strip()
                 elif name == "id" and value:
                     new.slug = dropped_names(tag, value)
             if new.named or new.slug:
                 self.named.append(new)
         up.children.append(new)
         if tag not in VOID:
-            self.at = new
+            self._open(new)
 
     def handle_startendtag(self, tag, attrs):
+        before = self.at
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.at.tag == tag:
-            self.at = self.at.parent
+        if tag not in VOID and self.at is not before and self.at.tag == tag:
+            self._close(self.at)
 
     def handle_endtag(self, tag):
-        if tag in ("body", "html"):
+        if tag in ("body", "html") or not self.opened.get(tag):
             return
-        node = self.at
-        while node.parent is not None:
-            if node.tag == tag:
-                self.at = node.parent
-                return
-            # an inline end tag doesn't close blocks around it
-            if node.tag in BLOCKS and tag not in BLOCKS:
-                return
-            node = node.parent
+        node = self.opened[tag][-1]
+        # an inline end tag doesn't close blocks around it
+        if tag not in BLOCKS and self.blocks and self.blocks[-1].depth > node.depth:
+            return
+        self._close(node)
 
     def handle_data(self, data):
         if not self.at.dropped:
@@ -217,15 +250,9 @@ def _points(node: Node, commas: dict) -> float | None:
     return None
 
 
-def _ancestors(node: Node):
-    while node is not None:
-        yield node
-        node = node.parent
-
-
 def _is_slug(node: Node) -> bool:
     """True for an id inside the article or main element that names a section of it."""
-    around = {n.tag for n in _ancestors(node.parent)}
+    around = node.within
     if node.slug.startswith(NOT_SLUGS) or around.isdisjoint(("article", "main")):
         return False
     if "article" in around and node.tag != "div":
@@ -259,11 +286,16 @@ def drop_named(root: Node, named: list[Node]) -> None:
     half = below[root][1] / 2
     around: set = set()
     apart = False                                     # an article stands outside all named elements
+    under: dict = {}                                  # whether a node or one around it is named
     for node in nodes:
+        under[node] = bool(node.named) or under.get(node.parent, False)
         if node.tag in ("article", "main") and not node.named and node.chars:
             if node.tag == "main" or below[node][1] > half:
-                around.update(_ancestors(node))
-            apart = apart or not any(n.named for n in _ancestors(node))
+                up = node
+                while up is not None and up not in around:
+                    around.add(up)
+                    up = up.parent
+            apart = apart or not under[node]
     for node in named:
         node.dropped = not (node in around or not apart and node not in crowds and below[node][1] > half)
 
@@ -333,12 +365,24 @@ def blocks(kept: list[Node]) -> list[str]:
     return out
 
 
+def closed_comments(html: str) -> str:
+    """The page without the marks of comments that never end: what follows them is text."""
+    at = html.find("<!--", html.rfind("-->") + 1)
+    return html if at < 0 else html[:at] + html[at:].replace("<!--", "")
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    root = parse(html)
-    text = "\n\n".join(blocks(best_container(root)))
-    return text if text else "\n\n".join(blocks(best_container(parse(html, by_name=False))))
+    html = closed_comments(html)
+    collecting = gc.isenabled()
+    gc.disable()                      # a large tree would be walked again and again while it grows
+    try:
+        text = "\n\n".join(blocks(best_container(parse(html))))
+        return text if text else "\n\n".join(blocks(best_container(parse(html, by_name=False))))
+    finally:
+        if collecting:
+            gc.enable()
 
 
 def _extract_all(pages: list) -> dict:

@@ -3,7 +3,9 @@
 import random
 import random
 import re
+import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -299,3 +301,94 @@ def test_every_page_row_comes_back(spark):
     out = html_extract.extract(pages).collect()
     assert len(out) == 4 and all(r.n_chars == len(r.text) for r in out)
     assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+ARTICLE = "<h1>T</h1>" + "<p>A long paragraph of the article, with commas, and words that say something.</p>" * 4
+TEXT = "\n\n".join(["T"] + ["A long paragraph of the article, with commas, and words that say something."] * 4)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<form id=aspnetForm><div>{ARTICLE}</div></form>", TEXT),
+    (f"<form><nav>MENU</nav><article>{ARTICLE}<form>MENU</form><aside>MENU</aside></article></form>", TEXT),
+    (f"<nav><a href=x>MENU</a><article>{ARTICLE}</article>", TEXT),
+    (f"<div aria-hidden=true><article>{ARTICLE}</article></div>", TEXT),
+    (f"<div style='display: none'><div>{ARTICLE}</div></div><footer>MENU</footer>", TEXT),
+    (f"<article hidden>{ARTICLE}</article>", TEXT),
+    (f"<div role=dialog><main>{ARTICLE}</main></div>", TEXT),
+    (f"<aside>{ARTICLE}</aside>", TEXT),
+    (f"<div>{ARTICLE}</div><aside><p>{'MENU, more words, ' * 200}</p></aside>", TEXT),
+    (f"<div>{ARTICLE}</div><form><p>{'MENU, a few words, ' * 3}</p></form><nav><p>{'MENU, a few words, ' * 3}</p></nav>", TEXT),
+    (f"<article>{ARTICLE}</article><aside><article><p>{'A teaser, which is short, ' * 3}</p></article></aside>", TEXT),
+    (f"<!-- never closed <div>{ARTICLE}</div>", TEXT)])
+def test_wrappers_of_the_article_are_kept(page, text):
+    assert html_extract.main_text(f"<body>{page}</body>") == text
+
+
+class SlowBuilder(HTMLParser):
+    """The tree by walking from the innermost open element at each tag."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = ["#root", None, []]
+        self.at = self.root
+
+    def implied(self, tags, scope):
+        node = self.at
+        while node[1] is not None:
+            if node[0] in tags:
+                self.at = node[1]
+                return
+            if node[0] in scope:
+                return
+            node = node[1]
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_extract.ENDS_P:
+            self.implied(("p",), html_extract.P_SCOPE)
+        if tag in html_extract.IMPLIED:
+            self.implied(html_extract.IMPLIED[tag], html_extract.LIST_SCOPE[tag])
+        new = [tag, self.at, []]
+        self.at[2].append(new)
+        if tag not in html_extract.VOID:
+            self.at = new
+
+    def handle_endtag(self, tag):
+        node = self.at
+        while node[1] is not None:
+            if node[0] == tag:
+                self.at = node[1]
+                return
+            if node[0] in html_extract.BLOCKS and tag not in html_extract.BLOCKS:
+                return
+            node = node[1]
+
+    def handle_data(self, data):
+        self.at[2].append(data)
+
+
+def test_the_tree_equals_that_of_walking():
+    r = random.Random(7)
+    tags = ["div", "p", "i", "b", "li", "ul", "td", "tr", "table", "dt", "dd", "dl", "section", "h1", "span", "tbody", "br",
+            "article", "th", "a"]
+
+    def shape(node):
+        return node if isinstance(node, str) else (node[0], [shape(c) for c in node[2]]) if isinstance(node, list) else (
+            node.tag, [shape(c) for c in node.children])
+
+    for _ in range(400):
+        page = "".join(f"<{r.choice(['', '', '/'])}{r.choice(tags)}>" + r.choice(["", "x", " y "])
+                       for _ in range(r.randrange(1, 60)))
+        slow = SlowBuilder()
+        slow.feed(page)
+        slow.close()
+        assert shape(html_extract.parse(page, by_name=False)) == shape(slow.root), page
+
+
+@pytest.mark.parametrize("page", [
+    "<div id=related>" * 190_000 + ARTICLE, "<i>" * 500_000 + "</u>" * 350_000, "<u><div>" + "<i>" * 500_000 + "</u>" * 350_000,
+    "<div class=related>" * 150_000 + ARTICLE, "</p></div></b>" * 210_000, "<!--" * 700_000 + ARTICLE,
+    "<p><button>" + "<i>" * 100_000 + "<h1>" * 600_000], ids=range(7))
+def test_three_megabytes_of_tags(page):
+    start = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - start < 30
