@@ -325,7 +325,7 @@ def repeated_spans(docs: DataFrame, size: int = 35) -> DataFrame:
         often, ["hash", "salt"], "left_semi").select(
         "doc_id", "rk", (F.col("start") + F.col("j")).alias("a"), (F.col("start") + F.col("j") + size).alias("b"))
     return whole.unionByName(searched).unionByName(single).groupBy("doc_id", "rk").agg(
-        F.collect_list(F.struct("a", "b")).alias("spans"))
+        F.collect_set(F.struct("a", "b")).alias("spans"))     # rows that are equal share theirs
 
 
 def kept_words(words: list, spans) -> list:

@@ -282,6 +282,16 @@ def test_leak_edges(spark):
         decontaminate.BROADCAST_SEEDS = few
 
 
+def test_many_equal_rows_share_their_spans(spark):
+    """Equal rows under one id (or none): spans don't multiply with the rows."""
+    text = prose(990, 60)
+    docs = spark.createDataFrame([(None, text)] * 3000 + [(1, text)] * 200, "doc_id long, text string")
+    spans = {r.doc_id: r.n for r in fm_substring.repeated_spans(docs).selectExpr("doc_id", "size(spans) as n").collect()}
+    assert set(spans) == {None, 1} and max(spans.values()) < 60
+    out = fm_substring.remove_repeats(docs)
+    assert out.count() == 3200 and out.filter("n_removed <> 60").count() == 0
+
+
 def brute_leaks(docs, items):
     """Pairs that either rule accepts, over all diagonals."""
     out = set()
