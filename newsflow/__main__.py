@@ -74,6 +74,7 @@ def build_parser() -> argparse.ArgumentParser:
         if name == "ingest-stream":
             s.add_argument("--dedupe", nargs="?", const="first", choices=["first", "final"],
                            help="one copy of a title: the first to arrive, or, later, the earliest")
+            s.add_argument("--read-once", action="store_true", help="one query and trigger for all sinks (not with --dedupe)")
             s.add_argument("--delay", default=C.DEDUPE_DELAY, help="copies no further apart than this are one")
         if name == "feed-stream":
             s.add_argument("--trigger", default=C.FEED_POLL_TRIGGER)
@@ -161,9 +162,13 @@ def _run(spark, args) -> int:
                 spark.streams.removeListener(x)
                 print(json.dumps({"metrics": x.name, "batches": len(x.batches), **x.totals()}))
     elif args.job == "ingest-stream":
-        from .streaming.ingest import start_ingest
-        qs = start_ingest(_stream(spark, args), args.out, args.checkpoint, dead_letter=args.dead_letter,
-                          available_now=args.available_now, dedupe=args.dedupe, delay=args.delay)
+        from .streaming.ingest import start_ingest, start_ingest_once
+        if args.read_once and not args.dedupe:
+            qs = start_ingest_once(_stream(spark, args), args.out, args.checkpoint, dead_letter=args.dead_letter,
+                                   available_now=args.available_now)
+        else:
+            qs = start_ingest(_stream(spark, args), args.out, args.checkpoint, dead_letter=args.dead_letter,
+                              available_now=args.available_now, dedupe=args.dedupe, delay=args.delay)
         _finish(spark, qs, args.available_now)
     elif args.job == "console":
         from .streaming.ingest import start_console

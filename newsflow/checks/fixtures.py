@@ -84,7 +84,7 @@ def mr(spark: SparkSession, sf_dir: str):
     if key not in _MR_CACHE:
         docs = prepared(spark, sf_dir)
         model = tfidf_nb.fit(docs.filter("is_train"))
-        pred = model.predict(docs, key=("article_id", "subject", "date", "label", "is_train"))
+        pred = model.predict(docs, key=("article_id", "subject", "date", "label", "is_train", "is_test"))
         pred = pred.withColumn("prediction_label", decode_label("prediction"))
         _MR_CACHE[key] = (model, materialize(pred, "nb_predictions"))
     return _MR_CACHE[key]
@@ -162,16 +162,17 @@ def references(c: F.Column) -> F.Column:
     return F.concat(F.lit("<div><!-- &amp; --><p>"), F.coalesce(c, F.lit("")), F.lit("</p><style>&lt;</style></div>"))
 
 
+BUCKETS, ROWS_PER_FILE = 4, 200
+
+
 @once("bucket_files")
 def bucket_files(spark: SparkSession, sf_dir: str) -> str:
-    """A dataset with known numbers of files: documents of ``doc_id % 4 = b`` in ``b + 1`` files, the buckets
-    one after the other."""
+    """A dataset whose number of files grows with the documents: those of ``doc_id % BUCKETS = b`` are in files of at
+    most ``ROWS_PER_FILE`` consecutive numbers, one for each.  One write; each file's rows go to one task by a hash of
+    bucket and file, and a file is named by its place in the folder tree (bucket=b/file=n)."""
     path = scratch_path(spark, "buckets")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source")
-    for b in range(4):
-        # one file per task: no task is empty, as its rows are dealt round by number
-        n = F.pmod(F.expr("doc_id DIV 4"), F.lit(b + 1))
-        part = docs.filter(F.col("doc_id") % 4 == b).withColumn("part", n)
-        for i in range(b + 1):
-            part.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(f"{path}/bucket={b}")
+    placed = docs.select("doc_id", "source", (F.col("doc_id") % BUCKETS).alias("bucket"),
+                         F.expr(f"doc_id DIV {BUCKETS} DIV {ROWS_PER_FILE}").alias("file"))
+    placed.repartition(text_tasks(spark), "bucket", "file").write.partitionBy("bucket", "file").parquet(path)
     return path

@@ -47,8 +47,10 @@ prepared AS (
          {preprocess_sql("title || ' ' || text")} AS content
   FROM all_articles a LEFT JOIN labels l ON a.article_id = cast(l.doc_id AS varchar)),
 docs AS (
-  SELECT *, {split_bucket_sql("article_id")} < 80 AND label IS NOT NULL AS is_train
-  FROM prepared WHERE length(content) > 50)"""
+  SELECT *, {split_bucket_sql("article_id")} < 80 AND label IS NOT NULL AND length(content) > 50 AS is_train,
+         {split_bucket_sql("article_id")} >= 80 AND label IS NOT NULL AND length(content) > 50 AS is_test
+  FROM prepared WHERE content IS NOT NULL),
+long_docs AS (SELECT * FROM docs WHERE length(content) > 50)"""
 
 MR_MODEL = f"""
 tokens AS (
@@ -80,7 +82,7 @@ token_scores AS (
   FROM terms t JOIN theta th ON t.term = th.term AND th.idf > 0
   GROUP BY t.article_id),
 scores AS (
-  SELECT d.article_id, d.subject, d.date, d.label, d.is_train,
+  SELECT d.article_id, d.subject, d.date, d.label, d.is_train, d.is_test,
          p.pi0 + coalesce(ts.w0, 0.0) AS score0,
          p.pi1 + coalesce(ts.w1, 0.0) AS score1
   FROM docs d CROSS JOIN prior p LEFT JOIN token_scores ts ON d.article_id = ts.article_id),
@@ -213,7 +215,7 @@ SELECT term, cast(tf0 AS bigint) AS tf0, cast(tf1 AS bigint) AS tf1,
 ORACLE["m6_hash_split"] = with_ctes(ALL_ARTICLES) + f"""
 SELECT article_id, {split_bucket_sql("article_id")} < 80 AS is_train FROM all_articles"""
 ORACLE["m7_metrics"] = MR + """,
-cm AS (SELECT label, prediction, count(*) AS n FROM predictions WHERE NOT is_train AND label IS NOT NULL GROUP BY label, prediction),
+cm AS (SELECT label, prediction, count(*) AS n FROM predictions WHERE is_test GROUP BY label, prediction),
 per_label AS (SELECT label, sum(n) AS n_label, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp
               FROM cm GROUP BY label),
 per_pred AS (SELECT prediction AS label, sum(n) AS n_pred FROM cm GROUP BY prediction),
@@ -231,7 +233,7 @@ ORACLE["m8_auc_rank"] = MR + """,
 ps AS (SELECT round(score1 - score0, 6) AS s,
               cast(sum(CASE WHEN label = 1.0 THEN 1 ELSE 0 END) AS double) AS pos,
               cast(sum(CASE WHEN label = 1.0 THEN 0 ELSE 1 END) AS double) AS neg
-       FROM predictions WHERE NOT is_train AND label IS NOT NULL GROUP BY 1),
+       FROM predictions WHERE is_test GROUP BY 1),
 r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
              AS neg_below FROM ps)
 SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) AS auc FROM r"""
@@ -241,14 +243,14 @@ top AS (SELECT article_id, label, prediction, round(1.0 / (1.0 + exp(score0 - sc
 SELECT t.article_id, substr(d.content, 1, 50) AS content, t.label, t.prediction, t.prob_true
 FROM top t JOIN docs d ON t.article_id = d.article_id"""
 ORACLE["a1_token_counts"] = with_ctes(ALL_ARTICLES, PREPARED) + """,
-toks AS (SELECT unnest(string_split(content, ' ')) AS term FROM docs)
+toks AS (SELECT unnest(string_split(content, ' ')) AS term FROM long_docs)
 SELECT term, count(*) AS n FROM toks WHERE term <> '' GROUP BY term"""
 ORACLE["a2_stopword_removed"] = with_ctes(ALL_ARTICLES, PREPARED) + f"""
 SELECT article_id,
        cast(len(list_filter(string_split(content, ' '), lambda x: x <> '')) AS integer) AS n_tokens,
        cast(len(list_filter(string_split(content, ' '),
                             lambda x: x <> '' AND NOT list_contains([{sql_list()}], x))) AS integer) AS n_terms
-FROM docs"""
+FROM long_docs"""
 
 ML = with_ctes(ALL_ARTICLES, PREPARED, SCORABLE, ML_MODEL)
 ORACLE["m1_term_hash"] = ML + "\nSELECT term, cast(bucket AS integer) AS bucket FROM term_bucket"
@@ -302,7 +304,7 @@ SELECT article_id, (title || ' ' || text) IS NULL AS content_null,
 ORACLE["t4_preprocess"] = with_ctes(ALL_ARTICLES) + f"""
 SELECT article_id, {preprocess_sql("title || ' ' || text")} AS content FROM all_articles"""
 ORACLE["x1_min_content"] = with_ctes(ALL_ARTICLES, PREPARED) + """
-SELECT article_id, cast(length(content) AS integer) AS content_len FROM docs"""
+SELECT article_id, cast(length(content) AS integer) AS content_len FROM long_docs"""
 ORACLE["t6_key_prefix"] = with_ctes(ALL_ARTICLES) + """
 SELECT article_id, substr(title, 1, 50) AS key FROM all_articles"""
 
@@ -385,20 +387,18 @@ ORACLE["r2_preview"] = PRED_ROWS + """
 SELECT substr(title, 1, 40) AS title, substr(subject, 1, 40) AS subject,
        substr(prediction_label, 1, 40) AS prediction_label, prob_fake
 FROM pred_rows ORDER BY subject, title, prob_fake LIMIT 10"""
-# A layout with known numbers of files: bucket b (doc_id % 4) is written as b + 1 files.
-ORACLE["s6_file_inventory"] = """
-SELECT 'bucket=' || b AS partition, cast(b + 1 AS bigint) AS files, true AS has_bytes
-FROM (SELECT DISTINCT doc_id % 4 AS b FROM documents)"""
-ORACLE["g5_dataset_status"] = """
-SELECT 'buckets' AS dataset, cast(sum(b + 1) AS bigint) AS files, count(*) AS children, true AS has_bytes, true AS has_time
-FROM (SELECT DISTINCT doc_id % 4 AS b FROM documents)
+# A layout with known files: bucket b (doc_id % 4) has one file for each 200 numbers.
+FILES = "SELECT DISTINCT doc_id % 4 AS b, doc_id // 4 // 200 AS file FROM documents"
+ORACLE["s6_file_inventory"] = f"""
+SELECT 'bucket=' || b AS partition, count(*) AS files, min(file) AS first, max(file) AS last, true AS has_bytes
+FROM ({FILES}) GROUP BY b"""
+ORACLE["g5_dataset_status"] = f"""
+SELECT 'buckets' AS dataset, count(*) AS files, count(DISTINCT b) AS children, true AS has_bytes, true AS has_time
+FROM ({FILES})
 UNION ALL SELECT 'empty', 0, 0, false, false UNION ALL SELECT 'missing', 0, 0, false, false"""
-ORACLE["r3_latest_partitions"] = """
-SELECT 'bucket=' || b AS partition, file FROM (
-  SELECT DISTINCT doc_id % 4 AS b, unnest(range(0, doc_id % 4 + 1)) AS file FROM documents)
-ORDER BY b DESC, file DESC LIMIT 5"""
-ORACLE["r3_latest_by_time"] = """
-SELECT 'bucket=' || max(doc_id % 4) AS partition FROM documents"""
+ORACLE["r3_latest_partitions"] = f"""
+SELECT 'bucket=' || b AS partition, file FROM ({FILES}) ORDER BY b DESC, cast(file AS varchar) DESC LIMIT 5"""
+ORACLE["r3_latest_by_time"] = f"SELECT count(*) AS files, count(DISTINCT b) AS partitions FROM ({FILES})"
 
 # --- feeds -------------------------------------------------------------------------
 # Written from what the feed documents are generated from (pages), not from their XML.
@@ -456,6 +456,12 @@ SELECT substr(title, 1, 50) AS key, title, subject, date, "timestamp" FROM long_
 # --- streaming ---------------------------------------------------------------------
 ORACLE["st1_ingest"] = CLEAN_KEPT + """
 SELECT title, text, cast(NULL AS varchar) AS source, article_id, subject, date FROM kept"""
+# doc_id % 10 of 3, 5 and 7 is malformed, 9 has no title (which the ingest keeps).
+ORACLE["st1_ingest_once"] = CLEAN_KEPT + """,
+good AS (SELECT article_id, subject FROM kept WHERE cast(article_id AS bigint) % 10 NOT IN (3, 5, 7))
+SELECT 'parquet' AS sink, article_id, subject FROM good
+UNION ALL SELECT 'csv', cast(count(*) AS varchar), NULL FROM good
+UNION ALL SELECT 'dead letter', cast(count(*) AS varchar), NULL FROM documents WHERE doc_id % 10 IN (3, 5, 7)"""
 ORACLE["k2_stream_csv"] = CLEAN_KEPT + "\nSELECT title, text, subject, date FROM kept"
 ORACLE["st6_restart"] = CLEAN_KEPT + "\nSELECT count(*) AS n FROM kept"
 ORACLE["d2_stream_dedupe"] = CLEAN_KEPT + """

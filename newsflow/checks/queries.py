@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,7 +102,7 @@ def m6_hash_split(spark, sf_dir):
 @register("m7_metrics")
 def m7_metrics(spark, sf_dir):
     _, pred = fixtures.mr(spark, sf_dir)
-    m = evaluation.classification_metrics(pred.filter("not is_train and label is not null"))
+    m = evaluation.classification_metrics(pred.filter("is_test"))
     return m.select(*[F.round(c, 9).alias(c) for c in ("accuracy", "weighted_precision", "weighted_recall", "f1")],
                     "n")
 
@@ -110,7 +110,7 @@ def m7_metrics(spark, sf_dir):
 @register("m8_auc_rank")
 def m8_auc_rank(spark, sf_dir):
     _, pred = fixtures.mr(spark, sf_dir)
-    scored = pred.filter("not is_train and label is not null").select(
+    scored = pred.filter("is_test").select(
         "label", F.round(F.col("score1") - F.col("score0"), 6).alias("margin"))
     return evaluation.auc_rank(scored, score="margin").select(F.round("auc", 9).alias("auc"))
 
@@ -147,7 +147,7 @@ def _rounded():
 
 def _ml_predictions(spark, sf_dir):
     """Fits the ML model on the training share; returns it with predictions of all prepared articles."""
-    prep = fixtures.prepared(spark, sf_dir).drop("date")
+    prep = fixtures.prepared(spark, sf_dir).drop("date", "is_test")
     model = classifier.fit(prep.filter("is_train"))
     return model, classifier.score(model, prep)
 
@@ -412,13 +412,15 @@ def r2_preview(spark, sf_dir):
 
 def _bucket_listing(spark, sf_dir):
     listing = list_files(spark, fixtures.bucket_files(spark, sf_dir))
-    return listing.withColumn("partition", F.regexp_extract("path", r"/(bucket=[^/]*)/", 1))
+    return listing.withColumn("partition", F.regexp_extract("path", r"/(bucket=[^/]*)/", 1)).withColumn(
+        "file", F.regexp_extract("path", r"/file=([^/]*)/", 1).cast("bigint"))
 
 
 @register("s6_file_inventory")
 def s6_file_inventory(spark, sf_dir):
     return _bucket_listing(spark, sf_dir).groupBy("partition").agg(
-        F.count(F.lit(1)).alias("files"), (F.min("length") > 0).alias("has_bytes"))
+        F.count(F.lit(1)).alias("files"), F.min("file").alias("first"), F.max("file").alias("last"),
+        (F.min("length") > 0).alias("has_bytes"))
 
 
 @register("g5_dataset_status")
@@ -433,17 +435,17 @@ def g5_dataset_status(spark, sf_dir):
 
 @register("r3_latest_partitions")
 def r3_latest_partitions(spark, sf_dir):
-    """R3 by name: the last files of the dataset, by partition and number within it."""
-    listing = _bucket_listing(spark, sf_dir)
-    number = F.row_number().over(Window.partitionBy("partition").orderBy("path")) - 1      # a few files each
-    last = ordering.latest(listing.withColumn("file", number.cast("bigint")), 5)
-    return last.select("partition", "file")
+    """R3 by name: the last files of the dataset (the folder names compare as text)."""
+    return ordering.latest(_bucket_listing(spark, sf_dir), 5).select("partition", "file")
 
 
 @register("r3_latest_by_time")
 def r3_latest_by_time(spark, sf_dir):
-    """R3 by time: the bucket written last has the latest file."""
-    return ordering.latest(_bucket_listing(spark, sf_dir), 1, by="modificationTime").select("partition")
+    """R3 by time: the latest of all files, and how many of the listing are not later."""
+    listing = _bucket_listing(spark, sf_dir)
+    newest = ordering.latest(listing, 1, by="modificationTime").select(F.col("modificationTime").alias("at"))
+    return listing.join(F.broadcast(newest), F.col("modificationTime") <= F.col("at")).agg(
+        F.count(F.lit(1)).alias("files"), F.countDistinct("partition").alias("partitions"))
 
 
 # --------------------------------------------------------------------------
@@ -524,6 +526,23 @@ def st1_ingest(spark, sf_dir):
     return read_ingested(spark, f"{out}/parquet").drop("processed_at")
 
 
+@register("st1_ingest_once")
+def st1_ingest_once(spark, sf_dir):
+    """ST1 with one read of the messages, malformed ones among them: rows by sink."""
+    src = fixtures.landed_messages(spark, sf_dir, malformed=True)
+    out = scratch_path(spark, "ingest")
+    for q in ingest.start_ingest_once(article_stream(spark, "json", src), out, scratch_path(spark, "ingest_ckpt"),
+                                      available_now=True):
+        q.awaitTermination()
+    rows = read_ingested(spark, f"{out}/parquet").select(F.lit("parquet").alias("sink"), "article_id", "subject")
+    bad = spark.read.schema("raw_value string").json(f"{out}/dead_letter").agg(F.count(F.lit(1)).alias("n"))
+    csv = read_article_csv(spark, f"{out}/csv").agg(F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(bad.select(F.lit("dead letter").alias("sink"), F.col("n").cast("string").alias("article_id"),
+                                       F.lit(None).cast("string").alias("subject"))).unionByName(
+        csv.select(F.lit("csv").alias("sink"), F.col("n").cast("string").alias("article_id"),
+                   F.lit(None).cast("string").alias("subject")))
+
+
 @register("k1_stream_parquet")
 def k1_stream_parquet(spark, sf_dir):
     """K1 layout: partition folders (subject, date) and the ids filed under them."""

@@ -9,7 +9,8 @@ Semantics (defined here, mirrored by the SQL oracle):
 2. every remaining markup token (tag, doctype, declaration, processing
    instruction) becomes a node boundary; a ``<`` not followed by a letter,
    ``/``, ``!`` or ``?`` is text, as in an HTML tokenizer;
-3. numeric and the common named character references are decoded, each once;
+3. numeric and named character references are decoded, each once, as in an HTML tokenizer: old names
+   also without ``;``, the longest that fits (references to no character stay);
 4. each text node is stripped of Unicode whitespace, empty nodes are dropped
    and the rest are joined with one blank.
 
@@ -18,10 +19,12 @@ Whitespace inside a node is kept.  NULL or empty input gives ''.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col_, unicode_strip
+from .text import col_, let, unicode_strip
 
 # --- fixed values: element and markup patterns, entity table ---------------
 HIDDEN_ELEMENTS = [
@@ -33,32 +36,51 @@ HIDDEN_ELEMENTS = [
 HIDDEN = "(?is)" + "|".join(HIDDEN_ELEMENTS)      # one pass, leftmost construct first
 MARKUP = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 NODE_BREAK = "\u0001"
-# Named references, by code point, that are common in feeds.
-ENTITIES = {
-    "lt": 60, "gt": 62, "quot": 34, "apos": 39, "nbsp": 160, "iexcl": 161, "cent": 162, "pound": 163, "yen": 165,
-    "sect": 167, "copy": 169, "laquo": 171, "reg": 174, "deg": 176, "plusmn": 177, "middot": 183, "raquo": 187,
-    "frac12": 189, "iquest": 191, "Agrave": 192, "Aacute": 193, "Auml": 196, "Ccedil": 199, "Egrave": 200,
-    "Eacute": 201, "Ntilde": 209, "Ouml": 214, "times": 215, "Uuml": 220, "szlig": 223, "agrave": 224, "aacute": 225,
-    "acirc": 226, "atilde": 227, "auml": 228, "aring": 229, "aelig": 230, "ccedil": 231, "egrave": 232, "eacute": 233,
-    "ecirc": 234, "euml": 235, "igrave": 236, "iacute": 237, "icirc": 238, "iuml": 239, "ntilde": 241, "ograve": 242,
-    "oacute": 243, "ocirc": 244, "otilde": 245, "ouml": 246, "oslash": 248, "ugrave": 249, "uacute": 250, "ucirc": 251,
-    "uuml": 252, "ndash": 8211, "mdash": 8212, "lsquo": 8216, "rsquo": 8217, "sbquo": 8218, "ldquo": 8220,
-    "rdquo": 8221, "bdquo": 8222, "bull": 8226, "hellip": 8230, "euro": 8364, "trade": 8482, "amp": 38}
-REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+# Named references come from the standard library's table of HTML: names with ``;``, and old ones that may lack it.
+NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+OLD_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
+NUMBER = r"^#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?"
+NAME = r"^([A-Za-z][A-Za-z0-9]{1,31});"
+OLD_NAME = f"^({'|'.join(OLD_NAMES)})"            # the longest that fits
+# numbers of the C1 range mean characters of this code page, but for five of them
+C1_UNDEFINED = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+C1 = {c: ord(bytes([c]).decode("cp1252")) for c in range(0x80, 0xA0) if c not in C1_UNDEFINED}
+
+
+def _named_texts() -> Column:
+    """Texts of the names, in a map for each first letter."""
+    by_first: dict[str, list] = {}
+    for name, text in NAMED.items():
+        by_first.setdefault(name[0], []).extend((F.lit(name), F.lit(text)))
+    return F.create_map(*[x for first, pairs in by_first.items() for x in (F.lit(first), F.create_map(*pairs))])
+
+
+def _number_text(number: Column) -> Column:
+    """Character of a decimal or (after x) hexadecimal number; NULL for nothing, surrogates and beyond Unicode."""
+    code = F.when(number.startswith("x") | number.startswith("X"), F.conv(F.substring(number, 2, 8), 16, 10)).otherwise(
+        number).cast("int")
+    def char(code: Column) -> Column:
+        legal = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(legal, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    remapped = F.create_map(*[F.lit(x) for pair in C1.items() for x in pair])
+    return let(code, lambda c: char(F.when(c.between(0x80, 0x9F), F.coalesce(F.element_at(remapped, c), c)).otherwise(c)))
 
 
 def _decoded(part: Column) -> Column:
     """Text that follows a ``&`` of the source, with the reference at its start decoded (or ``&`` put back)."""
-    name = F.regexp_extract(part, "^" + REFERENCE[1:], 1)
-    number = F.when(name.startswith("#x") | name.startswith("#X"), F.conv(F.substring(name, 3, 8), 16, 10)).when(
-        name.startswith("#"), F.substring(name, 2, 8)).cast("int")
-    named = F.element_at(F.create_map(*[x for k, v in ENTITIES.items() for x in (F.lit(k), F.lit(v))]), name)
-    code = F.coalesce(number, named)
-    # references to nothing, to surrogates or beyond Unicode stay as they are
-    legal = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-    rest = F.substring(part, F.length(name) + 2, F.length(part))
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(legal, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+    def with_length(pattern: str, text) -> Column:
+        """(text, length of the reference) of a pattern; NULL text if it isn't one."""
+        return let(F.regexp_extract(part, pattern, 0), lambda whole: F.struct(
+            F.when(whole != "", text(F.regexp_extract(whole, pattern, 1))).alias("text"), F.length(whole).alias("n")))
+
+    def named(name: Column) -> Column:
+        return F.element_at(F.element_at(_named_texts(), F.substring(name, 1, 1)), name)
+
+    found = F.when(part.startswith("#"), with_length(NUMBER, _number_text)).otherwise(
+        let(with_length(NAME, named), lambda f: F.when(f["text"].isNotNull(), f).otherwise(with_length(OLD_NAME, named))))
+    return let(found, lambda f: F.when(f["text"].isNotNull(), F.concat(
+        f["text"], F.substring(part, f["n"] + 1, F.length(part)))).otherwise(F.concat(F.lit("&"), part)))
 
 
 def decode_references(s: Column) -> Column:

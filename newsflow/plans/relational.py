@@ -13,13 +13,14 @@ from ..sources.tables import articles
 
 
 def prepared_articles(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
-    """All articles, preprocessed and filtered, with the hash split flag (training share: labelled only).
+    """All articles that have content, preprocessed, with the shares of the hash split.
 
-    The preprocessed table is written once and the length filter runs on the
-    written column: filtering before that would let Catalyst inline the
-    regex chain into the pushed-down filter and evaluate it twice.
+    ``is_train`` and ``is_test`` are labelled articles that are long enough (X1); short and unlabelled
+    ones are scored all the same, as the serving side does.  The table is written once.
     """
     prep = tfidf_nb.prepare(articles(spark, sf_dir, tasks=tasks, how="left"), None,
                             keep=("article_id", "subject", "date", "label"))
-    prep = materialize(prep.withColumn("is_train", is_train("article_id") & F.col("label").isNotNull()), "nb_prepared")
-    return prep.filter(F.length("content") > C.MIN_CONTENT_CHARS)
+    usable = F.col("label").isNotNull() & (F.length("content") > C.MIN_CONTENT_CHARS)
+    prep = materialize(prep.withColumn("is_train", is_train("article_id") & usable).withColumn(
+        "is_test", ~is_train("article_id") & usable), "nb_prepared")
+    return prep.filter("content is not null")

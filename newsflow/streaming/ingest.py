@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.messages import BAD_COLUMN, parse_messages
 from ..functions.text import clean_text
+from ..session import materialize, scratch_scope
 from ..sinks.batches import replace_batch
 from ..sinks.files import CSV_WRITE_OPTIONS
 from .control import observed_rows, start, start_dead_letter
@@ -68,6 +69,30 @@ def write_both(out: str):
     return write_batch
 
 
+def write_batch_of_messages(out: str, dead_letter: str):
+    """``foreachBatch`` function that reads and parses a batch of messages once, and commits its cleaned rows to the
+    Parquet and the CSV sink and its malformed ones to the dead letter."""
+    write_rows = write_both(out)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            parsed = materialize(batch, "ingest-batch")
+            write_rows(ingest_frame(parsed), batch_id)
+            bad = parsed.filter(F.col(BAD_COLUMN)).select("raw_value", F.current_timestamp().alias("received_at"))
+            replace_batch(bad, dead_letter, batch_id, "json")
+
+    return write_batch
+
+
+def start_ingest_once(stream: DataFrame, out: str, checkpoint: str, trigger=C.INGEST_PARQUET_TRIGGER,
+                      dead_letter: str | None = None, available_now: bool = False):
+    """ST1 as one query: each message is read and parsed once for all three sinks, which share one trigger
+    (``start_ingest`` runs a query, and a read of the source, for each)."""
+    parsed = observed_rows(parsed_stream(stream))
+    writer = write_batch_of_messages(out, dead_letter or f"{out}/dead_letter")
+    return [start(parsed.writeStream.foreachBatch(writer), f"{checkpoint}/ingest", trigger, available_now)]
+
+
 def start_ingest(stream: DataFrame, out: str, checkpoint: str, parquet_trigger=C.INGEST_PARQUET_TRIGGER,
                  csv_trigger=C.INGEST_CSV_TRIGGER, dead_letter: str | None = None,
                  available_now: bool = False, dedupe: bool | str | None = False, delay: str = C.DEDUPE_DELAY):

@@ -329,3 +329,16 @@ def test_long_broken_documents_take_linear_time(spark):
     start = time.monotonic()
     got, errors = _titles(spark, many, half)
     assert len(got) == 20_000 and len(errors) == 2 and time.monotonic() - start < 60
+
+
+def test_all_named_references(spark):
+    """Every name of HTML, with its semicolon and, for old ones, without; the longest name that fits."""
+    import html
+    from html.entities import html5
+    from newsflow.functions.html import decode_references
+    texts = [f"a&{n} b" for n in html5] + [f"x&{n}y" for n in html5 if not n.endswith(";")]
+    texts += ["&amp&nbsp;&rarr;&CounterClockwiseContourIntegral;", "&notit; &notin; &notin", "&amplt; &amp;lt;", "AT&T & R&D",
+              "&#150;&#x97; &#65 &#x42;", "&unknown; &;&&amp;", "&NotEqualTilde;", "&#129;", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.d for r in df.select("i", decode_references(F.col("t")).alias("d")).collect()}
+    assert [t for i, t in enumerate(texts) if got[i] != html.unescape(t)] == []

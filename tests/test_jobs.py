@@ -175,6 +175,26 @@ def test_score_batch_counts_what_it_cannot_score(spark):
     assert spark.read.parquet(dead).count() == 2
 
 
+def test_ingest_reads_each_message_once(spark):
+    """ST1 in one query: as many input rows as messages; a restart adds nothing; the same rows as three queries."""
+    from newsflow.sources.files import read_ingested
+    src = fixtures.landed_messages(spark, SF, malformed=True)
+    n = spark.read.schema("key string, value string").json(src).count()
+    out, ckpt = scratch_path(spark, "once"), scratch_path(spark, "once_ckpt")
+    (q,) = ingest.start_ingest_once(article_stream(spark, "json", src), out, ckpt, available_now=True)
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == n
+    (q,) = ingest.start_ingest_once(article_stream(spark, "json", src), out, ckpt, available_now=True)
+    q.awaitTermination()
+    other = scratch_path(spark, "thrice")
+    for q in ingest.start_ingest(article_stream(spark, "json", src), other, scratch_path(spark, "thrice_ckpt"), available_now=True):
+        q.awaitTermination()
+    for read in (lambda o: read_ingested(spark, f"{o}/parquet").select("title", "text", "article_id", "subject", "date"),
+                 lambda o: spark.read.schema("raw_value string").json(f"{o}/dead_letter").select("raw_value")):
+        a, b = read(out), read(other)
+        assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
 def test_poll_totals_and_formats(spark):
     """ST5b: totals come from the polls' own table, so a new process (or a replay) counts the same."""
     from newsflow.sources.tables import feed_documents
