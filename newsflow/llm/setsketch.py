@@ -15,12 +15,14 @@ sets agree in a register with a probability that grows with their similarity.
 4. What is left is verified on full shingle sets, and links become components.
 
 A bucket (classes that agree in one band) may be large: it is cut into blocks of
-``BLOCK`` classes and every pair of blocks is one bounded unit of work.  Within a
-unit only each class's closest partners are verified first.  Members that have
-other candidate partners in components not yet connected to theirs then meet once
-more, with their full sets, and every such pair is verified inside the task, which
-gives one link for each two components it connects.  So no link that matters is
-lost, and a group of copies doesn't become rows for all its pairs.
+about ``BLOCK`` classes.  First each class meets its own block and the bucket's leader only
+(rows in proportion to the classes), and each one's closest partners are verified.
+Then components are known, and a bucket within one component is done.  In the others
+the classes outside the bucket's largest component meet each other and that component,
+a pair of blocks at a time: those with a candidate partner in another component
+come once more with their full sets, every such pair is verified inside the task, and
+each two components that it connects give one link.  So no link that matters is
+lost, and a group of copies becomes rows neither for its pairs nor for pairs of its blocks.
 
 Empty and null texts have an empty set and no links.  Rows without ``doc_id`` have
 no links and a null component.  Rows that share ``doc_id`` are one document: its
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -115,18 +117,49 @@ def sketch(docs: DataFrame, size: int, m: int) -> DataFrame:
                       {"n_shingles": "long", "h1": "long", "h2": "long", "regs": "binary"})
 
 
-def _buckets(classes: DataFrame, bands: int) -> DataFrame:
-    """node, cid, band, bkey, block, bi, bj, n_shingles, regs: the members of every unit of work."""
+def _members(classes: DataFrame, bands: int) -> DataFrame:
+    """node, cid, band, bkey of every class in every bucket of two classes and more, and the bucket's size and leader."""
     keys = F.array(*[F.xxhash64(F.lit(b), F.expr(f"substring(regs, {b * ROWS + 1}, {ROWS})")) for b in range(bands)])
     member = classes.select("node", "cid", F.posexplode(keys).alias("band", "bkey"))
-    crowded = member.groupBy("bkey").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    member = member.join(crowded, "bkey").withColumn("n_blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    unit = member.select("node", "cid", "band", "bkey", "block", other.alias("other")).select(
-        "node", "cid", "band", "bkey", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
-    return unit.join(classes.select("node", "cid", "n_shingles", "regs"), ["node", "cid"])
+    crowded = member.groupBy("bkey").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.min(F.struct(F.xxhash64("node", "cid", "bkey").alias("h"), "node", "cid")).alias("leader")).filter("size > 1")
+    return member.join(crowded, "bkey").select("node", "cid", "band", "bkey", "size",
+                                               (F.struct("node", "cid") == F.struct("leader.node", "leader.cid")).alias("leads"))
+
+
+def _block(n_blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("node", "cid"), n_blocks).cast("int")
+
+
+def _first_units(member: DataFrame) -> DataFrame:
+    """node, cid, band, bkey, block, bi, bj: each class once, in its own block; a bucket's leader in all its blocks."""
+    n = F.ceil(F.col("size") / BLOCK)
+    blocks = F.when(F.col("leads"), F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array(_block(n)))
+    return member.select("node", "cid", "band", "bkey", F.explode(blocks).alias("block")).select(
+        "*", F.col("block").alias("bi"), F.col("block").alias("bj"))
+
+
+def _open_units(member: DataFrame, comp: DataFrame) -> DataFrame:
+    """node, cid, comp, band, bkey, block, bi, bj of the pairs of classes that are in one bucket and not in one component.
+
+    The blocks of classes outside the bucket's largest component come first; each of them meets every block,
+    and the largest component's blocks don't meet each other.
+    """
+    member = member.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component", "leads")
+    largest = member.groupBy("bkey", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bkey").agg(
+        F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    small = F.col("size") <= BLOCK                       # such a bucket is one block
+    apart = member.join(largest.select("bkey", "top"), "bkey").select(
+        "node", "cid", "comp", "band", "bkey", (small | (F.col("comp") != F.col("top.comp"))).alias("outside"),
+        F.when(small, 1).otherwise(F.ceil((F.col("size") - F.col("top.n")) / BLOCK)).cast("int").alias("n_out"),
+        F.when(small, 0).otherwise(F.ceil(F.col("top.n") / BLOCK)).cast("int").alias("n_in"))
+    block = F.when(F.col("outside"), _block(F.col("n_out"))).otherwise(F.col("n_out") + _block(F.greatest(F.col("n_in"), F.lit(1))))
+    meets = F.when(F.col("outside"), F.col("n_out") + F.col("n_in")).otherwise(F.col("n_out"))
+    return apart.withColumn("block", block).select(
+        "node", "cid", "comp", "band", "bkey", "block", F.explode(F.sequence(F.lit(0), meets - 1)).alias("other")).select(
+        "node", "cid", "comp", "band", "bkey", "block", F.least("block", "other").alias("bi"),
+        F.greatest("block", "other").alias("bj"))
 
 
 def _unit_pairs(g: dict, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,8 +189,8 @@ class _Units:
     """Walks batches sorted by unit and judges the pairs of each unit by their registers.
 
     ``find``: ``closest`` gives (u, v): each class's closest partner before it and after it in its unit;
-    ``open`` gives the members with a partner in another component; ``links`` gives (u, v) verified on the
-    members' full sets, one for each two components.
+    ``open`` gives the members with a partner in another component; ``links`` gives each two components (u, v)
+    that a pair connects, verified on the members' full sets.
     """
 
     KEYS = ["bkey", "band", "bi", "bj", "block", "node", "cid"]
@@ -231,8 +264,9 @@ class _Units:
                 members.append(np.unique(np.concatenate([p, q])))
             elif len(p):
                 keep = self.chosen(g, p, q, equal)
-                us.append(np.maximum(g["node"][p[keep]], g["node"][q[keep]]))
-                vs.append(np.minimum(g["node"][p[keep]], g["node"][q[keep]]))
+                end = g["node" if self.find == "closest" else "comp"]
+                us.append(np.maximum(end[p[keep]], end[q[keep]]))
+                vs.append(np.minimum(end[p[keep]], end[q[keep]]))
         if self.find == "open":
             rows = np.concatenate(members)
             return pa.RecordBatch.from_arrays([pa.array(g[k][rows]) for k in self.KEYS], names=self.KEYS)
@@ -260,6 +294,16 @@ class _Units:
             yield self.work(rest)
 
 
+def _full_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """node, cid, set (sorted) of the classes ``needed`` (node, cid, s_rk)."""
+    texts = docs.select("doc_id", "text", text_key().alias("rk"))
+    texts = texts.join(needed, (texts["doc_id"] == needed["node"]) & (texts["rk"] == needed["s_rk"])).select(
+        "node", "cid", "text").dropDuplicates(["node", "cid"])
+    return map_column(texts, ["node", "cid"], "text", lambda all_texts: {
+        "set": [np.sort(shingle_set(to_bytes(t, lower=True), size).astype(np.int64)) for t in all_texts]},
+        {"set": "array<long>"})
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough."""
     a = sets.select(F.col("node").alias("u"), F.col("set").alias("a"))
@@ -283,23 +327,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
     classes = materialize(sketches.filter("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(
         F.min("doc_id").alias("node"), F.min_by("regs", "doc_id").alias("regs"), F.min_by("rk", "doc_id").alias("rk"))
         .withColumn("cid", F.col("h1")), "classes")
-    units = materialize(_buckets(classes, bands), "units")
+    member = materialize(_members(classes, bands), "members")
+    judged = classes.select("node", "cid", "n_shingles", "regs")
     unit = ["bkey", "bi", "bj"]
 
     def walk(rows: DataFrame, find: str) -> DataFrame:
         return rows.repartition(*unit).sortWithinPartitions("bkey", "band", "bi", "bj", "block", "node").mapInArrow(
             _Units(find, bands, percent), _Units.OUT[find])
 
-    first = materialize(walk(units.withColumn("comp", F.col("node")), "closest").distinct(), "candidates")
+    first = materialize(walk(_first_units(member).withColumn("comp", F.col("node")).join(judged, ["node", "cid"]),
+                             "closest").distinct(), "candidates")
+    keyed = classes.select("node", "cid", F.col("rk").alias("s_rk"))
     # full sets of the classes that have a candidate partner
-    needed = first.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(
-        classes.select("node", "cid", F.col("rk").alias("s_rk")), "node")
-    texts = docs.select("doc_id", "text", text_key().alias("rk"))
-    texts = texts.join(needed, (texts["doc_id"] == needed["node"]) & (texts["rk"] == needed["s_rk"])).select(
-        "node", "cid", "text").dropDuplicates(["node", "cid"])
-    sets = materialize(map_column(texts, ["node", "cid"], "text", lambda all_texts: {
-        "set": [np.sort(shingle_set(to_bytes(t, lower=True), size).astype(np.int64)) for t in all_texts]},
-        {"set": "array<long>"}), "shingle-sets")
+    sets = materialize(_full_sets(docs, first.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(
+        keyed, "node"), size), "shingle-sets")
     links = materialize(_verified(first, sets, percent), "links")
     rows = materialize(sketches.drop("regs", "rk").join(classes.select(*same, "node"), same, "left"), "rows")
     # a document with several rows links its classes
@@ -307,14 +348,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
     split = own.groupBy("doc_id").agg(F.min("node").alias("v"), F.count("node").alias("n")).filter("n > 1")
     links = links.unionByName(own.join(split, "doc_id").select(F.col("node").alias("u"), "v"))
     comp = materialize(components(links), "components")
-    now = units.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
     # members that may still have a link to another component meet once more, with their sets
-    member = classes.join(comp, "node", "left").select("node", "cid", F.coalesce("component", "node").alias("comp"),
-                                                       "n_shingles", "regs")
-    left = walk(now, "open").join(member, ["node", "cid"]).join(sets, ["node", "cid"])
-    comp = components(links.unionByName(walk(left, "links")))
-    rows = rows.join(comp, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
+    of = classes.join(comp, "node", "left").select("node", "cid", F.coalesce("component", "node").alias("comp"),
+                                                   "n_shingles", "regs")
+    open_members = materialize(walk(_open_units(member, comp).join(judged, ["node", "cid"]), "open"), "open")
+    more = materialize(_full_sets(docs, open_members.select("node", "cid").distinct().join(
+        sets.select("node", "cid"), ["node", "cid"], "left_anti").join(keyed, ["node", "cid"]), size), "shingle-sets")
+    left = open_members.join(of, ["node", "cid"]).join(sets.unionByName(more), ["node", "cid"])
+    # components that such links join
+    joined = components(walk(left, "links")).select(F.col("node").alias("comp"), F.col("component").alias("joined"))
+    rows = rows.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component").join(
+        joined, "comp", "left").withColumn("component", F.coalesce("joined", "comp"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"),
                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

@@ -70,6 +70,39 @@ def test_blocks_lose_no_link(spark):
     assert {r.doc_id: r.component_id for r in out} == brute_components(data, 80)
 
 
+def variants(seed, n, words, own):
+    """n texts that share a template of ``words`` words, each with ``own`` words of its own after it."""
+    base = prose(seed, words)
+    return [base + " " + " ".join(f"own{seed}x{i}x{k}" for k in range(own)) for i in range(n)]
+
+
+def test_links_between_blocks_of_unlike_documents(spark, monkeypatch):
+    # templates too unlike to be linked fill the buckets; each has one near copy, mostly in another block
+    texts = variants(41, 30, 240, 50)
+    data = list(enumerate(texts + [t + " tail" for t in texts]))
+    monkeypatch.setattr(setsketch, "BLOCK", 3)
+    out = setsketch.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 80).collect()
+    want = brute_components(data, 80)
+    assert len(set(want.values())) == 30
+    assert {r.doc_id: r.component_id for r in out} == want
+
+
+def test_rows_of_units_grow_with_the_documents(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "BLOCK", 32)
+    counts = []
+    for n in (300, 600, 1200):
+        seen, first, opened = [], setsketch._first_units, setsketch._open_units
+        with monkeypatch.context() as m:
+            m.setattr(setsketch, "_first_units", lambda member: seen.append(first(member)) or seen[-1])
+            m.setattr(setsketch, "_open_units", lambda member, comp: seen.append(opened(member, comp)) or seen[-1])
+            data = list(enumerate(variants(42, n, 60, 3)))
+            out = setsketch.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 80)
+            assert {r.component_id for r in out.collect()} == {0}
+        counts.append([u.count() for u in seen])
+    for (a, x), (b, y) in zip(counts, counts[1:]):
+        assert a < b < 2.2 * a and y < 2.2 * max(x, n)
+
+
 def test_near_duplicate_edges(spark):
     out = setsketch.near_duplicates(documents(spark, clash=True), 80)
     assert out.count() == documents(spark).count()
