@@ -122,10 +122,9 @@ def _members(classes: DataFrame, bands: int) -> DataFrame:
     keys = F.array(*[F.xxhash64(F.lit(b), F.expr(f"substring(regs, {b * ROWS + 1}, {ROWS})")) for b in range(bands)])
     member = classes.select("node", "cid", F.posexplode(keys).alias("band", "bkey"))
     crowded = member.groupBy("bkey").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min(F.struct(F.xxhash64("node", "cid", "bkey").alias("h"), "node", "cid")).alias("leader")).filter("size > 1")
+        F.count(F.lit(1)).alias("size"), F.min(F.xxhash64("node", "cid", "bkey")).alias("leader")).filter("size > 1")
     return member.join(crowded, "bkey").select("node", "cid", "band", "bkey", "size",
-                                               (F.struct("node", "cid") == F.struct("leader.node", "leader.cid")).alias("leads"))
+                                               (F.xxhash64("node", "cid", "bkey") == F.col("leader")).alias("leads"))
 
 
 def _block(n_blocks: Column) -> Column:
